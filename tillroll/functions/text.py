@@ -24,6 +24,15 @@ WHITE_SPACE = "".join(
 )
 
 
+def _trimmed(cell):
+    """``btrim`` is worth its cost only where an end of the text is white space."""
+    blank = list(WHITE_SPACE)
+    padded = F.substr(cell, F.lit(1), F.lit(1)).isin(blank) | F.substr(
+        cell, F.lit(-1), F.lit(1)
+    ).isin(blank)
+    return F.when(padded, F.btrim(cell, F.lit(WHITE_SPACE))).otherwise(cell)
+
+
 def cell_text(column):
     """The trimmed text of a CSV cell; NULL when the cell holds a null token.
 
@@ -31,14 +40,30 @@ def cell_text(column):
     and not a missing one.
     """
     cell = F.col(column)
-    return F.when(~cell.isin(NULL_TOKENS), F.btrim(cell, F.lit(WHITE_SPACE)))
+    return F.when(~cell.isin(NULL_TOKENS), _trimmed(cell))
+
+
+# The readers below try the cell as it stands first. Nearly every cell is in
+# order, and no null token is a number, a date or a listed value, so trimming
+# and token matching are left to the few cells that need them.
+
+
+def cell_choice(column, values):
+    """The cell's text, known at once when it is one of the listed values."""
+    cell = F.col(column)
+    return F.when(cell.isin(values), cell).otherwise(cell_text(column))
 
 
 def cell_number(column, decimal_type):
     """The cell as an exact decimal; NULL when it is no finite number that fits."""
-    return cell_text(column).try_cast(decimal_type)
+    return F.coalesce(
+        F.col(column).try_cast(decimal_type), cell_text(column).try_cast(decimal_type)
+    )
 
 
 def cell_date(column, date_format):
     """The cell as a date in one strict format; NULL when it does not match."""
-    return F.try_to_date(cell_text(column), date_format)
+    return F.coalesce(
+        F.try_to_date(F.col(column), date_format),
+        F.try_to_date(cell_text(column), date_format),
+    )

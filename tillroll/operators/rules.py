@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from tillroll.functions.text import cell_date, cell_number, cell_text
+from tillroll.functions.text import cell_choice, cell_date, cell_number, cell_text
 from tillroll.schema import (
     CATEGORIES,
     CLEAN_SCHEMA,
@@ -53,6 +53,10 @@ def typed_columns(rows, date_format=DATE_FORMAT):
     in, so ``NaN``, infinities and overflows are NULL and break their rule.
     """
     readers = {
+        "gender": lambda c: cell_choice(c, GENDERS),
+        "category": lambda c: cell_choice(c, CATEGORIES),
+        "payment_method": lambda c: cell_choice(c, PAYMENT_METHODS),
+        "shopping_mall": lambda c: cell_choice(c, MALLS),
         "age": lambda c: cell_number(c, "decimal(10,4)"),
         "quantity": lambda c: cell_number(c, "decimal(16,6)"),
         "price": lambda c: cell_number(c, "decimal(14,6)"),

@@ -16,6 +16,7 @@ def local_session(cpus="*", app="tillroll", memory="20g"):
         .appName(app)
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(slots))
         .config("spark.sql.session.timeZone", "UTC")
         .getOrCreate()

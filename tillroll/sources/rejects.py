@@ -1,8 +1,7 @@
 """Rejected rows, kept as CSV files next to the rules they broke."""
 
-from pyspark.sql import functions as F
-
 from tillroll.schema import RAW_SCHEMA, SOURCE_COLUMNS
+from tillroll.sources.transactions import CSV_OPTIONS, CSV_WRITE_OPTIONS
 
 
 def save_rejects(rejected, path, load_id):
@@ -16,8 +15,7 @@ def save_rejects(rejected, path, load_id):
     (
         rejected.select(SOURCE_COLUMNS)
         .write.mode("overwrite")
-        .option("header", True)
-        .option("escape", '"')
+        .options(**CSV_WRITE_OPTIONS)
         .csv(target)
     )
     return target
@@ -25,9 +23,4 @@ def save_rejects(rejected, path, load_id):
 
 def read_rejects(spark, path):
     """Rejected rows of one load folder, as text."""
-    return (
-        spark.read.schema(RAW_SCHEMA)
-        .options(header=True, escape='"', enforceSchema=False)
-        .csv(path)
-        .select([F.col(c) for c in SOURCE_COLUMNS])
-    )
+    return spark.read.schema(RAW_SCHEMA).options(**CSV_OPTIONS).csv(path)

@@ -6,6 +6,14 @@ from tillroll.schema import RAW_SCHEMA, SOURCE_COLUMNS
 
 CSV_OPTIONS = {"header": True, "escape": '"', "enforceSchema": False}
 
+# Spark's CSV writer trims cells unless told not to.
+CSV_WRITE_OPTIONS = {
+    "header": True,
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": False,
+    "ignoreTrailingWhiteSpace": False,
+}
+
 
 def check_location(source, path):
     """Refuse an unknown kind of source or a missing path.
@@ -72,7 +80,6 @@ def write_csv(rows, path, mode="errorifexists"):
     (
         rows.select(SOURCE_COLUMNS)
         .write.mode(mode)
-        .option("header", True)
-        .option("escape", '"')
+        .options(**CSV_WRITE_OPTIONS)
         .csv(path)
     )
