@@ -3,10 +3,8 @@
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tillroll.operators.joins import broadcast_within
-
-# A written table has one entry here per file; a million files is far beyond
-# what one load writes, and still only a few megabytes to broadcast.
+# Files per table up to which the row counts of its files, a few bytes each,
+# are broadcast. Beyond that the join falls back to a shuffle.
 MAX_FILES_TO_BROADCAST = 1_000_000
 
 
@@ -31,7 +29,8 @@ def number_rows(stored, name="_row_number", start=0):
         .agg(F.count(F.lit(1)).alias("rows"))
         .select("_part", "_chunk", (F.sum("rows").over(in_order) - F.col("rows")).alias("_before"))
     )
-    before = broadcast_within(before, MAX_FILES_TO_BROADCAST)
+    if len(stored.inputFiles()) <= MAX_FILES_TO_BROADCAST:
+        before = F.broadcast(before)
     return (
         placed.join(before, ["_part", "_chunk"])
         .withColumn(name, F.col("_before") + F.col("_place") + 1 + F.lit(start))

@@ -32,6 +32,7 @@ def _pick(values, number):
 
 
 _RAW_COLUMNS = ", ".join(SOURCE_COLUMNS)
+_NULLED = ", ".join(f"nullif({c}, '') AS {c}" for c in SOURCE_COLUMNS)
 
 FEED = f"""
 cells AS (
@@ -294,7 +295,8 @@ def oracle_sql():
             CAST(count(*) FILTER (WHERE {_ANY}) * 100.0 / count(*) AS DOUBLE) AS invalid_percent
             FROM checked""",
         ),
-        "csv_transactions": _with(FEED, f"SELECT {_RAW_COLUMNS} FROM feed"),
+        # An empty cell and a missing one look alike in a CSV file.
+        "csv_transactions": _with(FEED, f"SELECT {_NULLED} FROM feed"),
         "file_profile": _with(
             FEED, "SELECT count(*) > 0 AS valid, count(*) AS rows, 10 AS columns FROM feed"
         ),
@@ -304,7 +306,7 @@ def oracle_sql():
             + ", ".join(f"{c} NULLS FIRST" for c in SOURCE_COLUMNS)
             + " LIMIT 100",
         ),
-        "rejected_csv": _with(RULES, f"SELECT {_RAW_COLUMNS} FROM checked WHERE {_ANY}"),
+        "rejected_csv": _with(RULES, f"SELECT {_NULLED} FROM checked WHERE {_ANY}"),
         "saved_holidays": _with(_HOLIDAYS, "SELECT date AS full_date FROM holidays"),
         "holiday_range": _with(
             _HOLIDAYS, "SELECT min(date) || ' to ' || max(date) AS date_range FROM holidays"

@@ -136,9 +136,7 @@ class _Load:
     def dim_time(self):
         """Days of this batch replace the same days; returns the days handled."""
         days = dim_time(self.staged.valid, self.holidays, self.legacy_holiday_parse)
-        self.write(
-            "dim_time", upsert(self.read("dim_time"), days, ["date_key"], check=False).coalesce(1)
-        )
+        self.write("dim_time", upsert(self.read("dim_time"), days, ["date_key"], check=False))
         return self.staged.valid.select("invoice_date").distinct().count()
 
     def dim_customer(self):
@@ -152,7 +150,7 @@ class _Load:
         new = insert_absent(existing, batch, ["customer_id"]) if last else batch
         folder = self.warehouse.fresh("new-customers")
         keyed = assign_dense_keys(new, ["customer_id"], "customer_key", folder, last)
-        added = keyed.count()
+        added = self.spark.read.parquet(folder).count()
         if last:
             keyed = _merge_customers(existing, batch).unionByName(keyed)
         self.write("dim_customer", keyed, last + added)
@@ -186,35 +184,36 @@ class _Load:
         """Days the load touches are worked out anew from all facts of those days."""
         sales, existing = self.read("fact_sales"), self.read("fact_daily_summary")
         last = self.warehouse.last_key("fact_daily_summary")
-        days = self.staged.valid.select(date_key(F.col("invoice_date")).alias("date_key"))
-        if self.again:
-            replaced = self.warehouse.read_load("fact_sales", self.load_id)
-            days = days.unionByName(replaced.select("date_key"))
-        days = broadcast_within(days.distinct(), MAX_DATES_TO_BROADCAST)
-        if last:
-            sales = sales.join(days, "date_key", "left_semi")
-        folder = self.warehouse.fresh("summary")
-        daily_summary(sales, {t: self.read(t) for t in SEEDS}).write.parquet(folder)
-        summary = self.spark.read.parquet(folder)
-
-        group = ["date_key", "store_key"]
-        known = existing.select("summary_id", *group)
-        keyed = assign_dense_keys(
-            insert_absent(known, summary, group) if last else summary,
-            group,
-            "summary_id",
-            self.warehouse.fresh("new-summary"),
-            last,
-        )
-        added = keyed.count()
-        if last:
+        group, seeded = ["date_key", "store_key"], {table: self.read(table) for table in SEEDS}
+        folder = self.warehouse.fresh("new-summary")
+        if not last:
+            new = daily_summary(sales, seeded)
+            keyed = assign_dense_keys(new, group, "summary_id", folder)
+            added = rows = self.spark.read.parquet(folder).count()
+        else:
+            days = self.touched_days()
+            scratch = self.warehouse.fresh("summary")
+            daily_summary(sales.join(days, "date_key", "left_semi"), seeded).write.parquet(scratch)
+            summary = self.spark.read.parquet(scratch)
+            known = existing.select("summary_id", *group)
+            new = insert_absent(known, summary, group)
+            keyed = assign_dense_keys(new, group, "summary_id", folder, last)
+            added, rows = self.spark.read.parquet(folder).count(), summary.count()
             keyed = (
                 existing.join(days, "date_key", "left_anti")
                 .unionByName(summary.join(known, group))
                 .unionByName(keyed)
             )
         self.write("fact_daily_summary", keyed, last + added)
-        return summary.count()
+        return rows
+
+    def touched_days(self):
+        """Days with rows in this batch or, when it replaces a load, in that one."""
+        days = self.staged.valid.select(date_key(F.col("invoice_date")).alias("date_key"))
+        if self.again:
+            replaced = self.warehouse.read_load("fact_sales", self.load_id)
+            days = days.unionByName(replaced.select("date_key"))
+        return broadcast_within(days.distinct(), MAX_DATES_TO_BROADCAST)
 
 
 def _merge_customers(existing, batch):

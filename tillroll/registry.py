@@ -111,7 +111,13 @@ def plain(rows):
     return rows.select(columns)
 
 
-# --- sources ----------------------------------------------------------------
+# --- sources and rules ------------------------------------------------------
+
+
+def _clean_transactions(spark, sf_dir):
+    """The valid half of a fresh staging pass over the feed."""
+    staged = stage(order_feed(spark, sf_dir), fresh_folder(spark, "staged"))
+    return staged.valid.drop("_row_id")
 
 
 def _csv_transactions(spark, sf_dir):
@@ -128,9 +134,8 @@ def _head_sample(spark, sf_dir):
 
 
 def _rejected_csv(spark, sf_dir):
-    folder = fresh_folder(spark, "rejects")
-    checked = rules.check_rows(order_feed(spark, sf_dir))
-    return read_rejects(spark, save_rejects(rules.rejected_rows(checked), folder, "orders"))
+    rejected = star(spark, sf_dir).staged.rejected
+    return read_rejects(spark, save_rejects(rejected, fresh_folder(spark, "rejects"), "orders"))
 
 
 def _saved_holidays(spark, sf_dir):
@@ -244,10 +249,6 @@ def _on_feed(function):
     return lambda spark, sf_dir: function(order_feed(spark, sf_dir))
 
 
-def _on_checked(function):
-    return lambda spark, sf_dir: function(rules.check_rows(order_feed(spark, sf_dir)))
-
-
 def _on_tables(function, *arguments):
     return lambda spark, sf_dir: function(star(spark, sf_dir).tables, *arguments)
 
@@ -261,8 +262,8 @@ def _stream_ingest_customers(spark, sf_dir):
 
 
 QUERIES = {
-    "clean_transactions": _on_checked(rules.valid_rows),
-    "rejected_rows": _on_checked(rules.rejected_rows),
+    "clean_transactions": _clean_transactions,
+    "rejected_rows": lambda spark, sf_dir: star(spark, sf_dir).staged.rejected,
     "error_summary": _on_feed(rules.error_summary),
     "validation_report": _on_feed(rules.validation_report),
     "csv_transactions": _csv_transactions,

@@ -18,14 +18,13 @@ def _pick(values, number):
 
 
 def order_feed(spark, sf_dir, with_faults=True):
-    """Ten text columns plus ``_row_id``, one row per line item."""
+    """Ten text columns, one row per line item."""
     lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(
         "l_orderkey",
         "l_partkey",
         "l_suppkey",
         "l_linenumber",
         "l_quantity",
-        F.col("_metadata.row_index").alias("_row_id"),
     )
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select(
         F.col("o_orderkey").alias("l_orderkey"), "o_custkey", "o_orderdate"
@@ -55,7 +54,7 @@ def order_feed(spark, sf_dir, with_faults=True):
     if with_faults:
         cells = _spoil(cells, day)
     return lines.join(orders, "l_orderkey").join(parts, "l_partkey").select(
-        *[cell.alias(name) for name, cell in cells.items()], "_row_id"
+        [cell.alias(name) for name, cell in cells.items()]
     )
 
 

@@ -27,14 +27,13 @@ def check_location(source, path):
 
 
 def read_transactions(spark, path, source="local"):
-    """The files' ten columns as text, plus ``_row_id`` in reading order.
+    """The files' ten columns as text.
 
     Nothing is converted here: the row rules need the text as it was written.
     A file whose header differs from the ten names stops the read.
     """
     check_location(source, path)
-    rows = spark.read.schema(RAW_SCHEMA).options(**CSV_OPTIONS).csv(path)
-    return rows.withColumn("_row_id", F.monotonically_increasing_id())
+    return spark.read.schema(RAW_SCHEMA).options(**CSV_OPTIONS).csv(path)
 
 
 def header_of(spark, path):
@@ -70,9 +69,14 @@ def file_profile(spark, path):
     )
 
 
-def head_sample(rows, n=100, order_by="_row_id"):
-    """The first ``n`` rows in the given order."""
-    return rows.orderBy(order_by).limit(n).select(SOURCE_COLUMNS)
+def head_sample(rows, n=100, order_by=None):
+    """The first ``n`` rows in the given order, by default in reading order.
+
+    Each task keeps its own first ``n``; only those are merged.
+    """
+    if order_by is None:
+        order_by = F.monotonically_increasing_id()
+    return rows.orderBy(order_by).limit(n)
 
 
 def write_csv(rows, path, mode="errorifexists"):
