@@ -1,0 +1,90 @@
+import pytest
+
+from tillroll.sources import holidays as calendars
+from tillroll.sources.rejects import read_rejects, save_rejects
+from tillroll.sources.transactions import (
+    file_profile,
+    head_sample,
+    header_of,
+    read_transactions,
+    write_csv,
+)
+
+
+def test_cells_stay_text(spark, csv_file):
+    path = csv_file("a.csv", {"age": "007", "price": "1.50"}, {"category": '"Food & Beverage"'})
+    rows = read_transactions(spark, path).collect()
+    assert rows[0].age == "007" and rows[0].price == "1.50"
+    assert rows[1].category == "Food & Beverage"
+
+
+def test_location_is_checked(spark):
+    with pytest.raises(ValueError):
+        read_transactions(spark, "x.csv", source="ftp")
+    with pytest.raises(ValueError):
+        read_transactions(spark, None)
+    with pytest.raises(ValueError):
+        calendars.read_holidays(spark, "x.json", source="ftp")
+
+
+def test_a_file_with_another_header_stops_the_read(spark, tmp_path, csv_file):
+    csv_file("in/a.csv", {})
+    csv_file("in/b.csv", {}, header=["invoice", *header_of(spark, str(tmp_path / "in/a.csv"))[1:]])
+    with pytest.raises(Exception, match="(?i)header"):
+        read_transactions(spark, str(tmp_path / "in")).collect()
+
+
+def test_profile(spark, csv_file, tmp_path):
+    path = csv_file("a.csv", {}, {}, {})
+    row = file_profile(spark, path).first()
+    assert (row.valid, row.rows, row.columns) == (True, 3, 10)
+    size = (tmp_path / "a.csv").stat().st_size / 1024 / 1024
+    assert row.file_size_mb == pytest.approx(size, abs=1e-4)
+    assert file_profile(spark, csv_file("none.csv")).first().valid is False
+    renamed = csv_file("b.csv", {}, header=["a"] * 10)
+    assert file_profile(spark, renamed).first().valid is False
+
+
+def test_head_in_reading_order(spark, csv_file):
+    path = csv_file("a.csv", *[{"invoice_no": f"I{i}"} for i in range(30, 0, -1)])
+    rows = head_sample(read_transactions(spark, path), 5).collect()
+    assert [r.invoice_no for r in rows] == ["I30", "I29", "I28", "I27", "I26"]
+
+
+def test_csv_keeps_padding(spark, feed, tmp_path):
+    path = str(tmp_path / "out")
+    write_csv(feed({"gender": "  Male "}, {"category": 'a "quoted", one'}), path)
+    rows = read_transactions(spark, path).collect()
+    assert {r.gender for r in rows} == {"  Male ", "Female"}
+    assert 'a "quoted", one' in {r.category for r in rows}
+
+
+def test_rejects(spark, feed, tmp_path):
+    folder = str(tmp_path / "rejected")
+    assert save_rejects(feed({}).limit(0), folder, "a") is None
+    path = save_rejects(feed({"age": "x"}, {"age": None}), folder, "a")
+    assert path.endswith("load_id=a")
+    assert {r.age for r in read_rejects(spark, path).collect()} == {"x", None}
+
+
+def test_holidays_of_several_years(spark, json_file):
+    paths = [
+        json_file(f"{year}.json", [{"date": f"{year}-01-01", "types": ["Public"], "fixed": True}])
+        for year in (2021, 2022)
+    ]
+    found = calendars.read_holidays(spark, paths)
+    assert found.count() == 2
+    assert calendars.holiday_range(found).first()[0] == "2021-01-01 to 2022-01-01"
+    assert calendars.holiday_range(found.limit(0)).first()[0] == "unknown"
+
+
+@pytest.mark.parametrize("content", [{"date": "2021-01-01"}, [1, 2], "text", [["2021-01-01"]]])
+def test_holidays_must_be_an_array_of_objects(spark, json_file, content):
+    with pytest.raises(ValueError):
+        calendars.read_holidays(spark, json_file("bad.json", content))
+
+
+def test_saved_holidays_come_back(spark, holidays, tmp_path):
+    calendars.save_holidays(holidays, str(tmp_path / "saved"))
+    back = calendars.read_saved_holidays(spark, str(tmp_path / "saved"))
+    assert {r.date for r in back.collect()} == {"2022-04-23", "2022-05-01"}

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from tillroll.functions.text import cell_choice, cell_date, cell_number, cell_text
+from tillroll.functions.text import cell_choice, cell_date, cell_id, cell_number
 from tillroll.schema import (
     CATEGORIES,
     CLEAN_SCHEMA,
@@ -56,6 +56,8 @@ def typed_columns(rows, date_format=DATE_FORMAT):
     in, so ``NaN``, infinities and overflows are NULL and break their rule.
     """
     readers = {
+        "invoice_no": cell_id,
+        "customer_id": cell_id,
         "gender": lambda c: cell_choice(c, GENDERS),
         "category": lambda c: cell_choice(c, CATEGORIES),
         "payment_method": lambda c: cell_choice(c, PAYMENT_METHODS),
@@ -65,7 +67,7 @@ def typed_columns(rows, date_format=DATE_FORMAT):
         "price": lambda c: cell_number(c, "decimal(14,6)"),
         "invoice_date": lambda c: cell_date(c, date_format),
     }
-    columns = {f"_{c}": readers.get(c, cell_text)(c) for c in SOURCE_COLUMNS}
+    columns = {f"_{c}": readers[c](c) for c in SOURCE_COLUMNS}
     return rows.withColumns({**columns, "_row_id": F.monotonically_increasing_id()})
 
 

@@ -17,6 +17,16 @@ def _pick(values, number):
     return F.element_at(F.array(*map(F.lit, values)), (number % len(values) + 1).cast("int"))
 
 
+def _spread(rows):
+    """Deal rows out over all cores when the files give fewer splits than that.
+
+    A large table has many splits and passes unchanged; this is for a table in
+    one small file, which would otherwise keep one core busy.
+    """
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
+
+
 def order_feed(spark, sf_dir, with_faults=True):
     """Ten text columns, one row per line item."""
     lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(
@@ -53,7 +63,7 @@ def order_feed(spark, sf_dir, with_faults=True):
     }
     if with_faults:
         cells = _spoil(cells, day)
-    return lines.join(orders, "l_orderkey").join(parts, "l_partkey").select(
+    return _spread(lines).join(orders, "l_orderkey").join(parts, "l_partkey").select(
         [cell.alias(name) for name, cell in cells.items()]
     )
 
