@@ -60,7 +60,7 @@ def test_a_third_of_the_rows_for_one_customer_and_copies(spark, warehouse, holid
 
     rows = spark.range(0, n, 1, 6).select(
         cell("I1", F.concat(F.lit("I"), number)).alias("invoice_no"),
-        cell("C1", F.concat(F.lit("C"), number)).alias("customer_id"),
+        cell("C1", F.concat(F.lit("C"), number + 100_000)).alias("customer_id"),
         F.lit("Male").alias("gender"),
         F.lit("30").alias("age"),
         F.lit("Toys").alias("category"),

@@ -27,5 +27,8 @@ def orphan_rows(child, parent, key):
 
 
 def top_by(value, key):
-    """Aggregate: the ``key`` with the highest ``value``, ties to the lowest key."""
-    return F.max_by(key, F.struct(value, -F.col(key)))
+    """Aggregate: the ``key`` with the highest ``value``, ties to the lowest key.
+
+    Rows without a key do not compete.
+    """
+    return F.max_by(key, F.when(F.col(key).isNotNull(), F.struct(value, -F.col(key))))

@@ -21,10 +21,13 @@ def _spread(rows):
     """Deal rows out over all cores when the files give fewer splits than that.
 
     A large table has many splits and passes unchanged; this is for a table in
-    one small file, which would otherwise keep one core busy.
+    one small file, which would otherwise keep one core busy. Rows go by the
+    hash of their values, which unlike dealing in turn needs no sort.
     """
     cores = rows.sparkSession.sparkContext.defaultParallelism
-    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
+    if rows.rdd.getNumPartitions() >= cores:
+        return rows
+    return rows.repartition(cores, *rows.columns)
 
 
 def order_feed(spark, sf_dir, with_faults=True):
