@@ -1,3 +1,4 @@
+from tillroll.__main__ import main
 from tillroll.plans.run import run
 from tillroll.plans.warehouse import Warehouse
 from tillroll.sources.rejects import read_rejects
@@ -69,3 +70,18 @@ def test_stream_takes_each_file_once(spark, warehouse, csv_file, holidays, tmp_p
     assert str(people["C9"].first_purchase_date) == "2022-03-06"
     rejected = read_rejects(spark, f"{warehouse.root}/rejected/load_id=stream-0000000000")
     assert [r.invoice_no for r in rejected.collect()] == ["I2"]
+
+
+def test_command_line(spark, csv_file, json_file, tmp_path, capsys):
+    root = str(tmp_path / "w")
+    assert main(["setup", "--warehouse", root, "--verify"]) == 1
+    assert main(["setup", "--warehouse", root, "--no-seed"]) == 0
+    assert Warehouse(spark, root).read("dim_store").count() == 0
+    assert main(["setup", "--warehouse", root, "--seed"]) == 0
+    assert main(["setup", "--warehouse", root, "--verify"]) == 0
+    given = ["run", "--csv", csv_file("in.csv", *ROWS), "--warehouse", root, "--holidays"]
+    assert main([*given, json_file("h.json", [])]) == 0
+    assert '"fact_sales": 3' in capsys.readouterr().out
+    assert main([*given, str(tmp_path / "none.json")]) == 1
+    assert main(["setup", "--warehouse", root, "--drop"]) == 0
+    assert not Warehouse(spark, root).exists("fact_sales")

@@ -65,6 +65,9 @@ def stage(rows, path, date_format=DATE_FORMAT):
             F.when(rejected, raw).alias("_raw"),
             rejected.alias("rejected"),
         )
+        # The partitioned write needs rows sorted by its column; naming the row
+        # id as well keeps each file in reading order, also when the sort spills.
+        .sortWithinPartitions("rejected", "_row_id")
         .write.partitionBy("rejected")
         .parquet(path)
     )

@@ -43,11 +43,18 @@ def _once(what, spark, sf_dir, build):
     return _shared[key]
 
 
+def _kept_holidays(spark, sf_dir):
+    """The calendar as a small saved file, so that using it never reads the orders."""
+    folder = fresh_folder(spark, "holidays")
+    calendars.save_holidays(order_holidays(spark, sf_dir), folder)
+    return calendars.read_saved_holidays(spark, folder)
+
+
 class Star:
     """The loaded warehouse of one table folder, with the staged rows it came from."""
 
     def __init__(self, spark, sf_dir):
-        self.holidays = order_holidays(spark, sf_dir)
+        self.holidays = _kept_holidays(spark, sf_dir)
         self.warehouse = Warehouse(spark, fresh_folder(spark, "warehouse")).reset()
         self.staged = stage(order_feed(spark, sf_dir), self.warehouse.fresh("staged"))
         self.result = load(self.warehouse, self.staged, self.holidays, "orders")
@@ -84,7 +91,7 @@ def streamed(spark, sf_dir):
     def fill():
         landing = landed(spark, sf_dir)
         warehouse = Warehouse(spark, fresh_folder(spark, "streamed")).reset()
-        calendar = order_holidays(spark, sf_dir)
+        calendar = _kept_holidays(spark, sf_dir)
         for delivery in ["older", "newer"]:
             ingest_new_files(
                 warehouse,
@@ -139,10 +146,7 @@ def _rejected_csv(spark, sf_dir):
 
 
 def _saved_holidays(spark, sf_dir):
-    folder = fresh_folder(spark, "holidays")
-    calendars.save_holidays(order_holidays(spark, sf_dir), folder)
-    saved = calendars.read_saved_holidays(spark, folder)
-    return calendars.holiday_dates(saved)
+    return calendars.holiday_dates(_kept_holidays(spark, sf_dir))
 
 
 # --- keys and upserts -------------------------------------------------------
