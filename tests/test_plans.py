@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from tillroll import registry
 from tillroll.operators.rules import check_rows
 from tillroll.plans import reports
+from tillroll.plans.facts import keyed_sales
 from tillroll.plans.loading import load, stage
 from tillroll.schema import RAW_SCHEMA
 
@@ -49,36 +50,70 @@ def test_checks_take_one_codegen_stage(spark, tmp_path):
     assert "*(1) Project" in plan(rows.select("_errors", "_price"))
 
 
-def test_a_third_of_the_rows_for_one_customer_and_copies(spark, warehouse, holidays):
+@pytest.fixture
+def lopsided(spark):
     """One customer, day, mall and invoice hold a third of all rows, as exact copies."""
+
+    def build(n):
+        number = F.col("id")
+        hot = number % 3 == 0
+
+        def cell(common, other):
+            return F.when(hot, common).otherwise(other)
+
+        return spark.range(0, n, 1, 6).select(
+            cell("I1", F.concat(F.lit("I"), number)).alias("invoice_no"),
+            cell("C1", F.concat(F.lit("C"), number + 100_000)).alias("customer_id"),
+            F.lit("Male").alias("gender"),
+            F.lit("30").alias("age"),
+            F.lit("Toys").alias("category"),
+            F.lit("1").alias("quantity"),
+            F.lit("2.00").alias("price"),
+            F.lit("Cash").alias("payment_method"),
+            cell("1/1/2022", F.concat((number % 28 + 1).cast("string"), F.lit("/2/2022"))).alias(
+                "invoice_date"
+            ),
+            cell("Kanyon", "Metrocity").alias("shopping_mall"),
+        )
+
+    return build
+
+
+def test_a_third_of_the_rows_in_one_place(warehouse, lopsided, holidays):
     n = 9000
-    number = F.col("id")
-    hot = number % 3 == 0
-
-    def cell(common, other):
-        return F.when(hot, common).otherwise(other)
-
-    rows = spark.range(0, n, 1, 6).select(
-        cell("I1", F.concat(F.lit("I"), number)).alias("invoice_no"),
-        cell("C1", F.concat(F.lit("C"), number + 100_000)).alias("customer_id"),
-        F.lit("Male").alias("gender"),
-        F.lit("30").alias("age"),
-        F.lit("Toys").alias("category"),
-        F.lit("1").alias("quantity"),
-        F.lit("2.00").alias("price"),
-        F.lit("Cash").alias("payment_method"),
-        cell("1/1/2022", F.concat((number % 28 + 1).cast("string"), F.lit("/2/2022"))).alias(
-            "invoice_date"
-        ),
-        cell("Kanyon", "Metrocity").alias("shopping_mall"),
-    )
-    result = load(warehouse, stage(rows, warehouse.fresh("staged")), holidays, "hot")
+    result = load(warehouse, stage(lopsided(n), warehouse.fresh("staged")), holidays, "hot")
     assert result["status"] == "success", result["error"]
     tables = warehouse.tables()
     ids = tables["fact_sales"].agg(F.countDistinct("sale_id"), F.max("sale_id")).first()
     assert tuple(ids) == (n, n)
-    assert reports.top_customers(tables).first().customer_id == "C1"
-    assert reports.top_customers(tables).first().total_spent == 6000
+    best = reports.top_customers(tables).first()
+    assert (best.customer_id, best.total_spent) == ("C1", 6000)
     day = tables["fact_daily_summary"].where("date_key = 20220101").first()
     assert (day.total_transactions, day.unique_customers) == (3000, 1)
     assert reports.kpi_overview(tables).first().unique_customers == 6001
+
+
+def test_the_customer_join_splits_a_hot_customer(spark, warehouse, lopsided, holidays):
+    """The same join as in a load, with thresholds scaled down to the test's size."""
+    staged = stage(lopsided(60_000), warehouse.fresh("staged"))
+    assert load(warehouse, staged, holidays, "hot")["status"] == "success"
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16KB",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    before = {name: spark.conf.get(name) for name in settings if name in spark.conf.getAll}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        tables = warehouse.tables()
+        narrow = {name: F.broadcast(tables[name]) for name in tables if name != "dim_customer"}
+        rows = keyed_sales(staged.valid, {**narrow, "dim_customer": tables["dim_customer"]})
+        assert len(rows.collect()) == 60_000
+        assert "skew=true" in plan(rows)
+    finally:
+        for name in settings:
+            spark.conf.set(name, before[name]) if name in before else spark.conf.unset(name)

@@ -142,6 +142,15 @@ def test_sql_over_the_tables(warehouse, feed, holidays):
     ]
 
 
+def test_kept_base_follows_the_version(warehouse, feed, holidays):
+    put(warehouse, feed(*FIRST), holidays, "a")
+    kept = warehouse.sales_base(keep=True)
+    assert kept.count() == 3 and warehouse.sales_base() is kept
+    put(warehouse, feed(*SECOND), holidays, "b")
+    assert warehouse.sales_base().count() == 5
+    assert not kept.is_cached
+
+
 def test_reports_on_an_empty_warehouse(warehouse):
     tables = warehouse.tables()
     kpi = reports.kpi_overview(tables).first()

@@ -13,27 +13,30 @@ def keyed_sales(clean, dims):
     """Clean rows with their keys, amount and day flags; a failed lookup leaves NULL.
 
     The seeded dimensions are written tables of a few rows and the calendar
-    one row per day, so Spark broadcasts them by their file size. The customer
-    dimension grows with the data and is joined by shuffling; adaptive
-    execution splits the partition of a customer with very many rows.
+    one row per day, so Spark broadcasts them by their file size. They come
+    first: texts have become small keys when the rows are shuffled for the
+    customer dimension, which grows with the data. Adaptive execution splits
+    the partition of a customer with very many rows.
     """
-    rows = clean.withColumn("date_key", date_key(F.col("invoice_date")))
-    rows = rows.join(
-        dims["dim_customer"].select("customer_id", "customer_key"), "customer_id", "left"
-    )
-    for table, (_, natural, _) in SEEDS.items():
-        rows = rows.join(dims[table], natural, "left")
-    rows = rows.join(
-        dims["dim_time"].select("date_key", "is_holiday", "is_weekend"), "date_key", "left"
-    )
-    return rows.withColumns(
+    rows = clean.withColumns(
         {
+            "date_key": date_key(F.col("invoice_date")),
             "total_amount": (F.col("quantity") * F.col("price")).cast("decimal(12,2)"),
             "price": F.col("price").cast("decimal(10,2)"),
             # A fraction counts towards the amount but is cut from the quantity.
             "quantity": F.col("quantity").cast("int"),
         }
-    )
+    ).join(dims["dim_time"].select("date_key", "is_holiday", "is_weekend"), "date_key", "left")
+    for table, (_, natural, _) in SEEDS.items():
+        rows = rows.join(dims[table], natural, "left").drop(natural)
+    rows = rows.drop("invoice_date", "gender", "age")
+    customers = dims["dim_customer"].select("customer_id", "customer_key")
+    return rows.join(customers, "customer_id", "left")
+
+
+def transform_transactions(rows):
+    """The rows as they are, for callers of this older name."""
+    return rows
 
 
 def missing_keys(sales):

@@ -11,6 +11,7 @@ writer at a time is assumed.
 import uuid
 from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -39,6 +40,7 @@ class Warehouse:
     def __init__(self, spark, root):
         self.spark = spark
         self.root = root.rstrip("/")
+        self._kept = (None, None)
         self.refresh()
 
     # --- what is published --------------------------------------------------
@@ -176,12 +178,26 @@ class Warehouse:
 
     # --- querying -----------------------------------------------------------
 
+    def sales_base(self, keep=False):
+        """The wide sales table; ``keep`` holds it in memory until the next version.
+
+        Kept rows spill to disk and are recomputed from the written tables when
+        an executor is lost. Without ``keep`` each use reads the columns it needs.
+        """
+        version, kept = self._kept
+        if version != self.version and kept is not None:
+            kept.unpersist()
+            kept = None
+        if keep and kept is None:
+            kept = reports.sales_base(self.tables()).persist(StorageLevel.MEMORY_AND_DISK)
+        self._kept = (self.version, kept)
+        return kept if kept is not None else reports.sales_base(self.tables())
+
     def register_views(self):
         """Make the tables and ``sales_base`` available to SQL under their names."""
-        tables = self.tables()
-        for table, rows in tables.items():
+        for table, rows in self.tables().items():
             rows.createOrReplaceTempView(table)
-        reports.sales_base(tables).createOrReplaceTempView("sales_base")
+        self.sales_base().createOrReplaceTempView("sales_base")
         return self
 
     def query(self, sql, **parameters):
