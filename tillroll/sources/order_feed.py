@@ -17,15 +17,18 @@ def _pick(values, number):
     return F.element_at(F.array(*map(F.lit, values)), (number % len(values) + 1).cast("int"))
 
 
+# Below this a table in a single file would keep one core busy and idle the rest.
+SMALL_ROWS_PER_CORE = 250_000
+
+
 def _spread(rows):
-    """Deal rows out over all cores when the files give fewer splits than that.
+    """Deal the rows of a small table in few files out over all cores.
 
-    A large table has many splits and passes unchanged; this is for a table in
-    one small file, which would otherwise keep one core busy. Rows go by the
-    hash of their values, which unlike dealing in turn needs no sort.
+    A large table passes unchanged. Rows go by the hash of their values, which
+    unlike dealing them in turn needs no sort.
     """
     cores = rows.sparkSession.sparkContext.defaultParallelism
-    if rows.rdd.getNumPartitions() >= cores:
+    if len(rows.inputFiles()) >= cores or rows.count() > cores * SMALL_ROWS_PER_CORE:
         return rows
     return rows.repartition(cores, *rows.columns)
 
