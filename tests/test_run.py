@@ -25,7 +25,7 @@ def test_run_and_dry_run(spark, csv_file, json_file, tmp_path):
     assert dry["rejected_rows"] == 1
     assert set(dry["timing_seconds"]) == {"read", "validate", "transform_dimensions", "total"}
     assert not Warehouse(spark, root).exists("fact_sales")
-    assert read_rejects(spark, f"{rejects}/load_id=initial").first().invoice_no == "I2"
+    assert read_rejects(spark, f"{rejects}/load_id={dry['load_id']}").first().invoice_no == "I2"
 
     full = run(spark, csv, calendar, root, rejects_root=rejects)
     assert full["status"] == "success", full
@@ -38,7 +38,11 @@ def test_run_and_dry_run(spark, csv_file, json_file, tmp_path):
     assert [r.invoice_no for r in sales] == ["I1", "I3", "I4"]
 
     again = run(spark, csv, calendar, root, rejects_root=rejects)
-    assert again["counts"] == full["counts"]
+    assert again["counts"] == full["counts"] and again["load_id"] == full["load_id"]
+
+    more = run(spark, csv_file("more.csv", ROWS[0]), calendar, root, rejects_root=rejects)
+    assert more["counts"]["fact_sales"] == 4
+    assert more["counts"]["dim_customer"] == 2
 
 
 def test_failures_are_reported(spark, csv_file, json_file, tmp_path):

@@ -58,7 +58,7 @@ def _revenue_by(tables, key, dim, *columns, name):
     )
 
 
-# --- reference reports ------------------------------------------------------
+# --- standard reports -------------------------------------------------------
 
 
 def revenue_by_mall(tables):

@@ -10,7 +10,12 @@ from tillroll.plans.warehouse import Warehouse
 from tillroll.schema import DATE_FORMAT
 from tillroll.sources.holidays import read_holidays
 from tillroll.sources.rejects import save_rejects
-from tillroll.sources.transactions import header_errors, header_of, read_transactions
+from tillroll.sources.transactions import (
+    header_errors,
+    header_of,
+    read_transactions,
+    source_id,
+)
 
 
 def run(
@@ -19,7 +24,7 @@ def run(
     holidays,
     warehouse_root,
     source="local",
-    load_id="initial",
+    load_id=None,
     rejects_root=None,
     dry_run=False,
     date_format=DATE_FORMAT,
@@ -29,7 +34,9 @@ def run(
 
     The summary holds ``status``, rejected rows, counts and seconds per step,
     and the failed step with its error when something went wrong. A dry run
-    checks the rows, saves the rejects and builds the dimensions only.
+    checks the rows, saves the rejects and builds the dimensions only. Without
+    a ``load_id`` the files name the load: running them again replaces what
+    they had loaded, and other files add to it.
     """
     started = time.perf_counter()
     seconds, rejected, step = {}, 0, "read"
@@ -44,6 +51,8 @@ def run(
         rows = read_transactions(spark, csv, source)
         calendar = read_holidays(spark, holidays, source)
         header = header_of(spark, csv)
+        load_id = load_id or source_id(spark, csv)
+        summary["load_id"] = load_id
         finish(step, since)
 
         step, since = "validate", time.perf_counter()

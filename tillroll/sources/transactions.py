@@ -51,6 +51,18 @@ def header_errors(columns):
     return errors
 
 
+def source_id(spark, path):
+    """A short id of the files at ``path``, from their names, sizes and times.
+
+    The same files give the same id; only the file listing is used.
+    """
+    files = spark.read.format("binaryFile").load(path)
+    marks = F.xxhash64("path", "length", "modificationTime").cast("decimal(38,0)")
+    return files.agg(
+        F.substr(F.md5(F.concat_ws("/", F.count("path"), F.sum(marks))), F.lit(1), F.lit(12))
+    ).first()[0]
+
+
 def file_profile(spark, path):
     """One row on a CSV path: valid, rows, columns, file_size_mb.
 
