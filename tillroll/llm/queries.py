@@ -5,13 +5,17 @@ output. SQL cannot express any of them (hash functions, tokenizers, learned
 models, sampling); ``tests/llm`` holds each against a brute-force version.
 """
 
-from tillroll.llm import simhash
+from tillroll.llm import packing, simhash, token_shards
 
 
 def _table(spark, sf_dir, name):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op4_wavelet_shards(spark, sf_dir):
+    return token_shards.write_and_read(_table(spark, sf_dir, "documents"))
+
+
 def op5_simhash(spark, sf_dir):
     groups = simhash.near_duplicates(_table(spark, sf_dir, "documents"))
     return groups.select(
@@ -19,8 +23,14 @@ def op5_simhash(spark, sf_dir):
     )
 
 
+def op9_packing(spark, sf_dir):
+    return packing.pack(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
+    "op4_wavelet_shards": op4_wavelet_shards,
     "op5_simhash": op5_simhash,
+    "op9_packing": op9_packing,
 }
 
 ORACLE_SQL = {}
