@@ -5,7 +5,7 @@ output. SQL cannot express any of them (hash functions, tokenizers, learned
 models, sampling); ``tests/llm`` holds each against a brute-force version.
 """
 
-from tillroll.llm import packing, simhash, token_shards, weak_quality
+from tillroll.llm import packing, secrets_crf, simhash, token_shards, weak_quality
 
 
 def _table(spark, sf_dir, name):
@@ -23,6 +23,11 @@ def op5_simhash(spark, sf_dir):
     )
 
 
+def op6_secret_scan(spark, sf_dir):
+    found = secrets_crf.scan(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", *secrets_crf.summary("spans"))
+
+
 def op7_quality_rules(spark, sf_dir):
     return weak_quality.judge(_table(spark, sf_dir, "documents"))
 
@@ -34,6 +39,7 @@ def op9_packing(spark, sf_dir):
 QUERIES = {
     "op4_wavelet_shards": op4_wavelet_shards,
     "op5_simhash": op5_simhash,
+    "op6_secret_scan": op6_secret_scan,
     "op7_quality_rules": op7_quality_rules,
     "op9_packing": op9_packing,
 }
