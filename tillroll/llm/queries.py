@@ -5,13 +5,24 @@ output. SQL cannot express any of them (hash functions, tokenizers, learned
 models, sampling); ``tests/llm`` holds each against a brute-force version.
 """
 
-from tillroll.llm import packing, secrets_crf, simhash, token_shards, weak_quality
+from tillroll.llm import (
+    packing,
+    secrets_crf,
+    sentencepiece_codec,
+    simhash,
+    token_shards,
+    weak_quality,
+)
 
 
 def _table(spark, sf_dir, name):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_sentencepiece(spark, sf_dir):
+    return sentencepiece_codec.round_trip(_table(spark, sf_dir, "documents"))
+
+
 def op4_wavelet_shards(spark, sf_dir):
     return token_shards.write_and_read(_table(spark, sf_dir, "documents"))
 
@@ -37,6 +48,7 @@ def op9_packing(spark, sf_dir):
 
 
 QUERIES = {
+    "op1_sentencepiece": op1_sentencepiece,
     "op4_wavelet_shards": op4_wavelet_shards,
     "op5_simhash": op5_simhash,
     "op6_secret_scan": op6_secret_scan,
