@@ -78,3 +78,38 @@ def flat_table(strings):
     lengths = np.array([len(s) for s in strings], dtype=np.int64)
     offsets = np.concatenate([[0], np.cumsum(lengths)[:-1]]) if len(strings) else lengths
     return np.frombuffer(b"".join(strings), dtype=np.uint8), offsets, lengths
+
+
+class Memo:
+    """What a worker has worked out per word, so that it does so once for most.
+
+    Words in use move to a new generation when the present one is full, and the
+    rest go with the old one: a bound on memory, not on work.
+    """
+
+    LONGEST = 64  # longer words are dropped after the batch
+
+    def __init__(self, limit=500_000):
+        self.limit, self.now, self.old = limit, {}, {}
+
+    def missing(self, lists):
+        """The distinct words of some lists that have no value yet."""
+        if len(self.now) > self.limit:
+            self.old, self.now = self.now, {}
+        words = set()
+        for some in lists:
+            words.update(some)
+        now, old, out = self.now, self.old, []
+        for word in words:
+            if word not in now:
+                value = old.get(word)
+                if value is None:
+                    out.append(word)
+                else:
+                    now[word] = value
+        return out
+
+    def drop_long(self, words):
+        for word in words:
+            if len(word) > self.LONGEST:
+                del self.now[word]

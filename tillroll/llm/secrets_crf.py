@@ -23,12 +23,13 @@ import operator
 import re
 import string
 import zlib
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import as_bytes, free_name, slices, whole_text
+from tillroll.llm.common import Memo, as_bytes, free_name, slices, whole_text
 
 # The patterns and least lengths of the three fixed kinds.
 ASSIGN = re.compile(
@@ -68,7 +69,6 @@ SPOTS = 4  # training windows per text at most
 WINDOW = 8  # words on either side of a training spot
 BLOCK = 128
 TEXT_AT_ONCE = 8 << 20
-WORDS_KEPT = 800_000
 
 
 def base_spans(text):
@@ -370,7 +370,7 @@ class Scanner:
 
     def __init__(self, field):
         self.field = field
-        self.known = {}
+        self.known = Memo()
         self.classes, self.rows = {}, []
         self.flags = []  # per class: a pattern may match, not plain
 
@@ -382,20 +382,22 @@ class Scanner:
             self.classes[key] = len(self.rows)
             self.rows.append(self.field.rows(names))
             self.flags.append((may, not names or names[0] != "plain"))
-        self.known[word] = self.classes[key]
+        self.known.now[word] = self.classes[key]
 
     def spans(self, texts):
         """Per text (given as UTF-8 bytes) its spans as (kind number, start, end)."""
-        if len(self.known) > WORDS_KEPT:
-            self.known.clear()
         split = [t.split() for t in texts]
-        for word in {w for words in split for w in words if w not in self.known}:
+        new = self.known.missing(split)
+        for word in new:
             self._learn(word)
         counts = np.array([len(words) for words in split], dtype=np.int64)
-        known = self.known
+        number = self.known.now.__getitem__
         ids = np.fromiter(
-            (known[w] for words in split for w in words), dtype=np.int64, count=counts.sum()
+            chain.from_iterable(map(number, words) for words in split),
+            dtype=np.int64,
+            count=counts.sum(),
         )
+        self.known.drop_long(new)
         found = [[] for _ in texts]
         if not len(ids):
             return found

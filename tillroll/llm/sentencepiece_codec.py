@@ -21,14 +21,12 @@ import pyarrow as pa
 import sentencepiece
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import as_bytes, flat_table, gather, id_and_text, slices
+from tillroll.llm.common import Memo, as_bytes, flat_table, gather, id_and_text, slices
 
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
 SPACE = "▁"
 TEXT_AT_ONCE = 4 << 20
-# Parts kept by a worker before it starts again: a bound on memory, not on work.
-PARTS_KEPT = 400_000
-LONGEST_KEPT = 64
+LONG_WORD = 64  # characters from which a word is cut before it is merged
 NO_PAIR = np.iinfo(np.int32).max
 
 _codecs = {}
@@ -138,7 +136,7 @@ class Codec:
                 spelled[i] = bytes([self.byte_of_id[i]])
         self.spelling = flat_table(spelled)
         self.decimals = flat_table([b"%d " % i for i in range(size)])
-        self.known = {}
+        self.known = Memo()
 
     # --- encoding ---------------------------------------------------------
 
@@ -156,9 +154,9 @@ class Codec:
             words.append(text[at:])
         else:
             words = [SPACE + w for w in text[1:].split(SPACE)]
-        if max(map(len, words)) <= LONGEST_KEPT:
+        if max(map(len, words)) <= LONG_WORD:
             return words
-        return [p for w in words for p in (self._cut(w) if len(w) > LONGEST_KEPT else [w])]
+        return [p for w in words for p in (self._cut(w) if len(w) > LONG_WORD else [w])]
 
     def _cut(self, word):
         joined, at, out = self.joined, 0, []
@@ -271,23 +269,16 @@ class Codec:
 
     def encode(self, texts, add_end=False):
         """The ids of each text, as arrays."""
-        if len(self.known) > PARTS_KEPT:
-            self.known.clear()
         split = [self.parts(t) for t in texts]
-        known = self.known
-        new = list({p for parts in split for p in parts if p not in known})
-        if new:
-            # Parts of like length go through the rounds together.
-            new.sort(key=len)
-            for lo, hi in slices([len(p) for p in new], 1 << 20):
-                known.update(zip(new[lo:hi], self.merge(new[lo:hi]), strict=True))
-        end = [np.array([self.end], dtype=np.int32)] if add_end else []
-        none = [np.zeros(0, dtype=np.int32)]
-        out = [np.concatenate([known[p] for p in parts] + end + none) for parts in split]
-        for p in reversed(new):
-            if len(p) <= LONGEST_KEPT:
-                break
-            del known[p]
+        new = self.known.missing(split)
+        # Parts of like length go through the rounds together.
+        new.sort(key=len)
+        for lo, hi in slices([len(p) for p in new], 1 << 20):
+            self.known.now.update(zip(new[lo:hi], self.merge(new[lo:hi]), strict=True))
+        ids = self.known.now.__getitem__
+        end = [np.array([self.end] * add_end, dtype=np.int32)]
+        out = [np.concatenate([*map(ids, parts), *end]) for parts in split]
+        self.known.drop_long(new)
         return out
 
     # --- decoding ---------------------------------------------------------

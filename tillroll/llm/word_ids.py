@@ -2,24 +2,30 @@
 
 The tokenizer drops white space and its pieces never reach across it, so a text
 is the concatenation of its white-space separated chunks: each distinct chunk
-is encoded once by the tokenizers library and kept in the worker. Ids travel as
-little-endian unsigned 16-bit strings, half the size of 32-bit ones.
+is encoded once by the tokenizers library and kept in the worker. It also lowers
+letters and takes letters apart from punctuation, so a chunk of Latin letters with
+a mark behind it has the ids of the lowered letters and of the mark. Ids travel
+as little-endian unsigned 16-bit strings, half the size of 32-bit ones.
 """
 
+import re
+import sys
+from array import array
+
 import public_tokenizers
 import pyarrow as pa
 from pyspark import TaskContext
 from tokenizers import Tokenizer
 
-from tillroll.llm.common import as_bytes, id_and_text, slices, written
+from tillroll.llm.common import Memo, as_bytes, id_and_text, slices, written
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 END_ID = 2
 ID_TYPE = "<u2"
 TEXT_AT_ONCE = 8 << 20
-# Chunks kept by a worker before it starts again: a bound on memory, not on work.
-CHUNKS_KEPT = 400_000
-LONGEST_KEPT = 64
+# Letters without a composing accent, so that lowering the ASCII ones first changes
+# nothing in what the tokenizer does to them.
+LETTERS_AND_MARK = re.compile(rb"((?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+)([.,])?")
 
 _encoders = {}
 
@@ -29,31 +35,39 @@ class ChunkEncoder:
 
     def __init__(self, path):
         self.tokenizer = Tokenizer.from_file(path)
-        if self.tokenizer.get_vocab_size() > 1 << 16:
-            raise ValueError("ids of this tokenizer need more than 16 bits")
-        self.known = {}
+        if self.tokenizer.get_vocab_size() > 1 << 16 or sys.byteorder != "little":
+            raise ValueError("ids of this tokenizer do not fit little-endian 16-bit strings")
+        self.known = Memo()
 
-    def learn(self, chunks):
-        chunks = list(chunks)
+    def _library(self, chunks):
         texts = [c.decode() for c in chunks]
-        for chunk, one in zip(
-            chunks, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False), strict=True
-        ):
-            self.known[chunk] = b"".join(i.to_bytes(2, "little") for i in one.ids)
+        coded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return {c: array("H", one.ids).tobytes() for c, one in zip(chunks, coded, strict=True)}
+
+    def learn(self, chunks):
+        known, simple, ask = self.known.now, {}, {b".", b","}
+        for chunk in chunks:
+            match = LETTERS_AND_MARK.fullmatch(chunk)
+            if match:
+                word, mark = match.groups()
+                simple[chunk] = (word.lower(), mark)
+                chunk = word.lower()
+            ask.add(chunk)
+        found = {c: known[c] for c in ask if c in known}
+        found |= self._library([c for c in ask if c not in found])
+        for chunk in chunks:
+            word, mark = simple.get(chunk, (chunk, None))
+            known[chunk] = found[word] + (found[mark] if mark else b"")
 
     def encode(self, texts):
         """The ids of each text, without an end id."""
-        if len(self.known) > CHUNKS_KEPT:
-            self.known.clear()
         split = [t.split() for t in texts]
-        new = {c for chunks in split for c in chunks if c not in self.known}
+        new = self.known.missing(split)
         if new:
             self.learn(new)
-        known = self.known
-        found = [b"".join([known[c] for c in chunks]) for chunks in split]
-        for c in new:
-            if len(c) > LONGEST_KEPT:
-                del known[c]
+        ids = self.known.now.__getitem__
+        found = [b"".join(map(ids, chunks)) for chunks in split]
+        self.known.drop_long(new)
         return found
 
 
