@@ -5,6 +5,7 @@ import re
 import string
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tillroll.llm import secrets_crf as crf
@@ -126,7 +127,7 @@ def test_the_field_finds_secrets_that_no_pattern_names(spark, corpus):
         words[at] = secret
         words[(at + 7) % 50] = str(rng.randrange(10**6))
         text = " ".join(words)
-        spans = scanner.spans([text.encode()])[0]
+        spans = scanner.spans(pa.array([text]))[0]
         hits = [text[a:b] == secret for _, a, b in spans]
         found += any(hits)
         false += len(hits) - sum(hits)
@@ -155,7 +156,7 @@ def test_scan_over_a_table(spark, corpus):
     for r in got:
         if r.doc_id is not None and r.doc_id >= 100:
             text = dict((d, t) for d, t, _ in rows)[r.doc_id]
-            assert crf.spelled(alone.spans([text.encode()])[0]) == r.spans
+            assert crf.spelled(alone.spans(pa.array([text]))[0]) == r.spans
 
 
 def test_redaction(spark, corpus):

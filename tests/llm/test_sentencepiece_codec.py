@@ -2,6 +2,7 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import sentencepiece
 
@@ -32,7 +33,7 @@ def texts(seed):
 
 def test_ids_and_texts_equal_the_library(codec, library):
     cases = texts(1)
-    ids = codec.encode(cases, True)
+    ids = codec.encode(pa.array(cases), True)
     assert [i.tolist() for i in ids] == library.encode(cases, add_eos=True)
     assert codec.decode(ids) == [library.decode(i.tolist()) for i in ids]
 

@@ -2,6 +2,7 @@
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import functions as F
 
 from tillroll.session import fresh_folder
@@ -46,6 +47,11 @@ def as_bytes(column):
     return column.cast(pa.binary()).to_pylist()
 
 
+def text_sizes(column):
+    """The bytes of each text of an Arrow column."""
+    return pc.binary_length(column).to_pylist()
+
+
 def slices(sizes, most):
     """Cut consecutive items into (from, to) runs of at most ``most`` in total.
 
@@ -80,6 +86,25 @@ def flat_table(strings):
     return np.frombuffer(b"".join(strings), dtype=np.uint8), offsets, lengths
 
 
+def numbered_words(texts):
+    """The words of an Arrow text column, each distinct one once.
+
+    Returns the distinct words as a list of bytes, the number of each word of the
+    column in it, in order, and how many words each text has.
+    """
+    lists = pc.ascii_split_whitespace(texts)
+    counts = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
+    coded = lists.flatten().dictionary_encode()
+    words = coded.dictionary.cast(pa.binary()).to_pylist()
+    numbers = coded.indices.to_numpy().astype(np.int64)
+    # White space at an end of a text leaves an empty string there.
+    if b"" in words:
+        keep = numbers != words.index(b"")
+        counts = np.bincount(np.repeat(np.arange(len(counts)), counts)[keep], minlength=len(counts))
+        numbers = numbers[keep]
+    return words, numbers, counts
+
+
 class Memo:
     """What a worker has worked out per word, so that it does so once for most.
 
@@ -87,29 +112,24 @@ class Memo:
     rest go with the old one: a bound on memory, not on work.
     """
 
-    LONGEST = 64  # longer words are dropped after the batch
+    LONGEST = 64  # longer words are not kept
 
     def __init__(self, limit=500_000):
         self.limit, self.now, self.old = limit, {}, {}
 
-    def missing(self, lists):
-        """The distinct words of some lists that have no value yet."""
+    def values(self, words, learn):
+        """The value of each of some distinct words; ``learn`` gives those of new ones."""
         if len(self.now) > self.limit:
             self.old, self.now = self.now, {}
-        words = set()
-        for some in lists:
-            words.update(some)
-        now, old, out = self.now, self.old, []
-        for word in words:
-            if word not in now:
-                value = old.get(word)
-                if value is None:
-                    out.append(word)
-                else:
-                    now[word] = value
-        return out
-
-    def drop_long(self, words):
-        for word in words:
-            if len(word) > self.LONGEST:
-                del self.now[word]
+        found = list(map(self.now.get, words))
+        rest = [i for i, value in enumerate(found) if value is None]
+        if rest:
+            older = list(map(self.old.get, [words[i] for i in rest]))
+            new = [i for i, value in zip(rest, older, strict=True) if value is None]
+            for i, value in zip(rest, older, strict=True):
+                found[i] = value
+            for i, value in zip(new, learn([words[i] for i in new]), strict=True):
+                found[i] = value
+            kept = [i for i in rest if len(words[i]) <= self.LONGEST]
+            self.now.update((words[i], found[i]) for i in kept)
+        return found

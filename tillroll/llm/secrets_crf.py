@@ -23,13 +23,20 @@ import operator
 import re
 import string
 import zlib
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import Memo, as_bytes, free_name, slices, whole_text
+from tillroll.llm.common import (
+    Memo,
+    as_bytes,
+    free_name,
+    numbered_words,
+    slices,
+    text_sizes,
+    whole_text,
+)
 
 # The patterns and least lengths of the three fixed kinds.
 ASSIGN = re.compile(
@@ -382,23 +389,14 @@ class Scanner:
             self.classes[key] = len(self.rows)
             self.rows.append(self.field.rows(names))
             self.flags.append((may, not names or names[0] != "plain"))
-        self.known.now[word] = self.classes[key]
+        return self.classes[key]
 
     def spans(self, texts):
-        """Per text (given as UTF-8 bytes) its spans as (kind number, start, end)."""
-        split = [t.split() for t in texts]
-        new = self.known.missing(split)
-        for word in new:
-            self._learn(word)
-        counts = np.array([len(words) for words in split], dtype=np.int64)
-        number = self.known.now.__getitem__
-        ids = np.fromiter(
-            chain.from_iterable(map(number, words) for words in split),
-            dtype=np.int64,
-            count=counts.sum(),
-        )
-        self.known.drop_long(new)
-        found = [[] for _ in texts]
+        """Per text of an Arrow column its spans as (kind number, start, end)."""
+        words, numbers, counts = numbered_words(texts)
+        classes = self.known.values(words, lambda new: [self._learn(w) for w in new])
+        ids = np.array(classes, dtype=np.int64)[numbers]
+        found = [[] for _ in counts]
         if not len(ids):
             return found
         rows, flags = np.stack(self.rows), np.array(self.flags)
@@ -418,7 +416,7 @@ class Scanner:
         may = np.bincount(of, flags[ids, 0], len(texts)) > 0
         tagged = np.bincount(of, tags > 0, len(texts)) > 0
         for i in np.flatnonzero(may | tagged):
-            text = texts[i].decode()
+            text = texts[int(i)].as_py()
             base = base_spans(text) if may[i] else []
             more = _tagged_spans(text, tags[starts[i] : ends[i]]) if tagged[i] else []
             found[i] = with_added(base, more)
@@ -483,10 +481,9 @@ def spans_column(text, field):
     def scan(texts: pa.Array) -> pa.Array:
         if not scanners:
             scanners.append(Scanner(field))
-        values = as_bytes(texts)
         found = []
-        for lo, hi in slices([len(v) for v in values], TEXT_AT_ONCE):
-            found += scanners[0].spans(values[lo:hi])
+        for lo, hi in slices(text_sizes(texts), TEXT_AT_ONCE):
+            found += scanners[0].spans(texts.slice(lo, hi - lo))
         kind = pa.list_(pa.struct([("kind", pa.int32()), ("start", pa.int32()), ("end", pa.int32())]))
         return pa.array(
             [[{"kind": k, "start": a, "end": b} for k, a, b in spans] for spans in found], kind
@@ -548,12 +545,10 @@ def redact(docs, text="text", field=None, length=None):
         """The new text where spans were found, else NULL."""
         if not scanners:
             scanners.append(Scanner(field))
-        values = as_bytes(texts)
         out = []
-        for lo, hi in slices([len(v) for v in values], TEXT_AT_ONCE):
-            found = scanners[0].spans(values[lo:hi])
-            for value, spans in zip(values[lo:hi], found, strict=True):
-                out.append(redacted(value.decode(), spans) if spans else None)
+        for lo, hi in slices(text_sizes(texts), TEXT_AT_ONCE):
+            for i, spans in enumerate(scanners[0].spans(texts.slice(lo, hi - lo)), lo):
+                out.append(redacted(texts[i].as_py(), spans) if spans else None)
         return pa.array(out, pa.string())
 
     name = free_name(docs, "redacted_text")

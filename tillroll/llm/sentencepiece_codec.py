@@ -14,19 +14,23 @@ pieces a round merges the leftmost occurrence alone.
 """
 
 import hashlib
+import re
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 import sentencepiece
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import Memo, as_bytes, flat_table, gather, id_and_text, slices
+from tillroll.llm.common import Memo, flat_table, gather, id_and_text, slices, text_sizes
 
 MODEL = public_tokenizers.path("piece_bpe_32k.model")
 SPACE = "▁"
 TEXT_AT_ONCE = 4 << 20
+SYMBOLS_AT_ONCE = 1 << 20
 LONG_WORD = 64  # characters from which a word is cut before it is merged
+WORDS = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 NO_PAIR = np.iinfo(np.int32).max
 
 _codecs = {}
@@ -140,25 +144,62 @@ class Codec:
 
     # --- encoding ---------------------------------------------------------
 
-    def parts(self, text):
-        """The parts of one text that no piece reaches across."""
-        if not text:
-            return []
-        text = SPACE + text.replace(" ", SPACE)
-        if SPACE * 2 in text:
-            words, at = [], 0
-            for i in range(1, len(text)):
-                if text[i] == SPACE and text[i - 1] != SPACE:
-                    words.append(text[at:i])
-                    at = i
-            words.append(text[at:])
-        else:
-            words = [SPACE + w for w in text[1:].split(SPACE)]
-        if max(map(len, words)) <= LONG_WORD:
-            return words
-        return [p for w in words for p in (self._cut(w) if len(w) > LONG_WORD else [w])]
+    def _words(self, texts):
+        """The words of an Arrow text column, each distinct one once.
+
+        A word is its leading spaces and what follows them: no piece holds a space
+        after another character. Returns the words as bytes, the number of each
+        word of the column, and how many words each text has.
+        """
+        odd = pc.or_(pc.match_substring(texts, "  "), pc.match_substring(texts, SPACE))
+        odd = pc.or_(odd, pc.or_(pc.starts_with(texts, " "), pc.equal(texts, "")))
+        plain = texts.filter(pc.invert(odd))
+        odd = odd.to_numpy(zero_copy_only=False)
+        lists = pc.split_pattern(plain, " ")
+        sizes = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
+        coded = lists.flatten().dictionary_encode()
+        mark = SPACE.encode()
+        words = [mark + w for w in coded.dictionary.cast(pa.binary()).to_pylist()]
+        numbers = coded.indices.to_numpy().astype(np.int64)
+        if not odd.any():
+            return words, numbers, sizes
+        place = {w: i for i, w in enumerate(words)}
+        per_text = iter(np.split(numbers, np.cumsum(sizes)[:-1]) if len(sizes) else [])
+        out = []
+        for i, is_odd in enumerate(odd):
+            if is_odd:
+                own = [w.encode() for w in WORDS.findall(self._normal(texts[i].as_py()))]
+                out.append(np.array([place.setdefault(w, len(place)) for w in own], np.int64))
+            else:
+                out.append(next(per_text))
+        return list(place), np.concatenate(out), np.array([len(o) for o in out], np.int64)
+
+    @staticmethod
+    def _normal(text):
+        return SPACE + text.replace(" ", SPACE) if text else ""
+
+    def _learn(self, words):
+        """The ids of distinct words, as bytes."""
+        parts, owner = [], []
+        for i, word in enumerate(words):
+            text = word.decode()
+            own = [text] if len(text) <= LONG_WORD else self._cut(text)
+            parts += own
+            owner += [i] * len(own)
+        # Parts of like length go through the rounds together.
+        order = sorted(range(len(parts)), key=lambda i: len(parts[i]))
+        found = [b""] * len(parts)
+        for lo, hi in slices([len(parts[i]) for i in order], SYMBOLS_AT_ONCE):
+            some = order[lo:hi]
+            for i, ids in zip(some, self.merge([parts[i] for i in some]), strict=True):
+                found[i] = ids.tobytes()
+        out = [[] for _ in words]
+        for i, ids in zip(owner, found, strict=True):
+            out[i].append(ids)
+        return [b"".join(ids) for ids in out]
 
     def _cut(self, word):
+        """Cut a long word where no piece can reach across."""
         joined, at, out = self.joined, 0, []
         for i in range(1, len(word)):
             if word[i - 1 : i + 1] not in joined:
@@ -268,17 +309,18 @@ class Codec:
         return np.split(symbols.astype(np.int32), cuts)
 
     def encode(self, texts, add_end=False):
-        """The ids of each text, as arrays."""
-        split = [self.parts(t) for t in texts]
-        new = self.known.missing(split)
-        # Parts of like length go through the rounds together.
-        new.sort(key=len)
-        for lo, hi in slices([len(p) for p in new], 1 << 20):
-            self.known.now.update(zip(new[lo:hi], self.merge(new[lo:hi]), strict=True))
-        ids = self.known.now.__getitem__
-        end = [np.array([self.end] * add_end, dtype=np.int32)]
-        out = [np.concatenate([*map(ids, parts), *end]) for parts in split]
-        self.known.drop_long(new)
+        """The ids of each text of an Arrow column, as arrays."""
+        words, numbers, counts = self._words(texts)
+        table = self.known.values(words, self._learn)
+        raw, offsets, lengths = flat_table(table)
+        raw, offsets, lengths = raw.view("<i4"), offsets // 4, lengths // 4
+        ids = gather(raw, offsets, lengths, numbers)[0]
+        of = np.repeat(np.arange(len(counts)), counts)
+        sizes = np.bincount(of, lengths[numbers], len(counts)).astype(np.int64)
+        out = np.split(ids, np.cumsum(sizes)[:-1]) if len(counts) else []
+        if add_end:
+            end = np.array([self.end], dtype=np.int32)
+            out = [np.concatenate([some, end]) for some in out]
         return out
 
     # --- decoding ---------------------------------------------------------
@@ -335,11 +377,10 @@ def _batches(path, add_end, finish, names):
     def run(batches):
         own = codec(path)
         for batch in batches:
-            texts, docs = as_bytes(batch["text"]), batch["doc_id"]
-            for lo, hi in slices([len(t) for t in texts], TEXT_AT_ONCE):
-                ids = own.encode([t.decode() for t in texts[lo:hi]], add_end)
-                columns = finish(own, ids)
-                yield pa.RecordBatch.from_arrays([docs[lo:hi], *columns], names=names)
+            for lo, hi in slices(text_sizes(batch["text"]), TEXT_AT_ONCE):
+                ids = own.encode(batch["text"].slice(lo, hi - lo), add_end)
+                docs = batch["doc_id"].slice(lo, hi - lo)
+                yield pa.RecordBatch.from_arrays([docs, *finish(own, ids)], names=names)
 
     return run
 

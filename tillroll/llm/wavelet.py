@@ -6,16 +6,16 @@ keeps their order otherwise. Each plane is a plain bit string with a running cou
 of ones, so a position or an occurrence moves through the planes by rank and
 select, and no plane needs the ids themselves.
 
-File format (little-endian), one shard each, compressed by zlib:
+File format (little-endian), one shard each, compressed by zstandard:
 magic ``TWM1``; u32 planes; u64 ids; u64 documents; per document i64 id, u8
 "has an id", u64 end; then per plane u64 zeros and the bits, eight to a byte, lowest
 first. The counts of ones are rebuilt at opening.
 """
 
 import struct
-import zlib
 
 import numpy as np
+import zstandard
 
 MAGIC = b"TWM1"
 BLOCK = 512  # bits per step of the running count
@@ -68,7 +68,7 @@ class Shard:
     """An opened shard: documents, and ids by position, count and occurrence."""
 
     def __init__(self, blob):
-        raw = zlib.decompress(blob)
+        raw = zstandard.ZstdDecompressor().decompress(blob)
         if raw[:4] != MAGIC:
             raise ValueError("not a token shard")
         self.depth, self.n, self.n_docs = struct.unpack_from("<IQQ", raw, 4)
@@ -139,10 +139,10 @@ class Shard:
         ids = np.zeros(self.n, dtype=np.uint16 if self.depth <= 16 else np.uint32)
         for k, packed in enumerate(reversed(self._bits)):
             bit = np.unpackbits(packed, count=self.n, bitorder="little").view(bool)
-            zeros = self.n - int(np.count_nonzero(bit))
+            ones, zeros = np.flatnonzero(bit), np.flatnonzero(~bit)
+            ids[len(zeros) :] |= ids.dtype.type(1 << k)
             up = np.empty_like(ids)
-            up[~bit] = ids[:zeros]
-            up[bit] = ids[zeros:] | ids.dtype.type(1 << k)
+            up[zeros], up[ones] = ids[: len(zeros)], ids[len(zeros) :]
             ids = up
         return ids
 
@@ -155,8 +155,8 @@ def build(ids, doc_ids, ends, depth):
     parts.append(np.array([d is not None for d in doc_ids], np.uint8).tobytes())
     parts.append(np.asarray(ends, "<u8").tobytes())
     for k in reversed(range(depth)):
-        bit = (ids >> ids.dtype.type(k) & ids.dtype.type(1)).astype(bool)
-        zeros = ids[~bit]
+        bit = (ids & ids.dtype.type(1 << k)) != 0
+        zeros = ids.compress(~bit)
         parts += [struct.pack("<Q", len(zeros)), np.packbits(bit, bitorder="little").tobytes()]
-        ids = np.concatenate([zeros, ids[bit]])
-    return zlib.compress(b"".join(parts), 1)
+        ids = np.concatenate([zeros, ids.compress(bit)])
+    return zstandard.ZstdCompressor(level=1).compress(b"".join(parts))

@@ -2,73 +2,107 @@
 
 The tokenizer drops white space and its pieces never reach across it, so a text
 is the concatenation of its white-space separated chunks: each distinct chunk
-is encoded once by the tokenizers library and kept in the worker. It also lowers
-letters and takes letters apart from punctuation, so a chunk of Latin letters with
-a mark behind it has the ids of the lowered letters and of the mark. Ids travel
-as little-endian unsigned 16-bit strings, half the size of 32-bit ones.
+is encoded once by the tokenizers library and kept in the worker. The library's
+normaliser and splitter do nothing but lower the letters and part a mark from
+them where a chunk is Latin letters with or without a mark behind it, so those go to
+the library's merge model directly. Ids travel as little-endian unsigned 16-bit
+strings, half the size of 32-bit ones.
 """
 
+import os
 import re
 import sys
 from array import array
 
+import numpy as np
 import public_tokenizers
 import pyarrow as pa
 from pyspark import TaskContext
 from tokenizers import Tokenizer
 
-from tillroll.llm.common import Memo, as_bytes, id_and_text, slices, written
+from tillroll.llm.common import (
+    Memo,
+    flat_table,
+    gather,
+    id_and_text,
+    numbered_words,
+    slices,
+    text_sizes,
+    written,
+)
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 END_ID = 2
 ID_TYPE = "<u2"
-TEXT_AT_ONCE = 8 << 20
-# Letters without a composing accent, so that lowering the ASCII ones first changes
-# nothing in what the tokenizer does to them.
-LETTERS_AND_MARK = re.compile(rb"((?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+)([.,])?")
+WORDS_AT_ONCE = 1 << 20
+TEXT_AT_ONCE = 16 << 20
+# ASCII letters, and Latin-1 letters that are lower case already. None of them
+# composes with another, so lowering the ASCII ones first changes nothing.
+LETTERS_AND_MARK = re.compile(rb"((?:[A-Za-z]|\xc3[\xa0-\xb6\xb8-\xbf])+)([.,])?")
+
+
+def byte_characters():
+    """The character that stands for each byte in byte-level vocabularies.
+
+    Printable bytes stand for themselves; the others are numbered from 256 on.
+    """
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    rest = [b for b in range(256) if b not in plain]
+    return {b: b for b in plain} | {b: 256 + i for i, b in enumerate(rest)}
+
 
 _encoders = {}
 
 
 class ChunkEncoder:
-    """Encodes texts given as bytes; one per worker and tokenizer file."""
+    """Encodes texts by one tokenizer file; one per worker."""
 
     def __init__(self, path):
+        # Spark runs a task per core; threads of the library would compete with them.
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.tokenizer = Tokenizer.from_file(path)
         if self.tokenizer.get_vocab_size() > 1 << 16 or sys.byteorder != "little":
             raise ValueError("ids of this tokenizer do not fit little-endian 16-bit strings")
+        self.characters = byte_characters()
+        self.marks = {m: self._whole([m])[0] for m in (b".", b",")} | {None: b""}
         self.known = Memo()
 
-    def _library(self, chunks):
+    def _whole(self, chunks):
+        """Chunks through all of the tokenizer."""
         texts = [c.decode() for c in chunks]
         coded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return {c: array("H", one.ids).tobytes() for c, one in zip(chunks, coded, strict=True)}
+        return [array("H", one.ids).tobytes() for one in coded]
 
-    def learn(self, chunks):
-        known, simple, ask = self.known.now, {}, {b".", b","}
-        for chunk in chunks:
-            match = LETTERS_AND_MARK.fullmatch(chunk)
-            if match:
-                word, mark = match.groups()
-                simple[chunk] = (word.lower(), mark)
-                chunk = word.lower()
-            ask.add(chunk)
-        found = {c: known[c] for c in ask if c in known}
-        found |= self._library([c for c in ask if c not in found])
+    def _learn(self, chunks):
+        merge, match, marks = self.tokenizer.model.tokenize, LETTERS_AND_MARK.fullmatch, self.marks
+        found, rest = [], []
         for chunk in chunks:
-            word, mark = simple.get(chunk, (chunk, None))
-            known[chunk] = found[word] + (found[mark] if mark else b"")
+            simple = match(chunk)
+            if simple is None:
+                rest.append(len(found))
+                found.append(None)
+                continue
+            word, mark = simple.groups()
+            text = word.lower().decode("latin-1")
+            if not text.isascii():
+                text = text.translate(self.characters)
+            found.append(array("H", [t.id for t in merge(text)]).tobytes() + marks[mark])
+        for i, ids in zip(rest, self._whole([chunks[i] for i in rest]), strict=True):
+            found[i] = ids
+        return found
 
     def encode(self, texts):
-        """The ids of each text, without an end id."""
-        split = [t.split() for t in texts]
-        new = self.known.missing(split)
-        if new:
-            self.learn(new)
-        ids = self.known.now.__getitem__
-        found = [b"".join(map(ids, chunks)) for chunks in split]
-        self.known.drop_long(new)
-        return found
+        """The ids of an Arrow text column: all of them, and how many each text has."""
+        words, numbers, counts = numbered_words(texts)
+        table, offsets, lengths = flat_table(self.known.values(words, self._learn))
+        table, offsets, lengths = table.view(ID_TYPE), offsets // 2, lengths // 2
+        ids = [np.zeros(0, ID_TYPE)]
+        ids += [
+            gather(table, offsets, lengths, numbers[at : at + WORDS_AT_ONCE])[0]
+            for at in range(0, len(numbers), WORDS_AT_ONCE)
+        ]
+        of = np.repeat(np.arange(len(counts)), counts)
+        return np.concatenate(ids), np.bincount(of, lengths[numbers], len(counts)).astype(np.int64)
 
 
 def encoder(path):
@@ -78,26 +112,25 @@ def encoder(path):
 
 
 def _encode(path, end_id):
-    end = end_id.to_bytes(2, "little")
+    end = np.array([end_id], ID_TYPE).tobytes()
 
     def encode(batches):
         part, before = TaskContext.get().partitionId(), 0
-        encoders = encoder(path)
+        own = encoder(path)
         for batch in batches:
-            texts, ids = as_bytes(batch["text"]), batch["doc_id"]
-            for lo, hi in slices([len(t) for t in texts], TEXT_AT_ONCE):
-                coded = [c + end for c in encoders.encode(texts[lo:hi])]
-                counts = [len(c) // 2 for c in coded]
-                starts = []
-                for n in counts:
-                    starts.append(before)
-                    before += n
+            for lo, hi in slices(text_sizes(batch["text"]), TEXT_AT_ONCE):
+                ids, counts = own.encode(batch["text"].slice(lo, hi - lo))
+                raw, cuts = ids.tobytes(), (2 * np.cumsum(counts)).tolist()
+                coded = [raw[a:b] + end for a, b in zip([0, *cuts], cuts, strict=False)]
+                counts += 1
+                starts = before + np.cumsum(counts) - counts
+                before += int(counts.sum())
                 yield pa.RecordBatch.from_arrays(
                     [
-                        ids[lo:hi],
-                        pa.array([part] * len(coded), pa.int64()),
-                        pa.array(starts, pa.int64()),
-                        pa.array(counts, pa.int64()),
+                        batch["doc_id"].slice(lo, hi - lo),
+                        pa.array(np.full(hi - lo, part, dtype=np.int64)),
+                        pa.array(starts),
+                        pa.array(counts),
                         pa.array(coded, pa.binary()),
                     ],
                     names=["doc_id", "part", "part_start", "n_tokens", "ids"],
