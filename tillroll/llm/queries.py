@@ -6,6 +6,7 @@ models, sampling); ``tests/llm`` holds each against a brute-force version.
 """
 
 from tillroll.llm import (
+    context_tree,
     packing,
     secrets_crf,
     sentencepiece_codec,
@@ -23,6 +24,10 @@ def op1_sentencepiece(spark, sf_dir):
     return sentencepiece_codec.round_trip(_table(spark, sf_dir, "documents"))
 
 
+def op2_context_tree(spark, sf_dir):
+    return context_tree.score(_table(spark, sf_dir, "documents"))
+
+
 def op4_wavelet_shards(spark, sf_dir):
     return token_shards.write_and_read(_table(spark, sf_dir, "documents"))
 
@@ -49,6 +54,7 @@ def op9_packing(spark, sf_dir):
 
 QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
+    "op2_context_tree": op2_context_tree,
     "op4_wavelet_shards": op4_wavelet_shards,
     "op5_simhash": op5_simhash,
     "op6_secret_scan": op6_secret_scan,
