@@ -6,6 +6,7 @@ columns of ``documents``. A stage works on all that the one before it kept.
 """
 
 from tillroll.llm import packing, secrets_crf, simhash, weak_quality
+from tillroll.llm.common import importable
 from tillroll.session import fresh_folder
 
 
@@ -45,6 +46,7 @@ ORACLE_SQL = None
 def run(spark, sf_dir):
     """All stages over ``documents``; the rows of the last."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    importable(spark)
     for name, stage in STAGES:
         folder = fresh_folder(spark, f"pipeline-{name}")
         stage(spark, docs, sf_dir).write.parquet(folder)

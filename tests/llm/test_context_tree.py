@@ -20,8 +20,8 @@ class SlowTrees:
     def __init__(self, counts):
         self.seen = defaultdict(lambda: [0, 0])
         self.after = defaultdict(set)
-        for word, n in counts.items():
-            for context, byte in self.bytes_of(word):
+        for (kind, word), n in counts.items():
+            for context, byte in self.bytes_of(kind, word):
                 for choice, bit in self.bits(byte):
                     for d in range(ctw.DEPTH + 1):
                         own = context[ctw.DEPTH - d :]
@@ -31,10 +31,10 @@ class SlowTrees:
         self.memo = {}
 
     @staticmethod
-    def bytes_of(word):
-        coded = b" " * ctw.DEPTH + (word if word == ctw.END else word + b" ")
-        for i in range(ctw.DEPTH, len(coded)):
-            yield coded[i - ctw.DEPTH : i], coded[i]
+    def bytes_of(kind, word):
+        coded = b" " * ctw.BYTES + (word if word == ctw.END else word + b" ")
+        for i in range(ctw.BYTES, len(coded)):
+            yield bytes([kind]) + coded[i - ctw.BYTES : i], coded[i]
 
     @staticmethod
     def bits(byte):
@@ -68,9 +68,9 @@ class SlowTrees:
         weight = math.exp(lg_kt(a, b) - math.log(2) - self.log_p(choice, own))
         return weight * kt + (1 - weight) * self.chance(choice, context, depth + 1)
 
-    def word(self, word):
+    def word(self, kind, word):
         total = 0.0
-        for context, byte in self.bytes_of(word):
+        for context, byte in self.bytes_of(kind, word):
             for choice, bit in self.bits(byte):
                 p = self.chance(choice, context)
                 total += math.log10(p if bit else 1 - p)
@@ -81,27 +81,46 @@ def tokens(text):
     return re.findall(rb"[^\x20\x09-\x0D]+", (text or "").encode().lower()) + [ctw.END]
 
 
-def slow_scores(rows):
+def slow_class(markers, words):
+    seen = Counter(markers[w] for w in words if w in markers)
+    return min(seen, key=lambda k: (-seen[k], k), default=0)
+
+
+def slow_scores(rows, markers):
     held = [zlib.crc32(("" if d is None else str(d)).encode()) % 10 == 0 for d, _ in rows]
     train = Counter(w for (_, t), h in zip(rows, held, strict=True) if not h for w in tokens(t))
-    trees, total = SlowTrees(train), sum(train.values())
-    out = []
-    for (doc, text), h in zip(rows, held, strict=True):
+    kinds = [slow_class(markers, tokens(t)) for _, t in rows]
+    own = [k for k, h in zip(kinds, held, strict=True) if not h]
+    used = 1 + len(set(markers.values()))
+    trees = SlowTrees(
+        Counter(
+            (k, w)
+            for (_, t), k, h in zip(rows, kinds, held, strict=True)
+            if not h
+            for w in tokens(t)
+        )
+    )
+    total, out = sum(train.values()), []
+    for (doc, text), h, k in zip(rows, held, kinds, strict=True):
         words = tokens(text)
+        cost = math.log10((own.count(k) + 0.5) / (len(own) + 0.5 * used))
         base = sum(
             math.log10((train[w] + 0.1) / (total + 0.1 * (len(train) + 1))) for w in words
         )
         known = sum(w in train for w in words)
-        out.append((doc, h, len(words), known, total, base, sum(map(trees.word, words))))
+        out.append((doc, h, len(words), known, total, base, cost + sum(trees.word(k, w) for w in words)))
     return out
 
 
 def corpus(seed, n):
     rng = random.Random(seed)
-    syllables = ["ka", "To", "mi", "ren", "é", "日", "x1", "-", "\x00"]
+    kinds = [["ka", "To", "mi", "ren", "é"], ["日", "x1", "-", "\x00", "ka"]]
+    common = [["and", "the", "ka"], ["und", "der"]]
     rows = [(None, "no ID"), (3, None), (4, ""), (5, "\n \t\x0b"), (6, "Mi mi MI mi\x85mi")]
     for i in range(7, n):
+        syllables, often = kinds[i % 2], common[i % 2]
         words = ["".join(rng.choices(syllables, k=rng.randint(1, 4))) for _ in range(rng.randint(1, 30))]
+        words += rng.choices(often, k=rng.randint(0, 9))
         rows.append((i, rng.choice([" ", "\n", "  "]).join(words)))
     return rows + [rows[9], (9, "k" * 3000)]
 
@@ -110,9 +129,16 @@ def corpus(seed, n):
 def test_scores_equal_the_definition(spark, frequent):
     rows = corpus(1, 60)
     docs = spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, word string")
-    got = ctw.score(docs.repartition(3), frequent=frequent).collect()
+    docs = docs.repartition(3).cache()
+    got = ctw.score(docs, frequent=frequent).collect()
     key = lambda r: (r[0] is not None, r[0] or 0, r[2], r[6])
-    want = sorted(slow_scores(rows), key=key)
+    texts = docs.selectExpr(
+        "crc32(coalesce(cast(doc_id as string), '')) % 10 = 0 as held_out",
+        "coalesce(text, '') as text",
+    )
+    markers = ctw.find_markers(texts)
+    assert len(set(markers.values())) > 1
+    want = sorted(slow_scores(rows, markers), key=key)
     assert len(got) == len(want)
     for a, b in zip(sorted(map(tuple, got), key=key), want, strict=True):
         assert a[:5] == b[:5]
@@ -122,7 +148,7 @@ def test_scores_equal_the_definition(spark, frequent):
 def test_the_next_byte_has_a_whole_distribution():
     rng = random.Random(4)
     words = ["".join(rng.choices("abcde", k=rng.randint(1, 9))).encode() for _ in range(300)]
-    grams, _ = ctw.windows(words)
+    grams, _ = ctw.windows(words, [i % 3 for i in range(300)])
     grams, counts = np.unique(grams, return_counts=True)
     found = ctw.levels(grams, counts.astype(np.int64), 2)
     nodes = found[2]
@@ -132,7 +158,7 @@ def test_the_next_byte_has_a_whole_distribution():
             below[int(k) & 0xFFFF][i] += x
     keys = np.array(list(below))
     crown = ctw.Crown.solve(keys, *np.array(list(below.values())).T)
-    for context in (b"      ", b"abcabc", b"zzzzzz", b"    ab", b"zzzzza", b"xxxcba"):
+    for context in (b"\0     ", b"\1bcabc", b"\5zzzzz", b"\1   ab", b"\0zzzza", b"\2xxcba"):
         start = int.from_bytes(context, "big") << 8
         logs = ctw.log_chances(np.arange(start, start + 256), found, crown)
         assert (10.0**logs).sum() == pytest.approx(1)
@@ -144,7 +170,7 @@ def test_log_gamma(x):
 
 
 def test_beats_word_frequencies_on_held_out_texts(spark):
-    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     rows = ctw.score(docs).where("held_out").collect()
     assert sum(r.score for r in rows) > sum(r.base_score for r in rows)
     assert all(0 < r.bits_per_byte < 8 for r in rows)

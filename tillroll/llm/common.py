@@ -1,5 +1,7 @@
 """What the operators of this subpackage share: written stages, names, batches."""
 
+import os
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -13,6 +15,19 @@ SPACE_CLASS = r"[\x20\x09-\x0D]"
 WORD_CLASS = r"[^\x20\x09-\x0D]+"
 
 
+def importable(spark):
+    """Let Python workers import this package from where the driver has it.
+
+    That serves single machines and shared installations; elsewhere the package
+    goes with the application (``--py-files``).
+    """
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    environment = spark.sparkContext.environment
+    known = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in known:
+        environment["PYTHONPATH"] = os.pathsep.join([*known, root])
+
+
 def written(rows, label):
     """Write rows below the shared folder and read them back.
 

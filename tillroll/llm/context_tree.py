@@ -2,18 +2,23 @@
 
 A text is coded token by token: a word's bytes and a closing space, and one line end
 after the last word. The context of a byte is what stands before it in its token,
-up to ``DEPTH`` bytes, with spaces before a token's start. Every byte is eight binary
-choices down a tree of 255 nodes, and every node has a context tree of its own: at
-each depth the Krichevsky-Trofimov estimate of the counts seen in that context is
-mixed with what the deeper contexts say, half and half before any data; the weights
-after the training text follow from how well each coded it. The resulting chance
-of a token is a product over its bytes, so it is the same wherever the token stands.
-
-So the corpus meets the model as a table of distinct words with their counts, which
-grows with the corpus and is spread over the cluster throughout. Windows of
-``DEPTH + 1`` bytes with their counts hold all context trees. Those that share the
-last two bytes of context are solved together, since trees meet only above that; the
-nodes above it, at most 65,536, are solved on the driver.
+up to ``BYTES`` bytes, with spaces before a token's start, and behind them, farthest,
+the text's class. Every byte is eight binary choices down a tree of 255 nodes, and
+every node has a context tree of its own: at each depth the Krichevsky-Trofimov
+estimate of the counts seen in that context is mixed with what the deeper contexts
+say, half and half before any data; the weights after the training text follow from
+how well each coded it.
+
+Classes stand for what a text's words have in common, mostly its language. The
+corpus's most common words are its markers; markers that stand in the same
+training texts are one class, and a text belongs to the class whose markers it has
+most of. A text pays for its class by the share of training texts in it.
+
+So the corpus meets the model as a table of distinct words per class with their
+counts, which grows with the corpus and is spread over the cluster throughout.
+Windows of ``BYTES + 1`` bytes with their class and counts hold all context trees.
+Those that share the last two bytes of context are solved together, since trees
+meet only above that; the nodes above it, at most 65,536, are solved on the driver.
 
 Documents are scored from the words' chances. Words that make up a
 ``1 / FREQUENT``-th of all tokens or more are at most ``FREQUENT`` and are looked up
@@ -26,11 +31,16 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tillroll.llm.common import numbered_words, slices, text_sizes, whole_text, written
 
-DEPTH = 6
+BYTES = 5  # bytes of context
+DEPTH = BYTES + 1  # and the class
+MARKERS = 64
+CLASSES = 16  # at most, with class 0 for texts without a marker
+TOGETHER = 0.35  # how often markers of a class stand together (mean cosine)
 END = b"\n"
 TEXT_AT_ONCE = 32 << 20
 BUCKET_BYTES = 4 << 20
@@ -47,30 +57,112 @@ def lowered_words(texts):
     return numbered_words(pc.ascii_lower(texts))
 
 
-def _count_words(batches):
+def _marker_pairs(batches):
+    """How many texts of a batch hold two of the batch's most common words."""
     for batch in batches:
         train = ~batch["held_out"].to_numpy(zero_copy_only=False)
-        for lo, hi in slices(text_sizes(batch["text"]), TEXT_AT_ONCE):
-            words, numbers, counts = lowered_words(batch["text"].slice(lo, hi - lo))
-            own = train[lo:hi]
+        texts = batch["text"].filter(pa.array(train))
+        for lo, hi in slices(text_sizes(texts), TEXT_AT_ONCE):
+            words, numbers, counts = lowered_words(texts.slice(lo, hi - lo))
             every = np.bincount(numbers, minlength=len(words))
-            some = np.bincount(numbers[np.repeat(own, counts)], minlength=len(words))
-            met = np.flatnonzero(every)
+            top = sorted(np.flatnonzero(every), key=lambda i: (-every[i], words[i]))[:MARKERS]
+            column = np.full(len(words), -1)
+            column[top] = np.arange(len(top))
+            of = np.repeat(np.arange(hi - lo), counts)
+            hit = column[numbers] >= 0
+            holds = np.zeros((hi - lo, len(top)), dtype=np.float32)
+            holds[of[hit], column[numbers[hit]]] = 1
+            both = holds.T @ holds
+            a, b = np.nonzero(both)
             yield pa.RecordBatch.from_pydict(
                 {
-                    "word": pa.array([words[i] for i in met] + [END], pa.binary()),
-                    "n_train": pa.array(np.append(some[met], own.sum())),
-                    "n_all": pa.array(np.append(every[met], hi - lo)),
+                    "a": pa.array([words[top[i]] for i in a], pa.binary()),
+                    "b": pa.array([words[top[i]] for i in b], pa.binary()),
+                    "n": pa.array(both[a, b].astype(np.int64)),
                 }
             )
 
 
-def count_words(docs):
-    """``word`` (bytes), ``n_train``, ``n_all`` of ``docs`` with ``text`` and ``held_out``."""
+def group_markers(pairs):
+    """Classes of markers: ``{word: class}`` out of ``{(a, b): texts with both}``."""
+    texts = {a: n for (a, b), n in pairs.items() if a == b}
+    classes = []
+    for word in sorted(texts, key=lambda w: (-texts[w], w)):
+        near = [
+            np.mean([pairs.get((word, w), 0) / (texts[word] * texts[w]) ** 0.5 for w in own])
+            for own in classes
+        ]
+        if near and max(near) >= TOGETHER:
+            classes[int(np.argmax(near))].append(word)
+        elif len(classes) < CLASSES - 1:
+            classes.append([word])
+    return {word: i for i, own in enumerate(classes, 1) for word in own}
+
+
+def find_markers(docs):
+    """``{word: class}`` for the corpus's markers, from all its training texts.
+
+    Each batch reports its own ``MARKERS`` most common words; of all reported, those
+    in most texts are the markers. At most their pairs reach the driver.
+    """
+    pairs = written(
+        docs.select("held_out", "text")
+        .mapInArrow(_marker_pairs, "a binary, b binary, n long")
+        .groupBy("a", "b")
+        .agg(F.sum("n").alias("n")),
+        "markers",
+    )
+    own = pairs.where(F.col("a") == F.col("b")).orderBy(F.desc("n"), "a").limit(MARKERS)
+    markers = F.broadcast(own.select("a"))  # at most MARKERS rows
+    both = pairs.join(markers, "a").join(markers.withColumnRenamed("a", "b"), "b")
+    return group_markers({(bytes(r["a"]), bytes(r["b"])): r["n"] for r in both.collect()})
+
+
+def classes_of(markers, words, numbers, counts):
+    """The class of each text whose words are numbered."""
+    marked = np.array([markers.get(w, 0) for w in words], dtype=np.int64)[numbers]
+    of = np.repeat(np.arange(len(counts)), counts)
+    seen = np.bincount(of * CLASSES + marked, minlength=len(counts) * CLASSES)
+    seen = seen.reshape(len(counts), CLASSES)
+    seen[:, 0] = 0
+    return seen.argmax(axis=1)
+
+
+def _count_words(markers):
+    def count(batches):
+        for batch in batches:
+            train = ~batch["held_out"].to_numpy(zero_copy_only=False)
+            for lo, hi in slices(text_sizes(batch["text"]), TEXT_AT_ONCE):
+                words, numbers, counts = lowered_words(batch["text"].slice(lo, hi - lo))
+                classes, own = classes_of(markers, words, numbers, counts), train[lo:hi]
+                size = CLASSES * len(words)
+                pairs = np.repeat(classes * len(words), counts) + numbers
+                every = np.bincount(pairs, minlength=size)
+                some = np.bincount(pairs[np.repeat(own, counts)], minlength=size)
+                met = np.flatnonzero(every)
+                ends = np.bincount(classes, minlength=CLASSES)
+                train_ends = np.bincount(classes[own], minlength=CLASSES)
+                place = np.divmod(met, max(1, len(words)))
+                yield pa.RecordBatch.from_pydict(
+                    {
+                        "class": pa.array(np.append(place[0], np.arange(CLASSES))),
+                        "word": pa.array(
+                            [words[i] for i in place[1]] + [END] * CLASSES, pa.binary()
+                        ),
+                        "n_train": pa.array(np.append(some[met], train_ends)),
+                        "n_all": pa.array(np.append(every[met], ends)),
+                    }
+                )
+
+    return count
+
+
+def count_words(docs, markers):
+    """``class``, ``word`` (bytes), ``n_train``, ``n_all`` of ``docs`` with ``text``, ``held_out``."""
     rows = docs.select("held_out", "text").mapInArrow(
-        _count_words, "word binary, n_train long, n_all long"
+        _count_words(markers), "class long, word binary, n_train long, n_all long"
     )
-    return rows.groupBy("word").agg(
+    return rows.groupBy("class", "word").agg(
         F.sum("n_train").alias("n_train"), F.sum("n_all").alias("n_all")
     )
 
@@ -78,25 +170,25 @@ def count_words(docs):
 # --- byte windows -------------------------------------------------------------
 
 
-def windows(words):
+def windows(words, classes):
     """The windows of all bytes of some words, and how many each word has.
 
-    A window is one number: ``DEPTH`` bytes of context and the byte that follows.
+    A window is one number: the class, ``BYTES`` bytes of context, the next byte.
     """
-    pad = b" " * DEPTH
+    pad = b" " * BYTES
     coded = [w if w == END else w + b" " for w in words]
     counts = np.array([len(c) for c in coded], dtype=np.int64)
     raw = np.frombuffer(b"".join(chain.from_iterable((pad, c) for c in coded)), np.uint8)
-    at = np.repeat(np.arange(len(words)) * DEPTH, counts) + np.arange(counts.sum())
-    grams = np.zeros(len(at), dtype=np.int64)
-    for k in range(DEPTH + 1):
+    at = np.repeat(np.arange(len(words)) * BYTES, counts) + np.arange(counts.sum())
+    grams = np.repeat(np.asarray(classes, dtype=np.int64), counts)
+    for k in range(BYTES + 1):
         grams = grams << 8 | raw[at + k]
     return grams, counts
 
 
 def _uses(table):
     """The distinct windows of one bucket of words, with their training counts."""
-    grams, counts = windows(table["word"].to_pylist())
+    grams, counts = windows(table["word"].to_pylist(), table["class"].to_numpy())
     weights = np.repeat(table["n_train"].to_numpy(), counts)
     distinct, which = np.unique(grams, return_inverse=True)
     n = np.zeros(len(distinct), dtype=np.int64)
@@ -309,13 +401,14 @@ def gram_chances(grams):
 def _spell(words, chances):
     """The chance of each word of one bucket, from the chances of its windows."""
     texts = words["word"].to_pylist()
-    grams, counts = windows(texts)
+    grams, counts = windows(texts, words["class"].to_numpy())
     order = np.argsort(chances["gram"].to_numpy())
     known = chances["gram"].to_numpy()[order]
     logs = chances["log_chance"].to_numpy()[order][np.searchsorted(known, grams)]
     sums = np.add.reduceat(logs, np.cumsum(counts) - counts) if len(texts) else logs
     return pa.table(
         {
+            "class": words["class"],
             "word": words["word"],
             "n_train": words["n_train"],
             "n_all": words["n_all"],
@@ -328,7 +421,7 @@ def score_words(words):
     """``words`` (see :func:`count_words`) with ``log_chance`` of each, base 10."""
     size = words.agg(F.sum(F.length("word") + DEPTH).alias("b")).first()["b"] or 0
     buckets = max(1, -(-size // BUCKET_BYTES))
-    bucketed = words.withColumn("bucket", F.pmod(F.xxhash64("word"), F.lit(buckets)))
+    bucketed = words.withColumn("bucket", F.pmod(F.xxhash64("class", "word"), F.lit(buckets)))
     uses = written(
         bucketed.groupBy("bucket").applyInArrow(_uses, "bucket long, gram long, n long"), "windows"
     )
@@ -337,7 +430,7 @@ def score_words(words):
     return (
         bucketed.groupBy("bucket")
         .cogroup(chances.groupBy("bucket"))
-        .applyInArrow(_spell, "word binary, n_train long, n_all long, log_chance double")
+        .applyInArrow(_spell, "class long, word binary, n_train long, n_all long, log_chance double")
     )
 
 
@@ -355,6 +448,7 @@ NAMES = [
     "row",
     "doc_id",
     "held_out",
+    "class",
     "word",
     "n",
     "n_tokens",
@@ -365,15 +459,17 @@ NAMES = [
 ]
 
 
-def _score(frequent, floor):
+def _score(frequent, floor, markers, class_cost):
     """Sums over frequent words, and one row per other word of each document."""
     held = {}
 
     def tables():
         if not held:
-            words, counts, logs = frequent.value
+            classes, words, counts, logs = frequent.value
             counts = np.array(counts, dtype=np.float64)
-            held["number"] = Lookup(zip(words, range(len(words)), strict=True))
+            held["number"] = [Lookup() for _ in range(CLASSES)]
+            for i, (k, word) in enumerate(zip(classes, words, strict=True)):
+                held["number"][k][word] = i
             held["known"] = np.append(counts > 0, False).astype(np.float64)
             held["base"] = np.append(np.log10(counts + 0.1) - floor, 0.0)
             held["score"] = np.append(np.array(logs, dtype=np.float64), 0.0)
@@ -381,19 +477,24 @@ def _score(frequent, floor):
 
     def score(batches):
         table = tables()
-        end = table["number"][END]
+        ends = np.array([own[END] for own in table["number"]])
         row = TaskContext.get().partitionId() << 40
         for batch in batches:
             for lo, hi in slices(text_sizes(batch["text"]), TEXT_AT_ONCE):
                 docs = hi - lo
                 words, numbers, counts = lowered_words(batch["text"].slice(lo, docs))
-                at = np.array(list(map(table["number"].__getitem__, words)), dtype=np.int64)
+                classes = classes_of(markers, words, numbers, counts)
+                at = np.full((CLASSES, len(words)), -1)
+                for k in np.unique(classes):
+                    at[k] = list(map(table["number"][k].__getitem__, words))
                 lengths = np.array(list(map(len, words)), dtype=np.int64)
-                at, of = at[numbers], np.repeat(np.arange(docs), counts)
+                of = np.repeat(np.arange(docs), counts)
+                at = at[classes[of], numbers]
                 sums = {
-                    name: np.bincount(of, table[name][at], docs) + table[name][end]
+                    name: np.bincount(of, table[name][at], docs) + table[name][ends[classes]]
                     for name in ("known", "base", "score")
                 }
+                sums["score"] += class_cost[classes]
                 size = np.bincount(of, lengths[numbers] + 1, docs).astype(np.int64) + 1
                 # Other words, once per document with their number.
                 rest = np.flatnonzero(at < 0)
@@ -415,6 +516,7 @@ def _score(frequent, floor):
                         pa.array(row + doc),
                         batch["doc_id"].slice(lo, docs).take(place),
                         batch["held_out"].slice(lo, docs).take(place),
+                        pa.array(classes[doc]),
                         pa.array(names, pa.binary()),
                         pa.array(n),
                         *[pa.array(values[doc], mask=later) for values in own],
@@ -437,7 +539,7 @@ def score(docs, doc_id="doc_id", text="text", held_out=None, frequent=FREQUENT):
     NULL texts are empty: one end token. A NULL id counts as the empty text for
     the default ``held_out``. Repeated rows are scored and counted as often as they
     stand. An empty table gives no row; without training documents every byte costs
-    eight bits. Words may be of any length.
+    eight bits. Words may be of any length; texts without a marker are class 0.
     """
     if held_out is None:
         name = F.coalesce(F.col(doc_id).cast("string"), F.lit(""))
@@ -447,29 +549,47 @@ def score(docs, doc_id="doc_id", text="text", held_out=None, frequent=FREQUENT):
         F.coalesce(held_out, F.lit(False)).alias("held_out"),
         whole_text(text).alias("text"),
     )
-    words = written(count_words(rows), "words")
-    total = words.agg(
+    markers = find_markers(rows)
+    words = written(count_words(rows, markers), "words")
+    per_word = words.groupBy("word").agg(F.sum("n_train").alias("n_train"))
+    total = per_word.agg(
         F.coalesce(F.sum("n_train"), F.lit(0)).alias("train"),
         F.count_if(F.col("n_train") > 0).alias("distinct"),
-        F.coalesce(F.sum("n_all"), F.lit(0)).alias("all"),
     ).first()
-    scored = written(score_words(words), "scored-words")
-    often = (F.col("n_all") * F.lit(frequent) >= total["all"]) & (
-        F.length("word") <= LONGEST_FREQUENT
+    every = words.agg(F.coalesce(F.sum("n_all"), F.lit(0)).alias("n")).first()["n"]
+    # A word has a row per class, so at most CLASSES rows meet here.
+    scored = score_words(words).select(
+        "class",
+        "word",
+        "n_all",
+        F.sum("n_train").over(Window.partitionBy("word")).alias("n_train"),
+        F.when(F.col("word") == END, F.col("n_train")).alias("class_texts"),
+        "log_chance",
     )
+    scored = written(scored, "scored-words")
+    often = (F.col("n_all") * F.lit(frequent) >= every) & (F.length("word") <= LONGEST_FREQUENT)
     often = often | (F.col("word") == F.lit(END))
-    top = scored.where(often).select("word", "n_train", "log_chance").collect()
-    lists = ([bytes(r[0]) for r in top], [r[1] for r in top], [r[2] for r in top])
+    top = scored.where(often).select(
+        "class", "word", "n_train", "log_chance", "class_texts"
+    ).collect()
+    lists = [r["class"] for r in top], [bytes(r["word"]) for r in top]
+    lists += [r["n_train"] for r in top], [r["log_chance"] for r in top]
+    texts = np.zeros(CLASSES)
+    for r in top:
+        texts[r["class"]] += r["class_texts"] or 0
+    used = 1 + len(set(markers.values()))
+    class_cost = np.log10((texts + 0.5) / (texts.sum() + 0.5 * used))
     floor = float(np.log10(total["train"] + 0.1 * (total["distinct"] + 1)))
     kind = rows.schema["doc_id"].dataType.simpleString()
+    frequent_words = docs.sparkSession.sparkContext.broadcast(lists)
     pairs = rows.mapInArrow(
-        _score(docs.sparkSession.sparkContext.broadcast(lists), floor),
-        f"row long, doc_id {kind}, held_out boolean, word binary, n long, n_tokens long,"
-        " n_bytes long, n_known long, base double, score double",
+        _score(frequent_words, floor, markers, class_cost),
+        f"row long, doc_id {kind}, held_out boolean, class long, word binary, n long,"
+        " n_tokens long, n_bytes long, n_known long, base double, score double",
     )
-    rest = scored.where(~often).select("word", "n_train", "log_chance")
+    rest = scored.where(~often).select("class", "word", "n_train", "log_chance")
     n, seen, log = F.col("n"), F.coalesce("n_train", F.lit(0)), F.coalesce("log_chance", F.lit(0.0))
-    joined = pairs.join(rest, "word", "left").select(
+    joined = pairs.join(rest, ["class", "word"], "left").select(
         "row",
         "doc_id",
         "held_out",

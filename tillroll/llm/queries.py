@@ -14,9 +14,11 @@ from tillroll.llm import (
     token_shards,
     weak_quality,
 )
+from tillroll.llm.common import importable
 
 
 def _table(spark, sf_dir, name):
+    importable(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
