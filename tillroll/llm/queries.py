@@ -5,8 +5,11 @@ output. SQL cannot express any of them (hash functions, tokenizers, learned
 models, sampling); ``tests/llm`` holds each against a brute-force version.
 """
 
+from pyspark.sql import functions as F
+
 from tillroll.llm import (
     context_tree,
+    kd_shards,
     packing,
     secrets_crf,
     sentencepiece_codec,
@@ -50,6 +53,19 @@ def op7_quality_rules(spark, sf_dir):
     return weak_quality.judge(_table(spark, sf_dir, "documents"))
 
 
+def op8_kd_tree(spark, sf_dir):
+    rows = kd_shards.shard(_table(spark, sf_dir, "documents"))
+    return rows.select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("bytes").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 def op9_packing(spark, sf_dir):
     return packing.pack(_table(spark, sf_dir, "documents"))
 
@@ -61,6 +77,7 @@ QUERIES = {
     "op5_simhash": op5_simhash,
     "op6_secret_scan": op6_secret_scan,
     "op7_quality_rules": op7_quality_rules,
+    "op8_kd_tree": op8_kd_tree,
     "op9_packing": op9_packing,
 }
 
