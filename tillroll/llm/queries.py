@@ -16,6 +16,7 @@ from tillroll.llm import (
     simhash,
     token_shards,
     weak_quality,
+    weighted_sampling,
 )
 from tillroll.llm.common import importable
 
@@ -33,6 +34,10 @@ def op2_context_tree(spark, sf_dir):
     return context_tree.score(_table(spark, sf_dir, "documents"))
 
 
+def op3_weighted_sampling(spark, sf_dir):
+    return weighted_sampling.edit_report(_table(spark, sf_dir, "documents"))
+
+
 def op4_wavelet_shards(spark, sf_dir):
     return token_shards.write_and_read(_table(spark, sf_dir, "documents"))
 
@@ -73,6 +78,7 @@ def op9_packing(spark, sf_dir):
 QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_context_tree": op2_context_tree,
+    "op3_weighted_sampling": op3_weighted_sampling,
     "op4_wavelet_shards": op4_wavelet_shards,
     "op5_simhash": op5_simhash,
     "op6_secret_scan": op6_secret_scan,
