@@ -1,8 +1,8 @@
 """The registered queries of this subpackage: one per operator, over whole tables.
 
 Each takes (spark, sf_dir) and derives the asked columns from its operator's
-output. SQL cannot express any of them (hash functions, tokenizers, learned
-models, sampling); ``tests/llm`` holds each against a brute-force version.
+output. SQL can express the last; the others need hash functions, tokenizers, or
+learned models, and ``tests/llm`` holds each against a brute-force version.
 """
 
 from pyspark.sql import functions as F
@@ -15,6 +15,7 @@ from tillroll.llm import (
     sentencepiece_codec,
     simhash,
     token_shards,
+    tool_calls,
     weak_quality,
     weighted_sampling,
 )
@@ -75,6 +76,11 @@ def op9_packing(spark, sf_dir):
     return packing.pack(_table(spark, sf_dir, "documents"))
 
 
+def op10_tool_calls(spark, sf_dir):
+    linked = tool_calls.format_chats(_table(spark, sf_dir, "conversations"))
+    return linked.withColumn("conv_id", F.col("conv_id").cast("long"))
+
+
 QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_context_tree": op2_context_tree,
@@ -85,6 +91,48 @@ QUERIES = {
     "op7_quality_rules": op7_quality_rules,
     "op8_kd_tree": op8_kd_tree,
     "op9_packing": op9_packing,
+    "op10_tool_calls": op10_tool_calls,
 }
 
-ORACLE_SQL = {}
+# Questions without an answer, answers without a question, and chains of questions
+# that are two turns apart.
+OP10_SQL = """
+WITH m AS (
+  SELECT conv_id, turn, role, coalesce(text, '') AS text
+  FROM conversations WHERE conv_id IS NOT NULL AND turn IS NOT NULL
+), chained AS (
+  SELECT *, turn - 2 * row_number() OVER (PARTITION BY conv_id, turn % 2 ORDER BY turn) AS chain
+  FROM m WHERE role = 'user'
+), deep AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id, turn % 2, chain ORDER BY turn) - 1 AS depth
+  FROM chained
+), asked AS (
+  SELECT d.conv_id, d.turn, d.text, d.depth, r.text AS result,
+         row_number() OVER (PARTITION BY d.conv_id ORDER BY d.depth, d.turn) - 1 AS position,
+         concat_ws('; ', CASE WHEN d.text = '' THEN 'text: too short' END,
+                   CASE WHEN d.depth = 0 AND d.turn > 1 THEN 'after: unknown call' END) AS errors
+  FROM deep d LEFT JOIN m r ON r.conv_id = d.conv_id AND r.turn = d.turn + 1 AND r.role = 'assistant'
+), unasked AS (
+  SELECT r.conv_id, r.turn - 1 AS turn, r.text AS result
+  FROM m r LEFT JOIN asked a ON a.conv_id = r.conv_id AND a.turn = r.turn - 1
+  WHERE r.role = 'assistant' AND a.turn IS NULL
+)
+SELECT conv_id, conv_id || ':' || turn AS call_id,
+       CASE WHEN result IS NULL THEN 'open' ELSE 'answered' END AS status, position, depth,
+       1 AS n_calls, CASE WHEN result IS NULL THEN 0 ELSE 1 END AS n_results, errors,
+       errors = '' AS valid,
+       '{' || CASE WHEN turn > 1 THEN '"after":"' || conv_id || ':' || (turn - 2) || '",' ELSE '' END
+       || '"arguments":{"text":' || CAST(to_json(text) AS VARCHAR) || ',"turn":' || turn || '},'
+       || CASE WHEN errors = '' THEN '' ELSE '"errors":["' || replace(errors, '; ', '","') || '"],' END
+       || '"id":"' || conv_id || ':' || turn || '","name":"reply","position":' || position
+       || CASE WHEN result IS NULL THEN '' ELSE ',"result":' || CAST(to_json(result) AS VARCHAR) END
+       || '}' AS json
+FROM asked
+UNION ALL
+SELECT conv_id, conv_id || ':' || turn, 'unknown call', NULL, NULL, 0, 1, 'result: unknown call', false,
+       '{"errors":["result: unknown call"],"id":"' || conv_id || ':' || turn || '","result":'
+       || CAST(to_json(result) AS VARCHAR) || '}'
+FROM unasked
+"""
+
+ORACLE_SQL = {"op10_tool_calls": OP10_SQL}
