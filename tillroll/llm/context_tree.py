@@ -42,9 +42,9 @@ MARKERS = 64
 CLASSES = 16  # at most, with class 0 for texts without a marker
 TOGETHER = 0.35  # how often markers of a class stand together (mean cosine)
 END = b"\n"
-TEXT_AT_ONCE = 32 << 20
+TEXT_AT_ONCE = 12 << 20
 BUCKET_BYTES = 4 << 20
-FREQUENT = 100_000
+FREQUENT = 500_000
 LONGEST_FREQUENT = 64
 HALF = np.log(0.5)
 
