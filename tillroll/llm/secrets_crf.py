@@ -23,6 +23,7 @@ import operator
 import re
 import string
 import zlib
+from bisect import bisect_left
 
 import numpy as np
 import pyarrow as pa
@@ -49,9 +50,8 @@ HEX = re.compile(r"[0-9a-f]{24,}")
 LEAST_VALUE, LEAST_ACCESS = 6, 20
 KINDS = ["assign", "access", "hex", "crf"]
 
-# What a text must hold for any pattern to match, for Spark's own filter.
-ANY_PATTERN = r"(?i:password|passwd|secret|token|api_?key)|AKIA[A-Z0-9]{16}|[0-9a-f]{24}"
-
+# What a text holds that matches the first pattern, in lower case.
+KEY_WORDS = ["password", "passwd", "secret", "token", "apikey", "api_key"]
 MAY_MATCH = re.compile(rb"(?i:password|passwd|secret|token|api_?key)|AKIA|[0-9a-f]{24}")
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -257,7 +257,7 @@ def _windows(batches):
 def fit(windows, rounds=60, penalty=1.0):
     """Train by maximum likelihood with an L2 penalty (AdaGrad over all windows)."""
     index = {}
-    rows, columns, tag_rows = [], [], []
+    rows, columns = [], []
     size = max((len(w[0]) for w in windows), default=1)
     mask = np.zeros((len(windows), size), dtype=bool)
     tags = np.zeros((len(windows), size), dtype=np.int64)
@@ -441,7 +441,19 @@ def _tagged_spans(text, tags):
 
 def with_added(base, more):
     """The pattern spans and those of the field that touch none of them."""
-    added = [s for s in more if not any(s[1] < e and b < s[2] for _, b, e in base)]
+    # Merge the pattern spans, so that one search per span tells.
+    starts, ends = [], []
+    for _, a, b in base:
+        if ends and a <= ends[-1]:
+            ends[-1] = max(ends[-1], b)
+        else:
+            starts.append(a)
+            ends.append(b)
+    added = []
+    for span in more:
+        i = bisect_left(starts, span[2])  # pattern spans that start before it ends
+        if not i or ends[i - 1] <= span[1]:
+            added.append(span)
     return sorted(base + added, key=lambda s: (s[1], s[0], s[2]))
 
 
@@ -464,13 +476,19 @@ def train(docs, text="text", sample=SAMPLE):
 
     Texts are chosen by hash, so the choice does not depend on order or layout.
     """
-    texts = docs.select(whole_text(text).alias("t")).dropDuplicates()
-    may = F.col("t").rlike(ANY_PATTERN)
-    order = F.xxhash64("t")
-    parts = [texts.where(w).orderBy(order, "t").limit(sample) for w in (may, ~may)]
+    texts = docs.select(whole_text(text).alias("t"), F.xxhash64(whole_text(text)).alias("h"))
+    lowered = F.lower("t")
+    may = F.col("t").contains("AKIA") | F.col("t").rlike("[0-9a-f]{24}")
+    for name in KEY_WORDS:
+        may = may | lowered.contains(name)
+    # First hashes alone, so that copies meet as nine bytes and not as texts.
+    hashes = texts.select("h", may.alias("may")).dropDuplicates()
+    chosen = [hashes.where(w).orderBy("h").limit(sample) for w in (F.col("may"), ~F.col("may"))]
+    chosen = F.broadcast(chosen[0].unionByName(chosen[1]).select("h"))  # 2 * sample rows
+    sampled = texts.join(chosen, "h").groupBy("h").agg(F.min("t").alias("t")).select("t")
     # At most SPOTS windows of 2 * WINDOW + 1 words per text reach the driver, as
     # short feature names, however long the texts are.
-    rows = parts[0].unionByName(parts[1]).mapInArrow(_windows, "window string").collect()
+    rows = sampled.mapInArrow(_windows, "window string").collect()
     return fit([json.loads(w) for w in sorted(r["window"] for r in rows)])
 
 
