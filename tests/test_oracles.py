@@ -6,6 +6,7 @@ import pytest
 
 import __spark_entry__ as contract
 from compare import differences, duck
+from tillroll import registry
 
 SF_DIR = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
 
@@ -17,7 +18,7 @@ def con():
     return duck(SF_DIR)
 
 
-@pytest.mark.parametrize("name", list(contract.queries()))
+@pytest.mark.parametrize("name", list(registry.QUERIES))
 def test_query(spark, con, name):
     sql = contract.oracle_sql()[name]
     assert differences(contract.queries()[name](spark, SF_DIR), con, sql) is None
