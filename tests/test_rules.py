@@ -91,6 +91,13 @@ def test_padding_is_trimmed_and_blank_is_not_null(feed):
     assert (row.invoice_no, row.shopping_mall, row.gender) == ("I1", "Kanyon", "Male")
 
 
+@pytest.mark.parametrize("blank", ["\u0085", "\u2028", "\n", "\u00a0", " "])
+def test_white_space_behind_an_id_is_trimmed(feed, blank):
+    checked = rules.check_rows(feed({"customer_id": "C70" + blank, "invoice_no": "I900" + blank}))
+    row = rules.valid_rows(checked).first()
+    assert (row.customer_id, row.invoice_no) == ("C70", "I900")
+
+
 @pytest.mark.parametrize("token", ["NA", "nan", "NULL", "None", "N/A", "n/a", "#N/A", "<NA>"])
 def test_null_tokens(feed, token):
     assert errors(feed, {"customer_id": token}) == ["null_customer_id"]
@@ -103,6 +110,13 @@ def test_number_edges(feed):
         assert errors(feed, {"price": value}) == ["invalid_price"], value
     assert errors(feed, {"quantity": "2.5"}, {"price": "1e2"}, {"age": "25.7"}) == ["", "", ""]
     assert errors(feed, {"age": "0.5"}, {"age": "120.5"}) == ["invalid_age"] * 2
+    # Rules hold for the number as written, not as rounded to any column.
+    assert errors(feed, {"age": "120.00004"}, {"age": "0.99996"}) == ["invalid_age"] * 2
+    assert errors(feed, {"quantity": "0.0000001"}, {"quantity": "1e-20"}) == ["", ""]
+    # What no column can hold is a broken rule, not a failed load.
+    assert errors(feed, {"quantity": "3000000000"}) == ["invalid_quantity"]
+    assert errors(feed, {"price": "99999999.999"}) == ["invalid_price"]
+    assert errors(feed, {"quantity": "2147483647", "price": "99999999.99"}) == [""]
     assert rules.valid_rows(rules.check_rows(feed({"age": "25.7"}))).first().age == 25
 
 

@@ -1,11 +1,15 @@
 import pytest
 
+from tillroll.operators.rules import check_rows
+from tillroll.schema import SOURCE_COLUMNS
 from tillroll.sources import holidays as calendars
 from tillroll.sources.rejects import read_rejects, save_rejects
 from tillroll.sources.transactions import (
+    RAGGED,
     file_profile,
     head_sample,
     header_of,
+    header_report,
     read_transactions,
     write_csv,
 )
@@ -51,6 +55,45 @@ def test_head_in_reading_order(spark, csv_file):
     assert [r.invoice_no for r in rows] == ["I30", "I29", "I28", "I27", "I26"]
 
 
+def test_head_follows_the_paths_of_files(spark, csv_file, tmp_path):
+    """Spark reads large files first; the order of rows must not follow from that."""
+    csv_file("in/a.csv", {"invoice_no": "I1"})
+    csv_file("in/b.csv", *[{"invoice_no": f"I{i}"} for i in range(2, 400)])
+    rows = head_sample(read_transactions(spark, str(tmp_path / "in")), 3).collect()
+    assert [r.invoice_no for r in rows] == ["I1", "I2", "I3"]
+
+
+def test_lines_with_another_number_of_cells_are_marked(spark, csv_file, tmp_path):
+    path = csv_file("a.csv", {}, {"invoice_no": "I5,x,y"}, {"shopping_mall": 'Kanyon"'})
+    text = (tmp_path / "a.csv").read_text() + "I6,C1\n"
+    (tmp_path / "a.csv").write_text(text)
+    rows = read_transactions(spark, path)
+    assert [r[RAGGED] for r in rows.collect()] == [False, True, False, True]
+    found = [r._errors for r in check_rows(rows).orderBy("_row_id").collect()]
+    assert found[1].startswith("ragged_row") and found[3].startswith("ragged_row")
+    assert rows.agg({"invoice_no": "count"}).first()[0] == 4
+
+
+def test_cells_with_line_breaks(spark, csv_file):
+    path = csv_file("a.csv", {"customer_id": '"C1\n"', "category": '"Toys\nand more"'})
+    row = read_transactions(spark, path, multi_line=True).collect()
+    assert len(row) == 1 and row[0].category == "Toys\nand more"
+
+
+def test_header_of_every_file(spark, csv_file, tmp_path):
+    csv_file("in/a.csv", {})
+    csv_file("in/b.csv", {}, header=["invoice", *SOURCE_COLUMNS[1:]])
+    csv_file("in/c.csv", {}, header=SOURCE_COLUMNS[:3])
+    (tmp_path / "in" / "d.csv").write_text("\ufeff" + ",".join(f'"{c}"' for c in SOURCE_COLUMNS))
+    found = {r.path[-5:]: (r.columns, r.errors) for r in header_report(spark, str(tmp_path / "in")).collect()}
+    assert found == {
+        "a.csv": (10, ""),
+        "b.csv": (10, "column_names_mismatch"),
+        "c.csv": (3, "expected_10_columns_got_3,column_names_mismatch"),
+        "d.csv": (10, ""),
+    }
+
+
 def test_csv_keeps_padding(spark, feed, tmp_path):
     path = str(tmp_path / "out")
     write_csv(feed({"gender": "  Male "}, {"category": 'a "quoted", one'}), path)
@@ -86,5 +129,5 @@ def test_holidays_must_be_an_array_of_objects(spark, json_file, content):
 
 def test_saved_holidays_come_back(spark, holidays, tmp_path):
     calendars.save_holidays(holidays, str(tmp_path / "saved"))
-    back = calendars.read_saved_holidays(spark, str(tmp_path / "saved"))
+    back = calendars.read_holidays(spark, str(tmp_path / "saved"))
     assert {r.date for r in back.collect()} == {"2022-04-23", "2022-05-01"}

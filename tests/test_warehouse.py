@@ -1,6 +1,8 @@
 import datetime as dt
+from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 from tillroll.plans import quality, reports
 from tillroll.plans.loading import load, stage
@@ -112,14 +114,22 @@ def test_repeating_a_load_replaces_it(warehouse, feed, holidays):
 def test_a_failed_load_changes_nothing(spark, warehouse, feed, holidays):
     put(warehouse, feed(*FIRST), holidays, "a")
     version = warehouse.version
-    # Fits each column, but their product does not fit the amount.
-    result = put(warehouse, feed({"quantity": "2000000000", "price": "90000000"}), holidays, "b")
-    assert result["status"] == "failed" and result["error"]
+    broken = holidays.select(F.raise_error(F.lit("no calendar")).cast("string").alias("date"))
+    result = put(warehouse, feed({"quantity": "2"}), broken, "b")
+    assert result["status"] == "failed" and "no calendar" in result["error"]
     assert Warehouse(spark, warehouse.root).version == version
     assert warehouse.read("fact_sales").count() == 3
     assert not warehouse.has_load("b")
 
 
+def test_very_large_amounts_load(warehouse, feed, holidays):
+    large = {"quantity": "2147483647", "price": "99999999.99"}
+    result = put(warehouse, feed(large, large, large), holidays, "a")
+    assert result["status"] == "success", result["error"]
+    day = warehouse.read("fact_daily_summary").first()
+    assert day.total_revenue == 3 * 2147483647 * Decimal("99999999.99")
+
+
 def test_a_load_without_valid_rows(warehouse, feed, holidays):
     put(warehouse, feed(*FIRST), holidays, "a")
     result = put(warehouse, feed({"price": "0"}), holidays, "b")

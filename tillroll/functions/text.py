@@ -43,7 +43,7 @@ def cell_text(column):
 def cell_id(column):
     """The cell's text, known at once when it is a letter and then digits."""
     cell = F.col(column)
-    return F.when(cell.rlike("^[A-Z][0-9]+$"), cell).otherwise(cell_text(column))
+    return F.when(cell.rlike(r"^[A-Z][0-9]+\z"), cell).otherwise(cell_text(column))
 
 
 def cell_choice(column, values):
@@ -53,12 +53,19 @@ def cell_choice(column, values):
 
 
 def cell_number(column, decimal_type):
-    """The cell as an exact decimal; NULL when it is no finite number that fits."""
+    """The cell as a decimal, rounded half up; NULL when it is no finite number that fits."""
     return F.coalesce(
         F.col(column).try_cast(decimal_type), cell_text(column).try_cast(decimal_type)
     )
 
 
+def cell_exact(column):
+    """The cell as an unrounded double; NULL when it is no finite number."""
+    known = cell_number(column, "decimal(38,18)").isNotNull()
+    value = F.coalesce(F.col(column).try_cast("double"), cell_text(column).try_cast("double"))
+    return F.when(known, value)
+
+
 def cell_date(column, date_format):
     """The cell as a date in one strict format; NULL when it does not match."""
     return F.coalesce(

@@ -3,10 +3,6 @@
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-# Files per table up to which the row counts of its files, a few bytes each,
-# are broadcast. Beyond that the join falls back to a shuffle.
-MAX_FILES_TO_BROADCAST = 1_000_000
-
 
 def number_rows(stored, name="_row_number", start=0):
     """Number the rows of a written Parquet table ``start + 1, ...`` in file order.
@@ -14,27 +10,24 @@ def number_rows(stored, name="_row_number", start=0):
     ``stored`` must be a plain read of the files. Parquet gives each row its
     place in its file; adding the row counts of the files before it makes the
     number dense over the table. Only the per-file counts, one short row per
-    file, are ever brought together, and no data row moves.
+    file that a job's tasks wrote, are ever brought together and broadcast, and
+    no data row moves or has its file's name taken apart.
     """
-    file_name = F.col("_metadata.file_name")
-    placed = stored.select(
-        "*",
-        F.regexp_extract(file_name, r"part-(\d+)", 1).cast("int").alias("_part"),
-        F.regexp_extract(file_name, r"[-.]c(\d+)\.", 1).cast("int").alias("_chunk"),
-        F.col("_metadata.row_index").alias("_place"),
-    )
-    in_order = Window.orderBy("_part", "_chunk")
+    file = F.col("_metadata.file_name").alias("_file")
+    placed = stored.select("*", file, F.col("_metadata.row_index").alias("_place"))
+    part = F.regexp_extract("_file", r"part-(\d+)", 1).cast("int")
+    chunk = F.regexp_extract("_file", r"[-.]c(\d+)\.", 1).cast("int")
+    in_order = Window.orderBy("part", "chunk")
     before = (
-        placed.groupBy("_part", "_chunk")
+        stored.groupBy(file)
         .agg(F.count(F.lit(1)).alias("rows"))
-        .select("_part", "_chunk", (F.sum("rows").over(in_order) - F.col("rows")).alias("_before"))
+        .select("_file", "rows", part.alias("part"), chunk.alias("chunk"))
+        .select("_file", (F.sum("rows").over(in_order) - F.col("rows")).alias("_before"))
     )
-    if len(stored.inputFiles()) <= MAX_FILES_TO_BROADCAST:
-        before = F.broadcast(before)
     return (
-        placed.join(before, ["_part", "_chunk"])
+        placed.join(F.broadcast(before), "_file")
         .withColumn(name, F.col("_before") + F.col("_place") + 1 + F.lit(start))
-        .drop("_part", "_chunk", "_before", "_place")
+        .drop("_file", "_before", "_place")
     )
 
 

@@ -1,8 +1,10 @@
 """Row rules: typed columns, broken rules, reports and the valid/rejected split."""
 
+from decimal import Decimal
+
 from pyspark.sql import functions as F
 
-from tillroll.functions.text import cell_choice, cell_date, cell_id, cell_number
+from tillroll.functions.text import cell_choice, cell_date, cell_exact, cell_id, cell_number
 from tillroll.schema import (
     CATEGORIES,
     CLEAN_SCHEMA,
@@ -15,7 +17,12 @@ from tillroll.schema import (
     RULE_NAMES,
     SOURCE_COLUMNS,
 )
-from tillroll.sources.transactions import header_errors
+from tillroll.sources.transactions import RAGGED, header_errors
+
+# What the columns of the fact hold: INT and DECIMAL(10,2).
+TOO_MANY = 2**31
+HIGHEST_PRICE = Decimal("99999999.99")
+EXACT = ["age", "quantity", "price"]
 
 
 def _fails(test):
@@ -31,16 +38,18 @@ def _wrong_prefix(column, letter):
 def row_rules():
     """``(rule name, condition that is true when broken)`` over the typed columns."""
     c = {name: F.col(f"_{name}") for name in SOURCE_COLUMNS}
+    # Bounds hold for the numbers as they were written, not as they are kept.
+    x = {name: F.col(f"_exact_{name}") for name in EXACT}
     broken = [
         c["invoice_no"].isNull(),
         _wrong_prefix(c["invoice_no"], "I"),
         c["customer_id"].isNull(),
         _wrong_prefix(c["customer_id"], "C"),
         _fails(c["gender"].isin(GENDERS)),
-        _fails(c["age"].between(MIN_AGE, MAX_AGE)),
+        _fails(x["age"].between(MIN_AGE, MAX_AGE)),
         _fails(c["category"].isin(CATEGORIES)),
-        _fails(c["quantity"] > 0),
-        _fails(c["price"] > 0),
+        _fails((x["quantity"] > 0) & (x["quantity"] < TOO_MANY)),
+        _fails((x["price"] > 0) & (F.round(c["price"], 2) <= F.lit(HIGHEST_PRICE))),
         _fails(c["payment_method"].isin(PAYMENT_METHODS)),
         c["invoice_date"].isNull(),
         _fails(c["shopping_mall"].isin(MALLS)),
@@ -52,8 +61,8 @@ def typed_columns(rows, date_format=DATE_FORMAT):
     """Add one typed column per source column, named with a leading underscore,
     and ``_row_id``, which rises in reading order.
 
-    Numbers are read as exact decimals as wide as the table columns they end
-    in, so ``NaN``, infinities and overflows are NULL and break their rule.
+    Numbers are read twice: unrounded, for the rules, and as decimals, for the
+    tables. ``NaN``, infinities and what no column can hold break their rule.
     """
     readers = {
         "invoice_no": cell_id,
@@ -62,21 +71,26 @@ def typed_columns(rows, date_format=DATE_FORMAT):
         "category": lambda c: cell_choice(c, CATEGORIES),
         "payment_method": lambda c: cell_choice(c, PAYMENT_METHODS),
         "shopping_mall": lambda c: cell_choice(c, MALLS),
-        "age": lambda c: cell_number(c, "decimal(10,4)"),
-        "quantity": lambda c: cell_number(c, "decimal(16,6)"),
-        "price": lambda c: cell_number(c, "decimal(14,6)"),
+        "age": lambda c: cell_number(c, "decimal(20,9)"),
+        "quantity": lambda c: cell_number(c, "decimal(20,9)"),
+        "price": lambda c: cell_number(c, "decimal(18,9)"),
         "invoice_date": lambda c: cell_date(c, date_format),
     }
     columns = {f"_{c}": readers[c](c) for c in SOURCE_COLUMNS}
+    columns |= {f"_exact_{c}": cell_exact(c) for c in EXACT}
     return rows.withColumns({**columns, "_row_id": F.monotonically_increasing_id()})
 
 
 def check_rows(rows, date_format=DATE_FORMAT):
-    """Raw and typed columns plus ``_errors``, the broken rules joined by commas."""
-    return typed_columns(rows, date_format).withColumn(
-        "_errors",
-        F.concat_ws(",", *[F.when(broken, F.lit(name)) for name, broken in row_rules()]),
-    )
+    """Raw and typed columns plus ``_errors``, the broken rules joined by commas.
+
+    A row whose line did not have ten cells has the error ``ragged_row`` before
+    them; it is no rule of its own in the summary.
+    """
+    broken = [F.when(test, F.lit(name)) for name, test in row_rules()]
+    if RAGGED in rows.columns:
+        broken.insert(0, F.when(F.col(RAGGED), F.lit("ragged_row")))
+    return typed_columns(rows, date_format).withColumn("_errors", F.concat_ws(",", *broken))
 
 
 def clean_columns():
@@ -156,7 +170,7 @@ def validate(rows, columns=None, date_format=DATE_FORMAT):
     ``columns`` are the names found in the file, by default those of ``rows``.
     """
     if columns is None:
-        columns = rows.columns
+        columns = [c for c in rows.columns if c != RAGGED]
     errors = header_errors(columns)
     if errors:
         total = rows.count()

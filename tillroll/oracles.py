@@ -5,6 +5,7 @@ starts with the same feed and applies the row rules and lookups in SQL.
 Decimals come out as doubles and dates as text, as in ``registry.plain``.
 """
 
+from tillroll.functions.text import WHITE_SPACE
 from tillroll.schema import (
     AGE_GROUPS,
     CATEGORIES,
@@ -12,13 +13,13 @@ from tillroll.schema import (
     MALLS,
     MAX_AGE,
     MIN_AGE,
+    MONTHS,
     NULL_TOKENS,
     PAYMENT_METHODS,
     RULE_NAMES,
     SEEDS,
     SOURCE_COLUMNS,
 )
-from tillroll.plans.reports import MONTHS
 from tillroll.registry import REPORT_MALL
 from tillroll.sources.order_feed import HOLIDAY_MONTH_DAYS
 
@@ -59,14 +60,19 @@ feed AS (
   SELECT CASE fault WHEN 0 THEN NULL WHEN 1 THEN 'X' || l_orderkey ELSE invoice_no END
            AS invoice_no,
          CASE fault WHEN 2 THEN NULL WHEN 3 THEN 'K' || o_custkey WHEN 16 THEN 'N/A'
+              WHEN 17 THEN customer_id || chr(133) WHEN 18 THEN customer_id || chr(8232)
+              WHEN 19 THEN customer_id || chr(10)
               ELSE customer_id END AS customer_id,
          CASE fault WHEN 4 THEN 'Unstated' WHEN 12 THEN '' WHEN 13 THEN '  ' || gender || ' '
               ELSE gender END AS gender,
-         CASE fault WHEN 5 THEN '150' ELSE age END AS age,
+         CASE fault WHEN 5 THEN '150' WHEN 20 THEN '120.00004' WHEN 21 THEN '0.99996'
+              ELSE age END AS age,
          CASE fault WHEN 6 THEN 'Garden' WHEN 13 THEN '  ' || category || ' '
               ELSE category END AS category,
-         CASE fault WHEN 7 THEN '0' WHEN 15 THEN quantity || '.5' ELSE quantity END AS quantity,
-         CASE fault WHEN 8 THEN '-1.00' WHEN 12 THEN 'NaN' ELSE price END AS price,
+         CASE fault WHEN 7 THEN '0' WHEN 15 THEN quantity || '.5' WHEN 22 THEN '0.0000001'
+              WHEN 23 THEN '3000000000' WHEN 25 THEN '2000000' ELSE quantity END AS quantity,
+         CASE fault WHEN 8 THEN '-1.00' WHEN 12 THEN 'NaN' WHEN 24 THEN '99999999.999'
+              WHEN 25 THEN '99999999.00' ELSE price END AS price,
          CASE fault WHEN 9 THEN 'Voucher' WHEN 13 THEN '  ' || payment_method || ' '
               ELSE payment_method END AS payment_method,
          CASE fault WHEN 10 THEN '31/02/1996' WHEN 14 THEN padded_date
@@ -77,10 +83,21 @@ feed AS (
 )"""
 
 
+_WHITE = " || ".join(f"chr({ord(c)})" for c in WHITE_SPACE)
+
+
+def _exact(column):
+    """The number as written, NULL unless it is a finite one."""
+    return (
+        f"CASE WHEN TRY_CAST({_cell(column)} AS DECIMAL(38,18)) IS NOT NULL "
+        f"THEN TRY_CAST({_cell(column)} AS DOUBLE) END"
+    )
+
+
 def _cell(column):
     return (
         f"CASE WHEN {column} NOT IN ({_listing(NULL_TOKENS)}) "
-        f"THEN regexp_replace({column}, '^\\s+|\\s+$', '', 'g') END"
+        f"THEN trim({column}, {_WHITE}) END"
     )
 
 
@@ -90,10 +107,10 @@ _CONDITIONS = [
     "t_customer_id IS NULL",
     "t_customer_id IS NOT NULL AND left(t_customer_id, 1) <> 'C'",
     f"t_gender IS NULL OR t_gender NOT IN ({_listing(GENDERS)})",
-    f"t_age IS NULL OR t_age < {MIN_AGE} OR t_age > {MAX_AGE}",
+    f"x_age IS NULL OR x_age < {MIN_AGE} OR x_age > {MAX_AGE}",
     f"t_category IS NULL OR t_category NOT IN ({_listing(CATEGORIES)})",
-    "t_quantity IS NULL OR t_quantity <= 0",
-    "t_price IS NULL OR t_price <= 0",
+    "x_quantity IS NULL OR x_quantity <= 0 OR x_quantity >= 2147483648",
+    "x_price IS NULL OR x_price <= 0 OR t_price IS NULL OR round(t_price, 2) > 99999999.99",
     f"t_payment_method IS NULL OR t_payment_method NOT IN ({_listing(PAYMENT_METHODS)})",
     "t_invoice_date IS NULL",
     f"t_shopping_mall IS NULL OR t_shopping_mall NOT IN ({_listing(MALLS)})",
@@ -111,10 +128,11 @@ typed AS (
          {_cell("invoice_no")} AS t_invoice_no,
          {_cell("customer_id")} AS t_customer_id,
          {_cell("gender")} AS t_gender,
-         TRY_CAST({_cell("age")} AS DECIMAL(10,4)) AS t_age,
+         {_exact("age")} AS x_age, {_exact("quantity")} AS x_quantity,
+         {_exact("price")} AS x_price,
          {_cell("category")} AS t_category,
-         TRY_CAST({_cell("quantity")} AS DECIMAL(16,6)) AS t_quantity,
-         TRY_CAST({_cell("price")} AS DECIMAL(14,6)) AS t_price,
+         TRY_CAST({_cell("quantity")} AS DECIMAL(20,9)) AS t_quantity,
+         TRY_CAST({_cell("price")} AS DECIMAL(18,9)) AS t_price,
          {_cell("payment_method")} AS t_payment_method,
          CAST(try_strptime({_cell("invoice_date")}, '%d/%m/%Y') AS DATE) AS t_invoice_date,
          {_cell("shopping_mall")} AS t_shopping_mall
@@ -123,7 +141,7 @@ typed AS (
 checked AS (SELECT *, {_BROKEN} FROM typed),
 clean AS (
   SELECT t_invoice_no AS invoice_no, t_customer_id AS customer_id, t_gender AS gender,
-         CAST(trunc(t_age) AS INTEGER) AS age, t_category AS category,
+         CAST(trunc(x_age) AS INTEGER) AS age, t_category AS category,
          t_quantity AS quantity, t_price AS price, t_payment_method AS payment_method,
          t_invoice_date AS invoice_date, t_shopping_mall AS shopping_mall
   FROM checked WHERE NOT ({_ANY})
@@ -170,7 +188,7 @@ sales AS (
          list_position([{_listing(PAYMENT_METHODS)}], c.payment_method) AS payment_key,
          CAST(trunc(c.quantity) AS INTEGER) AS quantity,
          CAST(c.price AS DECIMAL(10,2)) AS price,
-         CAST(c.quantity * c.price AS DECIMAL(12,2)) AS total_amount
+         CAST(c.quantity * c.price AS DECIMAL(20,2)) AS total_amount
   FROM clean c
   JOIN days d ON d.full_date = c.invoice_date
   JOIN people p ON p.customer_id = c.customer_id
@@ -191,7 +209,7 @@ favourite_payments AS (
 ),
 totals AS (
   SELECT date_key, store_key, shopping_mall, full_date, sum(total_amount) AS revenue,
-         CAST(sum(total_amount) * 100 AS BIGINT) AS cents, count(*) AS n,
+         CAST(sum(total_amount) * 100 AS HUGEINT) AS cents, count(*) AS n,
          count(DISTINCT customer_id) AS shoppers
   FROM sales GROUP BY date_key, store_key, shopping_mall, full_date
 ),
@@ -298,7 +316,7 @@ def oracle_sql():
         # An empty cell and a missing one look alike in a CSV file.
         "csv_transactions": _with(FEED, f"SELECT {_NULLED} FROM feed"),
         "file_profile": _with(
-            FEED, "SELECT count(*) > 0 AS valid, count(*) AS rows, 10 AS columns FROM feed"
+            FEED, "SELECT count(*) > 0 AS valid, count(*) AS rows, 10 AS columns, count(*) > 0 AS has_bytes FROM feed"
         ),
         "head_sample": _with(
             FEED,

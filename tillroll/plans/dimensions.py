@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from tillroll.functions.calendar import date_key, iso_weekday, season
 from tillroll.functions.people import age_group
 from tillroll.operators.joins import broadcast_within
-from tillroll.schema import SEEDS, TABLES, conform
+from tillroll.schema import GENDERS, SEEDS, TABLES, conform
 from tillroll.sources.holidays import holiday_dates
 
 # Ten thousand years of a holiday every day would not reach this.
@@ -44,8 +44,10 @@ def customer_batch(clean):
     map-side half of it shrinks a customer with very many rows to one row per
     task.
     """
-    # Ages are 1 to 120 and genders 0 or 1 once the rules have passed.
-    profile = F.col("age").cast("long") * 2 + (F.col("gender") == "Male").cast("long")
+    # A gender is its place in the list, from 1; the rules have passed no other.
+    listed = F.array(*[F.lit(g) for g in GENDERS])
+    base = len(GENDERS) + 1
+    profile = F.col("age").cast("long") * base + F.array_position(listed, F.col("gender"))
     known = F.col("age").isNotNull() & F.col("gender").isNotNull()
     grouped = clean.groupBy("customer_id").agg(
         F.min_by(F.when(known, profile), F.when(known, F.col("_row_id"))).alias("_profile"),
@@ -55,10 +57,9 @@ def customer_batch(clean):
     )
     return grouped.select(
         "customer_id",
-        F.when(F.col("_profile") % 2 == 1, "Male").when(F.col("_profile") % 2 == 0, "Female")
-        .alias("gender"),
-        F.floor(F.col("_profile") / 2).cast("int").alias("age"),
-        age_group(F.floor(F.col("_profile") / 2)).alias("age_group"),
+        F.get(listed, (F.col("_profile") % base - 1).cast("int")).alias("gender"),
+        F.floor(F.col("_profile") / base).cast("int").alias("age"),
+        age_group(F.floor(F.col("_profile") / base)).alias("age_group"),
         "first_purchase_date",
         "last_purchase_date",
         "total_transactions",

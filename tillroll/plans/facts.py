@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from tillroll.functions.calendar import date_key
 from tillroll.operators.joins import top_by
-from tillroll.schema import SEEDS
+from tillroll.schema import SEEDS, TABLES
 
 FOUND = ["customer_key", "product_key", "store_key", "payment_key", "is_holiday", "is_weekend"]
 
@@ -21,7 +21,7 @@ def keyed_sales(clean, dims):
     rows = clean.withColumns(
         {
             "date_key": date_key(F.col("invoice_date")),
-            "total_amount": (F.col("quantity") * F.col("price")).cast("decimal(12,2)"),
+            "total_amount": (F.col("quantity") * F.col("price")).cast("decimal(20,2)"),
             "price": F.col("price").cast("decimal(10,2)"),
             # A fraction counts towards the amount but is cut from the quantity.
             "quantity": F.col("quantity").cast("int"),
@@ -34,11 +34,6 @@ def keyed_sales(clean, dims):
     return rows.join(customers, "customer_id", "left")
 
 
-def transform_transactions(rows):
-    """The rows as they are, for callers of this older name."""
-    return rows
-
-
 def missing_keys(sales):
     """Rows of :func:`keyed_sales` for which a dimension had no entry."""
     found = F.lit(True)
@@ -54,19 +49,8 @@ def require_keys(sales):
         raise KeyError(f"no dimension entry for some rows, such as {examples}")
 
 
-FACT_COLUMNS = [
-    "invoice_no",
-    "date_key",
-    "customer_key",
-    "product_key",
-    "store_key",
-    "payment_key",
-    "quantity",
-    "price",
-    "total_amount",
-    "is_holiday",
-    "is_weekend",
-]
+# All columns but the number, which the load gives out.
+FACT_COLUMNS = [c for c in TABLES["fact_sales"].names if c != "sale_id"]
 
 
 def fact_sales(clean, dims):
@@ -96,7 +80,7 @@ def daily_summary(sales, dims):
     ).agg(F.sum("revenue").alias("revenue"), F.sum("rows").alias("rows"))
     per_product = F.col("product_key").isNotNull()
     totals = levels.groupBy(group).agg(
-        F.sum(F.when(per_product, F.col("revenue"))).cast("decimal(14,2)").alias("total_revenue"),
+        F.sum(F.when(per_product, F.col("revenue"))).cast("decimal(30,2)").alias("total_revenue"),
         F.sum(F.when(per_product, F.col("rows"))).alias("total_transactions"),
         top_by("revenue", "product_key").alias("product_key"),
         top_by("rows", "payment_key").alias("payment_key"),
@@ -117,7 +101,7 @@ def daily_summary(sales, dims):
             "total_revenue",
             "total_transactions",
             (F.col("total_revenue") / F.col("total_transactions"))
-            .cast("decimal(10,2)")
+            .cast("decimal(20,2)")
             .alias("avg_transaction_value"),
             "unique_customers",
             F.col("category").alias("top_category"),

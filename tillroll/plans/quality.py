@@ -108,19 +108,6 @@ def fact_count_within(tables, low=94_000, high=100_000):
     )
 
 
-def column_check(tables):
-    """Tables whose columns or types differ from the declared ones."""
-    return {
-        table: [
-            (f.name, f.dataType.simpleString())
-            for f in tables[table].schema.fields
-        ]
-        for table, declared in TABLES.items()
-        if [(f.name, f.dataType) for f in tables[table].schema.fields]
-        != [(f.name, f.dataType) for f in declared.fields]
-    }
-
-
 def check_warehouse(tables):
     """All row checks as ``(check, violations)``."""
     rows = [

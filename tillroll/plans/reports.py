@@ -11,22 +11,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tillroll.functions.calendar import flag_label, month_period, quarter_period
-
-MONTHS = [
-    "January",
-    "February",
-    "March",
-    "April",
-    "May",
-    "June",
-    "July",
-    "August",
-    "September",
-    "October",
-    "November",
-    "December",
-]
-
+from tillroll.schema import MONTHS
 
 def _revenue():
     return F.sum("total_amount")

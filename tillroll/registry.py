@@ -24,6 +24,7 @@ from tillroll.sources.order_feed import order_feed, order_holidays
 from tillroll.sources.rejects import read_rejects, save_rejects
 from tillroll.sources.transactions import (
     CSV_WRITE_OPTIONS,
+    RAGGED,
     file_profile,
     head_sample,
     read_transactions,
@@ -47,7 +48,7 @@ def _kept_holidays(spark, sf_dir):
     """The calendar as a small saved file, so that using it never reads the orders."""
     folder = fresh_folder(spark, "holidays")
     calendars.save_holidays(order_holidays(spark, sf_dir), folder)
-    return calendars.read_saved_holidays(spark, folder)
+    return calendars.read_holidays(spark, folder)
 
 
 class Star:
@@ -128,12 +129,22 @@ def _clean_transactions(spark, sf_dir):
 
 
 def _csv_transactions(spark, sf_dir):
+    """The landed feed beside lines of twelve cells, which are told apart and left out."""
     folder = landed(spark, sf_dir)
-    return read_transactions(spark, f"{folder}/*").select(SOURCE_COLUMNS)
+    ragged = fresh_folder(spark, "ragged")
+    names = spark.read.parquet(f"{sf_dir}/nation.parquet").select("n_name")
+    lines = names.select(F.concat_ws(",", *["n_name"] * 12).alias("value"))
+    header = spark.createDataFrame([(",".join(SOURCE_COLUMNS),)], "value string")
+    header.unionByName(lines).coalesce(1).write.text(ragged)
+    rows = read_transactions(spark, [f"{folder}/*", ragged], multi_line=True)
+    return rows.where(~F.col(RAGGED)).select(SOURCE_COLUMNS)
 
 
 def _file_profile(spark, sf_dir):
-    return file_profile(spark, f"{landed(spark, sf_dir)}/*").drop("file_size_mb")
+    profile = file_profile(spark, f"{landed(spark, sf_dir)}/*", multi_line=True)
+    return profile.select(
+        "valid", "rows", "columns", (F.col("file_size_mb") > 0).alias("has_bytes")
+    )
 
 
 def _head_sample(spark, sf_dir):

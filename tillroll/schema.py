@@ -88,8 +88,21 @@ RULE_NAMES = [
     "invalid_invoice_date",
     "invalid_shopping_mall",
 ]
-# --- end of fixed values ----------------------------------------------------
 
+MONTHS = [
+    "January",
+    "February",
+    "March",
+    "April",
+    "May",
+    "June",
+    "July",
+    "August",
+    "September",
+    "October",
+    "November",
+    "December",
+]
 
 
 def _table(*columns):
@@ -101,21 +114,22 @@ _DATE, _FLAG = T.DateType(), T.BooleanType()
 
 RAW_SCHEMA = _table(*[(c, _TEXT) for c in SOURCE_COLUMNS])
 
-# Quantity and price keep six decimals until the amount is worked out; their
-# whole part is as wide as the INT and DECIMAL(10,2) columns they end in.
+# Quantity and price keep nine decimals until the amount is worked out; their
+# whole part holds what the INT and DECIMAL(10,2) columns they end in hold.
 CLEAN_SCHEMA = _table(
     ("invoice_no", _TEXT),
     ("customer_id", _TEXT),
     ("gender", _TEXT),
     ("age", _INT),
     ("category", _TEXT),
-    ("quantity", T.DecimalType(16, 6)),
-    ("price", T.DecimalType(14, 6)),
+    ("quantity", T.DecimalType(20, 9)),
+    ("price", T.DecimalType(18, 9)),
     ("payment_method", _TEXT),
     ("invoice_date", _DATE),
     ("shopping_mall", _TEXT),
 )
 
+# The largest amount of a row is 2**31 times 10**8; sums of them never overflow.
 TABLES = {
     "dim_time": _table(
         ("date_key", _INT),
@@ -154,7 +168,7 @@ TABLES = {
         ("payment_key", _INT),
         ("quantity", _INT),
         ("price", T.DecimalType(10, 2)),
-        ("total_amount", T.DecimalType(12, 2)),
+        ("total_amount", T.DecimalType(20, 2)),
         ("is_holiday", _FLAG),
         ("is_weekend", _FLAG),
     ),
@@ -162,15 +176,17 @@ TABLES = {
         ("summary_id", _LONG),
         ("date_key", _INT),
         ("store_key", _INT),
-        ("total_revenue", T.DecimalType(14, 2)),
+        ("total_revenue", T.DecimalType(30, 2)),
         ("total_transactions", _LONG),
-        ("avg_transaction_value", T.DecimalType(10, 2)),
+        ("avg_transaction_value", T.DecimalType(20, 2)),
         ("unique_customers", _LONG),
         ("top_category", _TEXT),
         ("top_payment_method", _TEXT),
     ),
 }
 
+# --- end of fixed values ----------------------------------------------------
+
 # Seeded dimensions: table -> (key column, natural column, values in key order).
 SEEDS = {
     "dim_product": ("product_key", "category", CATEGORIES),

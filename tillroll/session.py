@@ -8,7 +8,7 @@ from pyspark.sql import SparkSession
 _local_folders = {}
 
 
-def local_session(cpus="*", app="tillroll", memory="20g"):
+def local_session(cpus="*", app="tillroll", memory="8g"):
     """A single-machine session for tests and benchmarks."""
     slots = 8 if cpus == "*" else int(cpus)
     return (

@@ -17,22 +17,6 @@ def _pick(values, number):
     return F.element_at(F.array(*map(F.lit, values)), (number % len(values) + 1).cast("int"))
 
 
-# Below this a table in a single file would keep one core busy and idle the rest.
-SMALL_ROWS_PER_CORE = 250_000
-
-
-def _spread(rows):
-    """Deal the rows of a small table in few files out over all cores.
-
-    A large table passes unchanged. Rows go by the hash of their values, which
-    unlike dealing them in turn needs no sort.
-    """
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    if len(rows.inputFiles()) >= cores or rows.count() > cores * SMALL_ROWS_PER_CORE:
-        return rows
-    return rows.repartition(cores, *rows.columns)
-
-
 def order_feed(spark, sf_dir, with_faults=True):
     """Ten text columns, one row per line item."""
     lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(
@@ -69,14 +53,16 @@ def order_feed(spark, sf_dir, with_faults=True):
     }
     if with_faults:
         cells = _spoil(cells, day)
-    return _spread(lines).join(orders, "l_orderkey").join(parts, "l_partkey").select(
+    return lines.join(orders, "l_orderkey").join(parts, "l_partkey").select(
         [cell.alias(name) for name, cell in cells.items()]
     )
 
 
 def _spoil(cells, day):
     """Replace cells by case number: 0 to 11 break one rule each, 12 breaks two,
-    13 to 15 look odd but are valid, 16 hides a value behind a null token."""
+    13 to 15 look odd but are valid, 16 hides a value behind a null token, 17 to 19
+    put white space of all kinds behind an id, 20 to 24 hold numbers just inside or
+    outside what is allowed, 25 has a very large amount."""
     case = (F.col("l_orderkey") * 7 + F.col("l_linenumber")) % 101
     none = F.lit(None).cast("string")
 
@@ -85,15 +71,30 @@ def _spoil(cells, day):
 
     changes = {
         "invoice_no": {0: none, 1: F.concat(F.lit("X"), "l_orderkey")},
-        "customer_id": {2: none, 3: F.concat(F.lit("K"), "o_custkey"), 16: F.lit("N/A")},
+        "customer_id": {
+            2: none,
+            3: F.concat(F.lit("K"), "o_custkey"),
+            16: F.lit("N/A"),
+            17: F.concat(cells["customer_id"], F.lit("\u0085")),
+            18: F.concat(cells["customer_id"], F.lit("\u2028")),
+            19: F.concat(cells["customer_id"], F.lit("\n")),
+        },
         "gender": {4: F.lit("Unstated"), 12: F.lit(""), 13: padded("gender")},
-        "age": {5: F.lit("150")},
+        "age": {5: F.lit("150"), 20: F.lit("120.00004"), 21: F.lit("0.99996")},
         "category": {6: F.lit("Garden"), 13: padded("category")},
         "quantity": {
             7: F.lit("0"),
             15: F.concat(cells["quantity"], F.lit(".5")),
+            22: F.lit("0.0000001"),
+            23: F.lit("3000000000"),
+            25: F.lit("2000000"),
+        },
+        "price": {
+            8: F.lit("-1.00"),
+            12: F.lit("NaN"),
+            24: F.lit("99999999.999"),
+            25: F.lit("99999999.00"),
         },
-        "price": {8: F.lit("-1.00"), 12: F.lit("NaN")},
         "payment_method": {9: F.lit("Voucher"), 13: padded("payment_method")},
         "invoice_date": {10: F.lit("31/02/1996"), 14: F.date_format(day, "dd/MM/yyyy")},
         "shopping_mall": {11: F.lit("Harbour Arcade"), 13: padded("shopping_mall")},

@@ -1,4 +1,4 @@
-"""Rejected rows, kept as CSV files next to the rules they broke."""
+"""Rejected rows, kept as CSV files with the ten cells as they came."""
 
 from tillroll.schema import RAW_SCHEMA, SOURCE_COLUMNS
 from tillroll.sources.transactions import CSV_OPTIONS, CSV_WRITE_OPTIONS

@@ -1,10 +1,17 @@
 """Transaction CSV files: reading, header check, file profile, head sample."""
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tillroll.schema import RAW_SCHEMA, SOURCE_COLUMNS
 
-CSV_OPTIONS = {"header": True, "escape": '"', "enforceSchema": False}
+# Columns are not pruned while parsing: only whole lines show how many cells they have.
+CSV_OPTIONS = {"header": True, "escape": '"', "enforceSchema": False, "columnPruning": False}
+
+# True for a line that has more or fewer than ten cells.
+RAGGED = "_ragged"
+_LINE = "_line"
+_CSV_SCHEMA = T.StructType([*RAW_SCHEMA.fields, T.StructField(_LINE, T.StringType())])
 
 # Spark's CSV writer trims cells unless told not to.
 CSV_WRITE_OPTIONS = {
@@ -26,14 +33,23 @@ def check_location(source, path):
         raise ValueError(f"a path is required when source={source}")
 
 
-def read_transactions(spark, path, source="local"):
-    """The files' ten columns as text.
+def read_transactions(spark, path, source="local", multi_line=False):
+    """The files' ten columns as text, and whether a line had another number of cells.
 
-    Nothing is converted here: the row rules need the text as it was written.
-    A file whose header differs from the ten names stops the read.
+    Nothing is converted here: the row rules need the text as it was written. A
+    file whose header differs from the ten names stops the read. With
+    ``multi_line`` a quoted cell may hold line breaks; such files cannot be split,
+    so one task reads each of them.
     """
     check_location(source, path)
-    return spark.read.schema(RAW_SCHEMA).options(**CSV_OPTIONS).csv(path)
+    rows = (
+        spark.read.schema(_CSV_SCHEMA)
+        .options(**CSV_OPTIONS)
+        .option("columnNameOfCorruptRecord", _LINE)
+        .option("multiLine", multi_line)
+        .csv(path)
+    )
+    return rows.select(*SOURCE_COLUMNS, F.col(_LINE).isNotNull().alias(RAGGED))
 
 
 def header_of(spark, path):
@@ -41,6 +57,39 @@ def header_of(spark, path):
     return spark.read.option("header", True).option("escape", '"').csv(path).columns
 
 
+def header_report(spark, path):
+    """One row per file: ``path``, ``columns`` found, ``errors`` (empty when in order).
+
+    Only the first block of each file is read, and only its first line kept.
+    """
+    lines = (
+        spark.read.text(path)
+        .select("value", "_metadata.file_path", "_metadata.file_block_start")
+        .where("file_block_start = 0")
+        .withColumn("place", F.monotonically_increasing_id())
+    )
+    first = lines.groupBy(F.col("file_path").alias("path")).agg(
+        F.min_by("value", "place").alias("line")
+    )
+    outside_quotes = ',(?=(?:[^"]*"[^"]*")*[^"]*$)'
+    cells = F.transform(
+        F.split(F.btrim("line", F.lit("\ufeff\r")), outside_quotes),
+        lambda cell: F.btrim(cell, F.lit('"')),
+    )
+    found = F.size("cells")
+    expected = F.array(*[F.lit(c) for c in SOURCE_COLUMNS])
+    wrong_number = F.concat(F.lit(f"expected_{len(SOURCE_COLUMNS)}_columns_got_"), found)
+    return first.select("path", cells.alias("cells")).select(
+        "path",
+        found.alias("columns"),
+        F.concat_ws(
+            ",",
+            F.when(found != len(SOURCE_COLUMNS), wrong_number),
+            F.when(F.col("cells") != expected, "column_names_mismatch"),
+        ).alias("errors"),
+    )
+
+
 def header_errors(columns):
     """What is wrong with a header: its length, its names or order, or nothing."""
     errors = []
@@ -51,44 +100,66 @@ def header_errors(columns):
     return errors
 
 
-def source_id(spark, path):
-    """A short id of the files at ``path``, from their names, sizes and times.
+def file_listing(spark, path):
+    """``path`` and ``file_id`` of the files at a path; no content is read."""
+    return identified(spark.read.format("binaryFile").load(path))
 
-    The same files give the same id; only the file listing is used.
-    """
-    files = spark.read.format("binaryFile").load(path)
-    marks = F.xxhash64("path", "length", "modificationTime").cast("decimal(38,0)")
+
+def identified(files):
+    """Listed files with an id made of name, size and time: a changed file has another."""
+    return files.select(
+        "path", F.md5(F.concat_ws("|", "path", "length", "modificationTime")).alias("file_id")
+    )
+
+
+def source_id(files):
+    """A short id of listed files; the same files give the same id."""
+    marks = F.xxhash64("file_id").cast("decimal(38,0)")
     return files.agg(
         F.substr(F.md5(F.concat_ws("/", F.count("path"), F.sum(marks))), F.lit(1), F.lit(12))
     ).first()[0]
 
 
-def file_profile(spark, path):
+def file_profile(spark, path, multi_line=False):
     """One row on a CSV path: valid, rows, columns, file_size_mb.
 
-    Sizes come from the file listing; no file content is fetched for them.
+    Every file's header must be in order. Sizes come from the file listing; no
+    file content is fetched for them.
     """
-    header = header_of(spark, path)
-    well_formed = not header_errors(header)
-    rows = spark.read.option("header", True).option("escape", '"').csv(path)
+    headers = header_report(spark, path).agg(
+        F.max("columns").alias("columns"), F.count_if(F.col("errors") != "").alias("wrong")
+    ).first()
+    well_formed, header = not headers["wrong"], headers["columns"] or 0
+    plain = {"header": True, "escape": '"', "multiLine": multi_line}
+    rows = spark.read.options(**plain).csv(path)
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(path)
     bytes_held = files.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
     return rows.agg(F.count(F.lit(1)).alias("rows")).select(
         (F.lit(well_formed) & (F.col("rows") > 0)).alias("valid"),
         "rows",
-        F.lit(len(header)).alias("columns"),
+        F.lit(header).alias("columns"),
         F.lit(round(bytes_held / (1024 * 1024), 4)).alias("file_size_mb"),
     )
 
 
 def head_sample(rows, n=100, order_by=None):
-    """The first ``n`` rows in the given order, by default in reading order.
+    """The first ``n`` rows in the given order.
 
-    Each task keeps its own first ``n``; only those are merged.
+    By default that is the order of the files by path and of the lines in them,
+    for rows read from files. Each task keeps its own first ``n``; only those are
+    merged.
     """
-    if order_by is None:
-        order_by = F.monotonically_increasing_id()
-    return rows.orderBy(order_by).limit(n)
+    if order_by is not None:
+        return rows.orderBy(order_by).limit(n)
+    if not rows.inputFiles():
+        return rows.orderBy(F.monotonically_increasing_id()).limit(n)
+    place = F.struct(
+        F.input_file_name().alias("path"),
+        F.input_file_block_start().alias("block"),
+        F.monotonically_increasing_id().alias("line"),
+    )
+    placed = rows.withColumn("_place", place)
+    return placed.orderBy("_place").limit(n).drop("_place")
 
 
 def write_csv(rows, path, mode="errorifexists"):
