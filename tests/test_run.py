@@ -38,12 +38,22 @@ def test_run_and_dry_run(spark, csv_file, json_file, tmp_path):
     assert [r.invoice_no for r in sales] == ["I1", "I3", "I4"]
 
     again = run(spark, csv, calendar, root, rejects_root=rejects)
-    assert again["counts"] == full["counts"] and again["load_id"] == full["load_id"]
+    assert again["counts"] == full["counts"] and again["files"] == 0
+    # Nothing of the work is left but what the tables need.
+    data = {p.name.split("-")[0] for p in (tmp_path / "w" / "data").iterdir()}
+    assert not data & {"staged", "customers", "new", "summary", "touched", "days"}
 
-    more = run(spark, csv_file("more.csv", ROWS[0]), calendar, root, rejects_root=rejects)
-    assert more["counts"]["fact_sales"] == 4
+    # A glob that gains a file loads that file only.
+    csv_file("more.csv", ROWS[0])
+    more = run(spark, str(tmp_path / "*.csv"), calendar, root, rejects_root=rejects)
+    assert (more["files"], more["counts"]["fact_sales"]) == (1, 4)
     assert more["counts"]["dim_customer"] == 2
 
+    # An explicit id replaces what it had loaded.
+    for _ in range(2):
+        named = run(spark, csv_file("named.csv", ROWS[0]), calendar, root, load_id="mine")
+        assert named["counts"]["fact_sales"] == 5
+
 
 def test_failures_are_reported(spark, csv_file, json_file, tmp_path):
     calendar = json_file("h.json", [])
@@ -51,6 +61,10 @@ def test_failures_are_reported(spark, csv_file, json_file, tmp_path):
     wrong = run(spark, csv, calendar, str(tmp_path / "w"))
     assert (wrong["status"], wrong["failed_step"]) == ("failed", "validate")
     assert "schema_errors" in wrong["error"]
+    csv_file("good.csv", ROWS[0])
+    mixed = run(spark, str(tmp_path / "*.csv"), calendar, str(tmp_path / "w"))
+    assert mixed["status"] == "success" and mixed["counts"]["fact_sales"] == 1
+    assert [p[-9:] for p in mixed["rejected_files"]] == ["short.csv"]
     missing = run(spark, str(tmp_path / "none.csv"), calendar, str(tmp_path / "w"))
     assert (missing["status"], missing["failed_step"]) == ("failed", "read")
     bad = run(spark, csv_file("in.csv", {}), calendar, str(tmp_path / "w"), source="ftp")
@@ -72,20 +86,45 @@ def test_stream_takes_each_file_once(spark, warehouse, csv_file, holidays, tmp_p
     people = {r.customer_id: r for r in warehouse.read("dim_customer").collect()}
     assert people["C9"].total_transactions == 3
     assert str(people["C9"].first_purchase_date) == "2022-03-06"
-    rejected = read_rejects(spark, f"{warehouse.root}/rejected/load_id=stream-0000000000")
+    folders = list((tmp_path / "warehouse" / "rejected").glob("load_id=stream-*-0000000000"))
+    rejected = read_rejects(spark, str(folders[0]))
     assert [r.invoice_no for r in rejected.collect()] == ["I2"]
 
 
+def test_two_streams_under_one_name(spark, warehouse, csv_file, holidays, tmp_path):
+    csv_file("one/a.csv", ROWS[0], ROWS[2])
+    csv_file("two/b.csv", ROWS[3])
+    for folder in ("one", "two", "one"):
+        ingest_new_files(warehouse, str(tmp_path / folder), holidays, str(tmp_path / f"c-{folder}"))
+    assert warehouse.read("fact_sales").count() == 3
+    # A checkpoint that starts anew finds its files loaded.
+    ingest_new_files(warehouse, str(tmp_path / "one"), holidays, str(tmp_path / "c-new"))
+    assert warehouse.read("fact_sales").count() == 3
+
+
+def test_a_bad_file_is_set_aside_alone(spark, warehouse, csv_file, holidays, tmp_path):
+    landing, checkpoint = str(tmp_path / "in"), str(tmp_path / "c")
+    csv_file("in/a.csv", ROWS[0])
+    csv_file("in/bad.csv", {}, header=["a", "b"])
+    ingest_new_files(warehouse, landing, holidays, checkpoint)
+    assert warehouse.read("fact_sales").count() == 1
+    csv_file("in/c.csv", ROWS[2])
+    ingest_new_files(warehouse, landing, holidays, checkpoint)
+    assert warehouse.read("fact_sales").count() == 2
+    wrong = spark.read.json(str(tmp_path / "warehouse" / "rejected" / "wrong_files" / "*"))
+    assert [r.path[-7:] for r in wrong.collect()] == ["bad.csv"]
+
+
 def test_command_line(spark, csv_file, json_file, tmp_path, capsys):
     root = str(tmp_path / "w")
-    assert main(["setup", "--warehouse", root, "--verify"]) == 1
-    assert main(["setup", "--warehouse", root, "--no-seed"]) == 0
+    assert main(["tables", "check", "--warehouse", root]) == 1
+    assert main(["tables", "create", "--warehouse", root, "--empty"]) == 0
     assert Warehouse(spark, root).read("dim_store").count() == 0
-    assert main(["setup", "--warehouse", root, "--seed"]) == 0
-    assert main(["setup", "--warehouse", root, "--verify"]) == 0
+    assert main(["tables", "seed", "--warehouse", root]) == 0
+    assert main(["tables", "check", "--warehouse", root]) == 0
     given = ["run", "--csv", csv_file("in.csv", *ROWS), "--warehouse", root, "--holidays"]
     assert main([*given, json_file("h.json", [])]) == 0
     assert '"fact_sales": 3' in capsys.readouterr().out
     assert main([*given, str(tmp_path / "none.json")]) == 1
-    assert main(["setup", "--warehouse", root, "--drop"]) == 0
+    assert main(["tables", "drop", "--warehouse", root]) == 0
     assert not Warehouse(spark, root).exists("fact_sales")

@@ -111,6 +111,38 @@ def test_repeating_a_load_replaces_it(warehouse, feed, holidays):
     assert warehouse.read("fact_sales").count() == 4
 
 
+def folders(warehouse, table):
+    return {part: path for (name, part), (path, _) in warehouse._current.items() if name == table}
+
+
+def test_a_small_load_rewrites_its_parts_only(spark, warehouse, feed, holidays):
+    many = [{"customer_id": f"C{i}", "invoice_date": f"1/{i % 12 + 1}/2022"} for i in range(200)]
+    put(warehouse, feed(*many), holidays, "a")
+    before = {t: folders(warehouse, t) for t in ("dim_customer", "fact_daily_summary")}
+    put(warehouse, feed({"customer_id": "C5", "invoice_date": "2/6/2022"}), holidays, "b")
+    after = {t: folders(warehouse, t) for t in before}
+    changed = {t: [p for p in after[t] if p and after[t][p] != before[t].get(p)] for t in before}
+    assert len(changed["dim_customer"]) == 1
+    assert changed["fact_daily_summary"] == ["part-202206"]
+    assert warehouse.read("dim_customer").count() == 200
+
+
+def test_a_late_row_reads_its_month_only(warehouse, feed, holidays):
+    put(warehouse, feed(*[{"invoice_date": f"3/{m}/2022"} for m in range(1, 13)]), holidays, "a")
+    sales = warehouse.sales_of_months(warehouse.paths("fact_sales"), [202204])
+    plan = sales._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(sale_month" in plan
+    assert len(sales.inputFiles()) == 12 and sales.count() == 1
+    assert {r.date_key for r in sales.collect()} == {20220403}
+
+
+def test_a_table_whose_folder_is_gone_does_not_exist(warehouse):
+    assert warehouse.exists("dim_store")
+    for path in warehouse.paths("dim_store"):
+        warehouse.remove(path)
+    assert not warehouse.exists("dim_store")
+
+
 def test_a_failed_load_changes_nothing(spark, warehouse, feed, holidays):
     put(warehouse, feed(*FIRST), holidays, "a")
     version = warehouse.version

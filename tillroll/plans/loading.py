@@ -13,6 +13,7 @@ from tillroll.operators.rules import check_rows, clean_columns, report_of
 from tillroll.operators.upsert import insert_absent, upsert
 from tillroll.plans.dimensions import customer_batch, dim_time
 from tillroll.plans.facts import daily_summary, keyed_sales, require_keys
+from tillroll.plans.warehouse import LOADED_FILES
 from tillroll.schema import CLEAN_SCHEMA, DATE_FORMAT, RAW_SCHEMA, SEEDS, TABLES
 
 _STAGED = T.StructType(
@@ -28,6 +29,17 @@ _STAGED = T.StructType(
 # Nearly three centuries of days.
 MAX_DATES_TO_BROADCAST = 100_000
 
+# Folders of the customer table; a load rewrites those it has customers in.
+CUSTOMER_BUCKETS = 64
+
+
+def bucket_of(customer_id):
+    return F.pmod(F.xxhash64(customer_id), F.lit(CUSTOMER_BUCKETS)).cast("int")
+
+
+def month_of(day_key):
+    return F.expr(f"{day_key} div 100").cast("int")
+
 
 class Staged:
     """Checked rows of one load, written once: typed valid rows, raw rejected ones.
@@ -75,18 +87,20 @@ def stage(rows, path, date_format=DATE_FORMAT):
     return Staged(rows.sparkSession, path)
 
 
-def load(warehouse, staged, holidays, load_id, legacy_holiday_parse=False):
+def load(warehouse, staged, holidays, load_id, legacy_holiday_parse=False, files=None):
     """Load staged rows under ``load_id`` and publish all tables at once.
 
-    Loading an id again replaces what it had loaded. Returns rows and seconds
-    per table with ``status`` and ``error``; a failed load changes nothing.
+    Loading an id again replaces what it had loaded; its new rows get new ids, so
+    the ids of the replaced ones stay unused. ``files`` (``path``, ``file_id``) are
+    remembered as loaded. Returns rows and seconds per table with ``status`` and
+    ``error``; a failed load changes nothing.
     """
     result = {
         table: {"rows": 0}
         for table in ["dim_time", "dim_customer", "fact_sales", "fact_daily_summary"]
     }
     result.update(status="failed", error=None)
-    work = _Load(warehouse, staged, holidays, load_id, legacy_holiday_parse)
+    work = _Load(warehouse, staged, holidays, load_id, legacy_holiday_parse, files)
 
     def run(table):
         start = time.perf_counter()
@@ -103,6 +117,8 @@ def load(warehouse, staged, holidays, load_id, legacy_holiday_parse=False):
             work.recount_customers()
         warehouse.publish(work.entries())
         result["status"] = "success"
+        for path in work.scratch:
+            warehouse.remove(path)
     except Exception as problem:
         result["error"] = f"{type(problem).__name__}: {problem}"
     return result
@@ -111,119 +127,156 @@ def load(warehouse, staged, holidays, load_id, legacy_holiday_parse=False):
 class _Load:
     """One load under way: what it has written so far, and what that will replace."""
 
-    def __init__(self, warehouse, staged, holidays, load_id, legacy_holiday_parse):
+    def __init__(self, warehouse, staged, holidays, load_id, legacy_holiday_parse, files):
         self.warehouse = warehouse
         self.spark = warehouse.spark
         self.staged = staged
         self.holidays = holidays
         self.load_id = load_id
         self.legacy_holiday_parse = legacy_holiday_parse
+        self.files = files
         self.again = warehouse.has_load(load_id)
+        # (table, part) -> (folder, last key): what will be published.
         self.written = {}
+        self.scratch = []
 
     def read(self, table):
         """A table as it will be after this load, or as it is."""
-        if table not in self.written:
+        paths = {part: path for part, path in self.current(table) if path is not None}
+        if not paths:
             return self.warehouse.read(table)
-        paths = [self.written[table][0]]
-        if table == "fact_sales":
-            paths += self.warehouse.paths(table, without_load=self.load_id)
-        return self.spark.read.schema(TABLES[table]).parquet(*paths)
+        return self.warehouse._rows(table, sorted(paths.values())).select(TABLES[table].names)
+
+    def current(self, table):
+        """The parts of a table after this load, with their folders."""
+        parts = {
+            part: path
+            for (name, part), (path, _) in self.warehouse._current.items()
+            if name == table
+        }
+        parts |= {part: path for (name, part), (path, _) in self.written.items() if name == table}
+        return parts.items()
 
     def write(self, table, rows, last_key=0):
-        self.written[table] = (self.warehouse.write(rows, table), last_key)
+        self.written[table, ""] = (self.warehouse.write(rows, table), last_key)
+
+    def write_parts(self, table, rows, part, last_key, replaced=()):
+        """Write parts of a table; replaced ones without a row are taken out."""
+        found = self.warehouse.write_parts(rows, table, part)
+        for name in replaced:
+            self.written[table, name] = (None, last_key)
+        for name, path in found.items():
+            self.written[table, name] = (path, last_key)
+        # The highest key must not be lost with a part.
+        whole, _ = self.warehouse._current.get((table, ""), (None, 0))
+        self.written[table, ""] = (whole, last_key)
+
+    def kept(self, rows, label):
+        """Write rows that several steps read; the folder goes when the load is done."""
+        folder = self.warehouse.fresh(label)
+        self.scratch.append(folder)
+        rows.write.parquet(folder)
+        return self.spark.read.schema(rows.schema).parquet(folder)
 
     def entries(self):
-        return [
-            (table, self.load_id if table == "fact_sales" else "", path, last_key)
-            for table, (path, last_key) in self.written.items()
+        entries = [
+            (table, part, path, last_key) for (table, part), (path, last_key) in self.written.items()
         ]
+        if self.files is not None:
+            folder = self.warehouse.fresh(LOADED_FILES)
+            self.files.select("path", "file_id").coalesce(1).write.parquet(folder)
+            entries.append((LOADED_FILES, self.load_id, folder, 0))
+        return entries
 
     def dim_time(self):
         """Days of this batch replace the same days; returns the days handled."""
-        days = dim_time(self.staged.valid, self.holidays, self.legacy_holiday_parse)
-        self.write("dim_time", upsert(self.read("dim_time"), days, ["date_key"], check=False))
-        return self.staged.valid.select("invoice_date").distinct().count()
+        days = self.kept(
+            dim_time(self.staged.valid, self.holidays, self.legacy_holiday_parse), "days"
+        )
+        self.write("dim_time", upsert(self.warehouse.read("dim_time"), days, ["date_key"], check=False))
+        return days.count()
 
     def dim_customer(self):
         """New customers get keys in id order, known ones keep theirs.
 
         A known customer takes the batch's gender and age; dates and counts of
-        a first-time load just combine, so the facts need not be read again.
+        a first-time load just combine, so the facts need not be read again. Only
+        buckets with customers of the batch are read and written.
         """
-        batch = customer_batch(self.staged.valid)
-        existing, last = self.read("dim_customer"), self.warehouse.last_key("dim_customer")
-        new = insert_absent(existing, batch, ["customer_id"]) if last else batch
+        batch = self.kept(customer_batch(self.staged.valid), "customers")
+        last = self.warehouse.last_key("dim_customer")
+        new, existing = batch, None
+        if last:
+            buckets = batch.select(bucket_of("customer_id").alias("b")).distinct().collect()
+            existing = self.warehouse.parts("dim_customer", [f"part-{row.b}" for row in buckets])
+            new = insert_absent(existing, batch, ["customer_id"])
         folder = self.warehouse.fresh("new-customers")
+        self.scratch.append(folder)
         keyed = assign_dense_keys(new, ["customer_id"], "customer_key", folder, last)
         added = self.spark.read.parquet(folder).count()
         if last:
             keyed = _merge_customers(existing, batch).unionByName(keyed)
-        self.write("dim_customer", keyed, last + added)
+        self.write_parts("dim_customer", keyed, bucket_of("customer_id"), last + added)
         return batch.count() if last else added
 
     def fact_sales(self):
-        """Rows of this load, sorted by day within each file so that a filter on
-        days skips most of it."""
+        """Rows of this load, split by month and sorted by day, so that a filter on
+        days opens few files."""
         last = self.warehouse.last_key("fact_sales")
         dims = {table: self.read(table) for table in ["dim_time", "dim_customer", *SEEDS]}
-        sales = keyed_sales(self.staged.numbered(last), dims)
-        path = self.warehouse.write(
-            sales.sortWithinPartitions("date_key", "store_key"), "fact_sales"
-        )
-        stored = self.spark.read.schema(TABLES["fact_sales"]).parquet(path)
+        path = self.warehouse.write_sales(keyed_sales(self.staged.numbered(last), dims))
+        stored = self.warehouse._rows("fact_sales", [path])
         require_keys(stored)
         rows = stored.count()
-        self.written["fact_sales"] = (path, last + rows)
+        self.written["fact_sales", self.load_id] = (path, last + rows)
         return rows
 
     def recount_customers(self):
         """Dates and counts of all customers from the facts, after a repeated load:
-        the rows it replaced may belong to customers its new rows lack."""
-        self.write(
-            "dim_customer",
-            _recount(self.read("dim_customer"), self.read("fact_sales")),
-            self.written["dim_customer"][1],
-        )
+        the rows it replaced may belong to customers its new rows lack. Customers
+        without any sale left stay, with none."""
+        last = self.written["dim_customer", ""][1]
+        counted = _recount(self.read("dim_customer"), self.read("fact_sales"))
+        self.write_parts("dim_customer", counted, bucket_of("customer_id"), last)
 
     def fact_daily_summary(self):
-        """Days the load touches are worked out anew from all facts of those days."""
-        sales, existing = self.read("fact_sales"), self.read("fact_daily_summary")
+        """Days the load touches are worked out anew from all facts of those days;
+        only the months they lie in are read and written."""
         last = self.warehouse.last_key("fact_daily_summary")
         group, seeded = ["date_key", "store_key"], {table: self.read(table) for table in SEEDS}
         folder = self.warehouse.fresh("new-summary")
-        if not last:
-            new = daily_summary(sales, seeded)
-            keyed = assign_dense_keys(new, group, "summary_id", folder)
-            added = rows = self.spark.read.parquet(folder).count()
-        else:
-            days = self.touched_days()
-            # Files are sorted by day, so the outer bounds of the touched days, as
-            # plain numbers, let the scan skip most of older loads.
-            first, final = days.agg(F.min("date_key"), F.max("date_key")).first()
-            sales = sales.where(F.col("date_key").between(first, final))
-            scratch = self.warehouse.fresh("summary")
-            daily_summary(sales.join(days, "date_key", "left_semi"), seeded).write.parquet(scratch)
-            summary = self.spark.read.parquet(scratch)
-            known = existing.select("summary_id", *group)
-            new = insert_absent(known, summary, group)
-            keyed = assign_dense_keys(new, group, "summary_id", folder, last)
-            added, rows = self.spark.read.parquet(folder).count(), summary.count()
+        self.scratch.append(folder)
+        days = self.kept(self.touched_days(), "touched-days")
+        months = sorted(r.m for r in days.select(month_of("date_key").alias("m")).distinct().collect())
+        parts = [f"part-{month}" for month in months]
+        paths = [path for _, path in self.current("fact_sales") if path is not None]
+        sales = self.warehouse.sales_of_months(paths, months)
+        touched = broadcast_within(days, MAX_DATES_TO_BROADCAST)
+        summary = self.kept(
+            daily_summary(sales.join(touched, "date_key", "left_semi"), seeded), "summary"
+        )
+        existing = self.warehouse.parts("fact_daily_summary", parts)
+        known = existing.select("summary_id", *group)
+        new = insert_absent(known, summary, group) if last else summary
+        keyed = assign_dense_keys(new, group, "summary_id", folder, last)
+        added, rows = self.spark.read.parquet(folder).count(), summary.count()
+        if last:
             keyed = (
-                existing.join(days, "date_key", "left_anti")
+                existing.join(touched, "date_key", "left_anti")
                 .unionByName(summary.join(known, group))
                 .unionByName(keyed)
             )
-        self.write("fact_daily_summary", keyed, last + added)
+        self.write_parts(
+            "fact_daily_summary", keyed, month_of("date_key"), last + added, replaced=parts
+        )
         return rows
 
     def touched_days(self):
         """Days with rows in this batch or, when it replaces a load, in that one."""
         days = self.staged.valid.select(date_key(F.col("invoice_date")).alias("date_key"))
         if self.again:
-            replaced = self.warehouse.read_load("fact_sales", self.load_id)
-            days = days.unionByName(replaced.select("date_key"))
-        return broadcast_within(days.distinct(), MAX_DATES_TO_BROADCAST)
+            days = days.unionByName(self.warehouse.read_load(self.load_id).select("date_key"))
+        return days.distinct()
 
 
 def _merge_customers(existing, batch):

@@ -2,22 +2,39 @@
 
 import time
 
-from tillroll.operators.rules import validate
+from pyspark.sql import functions as F
+
 from tillroll.plans.dimensions import dimensions
 from tillroll.plans.loading import load, stage
 from tillroll.plans.quality import table_counts
 from tillroll.plans.warehouse import Warehouse
-from tillroll.schema import DATE_FORMAT
+from tillroll.schema import DATE_FORMAT, RAW_SCHEMA
 from tillroll.sources.holidays import read_holidays
 from tillroll.sources.rejects import save_rejects
 from tillroll.sources.transactions import (
-    header_errors,
-    header_of,
+    check_location,
+    file_listing,
+    header_report,
     read_transactions,
     source_id,
 )
 
 
+def wrong_headers(spark, paths):
+    """``{path: errors}`` of files whose header is not in order."""
+    if not paths:
+        return {}
+    found = header_report(spark, paths).where("errors <> ''").collect()
+    given = {_plain(path): path for path in paths}
+    return {given.get(_plain(row.path), row.path): row.errors for row in found}
+
+
+def _plain(path):
+    """A path without its scheme's slashes, which listings write in two ways."""
+    scheme, colon, rest = path.partition(":")
+    return f"{scheme}:{rest.lstrip('/')}" if colon else path.lstrip("/")
+
+
 def run(
     spark,
     csv,
@@ -29,14 +46,19 @@ def run(
     dry_run=False,
     date_format=DATE_FORMAT,
     legacy_holiday_parse=False,
+    multi_line=False,
 ):
     """Run everything on one CSV path; returns a summary and never raises.
 
     The summary holds ``status``, rejected rows, counts and seconds per step,
     and the failed step with its error when something went wrong. A dry run
-    checks the rows, saves the rejects and builds the dimensions only. Without
-    a ``load_id`` the files name the load: running them again replaces what
-    they had loaded, and other files add to it.
+    checks the rows, saves the rejects and builds the dimensions only.
+
+    A file is known by its path, size and time. Files that a load has taken are
+    not taken again, so a path or glob that gains a file loads that file only. With
+    a ``load_id`` all files are taken, and what that id had loaded is replaced.
+    Files with a wrong header are set aside, named in ``rejected_files``; without
+    any other file the run fails.
     """
     started = time.perf_counter()
     seconds, rejected, step = {}, 0, "read"
@@ -48,18 +70,32 @@ def run(
     try:
         since = time.perf_counter()
         warehouse = Warehouse(spark, warehouse_root)
-        rows = read_transactions(spark, csv, source)
+        check_location(source, csv)
         calendar = read_holidays(spark, holidays, source)
-        header = header_of(spark, csv)
-        load_id = load_id or source_id(spark, csv)
-        summary["load_id"] = load_id
+        files = file_listing(spark, csv)
+        if load_id is None:
+            files = files.join(warehouse.loaded_files().select("file_id"), "file_id", "left_anti")
+        # One short row per file that is new.
+        paths = [row.path for row in files.select("path").collect()]
         finish(step, since)
 
         step, since = "validate", time.perf_counter()
-        if header_errors(header):
-            wrong = validate(rows, header, date_format)["error_summary"]
-            raise RuntimeError(f"wrong header, nothing was loaded: {wrong}")
-        staged = stage(rows, warehouse.fresh("staged"), date_format)
+        wrong = wrong_headers(spark, paths)
+        summary["rejected_files"] = wrong
+        files = files.where(~F.col("path").isin(list(wrong))) if wrong else files
+        paths = [path for path in paths if path not in wrong]
+        if wrong and not paths:
+            raise RuntimeError(f"wrong header, nothing was loaded: schema_errors {wrong}")
+        summary["files"] = len(paths)
+        load_id = load_id or (source_id(files) if paths else None)
+        summary["load_id"] = load_id
+        rows = (
+            read_transactions(spark, paths, source, multi_line)
+            if paths
+            else spark.createDataFrame([], RAW_SCHEMA)
+        )
+        work = warehouse.fresh("staged")
+        staged = stage(rows, work, date_format)
         report = staged.report()
         rejected = report["invalid_rows"]
         if rejected:
@@ -75,9 +111,10 @@ def run(
             step, since = "load", time.perf_counter()
             if not warehouse.exists("fact_sales"):
                 warehouse.reset()
-            loaded = load(warehouse, staged, calendar, load_id, legacy_holiday_parse)
-            if loaded["status"] != "success":
-                raise RuntimeError(f"load failed: {loaded['error']}")
+            if paths:
+                loaded = load(warehouse, staged, calendar, load_id, legacy_holiday_parse, files)
+                if loaded["status"] != "success":
+                    raise RuntimeError(f"load failed: {loaded['error']}")
             finish(step, since)
 
             step, since = "verify", time.perf_counter()
@@ -86,6 +123,8 @@ def run(
                 for row in table_counts(warehouse.tables()).collect()
             }
             finish(step, since)
+        # What was staged is in the tables and the rejects now.
+        warehouse.remove(work)
         summary.update(status="success", counts=counts, report=report)
     except Exception as problem:
         summary.update(

@@ -3,9 +3,11 @@
 Every load writes its tables into fresh folders and then appends one file to
 the ``published`` table, naming the folders that are current from then on.
 That single file is the commit: a load that fails before it leaves readers on
-the tables they had. The fact keeps one folder per load, so a load adds to it
-without rewriting it, and repeating a load replaces its own folder only. One
-writer at a time is assumed.
+the tables they had. The fact keeps one folder per load, split by month, so a
+load adds to it without rewriting it, and repeating a load replaces its own
+folder only. The daily summary keeps a folder per month and the customers one per
+bucket of ids, so a load rewrites the parts it touches. One writer at a time is
+assumed.
 """
 
 import uuid
@@ -25,7 +27,8 @@ _PUBLISHED = T.StructType(
     [
         T.StructField("version", T.LongType()),
         T.StructField("table_name", T.StringType()),
-        # Only the fact has several loads; the other tables use an empty id.
+        # What a folder holds of its table: a load of the fact and its files, a month
+        # of the summary, a bucket of customers; an empty id for whole tables.
         T.StructField("load_id", T.StringType()),
         # NULL once dropped.
         T.StructField("path", T.StringType()),
@@ -34,6 +37,16 @@ _PUBLISHED = T.StructType(
 )
 
 
+# The column by which the fact's folders are split.
+MONTH = "sale_month"
+
+# The files that loads took, one folder per load; no table of the star schema.
+LOADED_FILES = "loaded_files"
+_FILES = T.StructType(
+    [T.StructField("path", T.StringType()), T.StructField("file_id", T.StringType())]
+)
+
+
 class Warehouse:
     """The seven tables below ``root``."""
 
@@ -91,7 +104,17 @@ class Warehouse:
         return max(keys, default=0)
 
     def exists(self, table):
-        return bool(self.paths(table))
+        """Whether a table is published and its folders are there."""
+        paths = self.paths(table)
+        if not paths:
+            return False
+        try:
+            self._rows(table, paths)
+        except AnalysisException as problem:
+            if problem.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return False
+        return True
 
     def has_load(self, load_id):
         path, _ = self._current.get(("fact_sales", load_id), (None, 0))
@@ -101,12 +124,44 @@ class Warehouse:
         paths = self.paths(table)
         if not paths:
             raise LookupError(f"table {table} does not exist in {self.root}")
-        return self.spark.read.schema(TABLES[table]).parquet(*paths)
-
-    def read_load(self, table, load_id):
-        """The rows one load has in a table."""
-        path, _ = self._current[table, load_id]
-        return self.spark.read.schema(TABLES[table]).parquet(path)
+        return self._rows(table, paths).select(TABLES[table].names)
+
+    def _rows(self, table, paths):
+        """A table's rows in some folders; those of the fact with their month."""
+        if table != "fact_sales":
+            return self.spark.read.schema(TABLES[table]).parquet(*paths)
+        schema = T.StructType([*TABLES[table].fields, T.StructField(MONTH, T.IntegerType())])
+        reader = self.spark.read.schema(schema).option("basePath", f"{self.root}/data/{table}")
+        return reader.parquet(*paths)
+
+    def sales_of_months(self, paths, months):
+        """The fact's rows in some folders and months; other months are not opened."""
+        rows = self._rows("fact_sales", paths).where(F.col(MONTH).isin(months))
+        return rows.select(TABLES["fact_sales"].names)
+
+    def part(self, table, part):
+        """One part of a table, empty if there is none yet."""
+        path, _ = self._current.get((table, part), (None, 0))
+        if path is None:
+            return self.spark.createDataFrame([], TABLES[table])
+        return self._rows(table, [path])
+
+    def parts(self, table, parts):
+        """Some parts of a table together."""
+        paths = [self._current.get((table, part), (None, 0))[0] for part in parts]
+        paths = [path for path in paths if path is not None]
+        return self._rows(table, paths) if paths else self.part(table, None)
+
+    def read_load(self, load_id):
+        """The fact's rows of one load."""
+        return self.part("fact_sales", load_id).select(TABLES["fact_sales"].names)
+
+    def loaded_files(self, without_load=None):
+        """``path`` and ``file_id`` of all files that current loads took."""
+        paths = self.paths(LOADED_FILES, without_load)
+        if not paths:
+            return self.spark.createDataFrame([], _FILES)
+        return self.spark.read.schema(_FILES).parquet(*paths)
 
     def tables(self):
         return {table: self.read(table) for table in TABLES}
@@ -123,11 +178,46 @@ class Warehouse:
         conform(rows, table).write.parquet(path)
         return path
 
+    def write_sales(self, rows):
+        """Write fact rows split by month and sorted by day; returns the folder.
+
+        Rows of a month meet in few tasks, and a large month is dealt to several,
+        so a load writes few files per month.
+        """
+        path = f"{self.root}/data/fact_sales/load={uuid.uuid4().hex}"
+        months = conform(rows, "fact_sales").withColumn(MONTH, F.expr("date_key div 100").cast("int"))
+        (
+            months.hint("rebalance", MONTH)
+            .sortWithinPartitions(MONTH, "date_key", "store_key")
+            .write.partitionBy(MONTH)
+            .parquet(path)
+        )
+        return path
+
+    def write_parts(self, rows, table, part):
+        """Write rows split by a column of whole numbers; returns ``{part: folder}``."""
+        path = self.fresh(table)
+        split = conform(rows, table).withColumn("_part", part)
+        split.hint("rebalance", "_part").write.partitionBy("_part").parquet(path)
+        try:
+            found = self.spark.read.parquet(path).select("_part").distinct().collect()
+        except AnalysisException:  # no rows, no files
+            found = []
+        return {f"part-{row[0]}": f"{path}/_part={row[0]}" for row in found}
+
+    def remove(self, path):
+        """Delete a working folder that nothing published names."""
+        place = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        settings = self.spark.sparkContext._jsc.hadoopConfiguration()
+        place.getFileSystem(settings).delete(place, True)
+
     def reset(self, seed=True):
         """Start over with seven empty tables, seeded dimensions filled by default."""
         gone = [(table, load_id, None, 0) for table, load_id in self._current if load_id]
 
         def create(table):
+            if table == "fact_sales":
+                return (table, "", self.write_sales(self.spark.createDataFrame([], TABLES[table])), 0)
             rows, last = self.spark.createDataFrame([], TABLES[table]), 0
             if seed and table in SEEDS:
                 rows, last = seed_rows(self.spark, table), len(SEEDS[table][2])
@@ -170,12 +260,27 @@ class Warehouse:
         """
         found = []
         for table, declared in TABLES.items():
-            paths = self.paths(table)
-            columns = self.spark.read.parquet(*paths).dtypes if paths else []
+            columns = self._found_columns(table)
             expected = [(f.name, f.dataType.simpleString()) for f in declared.fields]
             found.append((table, len(columns), columns == expected))
         return found
 
+    def _found_columns(self, table):
+        columns = []
+        for path in self.paths(table):
+            try:
+                found = self.spark.read.parquet(path).dtypes
+            except AnalysisException:  # no files: a load without rows, or a folder that is gone
+                continue
+            found = [c for c in found if c[0] != MONTH]
+            if columns and found != columns:
+                return []
+            columns = found
+        if not columns and self.exists(table):
+            # Published and there, but without a row so far.
+            return [(f.name, f.dataType.simpleString()) for f in TABLES[table].fields]
+        return columns
+
     # --- querying -----------------------------------------------------------
 
     def sales_base(self, keep=False):

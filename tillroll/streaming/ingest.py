@@ -1,9 +1,25 @@
 """Load every CSV file that lands in a folder, each file once."""
 
+import threading
+
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
 from tillroll.plans.loading import load, stage
-from tillroll.schema import DATE_FORMAT, RAW_SCHEMA
+from tillroll.plans.run import wrong_headers
+from tillroll.schema import DATE_FORMAT
 from tillroll.sources.rejects import save_rejects
-from tillroll.sources.transactions import CSV_OPTIONS
+from tillroll.sources.transactions import identified, read_transactions
+
+# The stream watches files, not lines: what a file holds is read when it is loaded.
+_LISTING = T.StructType(
+    [
+        T.StructField("path", T.StringType()),
+        T.StructField("modificationTime", T.TimestampType()),
+        T.StructField("length", T.LongType()),
+        T.StructField("content", T.BinaryType()),
+    ]
+)
 
 
 def ingest_new_files(
@@ -15,39 +31,67 @@ def ingest_new_files(
     max_files=None,
     rejects_root=None,
     date_format=DATE_FORMAT,
+    multi_line=False,
 ):
     """Load the files that arrived since the last call, then return.
 
-    The checkpoint remembers which files were taken. Each micro-batch is one
-    load named after ``name`` and its batch number, so a batch replayed after
-    a failure replaces itself instead of adding its rows twice. Late rows need
-    no watermark: the days and customers they touch are worked out anew, and
-    no state is held between batches. ``max_files`` bounds a micro-batch.
+    Each micro-batch is one load. Its id holds the stream's own id, which lies in
+    the checkpoint, and the batch's number: a batch replayed after a failure
+    replaces itself, and no other stream can have its id, whatever its ``name``.
+    The warehouse remembers the files of every load, so files that another
+    stream, a run, or an earlier checkpoint took are not loaded again. A file with
+    a wrong header is set aside in ``wrong_files`` below the rejects, and the others
+    load. Late rows need no watermark: the days and customers they touch are worked
+    out anew, and no state is held between batches. ``max_files`` bounds a batch.
     """
     spark = warehouse.spark
+    rejects = rejects_root or f"{warehouse.root}/rejected"
     reader = (
-        spark.readStream.schema(RAW_SCHEMA)
-        .options(**CSV_OPTIONS)
+        spark.readStream.format("binaryFile")
+        .schema(_LISTING)
         .option("pathGlobFilter", "*.csv")
         .option("recursiveFileLookup", True)
     )
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
+    started, stream = threading.Event(), {}
 
-    def load_batch(rows, batch):
-        load_id = f"{name}-{batch:010d}"
-        staged = stage(rows, warehouse.fresh("staged"), date_format)
-        save_rejects(staged.rejected, rejects_root or f"{warehouse.root}/rejected", load_id)
-        result = load(warehouse, staged, holidays, load_id)
+    def load_batch(listed, batch):
+        started.wait()
+        load_id = f"{name}-{stream['id']}-{batch:010d}"
+        known = warehouse.loaded_files(without_load=load_id).select("file_id")
+        files = identified(listed).join(known, "file_id", "left_anti")
+        # One short row per file of this batch.
+        paths = [row.path for row in files.select("path").collect()]
+        wrong = wrong_headers(spark, paths)
+        if wrong:
+            (
+                spark.createDataFrame(sorted(wrong.items()), "path string, errors string")
+                .coalesce(1)
+                .write.mode("overwrite")
+                .json(f"{rejects}/wrong_files/load_id={load_id}")
+            )
+        good = [path for path in paths if path not in wrong]
+        if not good:
+            return
+        work = warehouse.fresh("staged")
+        rows = read_transactions(spark, good, multi_line=multi_line)
+        staged = stage(rows, work, date_format)
+        save_rejects(staged.rejected, rejects, load_id)
+        taken = files.where(F.col("path").isin(good))
+        result = load(warehouse, staged, holidays, load_id, files=taken)
         if result["status"] != "success":
             raise RuntimeError(f"load {load_id} failed: {result['error']}")
+        warehouse.remove(work)
 
     query = (
-        reader.csv(landing)
+        reader.load(landing)
         .writeStream.foreachBatch(load_batch)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
+    stream["id"] = query.id
+    started.set()
     query.awaitTermination()
     return warehouse.refresh()
