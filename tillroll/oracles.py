@@ -19,6 +19,8 @@ from tillroll.schema import (
     RULE_NAMES,
     SEEDS,
     SOURCE_COLUMNS,
+    TABLES,
+    UNIQUE_KEYS,
 )
 from tillroll.registry import REPORT_MALL
 from tillroll.sources.order_feed import HOLIDAY_MONTH_DAYS
@@ -216,7 +218,7 @@ totals AS (
 daily AS (
   SELECT t.date_key, t.store_key, t.shopping_mall, t.full_date,
          CAST(revenue AS DOUBLE) AS total_revenue, n AS total_transactions,
-         CAST(CAST((2 * cents + n) // (2 * n) AS DECIMAL(18,0)) / 100 AS DOUBLE)
+         CAST(CAST((2 * cents + n) // (2 * n) AS DECIMAL(20,0)) * CAST(0.01 AS DECIMAL(3,2)) AS DOUBLE)
            AS avg_transaction_value,
          shoppers AS unique_customers, p.category AS top_category,
          q.payment_method AS top_payment_method
@@ -563,6 +565,58 @@ def oracle_sql():
             FROM clean""",
         ),
     }
+    for name in ("stream_two_sources", "run_growing_folder", "run_counts", "reload_replaces"):
+        sql[name] = sql["table_counts"]
+    sql["stream_with_bad_file"] = _with(
+        STAR, f"SELECT count(*) AS sales, {_SUM} AS revenue FROM sales WHERE year = 1996"
+    )
+    sql["header_report"] = _with(
+        FEED,
+        "SELECT true AS in_order, count(*) AS rows FROM feed "
+        "UNION ALL SELECT false, count(*) FROM nation",
+    )
+    sql["holiday_files"] = _with(_HOLIDAYS, "SELECT date FROM holidays")
+    sql["sql_over_tables"] = _with(
+        STAR,
+        f"SELECT year, shopping_mall, {_SUM} AS revenue FROM sales WHERE is_holiday GROUP BY ALL",
+    )
+    widths = " UNION ALL ".join(
+        f"SELECT '{table}' AS table_name, {len(declared)} AS columns"
+        for table, declared in TABLES.items()
+    )
+    sql["table_shapes"] = (
+        "SELECT table_name, columns, true AS in_order, true AS is_there, row_count "
+        f"FROM ({widths}) JOIN ({sql['table_counts']}) USING (table_name)"
+    )
+    sql["sampled_amounts"] = sql["amount_mismatch"]
+    sql["unmatched_sales"] = _with(STAR, "SELECT count(*) AS unmatched FROM sales WHERE age < 30")
+    faults = {"customer_key": 1, "product_key": 2}
+    sql["spoiled_orphans"] = _with(
+        STAR,
+        " UNION ALL ".join(
+            f"SELECT '{key}' AS foreign_key, "
+            f"count(*) FILTER (WHERE quantity % 10 = {faults.get(key, 'NULL')}) AS orphans FROM sales"
+            for key in _KEY_NAMES
+        ),
+    )
+    sql["spoiled_null_keys"] = _with(
+        STAR, "SELECT count(*) AS null_key_rows FROM sales WHERE quantity % 10 = 2"
+    )
+    sql["spoiled_duplicates"] = _with(
+        DAILY,
+        " UNION ALL ".join(
+            f"SELECT '{table}' AS table_name, '{','.join(keys)}' AS unique_key, "
+            f"(SELECT count(*) FROM {repeated.get(table, 'sales WHERE false')}) AS repeated_keys"
+            for table, choices in UNIQUE_KEYS.items()
+            for keys in choices
+            for repeated in [
+                {
+                    "fact_sales": "sales WHERE quantity % 10 = 3",
+                    "dim_customer": "people WHERE age = 30",
+                }
+            ]
+        ),
+    )
     sql["stream_ingest_daily"] = sql["fact_daily_summary"]
     sql["stream_ingest_customers"] = sql["dim_customer"].replace("SELECT customer_key, ", "SELECT ")
     return sql

@@ -3,7 +3,8 @@
 Row-rule queries run straight on the transaction feed. The star-schema queries
 share one warehouse per application and table folder: the feed is staged and
 loaded once below the shared folder, as it would be in use, and the builders
-and reports then read those written tables.
+and reports then read those written tables. What is shared is not built again if
+the tables of a folder change while the application runs.
 """
 
 from functools import reduce
@@ -16,6 +17,7 @@ from tillroll.operators.keys import assign_dense_keys
 from tillroll.operators.upsert import insert_absent, upsert
 from tillroll.plans import dimensions, facts, quality, reports
 from tillroll.plans.loading import load, stage
+from tillroll.plans.run import run
 from tillroll.plans.warehouse import Warehouse
 from tillroll.schema import SEEDS, SOURCE_COLUMNS
 from tillroll.session import fresh_folder
@@ -27,6 +29,7 @@ from tillroll.sources.transactions import (
     RAGGED,
     file_profile,
     head_sample,
+    header_report,
     read_transactions,
 )
 from tillroll.streaming.ingest import ingest_new_files
@@ -87,7 +90,7 @@ def landed(spark, sf_dir):
 
 
 def streamed(spark, sf_dir):
-    """A warehouse filled by the file stream, one run per delivery."""
+    """A warehouse filled by two file streams of one name, one per delivery."""
 
     def fill():
         landing = landed(spark, sf_dir)
@@ -99,13 +102,29 @@ def streamed(spark, sf_dir):
                 f"{landing}/delivery={delivery}",
                 calendar,
                 f"{warehouse.root}/checkpoint-{delivery}",
-                name=delivery,
+                multi_line=True,
             )
         return warehouse
 
     return _once("streamed", spark, sf_dir, fill)
 
 
+def grown(spark, sf_dir):
+    """The summary of a run over a glob that has gained files since the run before."""
+
+    def fill():
+        landing, root = landed(spark, sf_dir), fresh_folder(spark, "grown")
+        calendar = fresh_folder(spark, "holidays")
+        calendars.save_holidays(order_holidays(spark, sf_dir), calendar)
+        for files in ("delivery=older", "delivery=*"):
+            summary = run(spark, f"{landing}/{files}/*.csv", calendar, root, multi_line=True)
+            if summary["status"] != "success":
+                raise RuntimeError(summary["error"])
+        return Warehouse(spark, root), summary
+
+    return _once("grown", spark, sf_dir, fill)
+
+
 def plain(rows):
     """Decimals as doubles and dates as text: values any engine prints alike."""
     columns = []
@@ -220,6 +239,153 @@ def _sale_ids(spark, sf_dir):
     )
 
 
+# --- loads ------------------------------------------------------------------
+
+
+def _stream_two_sources(spark, sf_dir):
+    return quality.table_counts(streamed(spark, sf_dir).tables())
+
+
+def _run_growing_folder(spark, sf_dir):
+    house, _ = grown(spark, sf_dir)
+    return quality.table_counts(house.tables())
+
+
+def _run_counts(spark, sf_dir):
+    """The counts that a run reports, which it took from the tables."""
+    _, summary = grown(spark, sf_dir)
+    return spark.createDataFrame(
+        sorted(summary["counts"].items()), "table_name string, row_count long"
+    )
+
+
+def _wrong_file(spark, sf_dir):
+    """A CSV file under a header of another kind, one line per nation."""
+    folder = fresh_folder(spark, "wrong")
+    names = spark.read.parquet(f"{sf_dir}/nation.parquet").select("n_name", "n_regionkey")
+    names.coalesce(1).write.option("header", True).csv(folder)
+    return folder
+
+
+def _stream_with_bad_file(spark, sf_dir):
+    """Sales of one year, landed beside a file that cannot be taken."""
+    landing = fresh_folder(spark, "mixed")
+    feed = order_feed(spark, sf_dir).where("invoice_date LIKE '%/1996'")
+    feed.write.options(**CSV_WRITE_OPTIONS).csv(f"{landing}/good")
+    names = spark.read.parquet(f"{sf_dir}/nation.parquet").select("n_name", "n_regionkey")
+    names.coalesce(1).write.option("header", True).csv(f"{landing}/wrong")
+    warehouse = Warehouse(spark, fresh_folder(spark, "streamed")).reset()
+    calendar = _kept_holidays(spark, sf_dir)
+    ingest_new_files(
+        warehouse, landing, calendar, f"{warehouse.root}/checkpoint", multi_line=True
+    )
+    return warehouse.read("fact_sales").agg(
+        F.count(F.lit(1)).alias("sales"), F.sum("total_amount").alias("revenue")
+    )
+
+
+def _reload_replaces(spark, sf_dir):
+    """A load of some years, then all of them under the same id."""
+    built = star(spark, sf_dir)
+    house = Warehouse(spark, fresh_folder(spark, "reloaded")).reset()
+    some = order_feed(spark, sf_dir).where("invoice_date NOT LIKE '%/1997'")
+    for staged in (stage(some, house.fresh("staged")), built.staged):
+        result = load(house, staged, built.holidays, "orders")
+        if result["status"] != "success":
+            raise RuntimeError(result["error"])
+    return quality.table_counts(house.tables())
+
+
+def _header_report(spark, sf_dir):
+    """Rows in files whose header is in order, and in the others."""
+    paths = [f"{landed(spark, sf_dir)}/*", _wrong_file(spark, sf_dir)]
+    rows = (
+        spark.read.options(header=True, escape='"', multiLine=True)
+        .csv(paths)
+        .groupBy(F.col("_metadata.file_path").alias("path"))
+        .agg(F.count(F.lit(1)).alias("rows"))
+    )
+    return (
+        header_report(spark, paths)
+        .join(rows, "path")
+        .groupBy((F.col("errors") == "").alias("in_order"))
+        .agg(F.sum("rows").alias("rows"))
+    )
+
+
+def _holiday_files(spark, sf_dir):
+    """Calendars saved one file per year and read together."""
+    listed = order_holidays(spark, sf_dir)
+    root = fresh_folder(spark, "calendars")
+    years = [r[0] for r in listed.select(F.substring("date", 1, 4)).distinct().collect()]
+    for year in years:
+        own = listed.where(F.col("date").startswith(year))
+        calendars.save_holidays(own, f"{root}/{year}")
+    return calendars.read_holidays(spark, [f"{root}/{year}" for year in years]).select("date")
+
+
+def _sql_over_tables(spark, sf_dir):
+    return star(spark, sf_dir).warehouse.query(
+        "SELECT year, shopping_mall, sum(total_amount) AS revenue FROM fact_sales "
+        "JOIN dim_time USING (date_key) JOIN dim_store USING (store_key) "
+        "WHERE dim_time.is_holiday = :holiday GROUP BY ALL",
+        holiday=True,
+    )
+
+
+def _table_shapes(spark, sf_dir):
+    house = star(spark, sf_dir).warehouse
+    shapes = [
+        (table, columns, fine, house.exists(table))
+        for table, columns, fine in house.verify_columns()
+    ]
+    found = spark.createDataFrame(
+        shapes, "table_name string, columns int, in_order boolean, is_there boolean"
+    )
+    counts = quality.table_counts(house.tables())
+    return found.join(counts, "table_name")
+
+
+# --- checks on tables that are not in order -----------------------------------
+
+
+def _spoiled(spark, sf_dir):
+    """Tables with faults by quantity: unknown customers, missing products, repeats."""
+    tables = dict(star(spark, sf_dir).tables)
+    fault = F.col("quantity") % 10
+    fact = tables["fact_sales"].withColumns(
+        {
+            "customer_key": F.when(fault == 1, -F.col("customer_key")).otherwise(
+                F.col("customer_key")
+            ),
+            "product_key": F.when(fault != 2, F.col("product_key")),
+        }
+    )
+    return tables | {"fact_sales": fact}
+
+
+def _spoiled_duplicates(spark, sf_dir):
+    tables = dict(star(spark, sf_dir).tables)
+    fact, people = tables["fact_sales"], tables["dim_customer"]
+    tables["fact_sales"] = fact.unionByName(fact.where("quantity % 10 = 3"))
+    tables["dim_customer"] = people.unionByName(people.where("age = 30"))
+    return quality.duplicate_keys(tables)
+
+
+def _sampled_amounts(spark, sf_dir):
+    """A random sample as large as the fact finds what the whole fact holds."""
+    tables = star(spark, sf_dir).tables
+    return quality.amount_mismatch_in_sample(tables, n=tables["fact_sales"].count())
+
+
+def _unmatched_sales(spark, sf_dir):
+    """Sales whose customer the dimension lacks."""
+    built = star(spark, sf_dir)
+    older = built.tables["dim_customer"].where("age >= 30")
+    sales = facts.keyed_sales(built.staged.valid, built.tables | {"dim_customer": older})
+    return facts.missing_keys(sales).agg(F.count(F.lit(1)).alias("unmatched"))
+
+
 # --- star schema ------------------------------------------------------------
 
 
@@ -335,6 +501,20 @@ QUERIES = {
     "fact_count_within": _on_tables(quality.fact_count_within),
     "stream_ingest_daily": _stream_ingest_daily,
     "stream_ingest_customers": _stream_ingest_customers,
+    "stream_two_sources": _stream_two_sources,
+    "stream_with_bad_file": _stream_with_bad_file,
+    "run_growing_folder": _run_growing_folder,
+    "run_counts": _run_counts,
+    "reload_replaces": _reload_replaces,
+    "header_report": _header_report,
+    "holiday_files": _holiday_files,
+    "sql_over_tables": _sql_over_tables,
+    "table_shapes": _table_shapes,
+    "sampled_amounts": _sampled_amounts,
+    "unmatched_sales": _unmatched_sales,
+    "spoiled_orphans": lambda s, d: quality.fk_orphans(_spoiled(s, d)),
+    "spoiled_null_keys": lambda s, d: quality.null_keys(_spoiled(s, d)),
+    "spoiled_duplicates": _spoiled_duplicates,
 }
 
 
