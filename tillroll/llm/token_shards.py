@@ -14,37 +14,38 @@ from tillroll.session import fresh_folder
 
 SHARD_IDS = 1 << 20
 DEPTH = 16  # bits of the largest id of the tokenizer file
+_SCHEMA = "part long, part_start long, n_tokens long, shard binary"
 
 
 def _build(shard_ids, depth):
-    def shard(part, seq, docs, sizes, parts):
+    def shard(part, start, docs, sizes, parts):
         ids = np.frombuffer(b"".join(parts), dtype=ID_TYPE)
         blob = wavelet.build(ids, docs, np.cumsum(sizes), depth)
         return pa.RecordBatch.from_pydict(
             {
                 "part": pa.array([part], pa.int64()),
-                "seq": pa.array([seq], pa.int64()),
+                "part_start": pa.array([start], pa.int64()),
                 "n_tokens": pa.array([len(ids)], pa.int64()),
                 "shard": pa.array([blob], pa.binary()),
             }
         )
 
     def build(batches):
-        part, seq = TaskContext.get().partitionId(), 0
+        part, start = TaskContext.get().partitionId(), 0
         docs, sizes, parts, total = [], [], [], 0
         for batch in batches:
             for doc, coded in zip(
                 batch["doc_id"].to_pylist(), batch["ids"].to_pylist(), strict=True
             ):
                 if total and total + len(coded) // 2 > shard_ids:
-                    yield shard(part, seq, docs, sizes, parts)
-                    docs, sizes, parts, total, seq = [], [], [], 0, seq + 1
+                    yield shard(part, start, docs, sizes, parts)
+                    docs, sizes, parts, total, start = [], [], [], 0, start + total
                 docs.append(doc)
                 sizes.append(len(coded) // 2)
                 parts.append(coded)
                 total += sizes[-1]
         if docs:
-            yield shard(part, seq, docs, sizes, parts)
+            yield shard(part, start, docs, sizes, parts)
 
     return build
 
@@ -57,8 +58,9 @@ def write_shards(
     Documents are range-partitioned and sorted by id, NULL ids first, rows of one
     id in any order; each task cuts its range into shards of at most ``shard_ids``
     ids at document ends (a longer document has a shard of its own). Each file is
-    a Parquet file with one row: ``part`` and ``seq``, by which shards follow each
-    other, ``n_tokens``, and the wavelet matrix. NULL texts are empty. An empty
+    a Parquet file with one row: ``part`` (the range) and ``part_start`` (ids of the
+    range before it), by which shards follow each other, ``n_tokens``, and the
+    wavelet matrix. NULL texts are empty. An empty
     table writes no shard. Ids of documents must be integers.
     """
     coded = encoded(docs, doc_id, text, **tokenizer)
@@ -69,7 +71,7 @@ def write_shards(
         coded.select(F.col("doc_id").cast("long"), "ids")
         .repartitionByRange(int(parts), *order)
         .sortWithinPartitions(*order)
-        .mapInArrow(_build(shard_ids, depth), "part long, seq long, n_tokens long, shard binary")
+        .mapInArrow(_build(shard_ids, depth), _SCHEMA)
         .write.option("maxRecordsPerFile", 1)
         .option("compression", "none")
         .parquet(folder)
@@ -80,27 +82,18 @@ def write_shards(
 def read_shards(spark, folder):
     """The shards of a folder with ``before``: ids in all shards before each.
 
-    The running sum is over shards of one task, then over tasks: it brings
-    together one short row per task, never the shards.
+    Shards know their place in their range; the running sum over ranges brings
+    together one short row per task that wrote them, never the shards.
     """
-    shards = spark.read.schema("part long, seq long, n_tokens long, shard binary").parquet(folder)
-    sizes = shards.select("part", "seq", "n_tokens")
-    here = sizes.select(
-        "part",
-        "seq",
-        (
-            F.sum("n_tokens").over(Window.partitionBy("part").orderBy("seq")) - F.col("n_tokens")
-        ).alias("in_part"),
-    )
-    totals = sizes.groupBy("part").agg(F.sum("n_tokens").alias("n"))
+    shards = spark.read.schema(_SCHEMA).parquet(folder)
+    totals = shards.groupBy("part").agg(F.sum("n_tokens").alias("n"))
     parts = totals.select(
         "part", (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("of_part")
     )
-    before = here.join(parts, "part").select(
-        "part", "seq", (F.col("in_part") + F.col("of_part")).alias("before")
+    # 16 bytes per task of one job.
+    return shards.join(F.broadcast(parts), "part").withColumn(
+        "before", F.col("of_part") + F.col("part_start")
     )
-    # 24 bytes per shard of a million ids: a millionth of the shards' size.
-    return shards.join(F.broadcast(before), ["part", "seq"])
 
 
 def _open(batches):
@@ -138,7 +131,7 @@ def _count(token):
             yield pa.RecordBatch.from_pydict(
                 {
                     "part": batch["part"],
-                    "seq": batch["seq"],
+                    "part_start": batch["part_start"],
                     "n": pa.array(found, pa.int64()),
                 }
             )
@@ -148,8 +141,8 @@ def _count(token):
 
 def token_counts(shards, token):
     """Per shard, how often a token occurs: rank alone, nothing is decoded."""
-    return shards.select("part", "seq", "shard").mapInArrow(
-        _count(token), "part long, seq long, n long"
+    return shards.select("part", "part_start", "shard").mapInArrow(
+        _count(token), "part long, part_start long, n long"
     )
 
 
