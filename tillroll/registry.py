@@ -269,16 +269,19 @@ def _wrong_file(spark, sf_dir):
 
 def _stream_with_bad_file(spark, sf_dir):
     """Sales of one year, landed beside a file that cannot be taken."""
-    landing = fresh_folder(spark, "mixed")
-    feed = order_feed(spark, sf_dir).where("invoice_date LIKE '%/1996'")
-    feed.write.options(**CSV_WRITE_OPTIONS).csv(f"{landing}/good")
-    names = spark.read.parquet(f"{sf_dir}/nation.parquet").select("n_name", "n_regionkey")
-    names.coalesce(1).write.option("header", True).csv(f"{landing}/wrong")
-    warehouse = Warehouse(spark, fresh_folder(spark, "streamed")).reset()
-    calendar = _kept_holidays(spark, sf_dir)
-    ingest_new_files(
-        warehouse, landing, calendar, f"{warehouse.root}/checkpoint", multi_line=True
-    )
+
+    def fill():
+        landing = fresh_folder(spark, "mixed")
+        feed = order_feed(spark, sf_dir).where("invoice_date LIKE '%/1996'")
+        feed.write.options(**CSV_WRITE_OPTIONS).csv(f"{landing}/good")
+        names = spark.read.parquet(f"{sf_dir}/nation.parquet").select("n_name", "n_regionkey")
+        names.coalesce(1).write.option("header", True).csv(f"{landing}/wrong")
+        warehouse = Warehouse(spark, fresh_folder(spark, "streamed")).reset()
+        calendar = _kept_holidays(spark, sf_dir)
+        checkpoint = f"{warehouse.root}/checkpoint"
+        return ingest_new_files(warehouse, landing, calendar, checkpoint, multi_line=True)
+
+    warehouse = _once("mixed", spark, sf_dir, fill)
     return warehouse.read("fact_sales").agg(
         F.count(F.lit(1)).alias("sales"), F.sum("total_amount").alias("revenue")
     )
@@ -286,14 +289,18 @@ def _stream_with_bad_file(spark, sf_dir):
 
 def _reload_replaces(spark, sf_dir):
     """A load of some years, then all of them under the same id."""
-    built = star(spark, sf_dir)
-    house = Warehouse(spark, fresh_folder(spark, "reloaded")).reset()
-    some = order_feed(spark, sf_dir).where("invoice_date NOT LIKE '%/1997'")
-    for staged in (stage(some, house.fresh("staged")), built.staged):
-        result = load(house, staged, built.holidays, "orders")
-        if result["status"] != "success":
-            raise RuntimeError(result["error"])
-    return quality.table_counts(house.tables())
+
+    def fill():
+        built = star(spark, sf_dir)
+        house = Warehouse(spark, fresh_folder(spark, "reloaded")).reset()
+        some = order_feed(spark, sf_dir).where("invoice_date NOT LIKE '%/1997'")
+        for staged in (stage(some, house.fresh("staged")), built.staged):
+            result = load(house, staged, built.holidays, "orders")
+            if result["status"] != "success":
+                raise RuntimeError(result["error"])
+        return house
+
+    return quality.table_counts(_once("reloaded", spark, sf_dir, fill).tables())
 
 
 def _header_report(spark, sf_dir):
@@ -315,13 +322,17 @@ def _header_report(spark, sf_dir):
 
 def _holiday_files(spark, sf_dir):
     """Calendars saved one file per year and read together."""
-    listed = order_holidays(spark, sf_dir)
-    root = fresh_folder(spark, "calendars")
-    years = [r[0] for r in listed.select(F.substring("date", 1, 4)).distinct().collect()]
-    for year in years:
-        own = listed.where(F.col("date").startswith(year))
-        calendars.save_holidays(own, f"{root}/{year}")
-    return calendars.read_holidays(spark, [f"{root}/{year}" for year in years]).select("date")
+
+    def save():
+        listed = order_holidays(spark, sf_dir)
+        root = fresh_folder(spark, "calendars")
+        years = [r[0] for r in listed.select(F.substring("date", 1, 4)).distinct().collect()]
+        for year in years:
+            own = listed.where(F.col("date").startswith(year))
+            calendars.save_holidays(own, f"{root}/{year}")
+        return [f"{root}/{year}" for year in years]
+
+    return calendars.read_holidays(spark, _once("calendars", spark, sf_dir, save)).select("date")
 
 
 def _sql_over_tables(spark, sf_dir):
