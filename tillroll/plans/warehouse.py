@@ -266,20 +266,24 @@ class Warehouse:
         return found
 
     def _found_columns(self, table):
-        columns = []
-        for path in self.paths(table):
-            try:
-                found = self.spark.read.parquet(path).dtypes
-            except AnalysisException:  # no files: a load without rows, or a folder that is gone
-                continue
-            found = [c for c in found if c[0] != MONTH]
-            if columns and found != columns:
+        """Names and types in a table's files, all folders together."""
+        paths = self.paths(table)
+        if not paths:
+            return []
+        reader = self.spark.read.option("mergeSchema", True)
+        if table == "fact_sales":
+            reader = reader.option("basePath", f"{self.root}/data/{table}")
+        try:
+            found = reader.parquet(*paths).dtypes
+        except AnalysisException as problem:
+            if problem.getCondition() != "UNABLE_TO_INFER_SCHEMA":
                 return []
-            columns = found
-        if not columns and self.exists(table):
-            # Published and there, but without a row so far.
+            # Folders without a file: a table without a row so far.
             return [(f.name, f.dataType.simpleString()) for f in TABLES[table].fields]
-        return columns
+        names = TABLES[table].names
+        extra = {MONTH, "load"} if table == "fact_sales" else set()
+        found = [column for column in found if column[0] not in extra]
+        return sorted(found, key=lambda c: names.index(c[0]) if c[0] in names else len(names))
 
     # --- querying -----------------------------------------------------------
 
