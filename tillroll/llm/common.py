@@ -129,7 +129,7 @@ class Memo:
 
     LONGEST = 64  # longer words are not kept
 
-    def __init__(self, limit=500_000):
+    def __init__(self, limit=350_000):
         self.limit, self.now, self.old = limit, {}, {}
 
     def values(self, words, learn):

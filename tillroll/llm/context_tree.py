@@ -65,7 +65,9 @@ def _marker_pairs(batches):
         for lo, hi in slices(text_sizes(texts), TEXT_AT_ONCE):
             words, numbers, counts = lowered_words(texts.slice(lo, hi - lo))
             every = np.bincount(numbers, minlength=len(words))
-            top = sorted(np.flatnonzero(every), key=lambda i: (-every[i], words[i]))[:MARKERS]
+            enough = np.sort(every)[-MARKERS:][:1]  # the count of the last that may be among them
+            top = np.flatnonzero(every >= max(1, enough.max(initial=1)))
+            top = sorted(top, key=lambda i: (-every[i], words[i]))[:MARKERS]
             column = np.full(len(words), -1)
             column[top] = np.arange(len(top))
             of = np.repeat(np.arange(hi - lo), counts)
@@ -437,13 +439,6 @@ def score_words(words):
 # --- documents ----------------------------------------------------------------
 
 
-class Lookup(dict):
-    """Word numbers; words that are not held have the number -1."""
-
-    def __missing__(self, word):
-        return -1
-
-
 NAMES = [
     "row",
     "doc_id",
@@ -467,7 +462,7 @@ def _score(frequent, floor, markers, class_cost):
         if not held:
             classes, words, counts, logs = frequent.value
             counts = np.array(counts, dtype=np.float64)
-            held["number"] = [Lookup() for _ in range(CLASSES)]
+            held["number"] = [{} for _ in range(CLASSES)]
             for i, (k, word) in enumerate(zip(classes, words, strict=True)):
                 held["number"][k][word] = i
             held["known"] = np.append(counts > 0, False).astype(np.float64)
@@ -484,12 +479,16 @@ def _score(frequent, floor, markers, class_cost):
                 docs = hi - lo
                 words, numbers, counts = lowered_words(batch["text"].slice(lo, docs))
                 classes = classes_of(markers, words, numbers, counts)
-                at = np.full((CLASSES, len(words)), -1)
-                for k in np.unique(classes):
-                    at[k] = list(map(table["number"][k].__getitem__, words))
                 lengths = np.array(list(map(len, words)), dtype=np.int64)
                 of = np.repeat(np.arange(docs), counts)
-                at = at[classes[of], numbers]
+                kind = classes[of]
+                at = np.full((CLASSES, len(words)), -1, dtype=np.int32)
+                seen = np.zeros(at.shape, dtype=bool)
+                seen[kind, numbers] = True
+                for k in np.unique(classes):
+                    own, get = np.flatnonzero(seen[k]), table["number"][k].get
+                    at[k, own] = [get(words[i], -1) for i in own]
+                at = at[kind, numbers]
                 sums = {
                     name: np.bincount(of, table[name][at], docs) + table[name][ends[classes]]
                     for name in ("known", "base", "score")
