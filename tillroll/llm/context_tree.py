@@ -472,7 +472,7 @@ def _score(frequent, floor, markers, class_cost):
 
     def score(batches):
         table = tables()
-        ends = np.array([own[END] for own in table["number"]])
+        ends = np.array([own.get(END, -1) for own in table["number"]])
         row = TaskContext.get().partitionId() << 40
         for batch in batches:
             for lo, hi in slices(text_sizes(batch["text"]), TEXT_AT_ONCE):
