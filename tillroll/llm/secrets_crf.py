@@ -75,7 +75,7 @@ SAMPLE = 1200  # texts with a pattern match, and texts without, to train on
 SPOTS = 4  # training windows per text at most
 WINDOW = 8  # words on either side of a training spot
 BLOCK = 128
-TEXT_AT_ONCE = 8 << 20
+TEXT_AT_ONCE = 3 << 20
 
 
 def base_spans(text):
