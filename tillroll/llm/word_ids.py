@@ -65,7 +65,7 @@ class ChunkEncoder:
             raise ValueError("ids of this tokenizer do not fit little-endian 16-bit strings")
         self.characters = byte_characters()
         self.marks = {m: self._whole([m])[0] for m in (b".", b",")} | {None: b""}
-        self.known = Memo()
+        self.known = Memo(450_000)
 
     def _whole(self, chunks):
         """Chunks through all of the tokenizer."""
@@ -75,7 +75,6 @@ class ChunkEncoder:
 
     def _learn(self, chunks):
         merge, match, marks = self.tokenizer.model.tokenize, LETTERS_AND_MARK.fullmatch, self.marks
-        known, lowered = self.known.now.get, {}
         found, rest = [], []
         for chunk in chunks:
             simple = match(chunk)
@@ -84,14 +83,10 @@ class ChunkEncoder:
                 found.append(None)
                 continue
             word, mark = simple.groups()
-            word = word.lower()
-            ids = lowered.get(word) or known(word)
-            if ids is None:
-                text = word.decode("latin-1")
-                if not text.isascii():
-                    text = text.translate(self.characters)
-                ids = lowered[word] = array("H", [t.id for t in merge(text)]).tobytes()
-            found.append(ids + marks[mark])
+            text = word.lower().decode("latin-1")
+            if not text.isascii():
+                text = text.translate(self.characters)
+            found.append(array("H", [t.id for t in merge(text)]).tobytes() + marks[mark])
         for i, ids in zip(rest, self._whole([chunks[i] for i in rest]), strict=True):
             found[i] = ids
         return found
