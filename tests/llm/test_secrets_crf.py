@@ -174,6 +174,36 @@ def test_redaction(spark, corpus):
     assert crf.redacted("abcdef", [(0, 1, 4), (2, 2, 3), (1, 3, 5)]) == "a<assign>f"
 
 
+def test_a_value_runs_on_behind_the_end_of_a_pattern():
+    text = "a password=Abcdef1$Zk93QmTq2 b"
+    tags = np.array([0, 1, 0])
+    spans = crf.with_added(crf.base_spans(text), crf._tagged_spans(text, tags), text)
+    assert crf.spelled(spans) == "assign:2:18,crf:11:28"
+    assert crf.redacted(text, spans) == "a <assign> b"
+    # Found by a whole scan, with a field that tags the value's word.
+    field = crf.Field({"0 ~set by = or :": 0}, np.array([[0.0, 9.0, 0.0]]), np.zeros((3, 3)), np.zeros(3))
+    assert crf.Scanner(field).spans(pa.array([text]))[0] == spans
+
+
+def test_a_span_of_words_of_which_one_matches_a_pattern():
+    for text in ("k Zk93QmTq2$x token=abcdef99 e", "k token=abcdef99 Zk93QmTq2$x e"):
+        base = crf.base_spans(text)
+        spans = crf.with_added(base, crf._tagged_spans(text, np.array([0, 1, 2, 0])), text)
+        assert set(base) < set(spans)
+        clean = crf.redacted(text, spans)
+        assert "Zk93" not in clean and "abcdef" not in clean
+        assert clean.startswith("k ") and clean.endswith(" e")
+
+
+def test_the_field_adds_nothing_to_what_patterns_cover():
+    text = "token=abcdef99, 'secret=abcdef98' x"
+    base = crf.base_spans(text)
+    assert len(base) == 2
+    assert crf.with_added(base, [(3, 6, 32), (3, 6, 14), (3, 7, 9)], text) == base
+    assert crf.with_added(base, [(3, 6, 35)], text) == sorted([*base, (3, 6, 35)], key=lambda s: s[1])
+    assert crf.with_added([], [(3, 6, 14)], text) == [(3, 6, 14)]
+
+
 def test_no_documents(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert crf.scan(docs).count() == 0

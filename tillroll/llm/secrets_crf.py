@@ -3,7 +3,8 @@
 The patterns find what looks the same everywhere (assignments, access keys, hex
 strings) and are always reported. The random field tags every word of a text as
 secret begin (B), inside (I) or outside (O) from the word's shape, its neighbours
-and the text as a whole, and is decoded by Viterbi; it adds what no pattern names.
+and the text as a whole, and is decoded by Viterbi; it adds what no pattern names,
+also where a value runs on behind the end of a pattern's match.
 
 It is trained on a bounded sample (``SAMPLE`` texts with a pattern match and as many
 without). Pattern matches are its labels. In half of its windows the words that
@@ -23,7 +24,7 @@ import operator
 import re
 import string
 import zlib
-from bisect import bisect_left
+from bisect import bisect_right
 
 import numpy as np
 import pyarrow as pa
@@ -58,6 +59,7 @@ WORD = re.compile(r"[^\x20\x09-\x0D]+")
 KEY_NAME = re.compile(rb"pass|secret|token|api_?key|credential|auth|private", re.IGNORECASE)
 PLAIN = re.compile(rb"[\"'(]?(?:[A-Za-z]|[\x80-\xff])+[.,;:!?\"')]{0,3}")
 EDGE = "\"'`()[]{}<>.,;:!?"
+IDLE = EDGE + string.whitespace
 TAGS = "OBI"
 CHARACTER_KINDS = bytes(
     ord("0" if c.isdigit() else "A" if c.isupper() else "a" if c.islower() else "-")
@@ -419,7 +421,7 @@ class Scanner:
             text = texts[int(i)].as_py()
             base = base_spans(text) if may[i] else []
             more = _tagged_spans(text, tags[starts[i] : ends[i]]) if tagged[i] else []
-            found[i] = with_added(base, more)
+            found[i] = with_added(base, more, text)
         return found
 
 
@@ -439,8 +441,12 @@ def _tagged_spans(text, tags):
     return [(3, a, b) for a, b in spans]
 
 
-def with_added(base, more):
-    """The pattern spans and those of the field that touch none of them."""
+def with_added(base, more, text):
+    """The pattern spans and, whole, those of the field that reach outside of them.
+
+    A span of the field adds nothing if only white space and punctuation of it stand
+    outside the pattern spans.
+    """
     # Merge the pattern spans, so that one search per span tells.
     starts, ends = [], []
     for _, a, b in base:
@@ -451,9 +457,15 @@ def with_added(base, more):
             ends.append(b)
     added = []
     for span in more:
-        i = bisect_left(starts, span[2])  # pattern spans that start before it ends
-        if not i or ends[i - 1] <= span[1]:
-            added.append(span)
+        at, last = span[1:]
+        i = bisect_right(ends, at)  # the first pattern span that ends after it starts
+        while at < last:
+            known = i < len(starts) and starts[i] < last
+            if text[at : starts[i] if known else last].strip(IDLE):
+                added.append(span)
+                break
+            at = ends[i] if known else last
+            i += 1
     return sorted(base + added, key=lambda s: (s[1], s[0], s[2]))
 
 
