@@ -185,3 +185,59 @@ def test_without_training_documents_a_byte_costs_eight_bits(spark):
 
 def test_no_documents(spark):
     assert ctw.score(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def streams(text):
+    coded = b"\n" * ctw.DEPTH + b"".join(w + b" " for w in tokens(text)[:-1]) + b"\n"
+    for i in range(ctw.DEPTH, len(coded)):
+        yield coded[i - ctw.DEPTH : i], coded[i]
+
+
+class SlowTextTrees(SlowTrees):
+    """The same trees over the byte streams of whole texts."""
+
+    def __init__(self, texts):
+        super().__init__(Counter((0, t) for t in texts))
+
+    @staticmethod
+    def bytes_of(kind, text):
+        return streams(text)
+
+
+@pytest.mark.parametrize("frequent,held", [(3, 0), (3, 40), (ctw.FREQUENT, ctw.WINDOWS_HELD)])
+def test_scores_of_whole_texts_equal_the_definition(spark, frequent, held):
+    rows = corpus(1, 40)
+    docs = spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, word string")
+    key = lambda r: (r[0] is not None, r[0] or 0, r[2], r[6])
+    out = [zlib.crc32(("" if d is None else str(d)).encode()) % 10 == 0 for d, _ in rows]
+    trees = SlowTextTrees([t or "" for (_, t), h in zip(rows, out, strict=True) if not h])
+    want = [(*r[:6], trees.word(0, t or "")) for r, (_, t) in zip(slow_scores(rows, {}), rows, strict=True)]
+    for parts in (1, 4):  # and the layout does not count
+        got = ctw.score_texts(docs.repartition(parts), frequent=frequent, windows_held=held).collect()
+        assert len(got) == len(want)
+        for a, b in zip(sorted(map(tuple, got), key=key), sorted(want, key=key), strict=True):
+            assert a[:5] == b[:5]
+            assert a[5] == pytest.approx(b[5], rel=1e-9) and a[6] == pytest.approx(b[6], rel=1e-9)
+
+
+def test_the_order_of_words_counts(spark):
+    texts = ["the cat sat on the mat and ran home"] * 30 + ["home the ran mat and on cat sat the"]
+    docs = spark.createDataFrame([(i, t, i >= 29) for i, t in enumerate(texts)], "doc_id long, text string, h boolean")
+    fluent, salad = ctw.score_texts(docs, held_out=docs["h"]).where("doc_id >= 29").orderBy("doc_id").collect()
+    assert fluent.base_score == pytest.approx(salad.base_score)
+    assert fluent.score > salad.score + 5
+
+
+def test_whole_texts_beat_words_alone_on_held_out_texts(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rows = ctw.score_texts(docs).where("held_out").collect()
+    assert sum(r.score for r in rows) > sum(r.base_score for r in rows)
+    assert all(0 < r.bits_per_byte < 8 for r in rows)
+
+
+def test_whole_texts_without_training_or_documents(spark):
+    docs = spark.createDataFrame([(1, "ab c", True), (2, None, True)], "doc_id long, text string, h boolean")
+    rows = ctw.score_texts(docs, held_out=docs["h"]).collect()
+    assert [r.bits_per_byte for r in rows] == pytest.approx([8.0, 8.0])
+    assert [(r.n_known, r.train_tokens) for r in rows] == [(0, 0)] * 2
+    assert ctw.score_texts(docs.limit(0).drop("h")).count() == 0

@@ -20,6 +20,9 @@ Windows of ``BYTES + 1`` bytes with their class and counts hold all context tree
 Those that share the last two bytes of context are solved together, since trees
 meet only above that; the nodes above it, at most 65,536, are solved on the driver.
 
+That is :func:`score`. :func:`score_texts`, which the query uses, counts the windows
+of whole texts, over the borders of words, and needs no classes.
+
 Documents are scored from the words' chances. Words that make up a
 ``1 / FREQUENT``-th of all tokens or more are at most ``FREQUENT`` and are looked up
 where the text is read; the rest are joined to the words' table.
@@ -34,7 +37,15 @@ from pyspark import TaskContext
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import numbered_words, slices, text_sizes, whole_text, written
+from tillroll.llm.common import (
+    flat_table,
+    gather,
+    numbered_words,
+    slices,
+    text_sizes,
+    whole_text,
+    written,
+)
 
 BYTES = 5  # bytes of context
 DEPTH = BYTES + 1  # and the class
@@ -46,6 +57,9 @@ TEXT_AT_ONCE = 12 << 20
 BUCKET_BYTES = 4 << 20
 FREQUENT = 500_000
 LONGEST_FREQUENT = 64
+STREAM_AT_ONCE = 4 << 20
+HELD = 4_000_000  # windows that a task counts before it hands them on
+WINDOWS_HELD = 3_000_000  # windows looked up where the text is read
 HALF = np.log(0.5)
 
 
@@ -617,3 +631,263 @@ def score(docs, doc_id="doc_id", text="text", held_out=None, frequent=FREQUENT):
             (F.col("score") / F.lit(-float(np.log10(2))) / F.col("n_bytes")).alias("bits_per_byte"),
         )
     )
+
+
+# --- whole texts --------------------------------------------------------------
+
+
+def text_windows(texts):
+    """The windows of all bytes of whole texts, and what the texts are made of.
+
+    A text's bytes are its words, a space behind each, and a line end, as one
+    stream: contexts reach back over the spaces, and at its start over line ends.
+    Returns the windows, the text of each, and the words as ``numbered_words``.
+    """
+    words, numbers, counts = lowered_words(texts)
+    docs = len(counts)
+    table = flat_table([w + b" " for w in words] + [END, END * DEPTH])
+    ends = np.cumsum(counts)
+    tokens = np.insert(numbers, ends, len(words))
+    tokens = np.insert(tokens, ends - counts + np.arange(docs), len(words) + 1)
+    raw, last = gather(*table, tokens)
+    sizes = np.diff(last[np.cumsum(counts + 2) - 1], prepend=0)
+    grams = np.zeros(max(0, len(raw) - DEPTH), dtype=np.int64)
+    for k in range(DEPTH + 1):
+        grams <<= 8
+        grams |= raw[k : k + len(grams)]
+    # A text's first window stands where its line ends in front are the context.
+    of = np.repeat(np.arange(docs), sizes - DEPTH)
+    at = np.arange(len(of)) + of * DEPTH
+    return grams[at], of, (words, numbers, counts)
+
+
+def _summed(keys, counts):
+    order = np.argsort(keys, kind="stable")
+    keys, counts = keys[order], counts[order]
+    first = np.flatnonzero(np.diff(keys, prepend=-1))
+    return keys[first], np.add.reduceat(counts, first) if len(first) else counts
+
+
+def _count_windows(batches):
+    """Windows with their counts, added up within a task up to ``HELD`` of them."""
+
+    def rows(keys, counts):
+        return pa.RecordBatch.from_pydict(
+            {
+                "gram": pa.array(keys >> 1),
+                "n_train": pa.array(counts * (keys & 1)),
+                "n_all": pa.array(counts),
+            }
+        )
+
+    held, size = [], 0
+    for batch in batches:
+        train = ~batch["held_out"].to_numpy(zero_copy_only=False)
+        for lo, hi in slices(text_sizes(batch["text"]), STREAM_AT_ONCE):
+            grams, of, _ = text_windows(batch["text"].slice(lo, hi - lo))
+            held.append(np.unique(grams << 1 | train[lo:hi][of], return_counts=True))
+            size += len(held[-1][0])
+            if size > HELD:
+                held = [_summed(*map(np.concatenate, zip(*held, strict=True)))]
+                size = len(held[0][0])
+                if size > HELD // 2:
+                    yield rows(*held[0])
+                    held, size = [], 0
+    if held:
+        yield rows(*_summed(*map(np.concatenate, zip(*held, strict=True))))
+
+
+def _at_least(counts, most):
+    """The count from which on at most ``most`` rows of a table have it."""
+    table = counts.groupBy("n_all").agg(F.count(F.lit(1)).alias("rows")).toArrow()
+    n, rows = (table[c].to_numpy() for c in ("n_all", "rows"))
+    order = np.argsort(-n)
+    fits = np.cumsum(rows[order]) <= most
+    return int(n[order][fits][-1]) if fits.any() else 1 << 62
+
+
+def _window_key(gram):
+    # A space and the seven bytes; no word holds a space.
+    return F.unhex(F.hex(gram + F.lit(0x20 << 56)))
+
+
+STREAM = "row long, doc_id {}, held_out boolean, key binary, n long, n_tokens long, n_bytes long,"
+STREAM += " n_known long, base double, score double"
+
+
+def _score_texts(often, floor):
+    """Sums over frequent words and windows, and one row per other one of each document."""
+    held = {}
+
+    def lookup():
+        if not held:
+            words, counts, grams, logs = often.value
+            held["word"] = {w: i for i, w in enumerate(words)}
+            held["known"] = np.append(counts > 0, False).astype(np.float64)
+            held["base"] = np.append(np.log10(counts + 0.1) - floor, 0.0)
+            held["grams"], held["logs"] = grams, logs
+        return held
+
+    def score(batches):
+        table = lookup()
+        grams_known, logs = table["grams"], table["logs"]
+        row = TaskContext.get().partitionId() << 40
+        for batch in batches:
+            for lo, hi in slices(text_sizes(batch["text"]), STREAM_AT_ONCE):
+                docs = hi - lo
+                grams, of, (words, numbers, counts) = text_windows(batch["text"].slice(lo, docs))
+                size = np.bincount(of, minlength=docs)
+                # Windows, each distinct one looked up once.
+                own, which = np.unique(grams, return_inverse=True)
+                at = np.minimum(np.searchsorted(grams_known, own), max(0, len(grams_known) - 1))
+                hit = grams_known[at] == own if len(grams_known) else np.zeros(len(own), dtype=bool)
+                value = np.where(hit, logs[at], 0.0) if len(grams_known) else np.zeros(len(own))
+                sums = np.bincount(of, value[which], docs)
+                rest = np.flatnonzero(~hit[which])
+                code, n = np.unique(of[rest] * len(own) + which[rest], return_counts=True)
+                doc, code = np.divmod(code, max(1, len(own)))
+                far = (own[code] | (0x20 << 56)).astype(">i8").view("S8")
+                # Words; every text has an end.
+                get = table["word"].get
+                known = np.array([get(w, -1) for w in words], dtype=np.int64)[numbers]
+                of_word = np.repeat(np.arange(docs), counts)
+                end = get(END)
+                n_known = np.bincount(of_word, table["known"][known], docs) + table["known"][end]
+                base = np.bincount(of_word, table["base"][known], docs) + table["base"][end]
+                rest = np.flatnonzero(known < 0)
+                width = max(1, len(words))
+                pairs, n_words = np.unique(of_word[rest] * width + numbers[rest], return_counts=True)
+                doc_words, code = np.divmod(pairs, width)
+                # One row per document has its own sums and a key that nothing has.
+                names = [b" " * 9 + b"%d" % (row + i) for i in range(docs)]
+                names += [words[c] for c in code]
+                keys = pa.concat_arrays(
+                    [
+                        pa.array(names, pa.binary()),
+                        pa.Array.from_buffers(
+                            pa.binary(),
+                            len(far),
+                            [
+                                None,
+                                pa.py_buffer(np.arange(0, 8 * len(far) + 1, 8, dtype=np.int32)),
+                                pa.py_buffer(far.tobytes()),
+                            ],
+                        ),
+                    ]
+                )
+                more = len(keys) - docs
+                place = np.concatenate([np.arange(docs), doc_words, doc])
+                times = np.concatenate([np.zeros(docs, dtype=np.int64), n_words, n])
+
+                def first(values, more=more):
+                    return pa.concat_arrays([values, pa.nulls(more, values.type)])
+
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(row + place),
+                        first(batch["doc_id"].slice(lo, docs)),
+                        first(batch["held_out"].slice(lo, docs)),
+                        keys,
+                        pa.array(times),
+                        first(pa.array(counts + 1)),
+                        first(pa.array(size)),
+                        first(pa.array(n_known.astype(np.int64))),
+                        first(pa.array(base)),
+                        first(pa.array(sums)),
+                    ],
+                    names=[c.split()[0] for c in STREAM.split(", ")],
+                )
+                row += docs
+
+    return score
+
+
+def score_texts(
+    docs, doc_id="doc_id", text="text", held_out=None, frequent=FREQUENT, windows_held=WINDOWS_HELD
+):
+    """:func:`score` with contexts that reach over the borders of words.
+
+    Rows, columns and rules are those of :func:`score`, but a byte's context are the
+    ``DEPTH`` bytes before it in the whole text, whatever words they belong to, and
+    there are no classes. So the order of a text's words counts, and the layout of
+    the files does not. The most common windows, ``windows_held`` at most, are looked
+    up where the text is read, the rest joined.
+    """
+    if held_out is None:
+        name = F.coalesce(F.col(doc_id).cast("string"), F.lit(""))
+        held_out = F.crc32(name.cast("binary")) % 10 == 0
+    rows = docs.select(
+        F.col(doc_id).alias("doc_id"),
+        F.coalesce(held_out, F.lit(False)).alias("held_out"),
+        whole_text(text).alias("text"),
+    )
+    words = written(count_words(rows, {}).drop("class"), "words")
+    words = words.where("n_all > 0")
+    total = words.agg(
+        F.coalesce(F.sum("n_train"), F.lit(0)).alias("train"),
+        F.count_if(F.col("n_train") > 0).alias("distinct"),
+        F.coalesce(F.sum("n_all"), F.lit(0)).alias("n"),
+    ).first()
+    floor = float(np.log10(total["train"] + 0.1 * (total["distinct"] + 1)))
+    often = (F.col("n_all") * F.lit(frequent) >= total["n"]) & (F.length("word") <= LONGEST_FREQUENT)
+    often = often | (F.col("word") == F.lit(END))
+    top = words.where(often).select("word", "n_train").toArrow()
+    counts = rows.select("held_out", "text").mapInArrow(
+        _count_windows, "gram long, n_train long, n_all long"
+    )
+    counts = counts.groupBy("gram").agg(F.sum("n_train").alias("n"), F.sum("n_all").alias("n_all"))
+    counts = written(counts, "windows")
+    least = _at_least(counts, windows_held)
+    # Counts and chances meet by a join of two tables of windows.
+    chances = written(gram_chances(counts).join(counts, "gram"), "window-chances")
+    held = chances.where("n_all >= %d" % least).select("gram", "log_chance").toArrow().sort_by("gram")
+    known = (
+        top["word"].to_pylist(),
+        top["n_train"].to_numpy().astype(np.float64),
+        held["gram"].to_numpy(),
+        held["log_chance"].to_numpy(),
+    )
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    pairs = rows.mapInArrow(
+        _score_texts(docs.sparkSession.sparkContext.broadcast(known), floor), STREAM.format(kind)
+    )
+    rest = words.where(~often).select(
+        F.col("word").alias("key"), F.col("n_train").alias("seen"), F.lit(0.0).alias("log")
+    )
+    rest = rest.unionByName(
+        chances.where("n_all < %d" % least).select(
+            _window_key(F.col("gram")).alias("key"),
+            F.lit(None).cast("long").alias("seen"),
+            F.col("log_chance").alias("log"),
+        )
+    )
+    n, seen = F.col("n"), F.col("seen")
+    joined = pairs.join(rest, "key", "left").select(
+        "row",
+        "doc_id",
+        "held_out",
+        "n_tokens",
+        "n_bytes",
+        F.coalesce("n_known", F.when(seen > 0, n), F.lit(0)).alias("n_known"),
+        F.coalesce("base", n * (F.log10(seen + 0.1) - F.lit(floor)), F.lit(0.0)).alias("base"),
+        F.coalesce("score", n * F.col("log"), F.lit(0.0)).alias("score"),
+    )
+    sums = ["n_tokens", "n_bytes", "n_known", "base", "score"]
+    return (
+        joined.groupBy("row")
+        .agg(
+            F.max("doc_id").alias("doc_id"),
+            F.max("held_out").alias("held_out"),
+            *[F.sum(c).alias(c) for c in sums],
+        )
+        .select(
+            "doc_id",
+            "held_out",
+            "n_tokens",
+            "n_known",
+            F.lit(total["train"]).cast("long").alias("train_tokens"),
+            F.col("base").alias("base_score"),
+            "score",
+            (F.col("score") / F.lit(-float(np.log10(2))) / F.col("n_bytes")).alias("bits_per_byte"),
+        )
+    )

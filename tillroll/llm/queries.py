@@ -32,7 +32,7 @@ def op1_sentencepiece(spark, sf_dir):
 
 
 def op2_context_tree(spark, sf_dir):
-    return context_tree.score(_table(spark, sf_dir, "documents"))
+    return context_tree.score_texts(_table(spark, sf_dir, "documents"))
 
 
 def op3_weighted_sampling(spark, sf_dir):
