@@ -5,6 +5,7 @@ import re
 import pytest
 
 from tillroll.llm import tool_calls as tools
+from tillroll.llm.queries import op10_tool_calls
 
 SCHEMAS = {
     "find": {
@@ -132,6 +133,56 @@ def test_messages(spark):
     assert got["4", "4:2"].status == "unknown call"
 
 
+def test_every_message_has_a_row(spark):
+    no_id = {"tool_calls": [{"name": "any", "arguments": "lost"}, {"id": "t1", "name": "any", "arguments": "{}"}]}
+    rows = [
+        (1, 0, "system", "be brief"),
+        (1, 1, "user", "first"),
+        (1, 1, "user", "second"),
+        (1, 1, "user", "second"),
+        (1, 2, "assistant", "yes"),
+        (1, 2, "assistant", "no"),
+        (1, 3, "assistant", json.dumps(no_id)),
+        (1, 4, "tool", "no json"),
+        (1, 5, "tool", '{"content": "no id"}'),
+        (1, 6, "assistant", '{"tool_calls": []}'),
+        (1, 7, None, "no role"),
+        (None, 0, "user", "no conversation"),
+        (3, None, "user", None),
+    ]
+    messages = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    linked = tools.format_chats(messages, SCHEMAS)
+    every = tools.every_message(messages, SCHEMAS)
+    assert every.schema.simpleString() == linked.schema.simpleString()
+    got = sorted((r.status, json.loads(r.json).get("text")) for r in tools.leftovers(messages).collect())
+    assert got == [
+        ("message", "be brief"),
+        ("message", "no role"),
+        ("message", '{"tool_calls": []}'),
+        ("no conversation", ""),
+        ("no conversation", "no conversation"),
+        ("no identifier", "lost"),
+        ("no identifier", "no json"),
+        ("no identifier", '{"content": "no id"}'),
+        ("repeated call", '{"text":"second","turn":1}'),
+        ("repeated call", '{"text":"second","turn":1}'),
+        ("repeated result", "yes"),
+    ]
+    found = every.collect()
+    assert len(found) == len(got) + linked.count()
+    assert sum(r.status == "repeated call" for r in found) == 2
+    assert {r.valid for r in found if r.status == "message"} == {True}
+    assert not any(r.valid for r in found if r.status.startswith(("no ", "repeated")))
+
+
+def test_the_query_keeps_what_repeats_and_what_has_no_identifier(spark, tmp_path):
+    rows = [(1, 1, "user", "first"), (1, 1, "user", "second"), (1, 4, "tool", "no json")]
+    messages = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    messages.write.parquet(str(tmp_path / "conversations.parquet"))
+    found = op10_tool_calls(spark, str(tmp_path)).collect()
+    assert sorted(r.status for r in found) == ["no identifier", "open", "repeated call"]
+
+
 def test_no_messages_and_no_python(spark):
     messages = spark.createDataFrame([], "conv_id long, turn long, role string, text string")
     found = tools.format_chats(messages)

@@ -77,7 +77,9 @@ def op9_packing(spark, sf_dir):
 
 
 def op10_tool_calls(spark, sf_dir):
-    linked = tool_calls.format_chats(_table(spark, sf_dir, "conversations"))
+    found = tool_calls.every_message(_table(spark, sf_dir, "conversations"))
+    # OP10_SQL leaves out other roles and rows without conversation or turn.
+    linked = found.where(~F.col("status").isin("message", "no conversation"))
     return linked.withColumn("conv_id", F.col("conv_id").cast("long"))
 
 

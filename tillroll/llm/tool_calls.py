@@ -40,26 +40,16 @@ _CALLS = "tool_calls array<struct<id string, name string, arguments string, afte
 _RESULT = "tool_call_id string, content string"
 
 
-def events(messages):
-    """Calls and results out of chat messages (``conv_id``, ``turn``, ``role``, ``text``).
-
-    An assistant's message that is a JSON object with ``tool_calls`` makes calls, a
-    ``tool`` message with a ``tool_call_id`` a result. Any other user message is a call
-    of :data:`REPLY` under the identifier ``conversation:turn``, after the one two turns
-    before, and an assistant's is the result of the call one turn before. Messages
-    without conversation or turn, and of other roles, are neither.
-
-    Calls: ``conv_id``, ``call_id``, ``turn``, ``name``, ``arguments``, ``after``.
-    Results: ``conv_id``, ``call_id``, ``turn``, ``content``. NULL texts are empty.
-    """
+def _parsed(messages):
+    """Messages with the calls (``made``) and the result (``given``) that their JSON holds."""
     rows = messages.select(
         F.col("conv_id").cast("string").alias("conv_id"),
         F.col("turn").cast("long").alias("turn"),
         "role",
         F.coalesce("text", F.lit("")).alias("text"),
-    ).where("conv_id IS NOT NULL AND turn IS NOT NULL")
+    )
     maybe_json = F.col("text").startswith("{")
-    rows = rows.withColumns(
+    return rows.withColumns(
         {
             "made": F.when(
                 (F.col("role") == "assistant") & maybe_json, F.from_json("text", _CALLS)["tool_calls"]
@@ -68,6 +58,21 @@ def events(messages):
         }
     )
 
+
+def events(messages):
+    """Calls and results out of chat messages (``conv_id``, ``turn``, ``role``, ``text``).
+
+    An assistant's message that is a JSON object with ``tool_calls`` makes calls, a
+    ``tool`` message with a ``tool_call_id`` a result. Any other user message is a call
+    of :data:`REPLY` under the identifier ``conversation:turn``, after the one two turns
+    before, and an assistant's is the result of the call one turn before. Messages
+    without conversation or turn, and of other roles, are neither.
+
+    Calls: ``conv_id``, ``call_id``, ``turn``, ``name``, ``arguments``, ``after``.
+    Results: ``conv_id``, ``call_id``, ``turn``, ``content``. NULL texts are empty.
+    """
+    rows = _parsed(messages).where("conv_id IS NOT NULL AND turn IS NOT NULL")
+
     def place(back):
         return F.concat_ws(":", "conv_id", F.col("turn") - back)
 
@@ -321,3 +326,91 @@ def format_chats(messages, schemas=None):
     """:func:`link` of the calls and results in chat messages; see :func:`events`."""
     calls, results = events(messages)
     return link(calls, results, schemas)
+
+
+# --- what is not linked -------------------------------------------------------
+
+
+def _repeated(rows, fields):
+    """All rows of an identifier but the one that :func:`link` takes, the least."""
+    rows = rows.groupBy("conv_id", "call_id", *fields).agg(F.count(F.lit(1)).alias("n"))
+    rows = rows.withColumn("own", F.struct(*fields))
+    taken = rows.groupBy("conv_id", "call_id").agg(F.min("own").alias("taken"))
+    more = F.col("n") - F.col("own").eqNullSafe(F.col("taken")).cast("int")
+    # Exact copies are counted, so that one row of them is joined.
+    return (
+        rows.join(taken, ["conv_id", "call_id"])
+        .withColumn("copy", F.explode(F.array_repeat(F.lit(1), more.cast("int"))))
+        .select("conv_id", "call_id", *fields)
+    )
+
+
+def leftovers(messages):
+    """One row per message, call or result that :func:`format_chats` has no row or text for.
+
+    Columns are those of :func:`link`, ``json`` holds the text. ``status`` is
+    ``no conversation`` (no conversation or no turn), ``message`` (any other role, or
+    an empty list of calls), ``no identifier`` (a ``tool`` message that is no JSON or
+    names no call, or a call without one), ``repeated call`` or ``repeated result``.
+    """
+    rows = _parsed(messages)
+    placed = F.col("conv_id").isNotNull() & F.col("turn").isNotNull()
+    known = F.coalesce(F.col("role").isin("user", "assistant", "tool"), F.lit(False))
+    no_name = (F.col("role") == "tool") & F.col("given.tool_call_id").isNull()
+    status = (
+        F.when(~placed, "no conversation")
+        .when(~known | (F.size("made") == 0), "message")
+        .when(no_name, "no identifier")
+    )
+    none = F.lit(None).cast("string")
+    empty = {c: none.alias(c) for c in ("call_id", "after", "name")}
+    alone = rows.withColumn("status", status).where("status IS NOT NULL")
+    alone = alone.select("conv_id", "status", "turn", "role", "text", *empty.values())
+    made = rows.where(placed).select("conv_id", "turn", "role", F.explode("made").alias("m"))
+    made = made.where("m.id IS NULL").select(
+        "conv_id",
+        F.lit("no identifier").alias("status"),
+        "turn",
+        "role",
+        F.coalesce("m.arguments", F.lit("")).alias("text"),
+        empty["call_id"],
+        F.col("m.after").alias("after"),
+        F.col("m.name").alias("name"),
+    )
+    calls, results = events(messages)
+    calls = _repeated(calls, ["turn", "name", "arguments", "after"])
+    calls = calls.withColumnRenamed("arguments", "text")
+    calls = calls.withColumns({"status": F.lit("repeated call"), "role": none})
+    results = _repeated(results, ["turn", "content"]).withColumnRenamed("content", "text")
+    results = results.withColumns(
+        {"status": F.lit("repeated result"), "role": none, "after": none, "name": none}
+    )
+    found = alone.unionByName(made).unionByName(calls).unionByName(results)
+    fine = F.col("status") == "message"
+    errors = F.when(~fine, F.array("status"))
+    line = F.struct(
+        "after",
+        errors.alias("errors"),
+        F.col("call_id").alias("id"),
+        "name",
+        "role",
+        "text",
+        "turn",
+    )
+    return found.select(
+        "conv_id",
+        "call_id",
+        "status",
+        F.lit(None).cast("long").alias("position"),
+        F.lit(None).cast("long").alias("depth"),
+        F.lit(0).cast("long").alias("n_calls"),
+        F.lit(0).cast("long").alias("n_results"),
+        F.when(fine, "").otherwise(F.col("status")).alias("errors"),
+        fine.alias("valid"),
+        F.to_json(line).alias("json"),
+    )
+
+
+def every_message(messages, schemas=None):
+    """:func:`format_chats` and :func:`leftovers`: no message is without a row or its text."""
+    return format_chats(messages, schemas).unionByName(leftovers(messages))
