@@ -26,6 +26,9 @@ COLUMNS = {
     "op8": "doc_id size text_crc32 law shard slot grown_shard",
     "op9": "doc_id start length ids_crc32 doc_tokens sequence_id offset",
     "op10": "conv_id call_id json",
+    "op11": "doc_id held_out score predicted",
+    "op12": "doc_id n_runs start length period exponent_milli runs_sha256 collapsed_sha256",
+    "op13": "doc_id n_features weight score rank",
 }
 
 

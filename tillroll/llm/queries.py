@@ -1,16 +1,19 @@
 """The registered queries of this subpackage: one per operator, over whole tables.
 
 Each takes (spark, sf_dir) and derives the asked columns from its operator's
-output. SQL can express the last; the others need hash functions, tokenizers, or
+output. SQL can express three of them; the others need hash functions, tokenizers, or
 learned models, and ``tests/llm`` holds each against a brute-force version.
 """
 
 from pyspark.sql import functions as F
 
 from tillroll.llm import (
+    additive_model,
     context_tree,
+    importance,
     kd_shards,
     packing,
+    periodic_runs,
     secrets_crf,
     sentencepiece_codec,
     simhash,
@@ -20,6 +23,7 @@ from tillroll.llm import (
     weighted_sampling,
 )
 from tillroll.llm.common import importable
+from tillroll.llm.oracle_sql import OP12_SQL, OP13_SQL
 
 
 def _table(spark, sf_dir, name):
@@ -83,6 +87,24 @@ def op10_tool_calls(spark, sf_dir):
     return linked.withColumn("conv_id", F.col("conv_id").cast("long"))
 
 
+def op11_additive_model(spark, sf_dir):
+    labels = _table(spark, sf_dir, "labels")
+    scored = additive_model.score_quality(_table(spark, sf_dir, "documents"), labels)
+    return scored.withColumn(
+        "predicted", (F.col("score") >= additive_model.THRESHOLD).cast("int")
+    )
+
+
+def op12_periodic_runs(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents")
+    return periodic_runs.periodic_runs(docs, reading=periodic_runs.tiled)
+
+
+def op13_importance(spark, sf_dir):
+    benchmark = _table(spark, sf_dir, "benchmark")
+    return importance.resample(_table(spark, sf_dir, "documents"), benchmark)
+
+
 QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_context_tree": op2_context_tree,
@@ -94,6 +116,9 @@ QUERIES = {
     "op8_kd_tree": op8_kd_tree,
     "op9_packing": op9_packing,
     "op10_tool_calls": op10_tool_calls,
+    "op11_additive_model": op11_additive_model,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_importance": op13_importance,
 }
 
 # Questions without an answer, answers without a question, and chains of questions
@@ -137,4 +162,8 @@ SELECT conv_id, conv_id || ':' || turn, 'unknown call', NULL, NULL, 0, 1, 'resul
 FROM unasked
 """
 
-ORACLE_SQL = {"op10_tool_calls": OP10_SQL}
+ORACLE_SQL = {
+    "op10_tool_calls": OP10_SQL,
+    "op12_periodic_runs": OP12_SQL,
+    "op13_importance": OP13_SQL,
+}
