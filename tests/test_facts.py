@@ -1,9 +1,11 @@
+import re
 from decimal import Decimal
 
 import pytest
 
 from tillroll.operators.joins import orphan_rows
 from tillroll.operators.rules import check_rows, clean_columns
+from tillroll.operators.sampling import random_rows
 from tillroll.plans import facts, quality
 from tillroll.plans.loading import load, stage
 
@@ -92,7 +94,7 @@ def test_amounts(warehouse, feed, holidays):
     assert [r.is_weekend for r in rows] == [False, False, True]
     # The fraction counts in the amount only, and the check says so.
     assert quality.amount_mismatch(warehouse.tables()).first()[0] == 1
-    assert quality.amount_mismatch_in_sample(warehouse.tables()).first()[0] == 1
+    assert tuple(quality.amount_mismatch_in_sample(warehouse.tables()).first()) == (3, 1)
 
 
 def test_a_missing_dimension_entry_is_an_error(warehouse, feed, holidays):
@@ -107,4 +109,41 @@ def test_a_missing_dimension_entry_is_an_error(warehouse, feed, holidays):
 def test_orphans_are_counted_as_rows(spark):
     child = spark.createDataFrame([(1,), (2,), (2,), (None,)], "k int")
     parent = spark.createDataFrame([(1,)], "k int")
-    assert orphan_rows(child, parent, "k").first().orphans == 3
+    assert orphan_rows(child, {"k": parent}).first().orphans == 3
+    nothing = orphan_rows(child.limit(0), {"k": parent.limit(0)}).collect()
+    assert [tuple(r) for r in nothing] == [("k", 0)]
+
+
+def test_a_tiny_quantity_is_one(warehouse, feed, holidays):
+    """Above zero as written, so the rule holds, and worth less than a cent."""
+    load_rows(warehouse, feed({"quantity": "1e-12"}), holidays)
+    row = warehouse.read("fact_sales").first()
+    assert (row.quantity, row.total_amount) == (0, Decimal("0.00"))
+
+
+def test_random_rows(spark):
+    rows = spark.range(20_000)
+    drawn = random_rows(rows, 100, ["id"], seed=1)
+    ids = [r.id for r in drawn.collect()]
+    assert len(set(ids)) == 100
+    assert ids == [r.id for r in random_rows(rows.repartition(5), 100, ["id"], seed=1).collect()]
+    assert ids != [r.id for r in random_rows(rows, 100, ["id"], seed=2).collect()]
+    # Every tenth of the table is drawn from alike.
+    many = random_rows(rows, 4_000, ["id"]).selectExpr("id div 2000 AS tenth")
+    counts = [r["count"] for r in many.groupBy("tenth").count().collect()]
+    assert len(counts) == 10 and sum((c - 400) ** 2 / 400 for c in counts) < 30
+    assert random_rows(rows.limit(30), 100, ["id"]).count() == 30
+    assert random_rows(rows.limit(0), 100, ["id"]).count() == 0
+    # What is left to sort is about as much as is drawn.
+    plan = random_rows(rows, 100, ["id"])._jdf.queryExecution().optimizedPlan().toString()
+    bound = int(re.search(r"< (\d{6,})", plan).group(1))
+    assert bound < 0.01 * 16**15
+
+
+@pytest.mark.parametrize("check", [quality.fk_orphans, quality.duplicate_keys])
+def test_checks_read_each_table_once(warehouse, feed, holidays, check):
+    load_rows(warehouse, feed({}), holidays)
+    plan = check(warehouse.tables())._jdf.queryExecution().optimizedPlan().toString()
+    relations = [line for line in plan.split("\n") if "Relation [" in line]
+    assert len(relations) <= 7
+    assert sum("sale_id" in line for line in relations) == 1

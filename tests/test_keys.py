@@ -19,9 +19,9 @@ def test_numbers_follow_many_files(spark, tmp_path):
     rows = spark.range(0, 2000, 1, 13).withColumn("flag", F.col("id") % 3 == 0)
     rows.write.option("maxRecordsPerFile", 40).partitionBy("flag").parquet(path)
     stored = spark.read.schema("id long, flag boolean").parquet(path).where("not flag")
-    got = [r.id for r in number_rows(stored, "n").orderBy("n").collect()]
+    got = [r.id for r in number_rows(stored, "n", "id").orderBy("n").collect()]
     assert got == [i for i in range(2000) if i % 3]
-    numbers = [r.n for r in number_rows(stored, "n", 5).select("n").orderBy("n").collect()]
+    numbers = [r.n for r in number_rows(stored, "n", "id", 5).select("n").orderBy("n").collect()]
     assert numbers == list(range(6, 6 + len(got)))
 
 

@@ -1,15 +1,18 @@
 import pytest
 
 from tillroll.operators.rules import check_rows
+from tillroll.plans.loading import stage
 from tillroll.schema import SOURCE_COLUMNS
 from tillroll.sources import holidays as calendars
 from tillroll.sources.rejects import read_rejects, save_rejects
 from tillroll.sources.transactions import (
     RAGGED,
+    file_listing,
     file_profile,
     head_sample,
     header_of,
     header_report,
+    read_lines,
     read_transactions,
     write_csv,
 )
@@ -51,7 +54,7 @@ def test_profile(spark, csv_file, tmp_path):
 
 def test_head_in_reading_order(spark, csv_file):
     path = csv_file("a.csv", *[{"invoice_no": f"I{i}"} for i in range(30, 0, -1)])
-    rows = head_sample(read_transactions(spark, path), 5).collect()
+    rows = head_sample(spark, path, 5).collect()
     assert [r.invoice_no for r in rows] == ["I30", "I29", "I28", "I27", "I26"]
 
 
@@ -59,8 +62,42 @@ def test_head_follows_the_paths_of_files(spark, csv_file, tmp_path):
     """Spark reads large files first; the order of rows must not follow from that."""
     csv_file("in/a.csv", {"invoice_no": "I1"})
     csv_file("in/b.csv", *[{"invoice_no": f"I{i}"} for i in range(2, 400)])
-    rows = head_sample(read_transactions(spark, str(tmp_path / "in")), 3).collect()
+    rows = head_sample(spark, str(tmp_path / "in"), 3).collect()
     assert [r.invoice_no for r in rows] == ["I1", "I2", "I3"]
+    assert head_sample(spark, str(tmp_path / "in"), 1000).count() == 399
+    assert head_sample(spark, csv_file("in/none.csv"), 5).count() == 0
+
+
+def tasks_of(spark, group, work):
+    """Run work and return its result and how many tasks it took."""
+    context, tracker = spark.sparkContext, spark.sparkContext.statusTracker()
+    context.setJobGroup(group, group)
+    try:
+        result = work()
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    stages = [s for j in tracker.getJobIdsForGroup(group) for s in tracker.getJobInfo(j).stageIds]
+    found = [tracker.getStageInfo(s) for s in stages]
+    return result, sum(s.numCompletedTasks for s in found if s)
+
+
+def test_head_opens_few_blocks(spark, csv_file, tmp_path):
+    """Twenty files of several blocks each: the first block of the first holds enough."""
+    for number in range(20):
+        many = [{"invoice_no": f"I{number:02}{i:03}"} for i in range(100)]
+        csv_file(f"in/{number:02}.csv", *many)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2KB")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        path = str(tmp_path / "in")
+        assert read_transactions(spark, path).rdd.getNumPartitions() > 50
+        head, tasks = tasks_of(spark, "head", lambda: head_sample(spark, path, 5).collect())
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert [r.invoice_no for r in head] == [f"I00{i:03}" for i in range(5)]
+    # The files' names are listed by some tasks, and of the lines one block is read.
+    assert tasks <= 40
 
 
 def test_lines_with_another_number_of_cells_are_marked(spark, csv_file, tmp_path):
@@ -110,6 +147,47 @@ def test_rejects(spark, feed, tmp_path):
     assert {r.age for r in read_rejects(spark, path).collect()} == {"x", None}
 
 
+def test_rejects_keep_whole_lines(spark, csv_file, tmp_path):
+    """A line of twelve cells comes back as it was, and so does one of two."""
+    long, short = "a,b,c,d,e,f,g,h,i,j,eleven,twelve", 'I6,"C1, ""x"""'
+    path = csv_file("a.csv", {}, {"age": "x"})
+    with open(path, "a") as out:
+        out.write(f"{long}\n{short}\n")
+    staged = stage(read_lines(spark.read, path), str(tmp_path / "staged"))
+    assert staged.report()["total_rows"] == 4 and staged.valid.count() == 1
+    saved = save_rejects(staged.rejected, str(tmp_path / "rejected"), "a")
+    rows = {r.invoice_no: r for r in read_rejects(spark, saved).collect()}
+    assert set(rows) == {"a", "I6", "I900"}
+    assert rows["a"].line == long and rows["I6"].line == short
+    assert rows["I900"].line is None and rows["I900"].age == "x"
+
+
+def test_headers_are_told_apart_in_the_staged_rows(spark, csv_file, tmp_path):
+    """A repeated header is a bad row, a missing one spoils its file alone."""
+    csv_file("in/a file.csv", {"invoice_no": "I1"}, {"invoice_no": "I2"})
+    with open(tmp_path / "in" / "a file.csv", "a") as out:
+        out.write(",".join(SOURCE_COLUMNS) + "\n")
+    bare = csv_file("in/b.csv", {"invoice_no": "I3"}, {"invoice_no": "I4"})
+    lines = open(bare).read().split("\n")[1:]
+    open(bare, "w").write("\n".join(lines))
+    csv_file("in/c.csv", {"invoice_no": "I5"}, header=["a", "b"])
+    (tmp_path / "in" / "d.csv").write_text("")
+    path = str(tmp_path / "in")
+    staged = stage(read_lines(spark.read, path), str(tmp_path / "one"))
+    wrong = {r.path[-5:]: r.errors for r in staged.wrong_files().collect()}
+    assert wrong == {
+        "b.csv": "column_names_mismatch",
+        "c.csv": "expected_10_columns_got_2,column_names_mismatch",
+    }
+    good = staged.without(staged.wrong_files(), str(tmp_path / "two"))
+    assert good.report()["total_rows"] == 3 and good.report()["invalid_rows"] == 1
+    numbered = good.numbered(0).orderBy("sale_id").collect()
+    assert [(r.sale_id, r.invoice_no) for r in numbered] == [(1, "I1"), (2, "I2")]
+    # The listing and the scan know a file under the same id.
+    listed = {r.file_id for r in file_listing(spark, path).collect()}
+    assert {r.file_id for r in staged.files().collect()} <= listed
+
+
 def test_holidays_of_several_years(spark, json_file):
     paths = [
         json_file(f"{year}.json", [{"date": f"{year}-01-01", "types": ["Public"], "fixed": True}])

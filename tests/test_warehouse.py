@@ -1,5 +1,6 @@
 import datetime as dt
 from decimal import Decimal
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -14,6 +15,24 @@ def put(warehouse, rows, holidays, load_id):
     return load(warehouse, stage(rows, warehouse.fresh("staged")), holidays, load_id)
 
 
+@pytest.fixture
+def lopsided_customers(spark):
+    """Four thousand sales of as many customers, dealt over two days."""
+    n = F.col("id")
+    return spark.range(0, 4000, 1, 1).select(
+        F.concat(F.lit("I"), n).alias("invoice_no"),
+        F.concat(F.lit("C"), n).alias("customer_id"),
+        F.lit("Male").alias("gender"),
+        F.lit("30").alias("age"),
+        F.lit("Toys").alias("category"),
+        F.lit("1").alias("quantity"),
+        F.lit("2.00").alias("price"),
+        F.lit("Cash").alias("payment_method"),
+        F.concat((n * 7919 % 4000 % 5 + 1).cast("string"), F.lit("/3/2022")).alias("invoice_date"),
+        F.lit("Kanyon").alias("shopping_mall"),
+    )
+
+
 def contents(warehouse, table, *without):
     return sorted(map(tuple, warehouse.read(table).drop(*without).collect()), key=repr)
 
@@ -111,29 +130,98 @@ def test_repeating_a_load_replaces_it(warehouse, feed, holidays):
     assert warehouse.read("fact_sales").count() == 4
 
 
-def folders(warehouse, table):
-    return {part: path for (name, part), (path, _) in warehouse._current.items() if name == table}
+def files(warehouse):
+    """All files of the tables with their contents' places on disk."""
+    found = Path(warehouse.root, "data").rglob("*.parquet")
+    return {str(p): (p.stat().st_ino, p.stat().st_mtime) for p in found}
 
 
-def test_a_small_load_rewrites_its_parts_only(spark, warehouse, feed, holidays):
+def test_a_small_load_rewrites_nothing(spark, warehouse, feed, holidays):
     many = [{"customer_id": f"C{i}", "invoice_date": f"1/{i % 12 + 1}/2022"} for i in range(200)]
     put(warehouse, feed(*many), holidays, "a")
-    before = {t: folders(warehouse, t) for t in ("dim_customer", "fact_daily_summary")}
-    put(warehouse, feed({"customer_id": "C5", "invoice_date": "2/6/2022"}), holidays, "b")
-    after = {t: folders(warehouse, t) for t in before}
-    changed = {t: [p for p in after[t] if p and after[t][p] != before[t].get(p)] for t in before}
-    assert len(changed["dim_customer"]) == 1
-    assert changed["fact_daily_summary"] == ["part-202206"]
+    before = files(warehouse)
+    put(warehouse, feed({"customer_id": "C5", "invoice_date": "1/6/2022"}), holidays, "b")
+    after = files(warehouse)
+    assert {path: after.get(path) for path in before} == before
+    new = [path for path in after if path not in before and "/staged-" not in path]
+    assert all("/load_no=3/" in path for path in new)
     assert warehouse.read("dim_customer").count() == 200
+    days = {r.date_key: r for r in warehouse.read("fact_daily_summary").collect()}
+    assert len(days) == 12 and days[20220601].total_transactions == 18
+    assert days[20220601].unique_customers == 17
 
 
-def test_a_late_row_reads_its_month_only(warehouse, feed, holidays):
-    put(warehouse, feed(*[{"invoice_date": f"3/{m}/2022"} for m in range(1, 13)]), holidays, "a")
-    sales = warehouse.sales_of_months(warehouse.paths("fact_sales"), [202204])
-    plan = sales._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(sale_month" in plan
-    assert len(sales.inputFiles()) == 12 and sales.count() == 1
-    assert {r.date_key for r in sales.collect()} == {20220403}
+def test_a_late_row_costs_its_own_load(spark, warehouse, feed, holidays):
+    """The third delivery reads no sale of the others, though it shares a day with both."""
+    put(warehouse, feed(*FIRST), holidays, "a")
+    put(warehouse, feed(*SECOND), holidays, "b")
+    hidden = Path(warehouse.folder("fact_sales"))
+    for load in hidden.iterdir():
+        load.rename(load.with_name("away-" + load.name))
+    assert put(warehouse, feed({"customer_id": "C1", "invoice_date": "2/3/2022"}), holidays, "c")[
+        "status"
+    ] == "success"
+    for load in hidden.glob("away-*"):
+        load.rename(load.with_name(load.name[5:]))
+    day = warehouse.read("fact_daily_summary").where("date_key = 20220302").first()
+    assert (day.total_transactions, day.unique_customers) == (4, 2)
+    scans = warehouse.read("fact_daily_summary")._jdf.queryExecution().optimizedPlan().toString()
+    assert "sale_id" not in scans
+
+
+def test_customers_of_a_replaced_load(spark, warehouse, feed, holidays):
+    put(warehouse, feed(*FIRST), holidays, "a")
+    put(warehouse, feed(*SECOND), holidays, "b")
+    put(warehouse, feed({"customer_id": "C2", "invoice_date": "9/9/2022"}), holidays, "b")
+    people = {r.customer_id: r for r in warehouse.read("dim_customer").collect()}
+    assert {i: p.total_transactions for i, p in people.items()} == {"C1": 2, "C2": 2, "C0": 0}
+    assert people["C0"].first_purchase_date is None and people["C0"].gender == "Female"
+    # C1 is as old again as its other load says.
+    assert (people["C1"].age, people["C1"].age_group) == (33, "26-35")
+    assert people["C2"].last_purchase_date == dt.date(2022, 9, 9)
+    assert sorted(p.customer_key for p in people.values()) == [1, 2, 3]
+    plan = warehouse.read("dim_customer")._jdf.queryExecution().optimizedPlan().toString()
+    assert "sale_id" not in plan
+
+
+def rows_scanned(rows):
+    """What the scan of a plan gives out, once the row groups it can do without are left out."""
+    rows.collect()
+    plan, found = rows._jdf.queryExecution().executedPlan(), []
+
+    def visit(node):
+        name = node.nodeName()
+        if name == "AdaptiveSparkPlan":
+            return visit(node.executedPlan())
+        if name.startswith("Scan parquet"):
+            found.append(node.metrics().get("numOutputRows").get().value())
+        children = node.children()
+        for i in range(children.size()):
+            visit(children.apply(i))
+
+    visit(plan)
+    return sum(found)
+
+
+def test_one_customer_reads_few_row_groups(spark, warehouse, lopsided_customers, holidays):
+    """Customers are anywhere in a month; their row groups are told by Bloom filters."""
+    settings = spark.sparkContext._jsc.hadoopConfiguration()
+    small = {"parquet.block.size": "4096", "parquet.block.size.row.check.min": "100",
+             "parquet.page.size.row.check.min": "50"}
+    for name, value in small.items():
+        settings.set(name, value)
+    try:
+        put(warehouse, lopsided_customers, holidays, "a")
+    finally:
+        for name in small:
+            settings.unset(name)
+    total = warehouse.read("fact_sales").count()
+    mine = warehouse.sales_of_customer("C77")
+    assert rows_scanned(mine) < total / 5
+    assert [r.invoice_no for r in mine.collect()] == ["I77"]
+    assert warehouse.sales_of_customer("C999999").count() == 0
+    day = warehouse.read("fact_sales").where("date_key = 20220301")
+    assert rows_scanned(day) < total / 2
 
 
 def test_a_table_whose_folder_is_gone_does_not_exist(warehouse):
@@ -184,6 +272,33 @@ def test_sql_over_the_tables(warehouse, feed, holidays):
     ]
 
 
+def test_a_held_warehouse_sees_later_loads(spark, warehouse, feed, holidays):
+    question = "SELECT count(*) AS n FROM fact_sales"
+    held = Warehouse(spark, warehouse.root)
+    assert held.query(question, keep=True).first().n == 0
+    put(warehouse, feed(*FIRST), holidays, "a")
+    first = held.query(question, keep=True)
+    assert first.first().n == 3 and first.is_cached
+    assert held.query(question, keep=True) is first
+    put(warehouse, feed(*SECOND), holidays, "b")
+    assert held.query(question).first().n == 5
+    assert not first.is_cached
+    # Another warehouse's views do not get in the way.
+    other = Warehouse(spark, warehouse.root + "-other").reset()
+    assert other.query(question).first().n == 0
+    assert held.query(question).first().n == 5
+
+
+def test_a_failed_load_leaves_no_folder(spark, warehouse, feed, holidays):
+    put(warehouse, feed(*FIRST), holidays, "a")
+    before = set(files(warehouse))
+    broken = holidays.select(F.raise_error(F.lit("no calendar")).cast("string").alias("date"))
+    put(warehouse, feed({"quantity": "2"}), broken, "b")
+    assert {p for p in files(warehouse) if "/staged-" not in p} == {
+        p for p in before if "/staged-" not in p
+    }
+
+
 def test_kept_base_follows_the_version(warehouse, feed, holidays):
     put(warehouse, feed(*FIRST), holidays, "a")
     kept = warehouse.sales_base(keep=True)

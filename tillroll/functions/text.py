@@ -23,6 +23,9 @@ WHITE_SPACE = "".join(
     ]
 )
 
+# Numbers as they are written: eleven digits before the point, twenty-seven behind.
+EXACT_TYPE = "decimal(38,27)"
+
 
 def cell_text(column):
     """The trimmed text of a CSV cell; NULL when the cell holds a null token.
@@ -52,20 +55,13 @@ def cell_choice(column, values):
     return F.when(cell.isin(values), cell).otherwise(cell_text(column))
 
 
-def cell_number(column, decimal_type):
-    """The cell as a decimal, rounded half up; NULL when it is no finite number that fits."""
+def cell_exact(column):
+    """The cell as a decimal of 27 places; NULL when it is no finite number that fits."""
     return F.coalesce(
-        F.col(column).try_cast(decimal_type), cell_text(column).try_cast(decimal_type)
+        F.col(column).try_cast(EXACT_TYPE), cell_text(column).try_cast(EXACT_TYPE)
     )
 
 
-def cell_exact(column):
-    """The cell as an unrounded double; NULL when it is no finite number."""
-    known = cell_number(column, "decimal(38,18)").isNotNull()
-    value = F.coalesce(F.col(column).try_cast("double"), cell_text(column).try_cast("double"))
-    return F.when(known, value)
-
-
 def cell_date(column, date_format):
     """The cell as a date in one strict format; NULL when it does not match."""
     return F.coalesce(

@@ -1,28 +1,44 @@
-"""Joins whose small side is checked before it is broadcast."""
-
-from pyspark.sql import functions as F
+"""Key checks across tables, and top-by."""
 
+from functools import reduce
 
-def broadcast_within(small, max_rows):
-    """Hint a broadcast when the side holds at most ``max_rows`` rows.
-
-    Beyond that the side goes back unhinted and Spark joins by shuffling, with
-    adaptive splitting of skewed partitions.
-    """
-    if small.limit(max_rows + 1).count() <= max_rows:
-        return F.broadcast(small)
-    return small
+from pyspark.sql import functions as F
 
 
-def orphan_rows(child, parent, key):
-    """How many child rows have a ``key`` the parent lacks.
+def orphan_rows(child, parents):
+    """``foreign_key`` and ``orphans``: child rows with a key that its parent lacks.
 
-    Rows are counted per key first, so a key held by a third of the rows
-    reaches the join as one row per map task.
+    ``parents`` names the parent of each key column, all of whole numbers. The child is
+    read once: its keys are laid out as (column, key), and rows are counted for each
+    before the shuffle, so a key held by a third of the rows travels as one row
+    per map task. The parents' keys join that as rows of no weight. NULL is no
+    parent's key.
     """
-    per_key = child.groupBy(key).agg(F.count(F.lit(1)).alias("rows"))
-    return per_key.join(parent.select(key), key, "left_anti").agg(
-        F.coalesce(F.sum("rows"), F.lit(0)).alias("orphans")
+    keys = child.select([F.col(key).cast("long").alias(key) for key in parents])
+    rows = keys.unpivot([], list(parents), "foreign_key", "key").select(
+        "foreign_key", "key", F.lit(1).alias("rows"), F.lit(0).alias("known")
+    )
+    sides = [
+        parent.where(F.col(key).isNotNull()).select(
+            F.lit(key).alias("foreign_key"),
+            F.col(key).cast("long").alias("key"),
+            F.lit(0).alias("rows"),
+            F.lit(1).alias("known"),
+        )
+        for key, parent in parents.items()
+    ]
+    # So that every column is in the result, also without a row.
+    names = child.sparkSession.createDataFrame(
+        [(key, None, 0, 0) for key in parents],
+        "foreign_key string, key long, rows int, known int",
+    )
+    per_key = (
+        reduce(lambda a, b: a.unionByName(b), [rows, *sides, names])
+        .groupBy("foreign_key", "key")
+        .agg(F.sum("rows").alias("rows"), F.max("known").alias("known"))
+    )
+    return per_key.groupBy("foreign_key").agg(
+        F.sum(F.when(F.col("known") == 0, F.col("rows")).otherwise(0)).alias("orphans")
     )
 
 

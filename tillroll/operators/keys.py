@@ -3,42 +3,60 @@
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+# monotonically_increasing_id() is the partition's number, and below it the row's place there.
+PLACES = 33
+_TO_HERE = (Window.unboundedPreceding, Window.currentRow)
 
-def number_rows(stored, name="_row_number", start=0):
-    """Number the rows of a written Parquet table ``start + 1, ...`` in file order.
 
-    ``stored`` must be a plain read of the files. Parquet gives each row its
-    place in its file; adding the row counts of the files before it makes the
-    number dense over the table. Only the per-file counts, one short row per
-    file that a job's tasks wrote, are ever brought together and broadcast, and
-    no data row moves or has its file's name taken apart.
+def number_rows(stored, name, order, start=0):
+    """Number the rows of a written Parquet table ``start + 1, ...`` by ``order``.
+
+    ``order`` is a stored column of whole numbers that rises through each file, and
+    no two files' ranges of it overlap: what a sorted write leaves behind. A row's
+    number is its place in its file plus the rows of the files that lie before, so
+    that rows may be left out by a filter on the table's folders. Only one short row
+    per file is ever brought together and broadcast, and no data row moves.
     """
-    file = F.col("_metadata.file_name").alias("_file")
+    file = F.col("_metadata.file_path").alias("_from")
     placed = stored.select("*", file, F.col("_metadata.row_index").alias("_place"))
-    part = F.regexp_extract("_file", r"part-(\d+)", 1).cast("int")
-    chunk = F.regexp_extract("_file", r"[-.]c(\d+)\.", 1).cast("int")
-    in_order = Window.orderBy("part", "chunk")
-    before = (
-        stored.groupBy(file)
-        .agg(F.count(F.lit(1)).alias("rows"))
-        .select("_file", "rows", part.alias("part"), chunk.alias("chunk"))
-        .select("_file", (F.sum("rows").over(in_order) - F.col("rows")).alias("_before"))
+    files = stored.groupBy(file).agg(
+        F.count(F.lit(1)).alias("_rows"), F.min(order).alias("_least")
     )
+    before = F.sum("_rows").over(Window.orderBy("_least").rowsBetween(*_TO_HERE))
+    files = files.select("_from", (before - F.col("_rows")).alias("_before"))
     return (
-        placed.join(F.broadcast(before), "_file")
+        placed.join(F.broadcast(files), "_from")
         .withColumn(name, F.col("_before") + F.col("_place") + 1 + F.lit(start))
-        .drop("_file", "_before", "_place")
+        .drop("_from", "_before", "_place")
     )
 
 
 def assign_dense_keys(rows, order_by, key, folder, last_key=0):
     """Give rows the keys ``last_key + 1, ...`` in the order of ``order_by``.
 
-    Rows are range-partitioned and sorted into a table written at ``folder``
-    (a path in the shared folder); its file order is the key order. The
-    written table also fixes the layout, so a recomputed task cannot shift
-    keys. ``order_by`` must be unique, so that no range is a hot one.
+    Rows are range-partitioned, sorted, and written at ``folder`` (a path in the
+    shared folder) with the number of their partition and their place in it. A key is
+    the place plus the sizes of the partitions before, one short row for each. The
+    written table fixes the layout, so a recomputed task cannot shift keys.
+    ``order_by`` must be unique, so that no range is a hot one.
     """
-    rows.repartitionByRange(*order_by).sortWithinPartitions(*order_by).write.parquet(folder)
-    stored = rows.sparkSession.read.schema(rows.schema).parquet(folder)
-    return number_rows(stored, key, last_key)
+    row = F.monotonically_increasing_id()
+    (
+        rows.repartitionByRange(*order_by)
+        .sortWithinPartitions(*order_by)
+        .withColumn("_row", row)
+        .withColumns(
+            {
+                "_part": F.shiftright("_row", PLACES).cast("int"),
+                "_place": F.col("_row").bitwiseAND(F.lit((1 << PLACES) - 1)),
+            }
+        )
+        .drop("_row")
+        .write.parquet(folder)
+    )
+    stored = rows.sparkSession.read.parquet(folder)
+    sizes = stored.groupBy("_part").agg(F.count(F.lit(1)).alias("_rows"))
+    before = F.sum("_rows").over(Window.orderBy("_part").rowsBetween(*_TO_HERE))
+    sizes = sizes.select("_part", (before - F.col("_rows")).alias("_before"))
+    keyed = F.col("_before") + F.col("_place") + 1 + F.lit(last_key)
+    return stored.join(F.broadcast(sizes), "_part").select(*rows.columns, keyed.alias(key))

@@ -4,7 +4,7 @@ from decimal import Decimal
 
 from pyspark.sql import functions as F
 
-from tillroll.functions.text import cell_choice, cell_date, cell_exact, cell_id, cell_number
+from tillroll.functions.text import cell_choice, cell_date, cell_exact, cell_id
 from tillroll.schema import (
     CATEGORIES,
     CLEAN_SCHEMA,
@@ -21,8 +21,8 @@ from tillroll.sources.transactions import RAGGED, header_errors
 
 # What the columns of the fact hold: INT and DECIMAL(10,2).
 TOO_MANY = 2**31
-HIGHEST_PRICE = Decimal("99999999.99")
-EXACT = ["age", "quantity", "price"]
+# What rounds to more than 99999999.99, with the nine places it is kept by in between.
+PRICE_TOO_HIGH = Decimal("99999999.9949999995")
 
 
 def _fails(test):
@@ -38,18 +38,18 @@ def _wrong_prefix(column, letter):
 def row_rules():
     """``(rule name, condition that is true when broken)`` over the typed columns."""
     c = {name: F.col(f"_{name}") for name in SOURCE_COLUMNS}
-    # Bounds hold for the numbers as they were written, not as they are kept.
-    x = {name: F.col(f"_exact_{name}") for name in EXACT}
+    # Bounds hold for the numbers as they were written, not as they are kept: a quantity
+    # of 1e-12 is one, though its amount comes to 0.00.
     broken = [
         c["invoice_no"].isNull(),
         _wrong_prefix(c["invoice_no"], "I"),
         c["customer_id"].isNull(),
         _wrong_prefix(c["customer_id"], "C"),
         _fails(c["gender"].isin(GENDERS)),
-        _fails(x["age"].between(MIN_AGE, MAX_AGE)),
+        _fails(c["age"].between(MIN_AGE, MAX_AGE)),
         _fails(c["category"].isin(CATEGORIES)),
-        _fails((x["quantity"] > 0) & (x["quantity"] < TOO_MANY)),
-        _fails((x["price"] > 0) & (F.round(c["price"], 2) <= F.lit(HIGHEST_PRICE))),
+        _fails((c["quantity"] > 0) & (c["quantity"] < TOO_MANY)),
+        _fails((c["price"] > 0) & (c["price"] < F.lit(PRICE_TOO_HIGH))),
         _fails(c["payment_method"].isin(PAYMENT_METHODS)),
         c["invoice_date"].isNull(),
         _fails(c["shopping_mall"].isin(MALLS)),
@@ -61,8 +61,9 @@ def typed_columns(rows, date_format=DATE_FORMAT):
     """Add one typed column per source column, named with a leading underscore,
     and ``_row_id``, which rises in reading order.
 
-    Numbers are read twice: unrounded, for the rules, and as decimals, for the
-    tables. ``NaN``, infinities and what no column can hold break their rule.
+    Numbers are read once, with 27 places; the rules look at them so, and the
+    tables' columns are rounded from them. ``NaN``, infinities and what no column can
+    hold break their rule.
     """
     readers = {
         "invoice_no": cell_id,
@@ -71,13 +72,12 @@ def typed_columns(rows, date_format=DATE_FORMAT):
         "category": lambda c: cell_choice(c, CATEGORIES),
         "payment_method": lambda c: cell_choice(c, PAYMENT_METHODS),
         "shopping_mall": lambda c: cell_choice(c, MALLS),
-        "age": lambda c: cell_number(c, "decimal(20,9)"),
-        "quantity": lambda c: cell_number(c, "decimal(20,9)"),
-        "price": lambda c: cell_number(c, "decimal(18,9)"),
+        "age": cell_exact,
+        "quantity": cell_exact,
+        "price": cell_exact,
         "invoice_date": lambda c: cell_date(c, date_format),
     }
     columns = {f"_{c}": readers[c](c) for c in SOURCE_COLUMNS}
-    columns |= {f"_exact_{c}": cell_exact(c) for c in EXACT}
     return rows.withColumns({**columns, "_row_id": F.monotonically_increasing_id()})
 
 
@@ -96,7 +96,9 @@ def check_rows(rows, date_format=DATE_FORMAT):
 def clean_columns():
     """Typed columns under their source names; fractions of age are cut off."""
     return [
-        F.col(f"_{f.name}").cast(f.dataType).alias(f.name) for f in CLEAN_SCHEMA.fields
+        # What a column cannot hold is NULL in a rejected row.
+        F.col(f"_{f.name}").try_cast(f.dataType).alias(f.name)
+        for f in CLEAN_SCHEMA.fields
     ]
 
 

@@ -22,7 +22,7 @@ from tillroll.schema import (
     TABLES,
     UNIQUE_KEYS,
 )
-from tillroll.registry import REPORT_MALL
+from tillroll.registry import REPORT_CUSTOMER, REPORT_MALL, SAMPLE_SEED
 from tillroll.sources.order_feed import HOLIDAY_MONTH_DAYS
 
 
@@ -52,7 +52,7 @@ cells AS (
          strftime(o_orderdate, '%-d/%-m/%Y') AS invoice_date,
          strftime(o_orderdate, '%d/%m/%Y') AS padded_date,
          {_pick(MALLS, "l_suppkey")} AS shopping_mall,
-         l_orderkey, o_custkey,
+         l_orderkey, l_linenumber, o_custkey,
          (l_orderkey * 7 + l_linenumber) % 101 AS fault
   FROM lineitem
   JOIN orders ON o_orderkey = l_orderkey
@@ -80,7 +80,7 @@ feed AS (
          CASE fault WHEN 10 THEN '31/02/1996' WHEN 14 THEN padded_date
               ELSE invoice_date END AS invoice_date,
          CASE fault WHEN 11 THEN 'Harbour Arcade' WHEN 13 THEN '  ' || shopping_mall || ' '
-              ELSE shopping_mall END AS shopping_mall
+              ELSE shopping_mall END AS shopping_mall, l_orderkey, l_linenumber
   FROM cells
 )"""
 
@@ -321,12 +321,16 @@ def oracle_sql():
             FEED, "SELECT count(*) > 0 AS valid, count(*) AS rows, 10 AS columns, count(*) > 0 AS has_bytes FROM feed"
         ),
         "head_sample": _with(
-            FEED,
-            "SELECT * FROM feed ORDER BY "
-            + ", ".join(f"{c} NULLS FIRST" for c in SOURCE_COLUMNS)
-            + " LIMIT 100",
+            FEED, f"SELECT {_NULLED} FROM feed ORDER BY l_orderkey, l_linenumber LIMIT 100"
+        ),
+        "rejected_csv": _with(
+            RULES,
+            f"SELECT {_NULLED}, NULL AS line FROM checked WHERE {_ANY} UNION ALL SELECT "
+            + ", ".join(["n_name"] * len(SOURCE_COLUMNS))
+            + ", concat_ws(',', "
+            + ", ".join(["n_name"] * 12)
+            + ") FROM nation",
         ),
-        "rejected_csv": _with(RULES, f"SELECT {_NULLED} FROM checked WHERE {_ANY}"),
         "saved_holidays": _with(_HOLIDAYS, "SELECT date AS full_date FROM holidays"),
         "holiday_range": _with(
             _HOLIDAYS, "SELECT min(date) || ' to ' || max(date) AS date_range FROM holidays"
@@ -568,7 +572,7 @@ def oracle_sql():
     for name in ("stream_two_sources", "run_growing_folder", "run_counts", "reload_replaces"):
         sql[name] = sql["table_counts"]
     sql["stream_with_bad_file"] = _with(
-        STAR, f"SELECT count(*) AS sales, {_SUM} AS revenue FROM sales WHERE year = 1996"
+        STAR, f"SELECT count(*) AS sales, {_SUM} AS revenue FROM sales"
     )
     sql["header_report"] = _with(
         FEED,
@@ -588,7 +592,50 @@ def oracle_sql():
         "SELECT table_name, columns, true AS in_order, true AS is_there, row_count "
         f"FROM ({widths}) JOIN ({sql['table_counts']}) USING (table_name)"
     )
-    sql["sampled_amounts"] = sql["amount_mismatch"]
+    lot = (
+        f"substr(md5(concat_ws('|', '{SAMPLE_SEED}', invoice_no, date_key, customer_key, product_key, "
+        "store_key, payment_key, quantity, price, total_amount)), 1, 15)"
+    )
+    sql["sampled_amounts"] = _with(
+        STAR,
+        f"""SELECT count(*) AS drawn,
+        count(*) FILTER (WHERE abs(total_amount - quantity * price) > 0.01) AS mismatched_rows
+        FROM (SELECT * FROM sales ORDER BY {lot} LIMIT 100)""",
+    )
+    sql["delivered_daily"] = sql["fact_daily_summary"]
+    sql["reload_customers"] = sql["dim_customer"].replace("SELECT customer_key, ", "SELECT ")
+    sql["customer_history"] = _with(
+        STAR,
+        f"""SELECT invoice_no, date_key, customer_key, product_key, store_key, payment_key,
+        quantity, CAST(price AS DOUBLE) AS price, CAST(total_amount AS DOUBLE) AS total_amount,
+        is_holiday, is_weekend FROM sales WHERE customer_id = '{REPORT_CUSTOMER}'""",
+    )
+    sql["sql_after_load"] = _with(
+        STAR,
+        f"""SELECT 0 AS loads, 0 AS sales, CAST(NULL AS DOUBLE) AS revenue
+        UNION ALL SELECT 1, count(*), {_SUM} FROM sales""",
+    )
+    sql["empty_delivery"] = (
+        "SELECT 0 AS total_rows, 0 AS valid_rows, 0 AS invalid_rows, CAST(0 AS DOUBLE) AS invalid_percent, "
+        "0 AS rules_listed, true AS summary_is_empty FROM (SELECT count(*) FROM lineitem)"
+    )
+    faults_found = " + ".join(f"count(*) FILTER (WHERE {name})" for name in RULE_NAMES)
+    sql["validated"] = _with(
+        RULES,
+        f"""SELECT 'in order' AS delivery, true AS schema_valid, count(*) AS total_rows,
+        count(*) FILTER (WHERE NOT ({_ANY})) AS valid_rows,
+        count(*) FILTER (WHERE {_ANY}) AS invalid_rows, {faults_found} AS faults FROM checked
+        UNION ALL SELECT 'price missing', false, count(*), 0, count(*), 2 FROM feed""",
+    )
+    sql["dropped_tables"] = f"""
+        SELECT 'loaded' AS state, table_name, true AS is_there, row_count FROM ({sql["table_counts"]})
+        UNION ALL SELECT 'dropped', table_name, false, 0 FROM ({widths})
+        UNION ALL SELECT 'new', table_name, true, CASE table_name {" ".join(
+            f"WHEN '{table}' THEN {len(values)}" for table, (_, _, values) in SEEDS.items()
+        )} ELSE 0 END FROM ({widths})"""
+    sql["dimension_sizes"] = (
+        f"SELECT table_name, row_count FROM ({sql['table_counts']}) WHERE table_name LIKE 'dim%'"
+    )
     sql["unmatched_sales"] = _with(STAR, "SELECT count(*) AS unmatched FROM sales WHERE age < 30")
     faults = {"customer_key": 1, "product_key": 2}
     sql["spoiled_orphans"] = _with(

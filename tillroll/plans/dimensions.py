@@ -4,22 +4,15 @@ from pyspark.sql import functions as F
 
 from tillroll.functions.calendar import date_key, iso_weekday, season
 from tillroll.functions.people import age_group
-from tillroll.operators.joins import broadcast_within
 from tillroll.schema import GENDERS, SEEDS, TABLES, conform
 from tillroll.sources.holidays import holiday_dates
 
-# Ten thousand years of a holiday every day would not reach this.
-MAX_HOLIDAYS_TO_BROADCAST = 100_000
-
 
 def dim_time(clean, holidays, legacy_holiday_parse=False):
     """One row per distinct sale date, with calendar attributes."""
     day = F.col("full_date")
     dates = clean.select(F.col("invoice_date").alias("full_date")).where(day.isNotNull()).distinct()
-    marked = broadcast_within(
-        holiday_dates(holidays, legacy_holiday_parse).withColumn("_holiday", F.lit(True)),
-        MAX_HOLIDAYS_TO_BROADCAST,
-    )
+    marked = holiday_dates(holidays, legacy_holiday_parse).withColumn("_holiday", F.lit(True))
     attributes = {
         "date_key": date_key(day),
         "day_name": F.date_format(day, "EEEE"),
@@ -36,6 +29,23 @@ def dim_time(clean, holidays, legacy_holiday_parse=False):
     return conform(dates.join(marked, "full_date", "left").withColumns(attributes), "dim_time")
 
 
+def profile_of(gender, age):
+    """Gender and age as one number, NULL unless both are known.
+
+    A gender is its place in the list, from 1; the rules have passed no other.
+    """
+    listed = F.array(*[F.lit(g) for g in GENDERS])
+    return age.cast("long") * (len(GENDERS) + 1) + F.array_position(listed, gender)
+
+
+def profile_parts(profile):
+    """Gender and age out of :func:`profile_of`."""
+    base = len(GENDERS) + 1
+    listed = F.array(*[F.lit(g) for g in GENDERS])
+    gender = F.get(listed, (profile % base - 1).cast("int"))
+    return gender, F.floor(profile / base).cast("int")
+
+
 def customer_batch(clean):
     """One row per customer, without key: first-seen profile and purchase metrics.
 
@@ -44,22 +54,19 @@ def customer_batch(clean):
     map-side half of it shrinks a customer with very many rows to one row per
     task.
     """
-    # A gender is its place in the list, from 1; the rules have passed no other.
-    listed = F.array(*[F.lit(g) for g in GENDERS])
-    base = len(GENDERS) + 1
-    profile = F.col("age").cast("long") * base + F.array_position(listed, F.col("gender"))
-    known = F.col("age").isNotNull() & F.col("gender").isNotNull()
+    profile = profile_of(F.col("gender"), F.col("age"))
     grouped = clean.groupBy("customer_id").agg(
-        F.min_by(F.when(known, profile), F.when(known, F.col("_row_id"))).alias("_profile"),
+        F.min_by(profile, F.when(profile.isNotNull(), F.col("_row_id"))).alias("_profile"),
         F.min("invoice_date").alias("first_purchase_date"),
         F.max("invoice_date").alias("last_purchase_date"),
         F.count("invoice_no").alias("total_transactions"),
     )
+    gender, age = profile_parts(F.col("_profile"))
     return grouped.select(
         "customer_id",
-        F.get(listed, (F.col("_profile") % base - 1).cast("int")).alias("gender"),
-        F.floor(F.col("_profile") / base).cast("int").alias("age"),
-        age_group(F.floor(F.col("_profile") / base)).alias("age_group"),
+        gender.alias("gender"),
+        age.alias("age"),
+        age_group(age).alias("age_group"),
         "first_purchase_date",
         "last_purchase_date",
         "total_transactions",

@@ -43,61 +43,78 @@ def missing_keys(sales):
 
 
 def require_keys(sales):
-    """Raise KeyError, showing five rows, when a lookup failed."""
-    examples = missing_keys(sales).select("invoice_no", *FOUND).limit(5).collect()
-    if examples:
+    """The number of rows; KeyError, showing five of them, when a lookup failed."""
+    found = F.lit(True)
+    for name in FOUND:
+        found = found & F.col(name).isNotNull()
+    counted = sales.agg(F.count(F.lit(1)).alias("rows"), F.count_if(~found).alias("missing")).first()
+    if counted.missing:
+        examples = missing_keys(sales).select("invoice_no", *FOUND).limit(5).collect()
         raise KeyError(f"no dimension entry for some rows, such as {examples}")
+    return counted.rows
 
 
 # All columns but the number, which the load gives out.
 FACT_COLUMNS = [c for c in TABLES["fact_sales"].names if c != "sale_id"]
 
+# A row of the summary.
+PAIR = ["date_key", "store_key"]
+
 
 def fact_sales(clean, dims):
     """One fact row per clean row, without ``sale_id``."""
     return keyed_sales(clean, dims).select(FACT_COLUMNS)
 
 
-def daily_summary(sales, dims):
-    """Per day and store: revenue, rows, average, customers and the two tops.
-
-    Everything but the customer count comes from one small cube by day, store,
-    product and payment, read in one pass. Its groups are few and its sums
-    combine before the shuffle, so one busy store or day is no hot spot. The
-    cube is then summed per product and per payment at once; ties go to the
-    lowest key. Rows are counted without reading the invoice number, which no
-    fact row lacks.
+def summary_cells(sales):
+    """Revenue and rows by day, store, product and payment: sums that add up over loads.
+
+    One pass; the groups are few and combine before the shuffle, so one busy
+    store or day is no hot spot. Rows are counted without reading the invoice
+    number, which no fact row lacks.
     """
-    group = ["date_key", "store_key"]
-    cube = sales.groupBy(*group, "product_key", "payment_key").agg(
-        F.sum("total_amount").alias("revenue"), F.count(F.lit(1)).alias("rows")
+    return sales.groupBy(*PAIR, "product_key", "payment_key").agg(
+        F.sum("total_amount").cast("decimal(30,2)").alias("revenue"),
+        F.count(F.lit(1)).alias("rows"),
     )
-    levels = cube.groupingSets(
-        [[F.col(c) for c in (*group, "product_key")], [F.col(c) for c in (*group, "payment_key")]],
-        *group,
+
+
+def summary_shoppers(sales):
+    """Who bought on a day at a store, once each: sets that unite over loads."""
+    return sales.select(*PAIR, "customer_key").distinct()
+
+
+def summary_of(cells, shoppers, dims):
+    """The summary from cells and sets of shoppers, of one load or of several.
+
+    The cells are summed per product and per payment at once; ties go to the lowest
+    key. The distinct shoppers spread by customer as well before they are counted.
+    """
+    levels = cells.groupingSets(
+        [[F.col(c) for c in (*PAIR, "product_key")], [F.col(c) for c in (*PAIR, "payment_key")]],
+        *PAIR,
         "product_key",
         "payment_key",
     ).agg(F.sum("revenue").alias("revenue"), F.sum("rows").alias("rows"))
     per_product = F.col("product_key").isNotNull()
-    totals = levels.groupBy(group).agg(
+    totals = levels.groupBy(PAIR).agg(
         F.sum(F.when(per_product, F.col("revenue"))).cast("decimal(30,2)").alias("total_revenue"),
         F.sum(F.when(per_product, F.col("rows"))).alias("total_transactions"),
         top_by("revenue", "product_key").alias("product_key"),
         top_by("rows", "payment_key").alias("payment_key"),
     )
-    # The distinct rows spread by customer as well before they are counted.
-    shoppers = (
-        sales.select(*group, "customer_key")
+    counted = (
+        shoppers.select(*PAIR, "customer_key")
         .distinct()
-        .groupBy(group)
+        .groupBy(PAIR)
         .agg(F.count("customer_key").alias("unique_customers"))
     )
     return (
-        totals.join(shoppers, group)
+        totals.join(counted, PAIR)
         .join(dims["dim_product"], "product_key", "left")
         .join(dims["dim_payment"], "payment_key", "left")
         .select(
-            *group,
+            *PAIR,
             "total_revenue",
             "total_transactions",
             (F.col("total_revenue") / F.col("total_transactions"))
@@ -108,3 +125,8 @@ def daily_summary(sales, dims):
             F.col("payment_method").alias("top_payment_method"),
         )
     )
+
+
+def daily_summary(sales, dims):
+    """Per day and store: revenue, rows, average, customers and the two tops."""
+    return summary_of(summary_cells(sales), summary_shoppers(sales), dims)

@@ -6,85 +6,117 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillroll.functions.calendar import date_key, date_of_key
-from tillroll.operators.joins import broadcast_within
 from tillroll.operators.keys import assign_dense_keys, number_rows
 from tillroll.operators.rules import check_rows, clean_columns, report_of
-from tillroll.operators.upsert import insert_absent, upsert
+from tillroll.operators.upsert import upsert
 from tillroll.plans.dimensions import customer_batch, dim_time
-from tillroll.plans.facts import daily_summary, keyed_sales, require_keys
-from tillroll.plans.warehouse import LOADED_FILES
+from tillroll.plans.facts import (
+    PAIR,
+    keyed_sales,
+    require_keys,
+    summary_cells,
+    summary_of,
+    summary_shoppers,
+)
+from tillroll.plans.warehouse import CELLS, LOADED_FILES, SHOPPERS
 from tillroll.schema import CLEAN_SCHEMA, DATE_FORMAT, RAW_SCHEMA, SEEDS, TABLES
+from tillroll.sources.transactions import FILE, HEADER, LINE, file_heads
+
+# A rejected row as it came: its ten cells, and the line if that had another number.
+REJECTED = T.StructType([*RAW_SCHEMA.fields, T.StructField(LINE, T.StringType())])
 
-_STAGED = T.StructType(
-    [
+
+def _staged_schema(with_files):
+    fields = [
         *CLEAN_SCHEMA.fields,
         T.StructField("_row_id", T.LongType()),
         T.StructField("_errors", T.StringType()),
-        T.StructField("_raw", RAW_SCHEMA),
-        T.StructField("rejected", T.BooleanType()),
+        T.StructField("_raw", REJECTED),
     ]
-)
-
-# Nearly three centuries of days.
-MAX_DATES_TO_BROADCAST = 100_000
-
-# Folders of the customer table; a load rewrites those it has customers in.
-CUSTOMER_BUCKETS = 64
-
-
-def bucket_of(customer_id):
-    return F.pmod(F.xxhash64(customer_id), F.lit(CUSTOMER_BUCKETS)).cast("int")
-
-
-def month_of(day_key):
-    return F.expr(f"{day_key} div 100").cast("int")
+    if with_files:
+        fields += [T.StructField(FILE.name, FILE.dataType), T.StructField(HEADER, T.BooleanType())]
+    return T.StructType([*fields, T.StructField("rejected", T.BooleanType())])
 
 
 class Staged:
     """Checked rows of one load, written once: typed valid rows, raw rejected ones.
 
     The source is read, converted and checked in a single pass. All later steps
-    read this table, so a lost executor never sends them back to the source.
+    read this table, so a lost executor never sends them back to the source. For rows
+    from files, the table also tells which file each row came from and where its first
+    line lies, which is its header and no row of the load.
     """
 
-    def __init__(self, spark, path):
-        rows = spark.read.schema(_STAGED).parquet(path)
-        self._valid_files = rows.where("not rejected")
+    def __init__(self, spark, path, with_files=False):
+        self.path, self.with_files = path, with_files
+        self.rows = spark.read.schema(_staged_schema(with_files)).parquet(path)
+        self._valid_files = self.rows.where("not rejected")
         self.valid = self._valid_files.select(*CLEAN_SCHEMA.names, "_row_id")
-        self.checked = rows.select("_errors")
-        self.rejected = rows.where("rejected").select("_raw.*", F.col("_errors").alias("errors"))
+        data = self.rows
+        if with_files:
+            # One short row per file.
+            self.heads = file_heads(self.rows)
+            first = self.heads.select(F.col("first_row").alias("_row_id"))
+            marked = self.rows.where(HEADER)
+            headers = marked.join(first, "_row_id", "left_semi").select("_row_id")
+            data = self.rows.join(headers, "_row_id", "left_anti")
+        self.checked = data.select("_errors")
+        self.rejected = data.where("rejected").select("_raw.*", F.col("_errors").alias("errors"))
 
     def report(self):
         return report_of(self.checked)
 
+    def files(self):
+        """``path`` and ``file_id`` of the files that the rows came from."""
+        return self.heads.select("path", "file_id")
+
+    def wrong_files(self):
+        """``path`` and ``errors`` of files whose first line is not the header."""
+        return self.heads.where("errors <> ''").select("path", "errors")
+
+    def without(self, files, path):
+        """The same without the rows of some files (``path``), written anew at ``path``.
+
+        Only what is staged is read again, and only for files that cannot be taken.
+        """
+        gone = files.select(F.col("path").alias("_gone"))
+        kept = self.rows.join(gone, F.col(f"{FILE.name}.path") == F.col("_gone"), "left_anti")
+        _write_staged(kept, path)
+        return Staged(self.rows.sparkSession, path, True)
+
     def numbered(self, last_sale):
         """Valid rows with ``sale_id`` counted on in the order they were read."""
-        return number_rows(self._valid_files, "sale_id", last_sale).select(
+        return number_rows(self._valid_files, "sale_id", "_row_id", last_sale).select(
             "sale_id", *CLEAN_SCHEMA.names
         )
 
 
-def stage(rows, path, date_format=DATE_FORMAT):
-    """Check rows and write them at ``path``, split by the ``rejected`` flag."""
-    rejected = F.col("_errors") != ""
-    raw = F.struct(*[F.col(c) for c in RAW_SCHEMA.names])
+def _write_staged(rows, path):
+    # The partitioned write needs rows sorted by its column; naming the row id as well
+    # keeps each file in reading order, also when the sort spills.
     (
-        check_rows(rows, date_format)
-        .select(
-            *clean_columns(),
-            "_row_id",
-            "_errors",
-            F.when(rejected, raw).alias("_raw"),
-            rejected.alias("rejected"),
-        )
-        # The partitioned write needs rows sorted by its column; naming the row
-        # id as well keeps each file in reading order, also when the sort spills.
-        .sortWithinPartitions("rejected", "_row_id")
+        rows.sortWithinPartitions("rejected", "_row_id")
         .write.partitionBy("rejected")
         .parquet(path)
     )
-    return Staged(rows.sparkSession, path)
+
+
+def stage(rows, path, date_format=DATE_FORMAT):
+    """Check rows and write them at ``path``, split by the ``rejected`` flag."""
+    with_files = FILE.name in rows.columns
+    rejected = F.col("_errors") != ""
+    line = F.col(LINE) if LINE in rows.columns else F.lit(None).cast("string")
+    raw = F.struct(*[F.col(c) for c in RAW_SCHEMA.names], line.alias(LINE))
+    checked = check_rows(rows, date_format).select(
+        *clean_columns(),
+        "_row_id",
+        "_errors",
+        F.when(rejected, raw).alias("_raw"),
+        *([FILE.name, HEADER] if with_files else []),
+        rejected.alias("rejected"),
+    )
+    _write_staged(checked, path)
+    return Staged(rows.sparkSession, path, with_files)
 
 
 def load(warehouse, staged, holidays, load_id, legacy_holiday_parse=False, files=None):
@@ -100,7 +132,7 @@ def load(warehouse, staged, holidays, load_id, legacy_holiday_parse=False, files
         for table in ["dim_time", "dim_customer", "fact_sales", "fact_daily_summary"]
     }
     result.update(status="failed", error=None)
-    work = _Load(warehouse, staged, holidays, load_id, legacy_holiday_parse, files)
+    work = _Load(warehouse, staged, holidays, legacy_holiday_parse)
 
     def run(table):
         start = time.perf_counter()
@@ -108,211 +140,126 @@ def load(warehouse, staged, holidays, load_id, legacy_holiday_parse=False, files
         result[table] = {"rows": rows, "seconds": round(time.perf_counter() - start, 3)}
 
     try:
+        warehouse.clear()
+        replaced = warehouse.number_of(load_id)
         # The two dimensions do not need each other.
         with ThreadPoolExecutor(2) as pool:
             list(pool.map(run, ["dim_time", "dim_customer"]))
         run("fact_sales")
         run("fact_daily_summary")
-        if work.again:
-            work.recount_customers()
-        warehouse.publish(work.entries())
+        if files is not None:
+            warehouse.write(files.coalesce(1), LOADED_FILES)
+        warehouse.publish(
+            load_id, replaced, snapshots=["dim_time"], last_keys=work.last_keys, loads=1
+        )
         result["status"] = "success"
-        for path in work.scratch:
-            warehouse.remove(path)
     except Exception as problem:
         result["error"] = f"{type(problem).__name__}: {problem}"
+        warehouse.clear()
+    finally:
+        for path in work.scratch:
+            warehouse.remove(path)
     return result
 
 
 class _Load:
-    """One load under way: what it has written so far, and what that will replace."""
+    """One load under way: its own partition of every table."""
 
-    def __init__(self, warehouse, staged, holidays, load_id, legacy_holiday_parse, files):
+    def __init__(self, warehouse, staged, holidays, legacy_holiday_parse):
         self.warehouse = warehouse
         self.spark = warehouse.spark
         self.staged = staged
         self.holidays = holidays
-        self.load_id = load_id
         self.legacy_holiday_parse = legacy_holiday_parse
-        self.files = files
-        self.again = warehouse.has_load(load_id)
-        # (table, part) -> (folder, last key): what will be published.
-        self.written = {}
+        self.number = warehouse.version + 1
+        self.last_keys = {}
         self.scratch = []
 
-    def read(self, table):
-        """A table as it will be after this load, or as it is."""
-        paths = {part: path for part, path in self.current(table) if path is not None}
-        if not paths:
-            return self.warehouse.read(table)
-        return self.warehouse._rows(table, sorted(paths.values())).select(TABLES[table].names)
-
-    def current(self, table):
-        """The parts of a table after this load, with their folders."""
-        parts = {
-            part: path
-            for (name, part), (path, _) in self.warehouse._current.items()
-            if name == table
-        }
-        parts |= {part: path for (name, part), (path, _) in self.written.items() if name == table}
-        return parts.items()
-
-    def write(self, table, rows, last_key=0):
-        self.written[table, ""] = (self.warehouse.write(rows, table), last_key)
-
-    def write_parts(self, table, rows, part, last_key, replaced=()):
-        """Write parts of a table; replaced ones without a row are taken out."""
-        found = self.warehouse.write_parts(rows, table, part)
-        for name in replaced:
-            self.written[table, name] = (None, last_key)
-        for name, path in found.items():
-            self.written[table, name] = (path, last_key)
-        # The highest key must not be lost with a part.
-        whole, _ = self.warehouse._current.get((table, ""), (None, 0))
-        self.written[table, ""] = (whole, last_key)
+    def own(self, table):
+        """What this load has written of a table."""
+        return self.warehouse.partitions(table, number=self.number)
 
     def kept(self, rows, label):
         """Write rows that several steps read; the folder goes when the load is done."""
-        folder = self.warehouse.fresh(label)
-        self.scratch.append(folder)
+        folder = self.folder(label)
         rows.write.parquet(folder)
         return self.spark.read.schema(rows.schema).parquet(folder)
 
-    def entries(self):
-        entries = [
-            (table, part, path, last_key) for (table, part), (path, last_key) in self.written.items()
-        ]
-        if self.files is not None:
-            folder = self.warehouse.fresh(LOADED_FILES)
-            self.files.select("path", "file_id").coalesce(1).write.parquet(folder)
-            entries.append((LOADED_FILES, self.load_id, folder, 0))
-        return entries
+    def folder(self, label):
+        folder = self.warehouse.fresh(label)
+        self.scratch.append(folder)
+        return folder
+
+    def keyed(self, rows, known, keys, key, table):
+        """Rows under the key that known ones have, or the next free one in the order of
+        their natural keys; returns them and how many are new."""
+        last = self.warehouse.last_key(table)
+        folder = self.folder(f"new-{key}")
+        if not last:
+            keyed = assign_dense_keys(rows, keys, key, folder)
+        else:
+            matched = self.kept(rows.join(known, keys, "left"), f"matched-{key}")
+            new = matched.where(F.col(key).isNull()).drop(key)
+            keyed = assign_dense_keys(new, keys, key, folder, last)
+            keyed = matched.where(F.col(key).isNotNull()).unionByName(keyed)
+        self.last_keys[table] = last + self.spark.read.parquet(folder).count()
+        return keyed
 
     def dim_time(self):
         """Days of this batch replace the same days; returns the days handled."""
         days = self.kept(
             dim_time(self.staged.valid, self.holidays, self.legacy_holiday_parse), "days"
         )
-        self.write("dim_time", upsert(self.warehouse.read("dim_time"), days, ["date_key"], check=False))
+        known = self.warehouse.read("dim_time")
+        self.warehouse.write(upsert(known, days, ["date_key"], check=False), "dim_time")
         return days.count()
 
     def dim_customer(self):
-        """New customers get keys in id order, known ones keep theirs.
-
-        A known customer takes the batch's gender and age; dates and counts of
-        a first-time load just combine, so the facts need not be read again. Only
-        buckets with customers of the batch are read and written.
-        """
+        """What this batch knows of its customers. New ones get keys in id order, known
+        ones keep theirs: of the earlier loads, two columns are read for the batch's
+        customers."""
         batch = self.kept(customer_batch(self.staged.valid), "customers")
-        last = self.warehouse.last_key("dim_customer")
-        new, existing = batch, None
-        if last:
-            buckets = batch.select(bucket_of("customer_id").alias("b")).distinct().collect()
-            existing = self.warehouse.parts("dim_customer", [f"part-{row.b}" for row in buckets])
-            new = insert_absent(existing, batch, ["customer_id"])
-        folder = self.warehouse.fresh("new-customers")
-        self.scratch.append(folder)
-        keyed = assign_dense_keys(new, ["customer_id"], "customer_key", folder, last)
-        added = self.spark.read.parquet(folder).count()
-        if last:
-            keyed = _merge_customers(existing, batch).unionByName(keyed)
-        self.write_parts("dim_customer", keyed, bucket_of("customer_id"), last + added)
-        return batch.count() if last else added
+        known = (
+            self.warehouse.partitions("dim_customer", hidden=True)
+            .select("customer_id", "customer_key")
+            .join(batch.select("customer_id"), "customer_id", "left_semi")
+            .distinct()
+        )
+        keyed = self.keyed(batch, known, ["customer_id"], "customer_key", "dim_customer")
+        self.warehouse.write(keyed, "dim_customer")
+        return batch.count()
 
     def fact_sales(self):
         """Rows of this load, split by month and sorted by day, so that a filter on
         days opens few files."""
         last = self.warehouse.last_key("fact_sales")
-        dims = {table: self.read(table) for table in ["dim_time", "dim_customer", *SEEDS]}
-        path = self.warehouse.write_sales(keyed_sales(self.staged.numbered(last), dims))
-        stored = self.warehouse._rows("fact_sales", [path])
-        require_keys(stored)
-        rows = stored.count()
-        self.written["fact_sales", self.load_id] = (path, last + rows)
+        dims = {table: self.warehouse.read(table) for table in SEEDS}
+        dims["dim_time"] = self.spark.read.schema(TABLES["dim_time"]).parquet(
+            self.warehouse.folder("dim_time", self.number)
+        )
+        # All customers of the batch and no others.
+        dims["dim_customer"] = self.own("dim_customer")
+        self.warehouse.write(keyed_sales(self.staged.numbered(last), dims), "fact_sales")
+        rows = require_keys(self.own("fact_sales"))
+        self.last_keys["fact_sales"] = last + rows
         return rows
 
-    def recount_customers(self):
-        """Dates and counts of all customers from the facts, after a repeated load:
-        the rows it replaced may belong to customers its new rows lack. Customers
-        without any sale left stay, with none."""
-        last = self.written["dim_customer", ""][1]
-        counted = _recount(self.read("dim_customer"), self.read("fact_sales"))
-        self.write_parts("dim_customer", counted, bucket_of("customer_id"), last)
-
     def fact_daily_summary(self):
-        """Days the load touches are worked out anew from all facts of those days;
-        only the months they lie in are read and written."""
-        last = self.warehouse.last_key("fact_daily_summary")
-        group, seeded = ["date_key", "store_key"], {table: self.read(table) for table in SEEDS}
-        folder = self.warehouse.fresh("new-summary")
-        self.scratch.append(folder)
-        days = self.kept(self.touched_days(), "touched-days")
-        months = sorted(r.m for r in days.select(month_of("date_key").alias("m")).distinct().collect())
-        parts = [f"part-{month}" for month in months]
-        paths = [path for _, path in self.current("fact_sales") if path is not None]
-        sales = self.warehouse.sales_of_months(paths, months)
-        touched = broadcast_within(days, MAX_DATES_TO_BROADCAST)
-        summary = self.kept(
-            daily_summary(sales.join(touched, "date_key", "left_semi"), seeded), "summary"
-        )
-        existing = self.warehouse.parts("fact_daily_summary", parts)
-        known = existing.select("summary_id", *group)
-        new = insert_absent(known, summary, group) if last else summary
-        keyed = assign_dense_keys(new, group, "summary_id", folder, last)
-        added, rows = self.spark.read.parquet(folder).count(), summary.count()
-        if last:
-            keyed = (
-                existing.join(touched, "date_key", "left_anti")
-                .unionByName(summary.join(known, group))
-                .unionByName(keyed)
-            )
-        self.write_parts(
-            "fact_daily_summary", keyed, month_of("date_key"), last + added, replaced=parts
+        """The sums and sets of this load's own sales, and the summary they give by
+        themselves. No sale of another load is read; what several loads sold on a day at
+        a store is added up when the summary is read."""
+        sales = self.own("fact_sales")
+        with ThreadPoolExecutor(2) as pool:
+            cells = pool.submit(self.warehouse.write, summary_cells(sales), CELLS)
+            shoppers = pool.submit(self.warehouse.write, summary_shoppers(sales), SHOPPERS)
+            cells.result(), shoppers.result()
+        seeded = {table: self.warehouse.read(table) for table in SEEDS}
+        rows = summary_of(self.own(CELLS), self.own(SHOPPERS), seeded)
+        known = (
+            self.warehouse.partitions("fact_daily_summary", hidden=True)
+            .select(*PAIR, "summary_id")
+            .distinct()
         )
-        return rows
-
-    def touched_days(self):
-        """Days with rows in this batch or, when it replaces a load, in that one."""
-        days = self.staged.valid.select(date_key(F.col("invoice_date")).alias("date_key"))
-        if self.again:
-            days = days.unionByName(self.warehouse.read_load(self.load_id).select("date_key"))
-        return days.distinct()
-
-
-def _merge_customers(existing, batch):
-    """Existing customers with the batch's rows about them worked in."""
-    old, new = existing.alias("old"), batch.alias("new")
-    seen = F.col("new.total_transactions").isNotNull()
-
-    def newest(column):
-        return F.when(seen, F.col(f"new.{column}")).otherwise(F.col(f"old.{column}")).alias(column)
-
-    def both(combine, column):
-        return combine(F.col(f"old.{column}"), F.col(f"new.{column}")).alias(column)
-
-    return old.join(new, F.col("old.customer_id") == F.col("new.customer_id"), "left").select(
-        "old.customer_key",
-        "old.customer_id",
-        newest("gender"),
-        newest("age"),
-        newest("age_group"),
-        both(F.least, "first_purchase_date"),
-        both(F.greatest, "last_purchase_date"),
-        (
-            F.col("old.total_transactions") + F.coalesce("new.total_transactions", F.lit(0))
-        ).alias("total_transactions"),
-    )
-
-
-def _recount(customers, sales):
-    """Customers with dates and counts taken from the facts."""
-    metrics = sales.groupBy("customer_key").agg(
-        date_of_key(F.min("date_key")).alias("first_purchase_date"),
-        date_of_key(F.max("date_key")).alias("last_purchase_date"),
-        F.count("invoice_no").alias("total_transactions"),
-    )
-    return (
-        customers.drop("first_purchase_date", "last_purchase_date", "total_transactions")
-        .join(metrics, "customer_key", "left")
-        .na.fill(0, ["total_transactions"])
-    )
+        keyed = self.keyed(rows, known, PAIR, "summary_id", "fact_daily_summary")
+        self.warehouse.write(keyed, "fact_daily_summary")
+        return self.own("fact_daily_summary").count()

@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import functions as F
 
 from tillroll.operators.joins import orphan_rows
-from tillroll.operators.upsert import repeated_keys
+from tillroll.operators.sampling import random_rows
 from tillroll.schema import FOREIGN_KEYS, SEEDS, TABLES, UNIQUE_KEYS
 
 
@@ -18,15 +18,9 @@ def _stack(frames):
 
 
 def fk_orphans(tables):
-    """Fact rows per foreign key whose dimension entry is missing."""
-    return _stack(
-        [
-            orphan_rows(tables["fact_sales"], tables[dim], key).select(
-                F.lit(key).alias("foreign_key"), "orphans"
-            )
-            for key, dim in FOREIGN_KEYS.items()
-        ]
-    )
+    """Fact rows per foreign key whose dimension entry is missing; one pass over the fact."""
+    parents = {key: tables[dim].select(key) for key, dim in FOREIGN_KEYS.items()}
+    return orphan_rows(tables["fact_sales"], parents)
 
 
 def null_keys(tables):
@@ -44,30 +38,55 @@ def amount_mismatch(tables):
     return tables["fact_sales"].agg(F.count_if(_amount_off()).alias("mismatched_rows"))
 
 
-def amount_mismatch_in_sample(tables, n=100, seed=0):
-    """The same check on a random sample of ``n`` fact rows."""
-    return (
-        tables["fact_sales"]
-        .orderBy(F.rand(seed))
-        .limit(n)
-        .agg(F.count_if(_amount_off()).alias("mismatched_rows"))
+def amount_mismatch_in_sample(tables, n=100, seed=0, keys=("sale_id",)):
+    """The same check on a random sample of ``n`` fact rows, with how many were drawn."""
+    return random_rows(tables["fact_sales"], n, keys, seed).agg(
+        F.count(F.lit(1)).alias("drawn"), F.count_if(_amount_off()).alias("mismatched_rows")
+    )
+
+
+def _key_values(rows, keys):
+    """The values of one unique key as up to two numbers and a text."""
+    kinds = dict(rows.dtypes)
+    texts = [F.col(k) for k in keys if kinds[k] == "string"]
+    numbers = [F.col(k).cast("long") for k in keys if kinds[k] != "string"]
+    none = F.lit(None)
+    numbers += [none.cast("long")] * (2 - len(numbers))
+    texts += [none.cast("string")] * (1 - len(texts))
+    return F.struct(
+        F.lit(",".join(keys)).alias("unique_key"),
+        *[c.alias(name) for c, name in zip([*numbers, *texts], ["a", "b", "c"], strict=True)],
     )
 
 
 def duplicate_keys(tables):
-    """Per declared unique key, the number of values held by several rows."""
-    return _stack(
-        [
-            repeated_keys(tables[table], keys).agg(F.count(F.lit(1)).alias("repeated_keys"))
-            .select(
-                F.lit(table).alias("table_name"),
-                F.lit(",".join(keys)).alias("unique_key"),
-                "repeated_keys",
+    """Per declared unique key, the number of values held by several rows.
+
+    Each table is read once: a row gives one entry per key it must be unique in. Tables
+    without a row, and keys without a repeat, come with 0.
+    """
+    entries, names = [], []
+    for table, choices in UNIQUE_KEYS.items():
+        rows = tables[table]
+        values = F.array(*[_key_values(rows, keys) for keys in choices])
+        entries.append(
+            rows.select(F.explode(values).alias("value")).select(
+                F.lit(table).alias("table_name"), "value.*"
             )
-            for table, choices in UNIQUE_KEYS.items()
-            for keys in choices
-        ]
+        )
+        names += [(table, ",".join(keys)) for keys in choices]
+    per_value = (
+        _stack(entries)
+        .groupBy("table_name", "unique_key", "a", "b", "c")
+        .agg(F.count(F.lit(1)).alias("rows"))
+    )
+    found = per_value.groupBy("table_name", "unique_key").agg(
+        F.count_if(F.col("rows") > 1).alias("repeated_keys")
     )
+    spark = entries[0].sparkSession
+    # As many rows as there are declared keys.
+    declared = spark.createDataFrame(names, "table_name string, unique_key string")
+    return declared.join(found, ["table_name", "unique_key"], "left").na.fill(0)
 
 
 def table_counts(tables):

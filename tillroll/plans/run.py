@@ -11,28 +11,13 @@ from tillroll.plans.warehouse import Warehouse
 from tillroll.schema import DATE_FORMAT, RAW_SCHEMA
 from tillroll.sources.holidays import read_holidays
 from tillroll.sources.rejects import save_rejects
-from tillroll.sources.transactions import (
-    check_location,
-    file_listing,
-    header_report,
-    read_transactions,
-    source_id,
-)
+from tillroll.sources.transactions import check_location, file_listing, read_lines, source_id
 
 
-def wrong_headers(spark, paths):
-    """``{path: errors}`` of files whose header is not in order."""
-    if not paths:
-        return {}
-    found = header_report(spark, paths).where("errors <> ''").collect()
-    given = {_plain(path): path for path in paths}
-    return {given.get(_plain(row.path), row.path): row.errors for row in found}
-
-
-def _plain(path):
-    """A path without its scheme's slashes, which listings write in two ways."""
+def file_name(path):
+    """A path without its scheme."""
     scheme, colon, rest = path.partition(":")
-    return f"{scheme}:{rest.lstrip('/')}" if colon else path.lstrip("/")
+    return "/" + (rest if colon else scheme).lstrip("/")
 
 
 def run(
@@ -61,7 +46,7 @@ def run(
     any other file the run fails.
     """
     started = time.perf_counter()
-    seconds, rejected, step = {}, 0, "read"
+    seconds, rejected, step, work = {}, 0, "read", []
     summary = {"source": source, "dry_run": dry_run}
 
     def finish(name, since):
@@ -80,22 +65,29 @@ def run(
         finish(step, since)
 
         step, since = "validate", time.perf_counter()
-        wrong = wrong_headers(spark, paths)
-        summary["rejected_files"] = wrong
-        files = files.where(~F.col("path").isin(list(wrong))) if wrong else files
-        paths = [path for path in paths if path not in wrong]
-        if wrong and not paths:
-            raise RuntimeError(f"wrong header, nothing was loaded: schema_errors {wrong}")
-        summary["files"] = len(paths)
-        load_id = load_id or (source_id(files) if paths else None)
-        summary["load_id"] = load_id
         rows = (
-            read_transactions(spark, paths, source, multi_line)
+            read_lines(spark.read, paths, source, multi_line)
             if paths
             else spark.createDataFrame([], RAW_SCHEMA)
         )
-        work = warehouse.fresh("staged")
-        staged = stage(rows, work, date_format)
+        work.append(warehouse.fresh("staged"))
+        staged = stage(rows, work[-1], date_format)
+        # One short row per file that cannot be taken.
+        wrong = dict(staged.wrong_files().collect()) if paths else {}
+        summary["rejected_files"] = wrong
+        summary["files"] = len(paths) - len(wrong)
+        if wrong:
+            if not summary["files"]:
+                raise RuntimeError(f"wrong header, nothing was loaded: schema_errors {wrong}")
+            work.append(warehouse.fresh("staged"))
+            gone = spark.createDataFrame(sorted(wrong.items()), "path string, errors string")
+            staged = staged.without(gone, work[-1])
+            # A listing writes a path in another way than a scan.
+            bad = {file_name(path) for path in wrong}
+            bad_paths = [path for path in paths if file_name(path) in bad]
+            files = files.where(~F.col("path").isin(bad_paths))
+        load_id = load_id or (source_id(files) if summary["files"] else None)
+        summary["load_id"] = load_id
         report = staged.report()
         rejected = report["invalid_rows"]
         if rejected:
@@ -123,13 +115,14 @@ def run(
                 for row in table_counts(warehouse.tables()).collect()
             }
             finish(step, since)
-        # What was staged is in the tables and the rejects now.
-        warehouse.remove(work)
         summary.update(status="success", counts=counts, report=report)
     except Exception as problem:
         summary.update(
             status="failed", failed_step=step, error=f"{type(problem).__name__}: {problem}"
         )
+    # What was staged is in the tables and the rejects now, or of no use.
+    for path in work:
+        warehouse.remove(path)
     seconds["total"] = round(time.perf_counter() - started, 3)
     summary.update(rejected_rows=rejected, timing_seconds=seconds)
     return summary

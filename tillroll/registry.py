@@ -19,22 +19,26 @@ from tillroll.plans import dimensions, facts, quality, reports
 from tillroll.plans.loading import load, stage
 from tillroll.plans.run import run
 from tillroll.plans.warehouse import Warehouse
-from tillroll.schema import SEEDS, SOURCE_COLUMNS
+from tillroll.schema import SEEDS, SOURCE_COLUMNS, TABLES
 from tillroll.session import fresh_folder
 from tillroll.sources import holidays as calendars
 from tillroll.sources.order_feed import order_feed, order_holidays
 from tillroll.sources.rejects import read_rejects, save_rejects
 from tillroll.sources.transactions import (
     CSV_WRITE_OPTIONS,
+    LINE,
     RAGGED,
     file_profile,
     head_sample,
     header_report,
+    read_lines,
     read_transactions,
 )
 from tillroll.streaming.ingest import ingest_new_files
 
 REPORT_MALL = "Kanyon"
+REPORT_CUSTOMER = "C7"
+SAMPLE_SEED = 7
 
 _shared = {}
 
@@ -149,13 +153,8 @@ def _clean_transactions(spark, sf_dir):
 
 def _csv_transactions(spark, sf_dir):
     """The landed feed beside lines of twelve cells, which are told apart and left out."""
-    folder = landed(spark, sf_dir)
-    ragged = fresh_folder(spark, "ragged")
-    names = spark.read.parquet(f"{sf_dir}/nation.parquet").select("n_name")
-    lines = names.select(F.concat_ws(",", *["n_name"] * 12).alias("value"))
-    header = spark.createDataFrame([(",".join(SOURCE_COLUMNS),)], "value string")
-    header.unionByName(lines).coalesce(1).write.text(ragged)
-    rows = read_transactions(spark, [f"{folder}/*", ragged], multi_line=True)
+    paths = [f"{landed(spark, sf_dir)}/*", _ragged(spark, sf_dir)]
+    rows = read_transactions(spark, paths, multi_line=True)
     return rows.where(~F.col(RAGGED)).select(SOURCE_COLUMNS)
 
 
@@ -167,12 +166,49 @@ def _file_profile(spark, sf_dir):
 
 
 def _head_sample(spark, sf_dir):
-    return head_sample(order_feed(spark, sf_dir), 100, SOURCE_COLUMNS)
+    """The first lines of files whose lines follow the order numbers."""
+
+    def land():
+        folder = fresh_folder(spark, "in-order")
+        place = ["l_orderkey", "l_linenumber"]
+        (
+            order_feed(spark, sf_dir, extra=place)
+            .repartitionByRange(4, *place)
+            .sortWithinPartitions(*place)
+            .drop(*place)
+            .write.options(**CSV_WRITE_OPTIONS)
+            .csv(folder)
+        )
+        return folder
+
+    folder = _once("in-order", spark, sf_dir, land)
+    return head_sample(spark, f"{folder}/*.csv", 100, multi_line=True)
+
+
+def _ragged(spark, sf_dir):
+    """A file of lines with twelve cells, one line per nation."""
+
+    def land():
+        folder = fresh_folder(spark, "ragged")
+        names = spark.read.parquet(f"{sf_dir}/nation.parquet").select("n_name")
+        lines = names.select(F.concat_ws(",", *["n_name"] * 12).alias("value"))
+        header = spark.createDataFrame([(",".join(SOURCE_COLUMNS),)], "value string")
+        header.unionByName(lines).coalesce(1).write.text(folder)
+        return folder
+
+    return _once("ragged", spark, sf_dir, land)
 
 
 def _rejected_csv(spark, sf_dir):
-    rejected = star(spark, sf_dir).staged.rejected
-    return read_rejects(spark, save_rejects(rejected, fresh_folder(spark, "rejects"), "orders"))
+    """Rejects of the landed feed and of lines of twelve cells, saved and read again."""
+
+    def save():
+        paths = [f"{landed(spark, sf_dir)}/*", _ragged(spark, sf_dir)]
+        lines = read_lines(spark.read, paths, multi_line=True)
+        staged = stage(lines, fresh_folder(spark, "staged"))
+        return save_rejects(staged.rejected, fresh_folder(spark, "rejects"), "orders")
+
+    return read_rejects(spark, _once("rejects", spark, sf_dir, save))
 
 
 def _saved_holidays(spark, sf_dir):
@@ -268,12 +304,11 @@ def _wrong_file(spark, sf_dir):
 
 
 def _stream_with_bad_file(spark, sf_dir):
-    """Sales of one year, landed beside a file that cannot be taken."""
+    """The feed, landed beside a file that cannot be taken."""
 
     def fill():
         landing = fresh_folder(spark, "mixed")
-        feed = order_feed(spark, sf_dir).where("invoice_date LIKE '%/1996'")
-        feed.write.options(**CSV_WRITE_OPTIONS).csv(f"{landing}/good")
+        order_feed(spark, sf_dir).write.options(**CSV_WRITE_OPTIONS).csv(f"{landing}/good")
         names = spark.read.parquet(f"{sf_dir}/nation.parquet").select("n_name", "n_regionkey")
         names.coalesce(1).write.option("header", True).csv(f"{landing}/wrong")
         warehouse = Warehouse(spark, fresh_folder(spark, "streamed")).reset()
@@ -287,6 +322,60 @@ def _stream_with_bad_file(spark, sf_dir):
     )
 
 
+def delivered(spark, sf_dir):
+    """A warehouse of three deliveries that share days, stores and customers: a third of
+    the feed each, dealt by the order's number; the second was loaded twice, at first
+    with the rows of the third year left out."""
+
+    def fill():
+        house = Warehouse(spark, fresh_folder(spark, "delivered")).reset()
+        calendar = _kept_holidays(spark, sf_dir)
+        feed = order_feed(spark, sf_dir, extra=["l_orderkey"])
+
+        def deliver(part, load_id, where="true"):
+            rows = feed.where(f"l_orderkey % 3 = {part}").where(where).drop("l_orderkey")
+            result = load(house, stage(rows, house.fresh("staged")), calendar, load_id)
+            if result["status"] != "success":
+                raise RuntimeError(result["error"])
+
+        deliver(0, "a")
+        deliver(1, "b", "coalesce(invoice_date, '') NOT LIKE '%/1994'")
+        deliver(2, "c")
+        deliver(1, "b")
+        return house
+
+    return _once("delivered", spark, sf_dir, fill)
+
+
+def _delivered_daily(spark, sf_dir):
+    return delivered(spark, sf_dir).read("fact_daily_summary").drop("summary_id")
+
+
+def _reload_customers(spark, sf_dir):
+    return delivered(spark, sf_dir).read("dim_customer").drop("customer_key")
+
+
+def _customer_history(spark, sf_dir):
+    return star(spark, sf_dir).warehouse.sales_of_customer(REPORT_CUSTOMER).drop("sale_id")
+
+
+def _sql_after_load(spark, sf_dir):
+    """Answers of one held object before and after another one loads more."""
+
+    def fill():
+        built = star(spark, sf_dir)
+        held = Warehouse(spark, fresh_folder(spark, "held")).reset()
+        question = "SELECT count(*) AS sales, sum(total_amount) AS revenue FROM fact_sales"
+        before = held.query(question, keep=True).withColumn("loads", F.lit(0))
+        other = Warehouse(spark, held.root)
+        result = load(other, built.staged, built.holidays, "orders")
+        if result["status"] != "success":
+            raise RuntimeError(result["error"])
+        return before.unionByName(held.query(question, keep=True).withColumn("loads", F.lit(1)))
+
+    return _once("held", spark, sf_dir, fill)
+
+
 def _reload_replaces(spark, sf_dir):
     """A load of some years, then all of them under the same id."""
 
@@ -313,7 +402,7 @@ def _header_report(spark, sf_dir):
         .agg(F.count(F.lit(1)).alias("rows"))
     )
     return (
-        header_report(spark, paths)
+        header_report(spark, paths, multi_line=True)
         .join(rows, "path")
         .groupBy((F.col("errors") == "").alias("in_order"))
         .agg(F.sum("rows").alias("rows"))
@@ -384,9 +473,77 @@ def _spoiled_duplicates(spark, sf_dir):
 
 
 def _sampled_amounts(spark, sf_dir):
-    """A random sample as large as the fact finds what the whole fact holds."""
+    """A random hundred of the fact's rows. The lots are drawn by what a row says and not
+    by its number, so that SQL can draw the same."""
     tables = star(spark, sf_dir).tables
-    return quality.amount_mismatch_in_sample(tables, n=tables["fact_sales"].count())
+    keys = [c for c in tables["fact_sales"].columns if c not in ("sale_id", "is_holiday", "is_weekend")]
+    return quality.amount_mismatch_in_sample(tables, 100, SAMPLE_SEED, keys)
+
+
+# --- faulty deliveries and dropped tables -----------------------------------------
+
+
+def _empty_delivery(spark, sf_dir):
+    """Reports on the feed without its rows: no row, and no rule that any row broke."""
+    nothing = order_feed(spark, sf_dir).where("invoice_no = 'none'")
+    report = rules.validate(nothing)
+    return rules.validation_report(nothing).withColumns(
+        {
+            "rules_listed": F.lit(rules.error_summary(nothing).count()).cast("long"),
+            "summary_is_empty": F.lit(report["error_summary"] == {}),
+        }
+    )
+
+
+def _validated(spark, sf_dir):
+    """The whole check of the feed, in order and under a header that lacks a column."""
+    feed = order_feed(spark, sf_dir)
+    found = [
+        (name, report["schema_valid"], report["total_rows"], report["valid_rows"],
+         report["invalid_rows"], sum(report["error_summary"].values()))
+        for name, report in [
+            ("in order", rules.validate(feed)),
+            ("price missing", rules.validate(feed.drop("price"))),
+        ]
+    ]
+    return spark.createDataFrame(
+        found,
+        "delivery string, schema_valid boolean, total_rows long, valid_rows long,"
+        " invalid_rows long, faults long",
+    )
+
+
+def _dropped_tables(spark, sf_dir):
+    """Which tables are there, with how many rows, once dropped and once made anew."""
+
+    def fill():
+        house = Warehouse(spark, fresh_folder(spark, "dropped")).reset()
+        built = star(spark, sf_dir)
+        load(house, built.staged, built.holidays, "orders")
+        states = []
+        for state, change in [("loaded", house.refresh), ("dropped", house.drop), ("new", house.reset)]:
+            change()
+            states += [
+                (state, table, house.exists(table), house.read(table).count() if house.exists(table) else 0)
+                for table in TABLES
+            ]
+        return states
+
+    return spark.createDataFrame(
+        _once("dropped", spark, sf_dir, fill),
+        "state string, table_name string, is_there boolean, row_count long",
+    )
+
+
+def _dimension_sizes(spark, sf_dir):
+    """Rows of each dimension as built from the clean rows, before keys are given out."""
+    built = star(spark, sf_dir)
+    made = dimensions.dimensions(built.staged.valid, built.holidays)
+    counts = [
+        rows.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(table).alias("table_name"), "row_count")
+        for table, rows in made.items()
+    ]
+    return reduce(lambda a, b: a.unionByName(b), counts)
 
 
 def _unmatched_sales(spark, sf_dir):
@@ -455,7 +612,7 @@ def _stream_ingest_customers(spark, sf_dir):
 
 QUERIES = {
     "clean_transactions": _clean_transactions,
-    "rejected_rows": lambda spark, sf_dir: star(spark, sf_dir).staged.rejected,
+    "rejected_rows": lambda spark, sf_dir: star(spark, sf_dir).staged.rejected.drop(LINE),
     "error_summary": _on_feed(rules.error_summary),
     "validation_report": _on_feed(rules.validation_report),
     "csv_transactions": _csv_transactions,
@@ -517,6 +674,14 @@ QUERIES = {
     "run_growing_folder": _run_growing_folder,
     "run_counts": _run_counts,
     "reload_replaces": _reload_replaces,
+    "delivered_daily": _delivered_daily,
+    "reload_customers": _reload_customers,
+    "customer_history": _customer_history,
+    "sql_after_load": _sql_after_load,
+    "empty_delivery": _empty_delivery,
+    "validated": _validated,
+    "dropped_tables": _dropped_tables,
+    "dimension_sizes": _dimension_sizes,
     "header_report": _header_report,
     "holiday_files": _holiday_files,
     "sql_over_tables": _sql_over_tables,

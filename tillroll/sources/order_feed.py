@@ -17,8 +17,8 @@ def _pick(values, number):
     return F.element_at(F.array(*map(F.lit, values)), (number % len(values) + 1).cast("int"))
 
 
-def order_feed(spark, sf_dir, with_faults=True):
-    """Ten text columns, one row per line item."""
+def order_feed(spark, sf_dir, with_faults=True, extra=()):
+    """Ten text columns, one row per line item; ``extra`` names columns of it to keep."""
     lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(
         "l_orderkey",
         "l_partkey",
@@ -54,7 +54,7 @@ def order_feed(spark, sf_dir, with_faults=True):
     if with_faults:
         cells = _spoil(cells, day)
     return lines.join(orders, "l_orderkey").join(parts, "l_partkey").select(
-        [cell.alias(name) for name, cell in cells.items()]
+        *[cell.alias(name) for name, cell in cells.items()], *extra
     )
 
 

@@ -1,7 +1,15 @@
-"""Rejected rows, kept as CSV files with the ten cells as they came."""
+"""Rejected rows, kept as CSV files with the ten cells as they came, and the whole line
+where it had another number of cells."""
+
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tillroll.schema import RAW_SCHEMA, SOURCE_COLUMNS
-from tillroll.sources.transactions import CSV_OPTIONS, CSV_WRITE_OPTIONS
+from tillroll.sources.transactions import CSV_OPTIONS, CSV_WRITE_OPTIONS, LINE
+
+# The last column is empty for lines of ten cells.
+WHOLE_LINE = "line"
+_SCHEMA = T.StructType([*RAW_SCHEMA.fields, T.StructField(WHOLE_LINE, T.StringType())])
 
 
 def save_rejects(rejected, path, load_id):
@@ -12,8 +20,9 @@ def save_rejects(rejected, path, load_id):
     if rejected.isEmpty():
         return None
     target = f"{path}/load_id={load_id}"
+    line = F.col(LINE) if LINE in rejected.columns else F.lit(None).cast("string")
     (
-        rejected.select(SOURCE_COLUMNS)
+        rejected.select(*SOURCE_COLUMNS, line.alias(WHOLE_LINE))
         .write.mode("overwrite")
         .options(**CSV_WRITE_OPTIONS)
         .csv(target)
@@ -22,5 +31,7 @@ def save_rejects(rejected, path, load_id):
 
 
 def read_rejects(spark, path):
-    """Rejected rows of one load folder, as text."""
-    return spark.read.schema(RAW_SCHEMA).options(**CSV_OPTIONS).csv(path)
+    """Rejected rows of one load folder, as text: ten cells and, for others, the line."""
+    # A line may have held breaks within quotes.
+    reader = spark.read.schema(_SCHEMA).options(**CSV_OPTIONS)
+    return reader.option("header", True).option("multiLine", True).csv(path)

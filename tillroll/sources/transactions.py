@@ -6,12 +6,28 @@ from pyspark.sql import types as T
 from tillroll.schema import RAW_SCHEMA, SOURCE_COLUMNS
 
 # Columns are not pruned while parsing: only whole lines show how many cells they have.
-CSV_OPTIONS = {"header": True, "escape": '"', "enforceSchema": False, "columnPruning": False}
+CSV_OPTIONS = {"escape": '"', "enforceSchema": False, "columnPruning": False}
 
 # True for a line that has more or fewer than ten cells.
 RAGGED = "_ragged"
-_LINE = "_line"
-_CSV_SCHEMA = T.StructType([*RAW_SCHEMA.fields, T.StructField(_LINE, T.StringType())])
+# Such a line as it came, NULL for the others.
+LINE = "_line"
+# True for a line that holds the ten names.
+HEADER = "_header"
+# The file that a line came from.
+FILE = T.StructField(
+    "_file",
+    T.StructType(
+        [
+            T.StructField("path", T.StringType()),
+            T.StructField("size", T.LongType()),
+            T.StructField("modified", T.TimestampType()),
+            # Whether the line is of the file's first block.
+            T.StructField("front", T.BooleanType()),
+        ]
+    ),
+)
+_CSV_SCHEMA = T.StructType([*RAW_SCHEMA.fields, T.StructField(LINE, T.StringType())])
 
 # Spark's CSV writer trims cells unless told not to.
 CSV_WRITE_OPTIONS = {
@@ -33,8 +49,19 @@ def check_location(source, path):
         raise ValueError(f"a path is required when source={source}")
 
 
+def _csv(reader, header, multi_line):
+    return (
+        reader.schema(_CSV_SCHEMA)
+        .options(**CSV_OPTIONS)
+        .option("header", header)
+        .option("columnNameOfCorruptRecord", LINE)
+        .option("multiLine", multi_line)
+    )
+
+
 def read_transactions(spark, path, source="local", multi_line=False):
-    """The files' ten columns as text, and whether a line had another number of cells.
+    """The files' ten columns as text, whether a line had another number of cells, and
+    the line if so.
 
     Nothing is converted here: the row rules need the text as it was written. A
     file whose header differs from the ten names stops the read. With
@@ -42,54 +69,98 @@ def read_transactions(spark, path, source="local", multi_line=False):
     so one task reads each of them.
     """
     check_location(source, path)
-    rows = (
-        spark.read.schema(_CSV_SCHEMA)
-        .options(**CSV_OPTIONS)
-        .option("columnNameOfCorruptRecord", _LINE)
-        .option("multiLine", multi_line)
-        .csv(path)
-    )
-    return rows.select(*SOURCE_COLUMNS, F.col(_LINE).isNotNull().alias(RAGGED))
+    rows = _csv(spark.read, True, multi_line).csv(path)
+    return rows.select(*SOURCE_COLUMNS, F.col(LINE).isNotNull().alias(RAGGED), LINE)
 
 
-def header_of(spark, path):
-    """Column names of a CSV file, read from its first line."""
-    return spark.read.option("header", True).option("escape", '"').csv(path).columns
+def read_lines(reader, path, source="local", multi_line=False):
+    """All lines of files, headers as well, each with the file it came from.
 
+    For a batch or a streaming reader. The staged table of these rows tells the files'
+    headers apart (:func:`file_heads`), so that no file is read for its header alone.
+    """
+    check_location(source, path)
+    rows = _csv(reader, False, multi_line).csv(path)
+    names = F.lit(True)
+    for place, name in enumerate(SOURCE_COLUMNS):
+        cell = F.btrim(name, F.lit("\ufeff")) if place == 0 else F.col(name)
+        names = names & (cell == name)
+    # A scan writes a path as a URI, a listing as it is.
+    path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    file = [
+        path.alias("path"),
+        F.col("_metadata.file_size").alias("size"),
+        F.col("_metadata.file_modification_time").alias("modified"),
+    ]
+    front = (F.col("_metadata.file_block_start") == 0).alias("front")
+    ragged = F.col(LINE).isNotNull()
+    return rows.select(
+        *SOURCE_COLUMNS,
+        ragged.alias(RAGGED),
+        LINE,
+        F.struct(*file, front).alias(FILE.name),
+        F.coalesce(names & ~ragged, F.lit(False)).alias(HEADER),
+    )
 
-def header_report(spark, path):
-    """One row per file: ``path``, ``columns`` found, ``errors`` (empty when in order).
 
-    Only the first block of each file is read, and only its first line kept.
+def file_heads(rows):
+    """One row per file of read lines with ``_row_id``: ``path``, ``file_id``, ``columns`` of
+    its first line, ``errors`` of that as a header (empty when in order), ``first_row``,
+    ``lines``, ``size``.
+
+    ``rows`` hold a ragged line as ``_line`` or, once staged, as ``_raw._line``. The number
+    of cells and the verdict travel as one number, so the aggregate keeps no text.
     """
-    lines = (
-        spark.read.text(path)
-        .select("value", "_metadata.file_path", "_metadata.file_block_start")
-        .where("file_block_start = 0")
-        .withColumn("place", F.monotonically_increasing_id())
-    )
-    first = lines.groupBy(F.col("file_path").alias("path")).agg(
-        F.min_by("value", "place").alias("line")
-    )
     outside_quotes = ',(?=(?:[^"]*"[^"]*")*[^"]*$)'
-    cells = F.transform(
-        F.split(F.btrim("line", F.lit("\ufeff\r")), outside_quotes),
-        lambda cell: F.btrim(cell, F.lit('"')),
+    line = F.col(LINE) if LINE in rows.columns else F.col(f"_raw.{LINE}")
+    cells = F.coalesce(F.size(F.split(line, outside_quotes)), F.lit(-1))
+    cells = F.when(line.isNull(), F.lit(len(SOURCE_COLUMNS))).otherwise(cells)
+    head = (cells * 2 + F.col(HEADER).cast("int")).cast("long")
+    file = F.col(FILE.name)
+    in_front = F.when(file["front"], F.col("_row_id"))
+    found = rows.groupBy(
+        file["path"].alias("path"), file["size"].alias("size"), file["modified"].alias("modified")
+    ).agg(
+        F.min(in_front).alias("first_row"),
+        F.min_by(head, in_front).alias("head"),
+        F.count(F.lit(1)).alias("lines"),
     )
-    found = F.size("cells")
-    expected = F.array(*[F.lit(c) for c in SOURCE_COLUMNS])
-    wrong_number = F.concat(F.lit(f"expected_{len(SOURCE_COLUMNS)}_columns_got_"), found)
-    return first.select("path", cells.alias("cells")).select(
+    columns, named = F.expr("head div 2").cast("int"), F.expr("head % 2 = 1")
+    wrong_number = F.concat(F.lit(f"expected_{len(SOURCE_COLUMNS)}_columns_got_"), columns)
+    return found.select(
         "path",
-        found.alias("columns"),
+        _file_id("path", "size", "modified").alias("file_id"),
+        columns.alias("columns"),
         F.concat_ws(
             ",",
-            F.when(found != len(SOURCE_COLUMNS), wrong_number),
-            F.when(F.col("cells") != expected, "column_names_mismatch"),
+            F.when(columns != len(SOURCE_COLUMNS), wrong_number),
+            F.when(~named, "column_names_mismatch"),
         ).alias("errors"),
+        "first_row",
+        "lines",
+        "size",
     )
 
 
+def header_of(spark, path):
+    """Column names of a CSV file, read from its first line."""
+    return spark.read.option("header", True).option("escape", '"').csv(path).columns
+
+
+def _heads_of(spark, path, multi_line):
+    lines = read_lines(spark.read, path, multi_line=multi_line)
+    return file_heads(lines.withColumn("_row_id", F.monotonically_increasing_id()))
+
+
+def header_report(spark, path, multi_line=False):
+    """One row per file: ``path``, ``columns`` found, ``errors`` (empty when in order).
+
+    One pass over the files, for a check without a load; a load finds the same in the
+    pass that stages its rows.
+    """
+    return _heads_of(spark, path, multi_line).select("path", "columns", "errors")
+
+
 def header_errors(columns):
     """What is wrong with a header: its length, its names or order, or nothing."""
     errors = []
@@ -100,16 +171,19 @@ def header_errors(columns):
     return errors
 
 
-def file_listing(spark, path):
-    """``path`` and ``file_id`` of the files at a path; no content is read."""
-    return identified(spark.read.format("binaryFile").load(path))
+def _file_id(path, size, modified):
+    """A file's name, size and time as one id: a changed file has another.
 
+    Listings and scans write a path in two ways, so its scheme is left out.
+    """
+    plain = F.regexp_replace(path, "^[a-z0-9]+:/+", "/")
+    return F.md5(F.concat_ws("|", plain, size, F.col(modified).cast("double")))
 
-def identified(files):
-    """Listed files with an id made of name, size and time: a changed file has another."""
-    return files.select(
-        "path", F.md5(F.concat_ws("|", "path", "length", "modificationTime")).alias("file_id")
-    )
+
+def file_listing(spark, path):
+    """``path`` and ``file_id`` of the files at a path; no content is read."""
+    files = spark.read.format("binaryFile").load(path)
+    return files.select("path", _file_id("path", "length", "modificationTime").alias("file_id"))
 
 
 def source_id(files):
@@ -123,43 +197,44 @@ def source_id(files):
 def file_profile(spark, path, multi_line=False):
     """One row on a CSV path: valid, rows, columns, file_size_mb.
 
-    Every file's header must be in order. Sizes come from the file listing; no
-    file content is fetched for them.
+    Every file's header must be in order. One pass over the files counts their lines and
+    looks at the first; sizes come with it from the listing.
     """
-    headers = header_report(spark, path).agg(
-        F.max("columns").alias("columns"), F.count_if(F.col("errors") != "").alias("wrong")
-    ).first()
-    well_formed, header = not headers["wrong"], headers["columns"] or 0
-    plain = {"header": True, "escape": '"', "multiLine": multi_line}
-    rows = spark.read.options(**plain).csv(path)
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(path)
-    bytes_held = files.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
-    return rows.agg(F.count(F.lit(1)).alias("rows")).select(
-        (F.lit(well_formed) & (F.col("rows") > 0)).alias("valid"),
+    found = _heads_of(spark, path, multi_line).agg(
+        F.coalesce(F.sum("lines") - F.count("path"), F.lit(0)).alias("rows"),
+        F.coalesce(F.max("columns"), F.lit(0)).alias("columns"),
+        F.count_if(F.col("errors") != "").alias("wrong"),
+        F.coalesce(F.sum("size"), F.lit(0)).alias("size"),
+    )
+    return found.select(
+        ((F.col("wrong") == 0) & (F.col("rows") > 0)).alias("valid"),
         "rows",
-        F.lit(header).alias("columns"),
-        F.lit(round(bytes_held / (1024 * 1024), 4)).alias("file_size_mb"),
+        "columns",
+        F.round(F.col("size") / (1024 * 1024), 4).alias("file_size_mb"),
     )
 
 
-def head_sample(rows, n=100, order_by=None):
-    """The first ``n`` rows in the given order.
+def head_sample(spark, path, n=100, source="local", multi_line=False):
+    """The first ``n`` rows: files in the order of their paths, lines as they stand.
 
-    By default that is the order of the files by path and of the lines in them,
-    for rows read from files. Each task keeps its own first ``n``; only those are
-    merged.
+    Files are opened one after the other until there are enough rows, and of a file
+    its first block is read first, so what is read follows from ``n`` and not from
+    the files. The sample goes through the driver; ``n`` is its bound.
     """
-    if order_by is not None:
-        return rows.orderBy(order_by).limit(n)
-    if not rows.inputFiles():
-        return rows.orderBy(F.monotonically_increasing_id()).limit(n)
-    place = F.struct(
-        F.input_file_name().alias("path"),
-        F.input_file_block_start().alias("block"),
-        F.monotonically_increasing_id().alias("line"),
-    )
-    placed = rows.withColumn("_place", place)
-    return placed.orderBy("_place").limit(n).drop("_place")
+    check_location(source, path)
+    listed = spark.read.format("binaryFile").load(path).select("path")
+    rows, last = [], ""
+    while len(rows) < n:
+        # The next few files by path.
+        files = listed.where(F.col("path") > last).orderBy("path").limit(16).collect()
+        if not files:
+            break
+        for file in files:
+            if len(rows) < n:
+                lines = read_transactions(spark, file.path, source, multi_line)
+                rows += lines.select(SOURCE_COLUMNS).take(n - len(rows))
+        last = files[-1].path
+    return spark.createDataFrame(rows, RAW_SCHEMA)
 
 
 def write_csv(rows, path, mode="errorifexists"):

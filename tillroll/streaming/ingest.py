@@ -2,24 +2,10 @@
 
 import threading
 
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
 from tillroll.plans.loading import load, stage
-from tillroll.plans.run import wrong_headers
 from tillroll.schema import DATE_FORMAT
 from tillroll.sources.rejects import save_rejects
-from tillroll.sources.transactions import identified, read_transactions
-
-# The stream watches files, not lines: what a file holds is read when it is loaded.
-_LISTING = T.StructType(
-    [
-        T.StructField("path", T.StringType()),
-        T.StructField("modificationTime", T.TimestampType()),
-        T.StructField("length", T.LongType()),
-        T.StructField("content", T.BinaryType()),
-    ]
-)
+from tillroll.sources.transactions import read_lines
 
 
 def ingest_new_files(
@@ -41,51 +27,48 @@ def ingest_new_files(
     The warehouse remembers the files of every load, so files that another
     stream, a run, or an earlier checkpoint took are not loaded again. A file with
     a wrong header is set aside in ``wrong_files`` below the rejects, and the others
-    load. Late rows need no watermark: the days and customers they touch are worked
-    out anew, and no state is held between batches. ``max_files`` bounds a batch.
+    load. Late rows need no watermark: what they add to days and customers is kept with
+    their load and added up when it is read, and no state is held between batches.
+    ``max_files`` bounds a batch. The stream reads each file once: headers and files that
+    were loaded before are found among the staged rows.
     """
     spark = warehouse.spark
     rejects = rejects_root or f"{warehouse.root}/rejected"
     reader = (
-        spark.readStream.format("binaryFile")
-        .schema(_LISTING)
-        .option("pathGlobFilter", "*.csv")
-        .option("recursiveFileLookup", True)
+        spark.readStream.option("pathGlobFilter", "*.csv").option("recursiveFileLookup", True)
     )
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     started, stream = threading.Event(), {}
 
-    def load_batch(listed, batch):
+    def load_batch(rows, batch):
         started.wait()
         load_id = f"{name}-{stream['id']}-{batch:010d}"
-        known = warehouse.loaded_files(without_load=load_id).select("file_id")
-        files = identified(listed).join(known, "file_id", "left_anti")
-        # One short row per file of this batch.
-        paths = [row.path for row in files.select("path").collect()]
-        wrong = wrong_headers(spark, paths)
-        if wrong:
-            (
-                spark.createDataFrame(sorted(wrong.items()), "path string, errors string")
-                .coalesce(1)
-                .write.mode("overwrite")
-                .json(f"{rejects}/wrong_files/load_id={load_id}")
-            )
-        good = [path for path in paths if path not in wrong]
-        if not good:
-            return
-        work = warehouse.fresh("staged")
-        rows = read_transactions(spark, good, multi_line=multi_line)
-        staged = stage(rows, work, date_format)
-        save_rejects(staged.rejected, rejects, load_id)
-        taken = files.where(F.col("path").isin(good))
-        result = load(warehouse, staged, holidays, load_id, files=taken)
-        if result["status"] != "success":
-            raise RuntimeError(f"load {load_id} failed: {result['error']}")
-        warehouse.remove(work)
+        work = [warehouse.fresh("staged")]
+        try:
+            staged = stage(rows, work[0], date_format)
+            wrong = staged.wrong_files()
+            known = warehouse.loaded_files(without_load=load_id).select("file_id")
+            again = staged.heads.join(known, "file_id", "left_semi").select("path")
+            out = wrong.select("path").unionByName(again)
+            if not out.isEmpty():
+                if not wrong.isEmpty():
+                    folder = f"{rejects}/wrong_files/load_id={load_id}"
+                    wrong.coalesce(1).write.mode("overwrite").json(folder)
+                work.append(warehouse.fresh("staged"))
+                staged = staged.without(out, work[1])
+            if staged.rows.isEmpty():
+                return
+            save_rejects(staged.rejected, rejects, load_id)
+            result = load(warehouse, staged, holidays, load_id, files=staged.files())
+            if result["status"] != "success":
+                raise RuntimeError(f"load {load_id} failed: {result['error']}")
+        finally:
+            for path in work:
+                warehouse.remove(path)
 
     query = (
-        reader.load(landing)
+        read_lines(reader, landing, multi_line=multi_line)
         .writeStream.foreachBatch(load_batch)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
