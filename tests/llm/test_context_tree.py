@@ -5,6 +5,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tillroll.llm import context_tree as ctw
@@ -15,9 +16,11 @@ def lg_kt(a, b):
 
 
 class SlowTrees:
-    """One context tree per choice, solved by recursion from the definition."""
+    """One context tree per choice over the byte streams of texts, solved by recursion
+    from the definition."""
 
-    def __init__(self, counts):
+    def __init__(self, texts):
+        counts = Counter((0, t) for t in texts)
         self.seen = defaultdict(lambda: [0, 0])
         self.after = defaultdict(set)
         for (kind, word), n in counts.items():
@@ -31,10 +34,8 @@ class SlowTrees:
         self.memo = {}
 
     @staticmethod
-    def bytes_of(kind, word):
-        coded = b" " * ctw.BYTES + (word if word == ctw.END else word + b" ")
-        for i in range(ctw.BYTES, len(coded)):
-            yield bytes([kind]) + coded[i - ctw.BYTES : i], coded[i]
+    def bytes_of(kind, text):
+        return streams(text)
 
     @staticmethod
     def bits(byte):
@@ -81,34 +82,24 @@ def tokens(text):
     return re.findall(rb"[^\x20\x09-\x0D]+", (text or "").encode().lower()) + [ctw.END]
 
 
-def slow_class(markers, words):
-    seen = Counter(markers[w] for w in words if w in markers)
-    return min(seen, key=lambda k: (-seen[k], k), default=0)
+def streams(text):
+    coded = b"\n" * ctw.DEPTH + b"".join(w + b" " for w in tokens(text)[:-1]) + b"\n"
+    for i in range(ctw.DEPTH, len(coded)):
+        yield coded[i - ctw.DEPTH : i], coded[i]
 
 
-def slow_scores(rows, markers):
+def slow_scores(rows):
     held = [zlib.crc32(("" if d is None else str(d)).encode()) % 10 == 0 for d, _ in rows]
-    train = Counter(w for (_, t), h in zip(rows, held, strict=True) if not h for w in tokens(t))
-    kinds = [slow_class(markers, tokens(t)) for _, t in rows]
-    own = [k for k, h in zip(kinds, held, strict=True) if not h]
-    used = 1 + len(set(markers.values()))
-    trees = SlowTrees(
-        Counter(
-            (k, w)
-            for (_, t), k, h in zip(rows, kinds, held, strict=True)
-            if not h
-            for w in tokens(t)
-        )
-    )
-    total, out = sum(train.values()), []
-    for (doc, text), h, k in zip(rows, held, kinds, strict=True):
+    learned = [t or "" for (_, t), h in zip(rows, held, strict=True) if not h]
+    train = Counter(w for t in learned for w in tokens(t))
+    trees, total, out = SlowTrees(learned), sum(train.values()), []
+    for (doc, text), h in zip(rows, held, strict=True):
         words = tokens(text)
-        cost = math.log10((own.count(k) + 0.5) / (len(own) + 0.5 * used))
         base = sum(
             math.log10((train[w] + 0.1) / (total + 0.1 * (len(train) + 1))) for w in words
         )
         known = sum(w in train for w in words)
-        out.append((doc, h, len(words), known, total, base, cost + sum(trees.word(k, w) for w in words)))
+        out.append((doc, h, len(words), known, total, base, trees.word(0, text or "")))
     return out
 
 
@@ -125,83 +116,47 @@ def corpus(seed, n):
     return rows + [rows[9], (9, "k" * 3000)]
 
 
-@pytest.mark.parametrize("frequent", [3, ctw.FREQUENT])
-def test_scores_equal_the_definition(spark, frequent):
-    rows = corpus(1, 60)
-    docs = spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, word string")
-    docs = docs.repartition(3).cache()
-    got = ctw.score(docs, frequent=frequent).collect()
-    key = lambda r: (r[0] is not None, r[0] or 0, r[2], r[6])
-    texts = docs.selectExpr(
-        "crc32(coalesce(cast(doc_id as string), '')) % 10 = 0 as held_out",
-        "coalesce(text, '') as text",
-    )
-    markers = ctw.find_markers(texts)
-    assert len(set(markers.values())) > 1
-    want = sorted(slow_scores(rows, markers), key=key)
-    assert len(got) == len(want)
-    for a, b in zip(sorted(map(tuple, got), key=key), want, strict=True):
-        assert a[:5] == b[:5]
-        assert a[5] == pytest.approx(b[5], rel=1e-9) and a[6] == pytest.approx(b[6], rel=1e-9)
-
-
 def test_the_next_byte_has_a_whole_distribution():
     rng = random.Random(4)
-    words = ["".join(rng.choices("abcde", k=rng.randint(1, 9))).encode() for _ in range(300)]
-    grams, _ = ctw.windows(words, [i % 3 for i in range(300)])
+    texts = [" ".join("".join(rng.choices("abcde", k=rng.randint(1, 9))) for _ in range(30)) for _ in range(9)]
+    grams, _, _ = ctw.text_windows(pa.array(texts))
     grams, counts = np.unique(grams, return_counts=True)
-    found = ctw.levels(grams, counts.astype(np.int64), 2)
-    nodes = found[2]
-    below = defaultdict(lambda: [0.0, 0.0, 0.0])
-    for k, a, b, p in zip(nodes.keys, nodes.zeros, nodes.ones, nodes.log_p, strict=True):
-        for i, x in enumerate((a, b, p)):
-            below[int(k) & 0xFFFF][i] += x
-    keys = np.array(list(below))
-    crown = ctw.Crown.solve(keys, *np.array(list(below.values())).T)
-    for context in (b"\0     ", b"\1bcabc", b"\5zzzzz", b"\1   ab", b"\0zzzza", b"\2xxcba"):
+    nodes = ctw._below_top(pa.table({"gram": grams, "n": counts}))
+    crown = ctw.Crown.solve(*[nodes[c].to_numpy() for c in ("key", "zeros", "ones", "log_p")])
+    found = ctw.levels(grams, counts, ctw.TOP)
+    for context in (b"\n" * 6, b"bcabc ", b"zzzzzz", b"ab  ab", b"zzzzza", b"xxxxcb", b"xxxacb"):
         start = int.from_bytes(context, "big") << 8
         logs = ctw.log_chances(np.arange(start, start + 256), found, crown)
         assert (10.0**logs).sum() == pytest.approx(1)
 
 
-@pytest.mark.parametrize("x", [0.5, 1, 1.5, 7.5, 100.5, 1e6 + 0.5, 1e12 + 0.5])
-def test_log_gamma(x):
-    assert float(ctw.log_gamma(x)) == pytest.approx(math.lgamma(x), rel=1e-12, abs=1e-12)
-
-
-def test_beats_word_frequencies_on_held_out_texts(spark):
-    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
-    rows = ctw.score(docs).where("held_out").collect()
-    assert sum(r.score for r in rows) > sum(r.base_score for r in rows)
-    assert all(0 < r.bits_per_byte < 8 for r in rows)
-
-
-def test_without_training_documents_a_byte_costs_eight_bits(spark):
-    docs = spark.createDataFrame([(1, "ab c", True), (2, None, True)], "doc_id long, text string, h boolean")
-    rows = ctw.score(docs, held_out=docs["h"]).collect()
-    assert [r.bits_per_byte for r in rows] == pytest.approx([8.0, 8.0])
-    assert [(r.n_known, r.train_tokens) for r in rows] == [(0, 0)] * 2
-
-
-def test_no_documents(spark):
-    assert ctw.score(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+def test_buckets_do_not_change_the_chances(spark, monkeypatch):
+    """Windows of one common ending are dealt to many buckets."""
+    rng = random.Random(6)
+    texts = [" ".join("".join(rng.choices("abc", k=3)) for _ in range(40)) for _ in range(20)]
+    grams, counts = np.unique(ctw.text_windows(pa.array(texts))[0], return_counts=True)
+    rows = [(int(g), int(c), int(c)) for g, c in zip(grams, counts, strict=True)]
+    table = spark.createDataFrame(rows, "gram long, n long, n_all long").cache()
+    whole = {r.gram: r.log_chance for r in ctw.gram_chances(table).collect()}
+    monkeypatch.setattr(ctw, "BUCKET_WINDOWS", 20)
+    dealt = {r.gram: r.log_chance for r in ctw.gram_chances(table).collect()}
+    assert set(whole) == set(dealt) == {r[0] for r in rows}
+    assert all(dealt[g] == pytest.approx(whole[g], rel=1e-9) for g in whole)
 
 
-def streams(text):
-    coded = b"\n" * ctw.DEPTH + b"".join(w + b" " for w in tokens(text)[:-1]) + b"\n"
-    for i in range(ctw.DEPTH, len(coded)):
-        yield coded[i - ctw.DEPTH : i], coded[i]
-
+@pytest.mark.parametrize("most", [0, 1, 5, 100, 2_900, 3_000, 10_000])
+def test_the_count_that_few_have(spark, most):
+    rng = random.Random(1)
+    counts = [int(2 ** rng.uniform(0, 40)) for _ in range(1000)] + [1, 2, 3, 7, 8, 64, 65] * 300
+    table = spark.createDataFrame([(c,) for c in counts], "n_all long").cache()
+    least = ctw._at_least(table, most)
+    assert sum(c >= least for c in counts) <= most
+    assert least == 1 or sum(c >= least - 1 for c in counts) > most
 
-class SlowTextTrees(SlowTrees):
-    """The same trees over the byte streams of whole texts."""
 
-    def __init__(self, texts):
-        super().__init__(Counter((0, t) for t in texts))
-
-    @staticmethod
-    def bytes_of(kind, text):
-        return streams(text)
+@pytest.mark.parametrize("x", [0.5, 1, 1.5, 7.5, 100.5, 1e6 + 0.5, 1e12 + 0.5])
+def test_log_gamma(x):
+    assert float(ctw.log_gamma(x)) == pytest.approx(math.lgamma(x), rel=1e-12, abs=1e-12)
 
 
 @pytest.mark.parametrize("frequent,held", [(3, 0), (3, 40), (ctw.FREQUENT, ctw.WINDOWS_HELD)])
@@ -209,9 +164,7 @@ def test_scores_of_whole_texts_equal_the_definition(spark, frequent, held):
     rows = corpus(1, 40)
     docs = spark.createDataFrame([(*r, "x") for r in rows], "doc_id long, text string, word string")
     key = lambda r: (r[0] is not None, r[0] or 0, r[2], r[6])
-    out = [zlib.crc32(("" if d is None else str(d)).encode()) % 10 == 0 for d, _ in rows]
-    trees = SlowTextTrees([t or "" for (_, t), h in zip(rows, out, strict=True) if not h])
-    want = [(*r[:6], trees.word(0, t or "")) for r, (_, t) in zip(slow_scores(rows, {}), rows, strict=True)]
+    want = slow_scores(rows)
     for parts in (1, 4):  # and the layout does not count
         got = ctw.score_texts(docs.repartition(parts), frequent=frequent, windows_held=held).collect()
         assert len(got) == len(want)
@@ -241,3 +194,9 @@ def test_whole_texts_without_training_or_documents(spark):
     assert [r.bits_per_byte for r in rows] == pytest.approx([8.0, 8.0])
     assert [(r.n_known, r.train_tokens) for r in rows] == [(0, 0)] * 2
     assert ctw.score_texts(docs.limit(0).drop("h")).count() == 0
+
+
+def test_white_space_does_not_count(spark):
+    texts = ["a  b\nc", "a b c", " a\tb c\n"]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    assert len({round(r.score, 9) for r in ctw.score_texts(docs).collect()}) == 1

@@ -1,40 +1,30 @@
 """LM scoring by context-tree weighting over bytes.
 
-A text is coded token by token: a word's bytes and a closing space, and one line end
-after the last word. The context of a byte is what stands before it in its token,
-up to ``BYTES`` bytes, with spaces before a token's start, and behind them, farthest,
-the text's class. Every byte is eight binary choices down a tree of 255 nodes, and
-every node has a context tree of its own: at each depth the Krichevsky-Trofimov
-estimate of the counts seen in that context is mixed with what the deeper contexts
-say, half and half before any data; the weights after the training text follow from
-how well each coded it.
-
-Classes stand for what a text's words have in common, mostly its language. The
-corpus's most common words are its markers; markers that stand in the same
-training texts are one class, and a text belongs to the class whose markers it has
-most of. A text pays for its class by the share of training texts in it.
-
-So the corpus meets the model as a table of distinct words per class with their
-counts, which grows with the corpus and is spread over the cluster throughout.
-Windows of ``BYTES + 1`` bytes with their class and counts hold all context trees.
-Those that share the last two bytes of context are solved together, since trees
-meet only above that; the nodes above it, at most 65,536, are solved on the driver.
-
-That is :func:`score`. :func:`score_texts`, which the query uses, counts the windows
-of whole texts, over the borders of words, and needs no classes.
-
-Documents are scored from the words' chances. Words that make up a
-``1 / FREQUENT``-th of all tokens or more are at most ``FREQUENT`` and are looked up
-where the text is read; the rest are joined to the words' table.
+A text is coded as one stream of bytes: its words in lower case, a space behind each,
+and a line end. The context of a byte is the ``DEPTH`` bytes before it, whatever words
+they belong to; before a text's first byte stand line ends. So the order of words
+counts, and how they are set apart does not: texts that differ in white space alone
+score alike. Every byte is eight binary choices down a tree of 255 nodes, and every node
+has a context tree of its own: at each depth the Krichevsky-Trofimov estimate of the
+counts seen in that context is mixed with what the deeper contexts say, half and half
+before any data; the weights after the training text follow from how well each coded it.
+
+One pass over the texts counts words and windows, a byte with its context; both are added
+up within a task first. Distinct windows grow with the corpus and are spread over the
+cluster throughout. The trees are solved in buckets of windows that share the last
+``TOP`` bytes of context, since trees meet only above that, and a bucket holds as many
+windows as a task can take: their number follows from the number of windows. What the
+nodes above come to, at most 65,536 contexts of two bytes, is solved on the driver.
+
+A second pass scores the texts. The most common windows and words are looked up where the
+text is read: words that make up a ``1 / FREQUENT``-th of all tokens or more are at most
+``FREQUENT``. The rest are joined to the tables of windows and words.
 """
 
-from itertools import chain
-
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tillroll.llm.common import (
@@ -47,14 +37,10 @@ from tillroll.llm.common import (
     written,
 )
 
-BYTES = 5  # bytes of context
-DEPTH = BYTES + 1  # and the class
-MARKERS = 64
-CLASSES = 16  # at most, with class 0 for texts without a marker
-TOGETHER = 0.35  # how often markers of a class stand together (mean cosine)
+DEPTH = 6  # bytes of context
+TOP = 3  # windows in a bucket share whole contexts of so many bytes
+BUCKET_WINDOWS = 150_000  # about as many windows are solved at once
 END = b"\n"
-TEXT_AT_ONCE = 12 << 20
-BUCKET_BYTES = 4 << 20
 FREQUENT = 500_000
 LONGEST_FREQUENT = 64
 STREAM_AT_ONCE = 4 << 20
@@ -63,162 +49,11 @@ WINDOWS_HELD = 3_000_000  # windows looked up where the text is read
 HALF = np.log(0.5)
 
 
-# --- words of the corpus ------------------------------------------------------
-
-
 def lowered_words(texts):
     """The words of an Arrow text column, with A-Z lowered; see ``numbered_words``."""
     return numbered_words(pc.ascii_lower(texts))
 
 
-def _marker_pairs(batches):
-    """How many texts of a batch hold two of the batch's most common words."""
-    for batch in batches:
-        train = ~batch["held_out"].to_numpy(zero_copy_only=False)
-        texts = batch["text"].filter(pa.array(train))
-        for lo, hi in slices(text_sizes(texts), TEXT_AT_ONCE):
-            words, numbers, counts = lowered_words(texts.slice(lo, hi - lo))
-            every = np.bincount(numbers, minlength=len(words))
-            enough = np.sort(every)[-MARKERS:][:1]  # the count of the last that may be among them
-            top = np.flatnonzero(every >= max(1, enough.max(initial=1)))
-            top = sorted(top, key=lambda i: (-every[i], words[i]))[:MARKERS]
-            column = np.full(len(words), -1)
-            column[top] = np.arange(len(top))
-            of = np.repeat(np.arange(hi - lo), counts)
-            hit = column[numbers] >= 0
-            holds = np.zeros((hi - lo, len(top)), dtype=np.float32)
-            holds[of[hit], column[numbers[hit]]] = 1
-            both = holds.T @ holds
-            a, b = np.nonzero(both)
-            yield pa.RecordBatch.from_pydict(
-                {
-                    "a": pa.array([words[top[i]] for i in a], pa.binary()),
-                    "b": pa.array([words[top[i]] for i in b], pa.binary()),
-                    "n": pa.array(both[a, b].astype(np.int64)),
-                }
-            )
-
-
-def group_markers(pairs):
-    """Classes of markers: ``{word: class}`` out of ``{(a, b): texts with both}``."""
-    texts = {a: n for (a, b), n in pairs.items() if a == b}
-    classes = []
-    for word in sorted(texts, key=lambda w: (-texts[w], w)):
-        near = [
-            np.mean([pairs.get((word, w), 0) / (texts[word] * texts[w]) ** 0.5 for w in own])
-            for own in classes
-        ]
-        if near and max(near) >= TOGETHER:
-            classes[int(np.argmax(near))].append(word)
-        elif len(classes) < CLASSES - 1:
-            classes.append([word])
-    return {word: i for i, own in enumerate(classes, 1) for word in own}
-
-
-def find_markers(docs):
-    """``{word: class}`` for the corpus's markers, from all its training texts.
-
-    Each batch reports its own ``MARKERS`` most common words; of all reported, those
-    in most texts are the markers. At most their pairs reach the driver.
-    """
-    pairs = written(
-        docs.select("held_out", "text")
-        .mapInArrow(_marker_pairs, "a binary, b binary, n long")
-        .groupBy("a", "b")
-        .agg(F.sum("n").alias("n")),
-        "markers",
-    )
-    own = pairs.where(F.col("a") == F.col("b")).orderBy(F.desc("n"), "a").limit(MARKERS)
-    markers = F.broadcast(own.select("a"))  # at most MARKERS rows
-    both = pairs.join(markers, "a").join(markers.withColumnRenamed("a", "b"), "b")
-    return group_markers({(bytes(r["a"]), bytes(r["b"])): r["n"] for r in both.collect()})
-
-
-def classes_of(markers, words, numbers, counts):
-    """The class of each text whose words are numbered."""
-    marked = np.array([markers.get(w, 0) for w in words], dtype=np.int64)[numbers]
-    of = np.repeat(np.arange(len(counts)), counts)
-    seen = np.bincount(of * CLASSES + marked, minlength=len(counts) * CLASSES)
-    seen = seen.reshape(len(counts), CLASSES)
-    seen[:, 0] = 0
-    return seen.argmax(axis=1)
-
-
-def _count_words(markers):
-    def count(batches):
-        for batch in batches:
-            train = ~batch["held_out"].to_numpy(zero_copy_only=False)
-            for lo, hi in slices(text_sizes(batch["text"]), TEXT_AT_ONCE):
-                words, numbers, counts = lowered_words(batch["text"].slice(lo, hi - lo))
-                classes, own = classes_of(markers, words, numbers, counts), train[lo:hi]
-                size = CLASSES * len(words)
-                pairs = np.repeat(classes * len(words), counts) + numbers
-                every = np.bincount(pairs, minlength=size)
-                some = np.bincount(pairs[np.repeat(own, counts)], minlength=size)
-                met = np.flatnonzero(every)
-                ends = np.bincount(classes, minlength=CLASSES)
-                train_ends = np.bincount(classes[own], minlength=CLASSES)
-                place = np.divmod(met, max(1, len(words)))
-                yield pa.RecordBatch.from_pydict(
-                    {
-                        "class": pa.array(np.append(place[0], np.arange(CLASSES))),
-                        "word": pa.array(
-                            [words[i] for i in place[1]] + [END] * CLASSES, pa.binary()
-                        ),
-                        "n_train": pa.array(np.append(some[met], train_ends)),
-                        "n_all": pa.array(np.append(every[met], ends)),
-                    }
-                )
-
-    return count
-
-
-def count_words(docs, markers):
-    """``class``, ``word`` (bytes), ``n_train``, ``n_all`` of ``docs`` with ``text``, ``held_out``."""
-    rows = docs.select("held_out", "text").mapInArrow(
-        _count_words(markers), "class long, word binary, n_train long, n_all long"
-    )
-    return rows.groupBy("class", "word").agg(
-        F.sum("n_train").alias("n_train"), F.sum("n_all").alias("n_all")
-    )
-
-
-# --- byte windows -------------------------------------------------------------
-
-
-def windows(words, classes):
-    """The windows of all bytes of some words, and how many each word has.
-
-    A window is one number: the class, ``BYTES`` bytes of context, the next byte.
-    """
-    pad = b" " * BYTES
-    coded = [w if w == END else w + b" " for w in words]
-    counts = np.array([len(c) for c in coded], dtype=np.int64)
-    raw = np.frombuffer(b"".join(chain.from_iterable((pad, c) for c in coded)), np.uint8)
-    at = np.repeat(np.arange(len(words)) * BYTES, counts) + np.arange(counts.sum())
-    grams = np.repeat(np.asarray(classes, dtype=np.int64), counts)
-    for k in range(BYTES + 1):
-        grams = grams << 8 | raw[at + k]
-    return grams, counts
-
-
-def _uses(table):
-    """The distinct windows of one bucket of words, with their training counts."""
-    grams, counts = windows(table["word"].to_pylist(), table["class"].to_numpy())
-    weights = np.repeat(table["n_train"].to_numpy(), counts)
-    distinct, which = np.unique(grams, return_inverse=True)
-    n = np.zeros(len(distinct), dtype=np.int64)
-    np.add.at(n, which, weights)
-    bucket = table["bucket"][0].as_py()
-    return pa.table(
-        {
-            "bucket": pa.array(np.full(len(distinct), bucket, dtype=np.int64)),
-            "gram": pa.array(distinct),
-            "n": pa.array(n),
-        }
-    )
-
-
 # --- context trees ------------------------------------------------------------
 
 
@@ -314,16 +149,18 @@ def _level_above(level, depth):
 
 
 class Crown:
-    """What contexts of no and one byte leave to deeper ones: per (byte, choice)."""
+    """What contexts of up to two bytes leave to deeper ones: per (context, choice)."""
 
-    def __init__(self, given, rest):
-        self.given, self.rest = given, rest
+    def __init__(self, given, rest, keys, given_two, rest_two):
+        self.given, self.rest = given, rest  # of one byte, for all bytes and choices
+        self.keys, self.given_two, self.rest_two = keys, given_two, rest_two
 
     @classmethod
     def solve(cls, keys, zeros, ones, below):
-        """From the nodes of depth 1, with what is below them summed up."""
+        """From the nodes of depth 2, with what is below them summed up."""
         order = np.argsort(keys)
-        one = Level(keys[order], zeros[order], ones[order], below[order])
+        two = Level(keys[order], zeros[order], ones[order], below[order])
+        one = _level_above(two, 1)
         none = _level_above(one, 0)
         given, rest = np.zeros(256), np.ones(256)
         at_none = none.keys
@@ -335,18 +172,26 @@ class Crown:
         all_rest = np.zeros((256, 256))
         byte, choice = one.keys >> 8, one.keys & 255
         all_given[byte, choice], all_rest[byte, choice] = one.mix(given[choice], rest[choice])
-        return cls(all_given, all_rest)
+        byte, choice = two.keys >> 8 & 255, two.keys & 255
+        passed = two.mix(all_given[byte, choice], all_rest[byte, choice])
+        return cls(all_given, all_rest, two.keys, *passed)
+
+    def find(self, keys):
+        """The place of each (context of two bytes, choice), or -1."""
+        if not len(self.keys):
+            return np.full(len(keys), -1)
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        return np.where(self.keys[at] == keys, at, -1)
 
 
 def log_chances(grams, found, crown):
     """The base-10 logarithm of each window's chance of its last byte."""
-    top = min(found)
     passed = {}
-    for depth in range(top, DEPTH + 1):
+    for depth in range(TOP, DEPTH + 1):
         level = found[depth]
-        if depth == top:
-            byte, choice = (level.keys >> 8) & 255, level.keys & 255
-            given, rest = crown.given[byte, choice], crown.rest[byte, choice]
+        if depth == TOP:
+            above = crown.find(_up(level.keys, TOP))
+            given, rest = crown.given_two[above], crown.rest_two[above]
         else:
             above = found[depth - 1].find(_up(level.keys, depth))
             given, rest = (p[above] for p in passed[depth - 1])
@@ -355,282 +200,69 @@ def log_chances(grams, found, crown):
     keys, taken = keys.ravel(), taken.ravel()
     # A choice not met in a context is even there; the deepest known context tells
     # what is left to it.
-    byte, choice = (keys >> 8) & 255, keys & 255
-    chance = crown.given[byte, choice] + 0.5 * crown.rest[byte, choice]
+    chance = np.empty(len(keys))
     open_keys = np.arange(len(keys))
-    for depth in range(DEPTH, top - 1, -1):
-        if not len(open_keys):
-            break
+    for depth in range(DEPTH, TOP - 1, -1):
         at = found[depth].find(_up(keys[open_keys], depth + 1))
         hit = at >= 0
         given, rest = passed[depth]
         chance[open_keys[hit]] = given[at[hit]] + 0.5 * rest[at[hit]]
         open_keys = open_keys[~hit]
+    at = crown.find(_up(keys[open_keys], TOP))
+    hit = at >= 0
+    chance[open_keys[hit]] = crown.given_two[at[hit]] + 0.5 * crown.rest_two[at[hit]]
+    open_keys = open_keys[~hit]
+    byte, choice = (keys[open_keys] >> 8) & 255, keys[open_keys] & 255
+    chance[open_keys] = crown.given[byte, choice] + 0.5 * crown.rest[byte, choice]
     logs = np.log10(np.where(taken, chance, 1 - chance))
     return logs.reshape(-1, 8).sum(axis=1)
 
 
-TOP = 2  # windows are grouped by so many bytes of context
-
-
 def _below_top(table):
-    """Phase one: the nodes of depth ``TOP`` of one group."""
-    found = levels(table["gram"].to_numpy(), table["n"].to_numpy(), TOP)[TOP]
+    """Phase one: one bucket's share of the nodes of two bytes of context."""
+    level = levels(table["gram"].to_numpy(), table["n"].to_numpy(), TOP)[TOP]
+    keys, which = np.unique(_up(level.keys, TOP), return_inverse=True)
+    which = which.ravel()
+    sums = {"zeros": level.zeros, "ones": level.ones, "log_p": level.log_p}
     return pa.table(
-        {
-            "key": pa.array(found.keys),
-            "zeros": pa.array(found.zeros),
-            "ones": pa.array(found.ones),
-            "log_p": pa.array(found.log_p),
+        {"key": pa.array(keys)}
+        | {
+            c: pa.array(np.bincount(which, x, len(keys)), pa.float64()) for c, x in sums.items()
         }
     )
 
 
 def _solve(crown):
-    """Phase two: the chances of one group's windows."""
+    """Phase two: the chances of one bucket's windows."""
 
     def solve(table):
-        grams, counts = table["gram"].to_numpy(), table["n"].to_numpy()
-        found = levels(grams, counts, TOP)
+        grams = table["gram"].to_numpy()
+        found = levels(grams, table["n"].to_numpy(), TOP)
         return pa.table(
-            {"gram": pa.array(grams), "log_chance": pa.array(log_chances(grams, found, crown))}
+            {
+                "gram": pa.array(grams),
+                "log_chance": pa.array(log_chances(grams, found, crown)),
+                "n_all": table["n_all"],
+            }
         )
 
     return solve
 
 
 def gram_chances(grams):
-    """``gram``, ``log_chance`` of a table with ``gram`` and its training count ``n``."""
-    grouped = grams.withColumn("tail", F.shiftright("gram", 8).bitwiseAND(F.lit(0xFFFF)))
-    tails = grouped.select("tail", "gram", "n").groupBy("tail")
-    nodes = tails.applyInArrow(_below_top, "key long, zeros double, ones double, log_p double")
-    one = (
-        nodes.groupBy(F.col("key").bitwiseAND(F.lit(0xFFFF)).alias("key"))
-        .agg(*[F.sum(c).alias(c) for c in ("zeros", "ones", "log_p")])
-        .collect()  # at most 256 contexts times 255 choices
-    )
-    columns = [np.array([r[c] for r in one]) for c in ("key", "zeros", "ones", "log_p")]
+    """``gram``, ``log_chance``, ``n_all`` of a written table with ``gram``, its training count
+    ``n``, and ``n_all``."""
+    buckets = max(1, -(-grams.count() // BUCKET_WINDOWS))
+    context = F.shiftright("gram", 8).bitwiseAND(F.lit((1 << 8 * TOP) - 1))
+    bucket = F.pmod(F.xxhash64(context), F.lit(buckets))
+    grouped = grams.select(bucket.alias("bucket"), "gram", "n", "n_all").groupBy("bucket")
+    nodes = grouped.applyInArrow(_below_top, "key long, zeros double, ones double, log_p double")
+    # At most 65,536 contexts times 255 choices, of which languages use few.
+    two = nodes.groupBy("key").agg(*[F.sum(c).alias(c) for c in ("zeros", "ones", "log_p")])
+    found = two.toArrow()
+    columns = [found[c].to_numpy() for c in ("key", "zeros", "ones", "log_p")]
     crown = Crown.solve(columns[0].astype(np.int64), *columns[1:])
-    return tails.applyInArrow(_solve(crown), "gram long, log_chance double")
-
-
-def _spell(words, chances):
-    """The chance of each word of one bucket, from the chances of its windows."""
-    texts = words["word"].to_pylist()
-    grams, counts = windows(texts, words["class"].to_numpy())
-    order = np.argsort(chances["gram"].to_numpy())
-    known = chances["gram"].to_numpy()[order]
-    logs = chances["log_chance"].to_numpy()[order][np.searchsorted(known, grams)]
-    sums = np.add.reduceat(logs, np.cumsum(counts) - counts) if len(texts) else logs
-    return pa.table(
-        {
-            "class": words["class"],
-            "word": words["word"],
-            "n_train": words["n_train"],
-            "n_all": words["n_all"],
-            "log_chance": pa.array(sums),
-        }
-    )
-
-
-def score_words(words):
-    """``words`` (see :func:`count_words`) with ``log_chance`` of each, base 10."""
-    size = words.agg(F.sum(F.length("word") + DEPTH).alias("b")).first()["b"] or 0
-    buckets = max(1, -(-size // BUCKET_BYTES))
-    bucketed = words.withColumn("bucket", F.pmod(F.xxhash64("class", "word"), F.lit(buckets)))
-    uses = written(
-        bucketed.groupBy("bucket").applyInArrow(_uses, "bucket long, gram long, n long"), "windows"
-    )
-    grams = written(uses.groupBy("gram").agg(F.sum("n").alias("n")), "windows")
-    chances = uses.select("bucket", "gram").join(gram_chances(grams), "gram")
-    return (
-        bucketed.groupBy("bucket")
-        .cogroup(chances.groupBy("bucket"))
-        .applyInArrow(_spell, "class long, word binary, n_train long, n_all long, log_chance double")
-    )
-
-
-# --- documents ----------------------------------------------------------------
-
-
-NAMES = [
-    "row",
-    "doc_id",
-    "held_out",
-    "class",
-    "word",
-    "n",
-    "n_tokens",
-    "n_bytes",
-    "n_known",
-    "base",
-    "score",
-]
-
-
-def _score(frequent, floor, markers, class_cost):
-    """Sums over frequent words, and one row per other word of each document."""
-    held = {}
-
-    def tables():
-        if not held:
-            classes, words, counts, logs = frequent.value
-            counts = np.array(counts, dtype=np.float64)
-            held["number"] = [{} for _ in range(CLASSES)]
-            for i, (k, word) in enumerate(zip(classes, words, strict=True)):
-                held["number"][k][word] = i
-            held["known"] = np.append(counts > 0, False).astype(np.float64)
-            held["base"] = np.append(np.log10(counts + 0.1) - floor, 0.0)
-            held["score"] = np.append(np.array(logs, dtype=np.float64), 0.0)
-        return held
-
-    def score(batches):
-        table = tables()
-        ends = np.array([own.get(END, -1) for own in table["number"]])
-        row = TaskContext.get().partitionId() << 40
-        for batch in batches:
-            for lo, hi in slices(text_sizes(batch["text"]), TEXT_AT_ONCE):
-                docs = hi - lo
-                words, numbers, counts = lowered_words(batch["text"].slice(lo, docs))
-                classes = classes_of(markers, words, numbers, counts)
-                lengths = np.array(list(map(len, words)), dtype=np.int64)
-                of = np.repeat(np.arange(docs), counts)
-                kind = classes[of]
-                at = np.full((CLASSES, len(words)), -1, dtype=np.int32)
-                seen = np.zeros(at.shape, dtype=bool)
-                seen[kind, numbers] = True
-                for k in np.unique(classes):
-                    own, get = np.flatnonzero(seen[k]), table["number"][k].get
-                    at[k, own] = [get(words[i], -1) for i in own]
-                at = at[kind, numbers]
-                sums = {
-                    name: np.bincount(of, table[name][at], docs) + table[name][ends[classes]]
-                    for name in ("known", "base", "score")
-                }
-                sums["score"] += class_cost[classes]
-                size = np.bincount(of, lengths[numbers] + 1, docs).astype(np.int64) + 1
-                # Other words, once per document with their number.
-                rest = np.flatnonzero(at < 0)
-                width = max(1, len(words))
-                pairs, n = np.unique(of[rest] * width + numbers[rest], return_counts=True)
-                doc, code = np.divmod(pairs, width)
-                none = np.setdiff1d(np.arange(docs), doc)
-                # A document without other words has a row that no word matches.
-                names = [words[c] for c in code] + [b" %d" % (row + int(i)) for i in none]
-                doc = np.concatenate([doc, none])
-                n = np.concatenate([n, np.zeros(len(none), dtype=np.int64)])
-                # The document's own sums go with the first of its rows.
-                later = np.ones(len(doc), dtype=bool)
-                later[np.unique(doc, return_index=True)[1]] = False
-                own = [counts + 1, size, sums["known"].astype(np.int64), sums["base"], sums["score"]]
-                place = pa.array(doc)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(row + doc),
-                        batch["doc_id"].slice(lo, docs).take(place),
-                        batch["held_out"].slice(lo, docs).take(place),
-                        pa.array(classes[doc]),
-                        pa.array(names, pa.binary()),
-                        pa.array(n),
-                        *[pa.array(values[doc], mask=later) for values in own],
-                    ],
-                    names=NAMES,
-                )
-                row += docs
-
-    return score
-
-
-def score(docs, doc_id="doc_id", text="text", held_out=None, frequent=FREQUENT):
-    """Train on the documents that are not held out and score all of them.
-
-    ``held_out`` is a boolean column; by default, crc32 of the id as text is 0 modulo
-    ten. Returns ``doc_id``, ``held_out``, ``n_tokens``, ``n_known``, ``train_tokens``,
-    ``base_score`` (smoothed word frequencies), ``score`` (the log10 probability of
-    the tokens by the context trees) and ``bits_per_byte`` (its code length).
-
-    NULL texts are empty: one end token. A NULL id counts as the empty text for
-    the default ``held_out``. Repeated rows are scored and counted as often as they
-    stand. An empty table gives no row; without training documents every byte costs
-    eight bits. Words may be of any length; texts without a marker are class 0.
-    """
-    if held_out is None:
-        name = F.coalesce(F.col(doc_id).cast("string"), F.lit(""))
-        held_out = F.crc32(name.cast("binary")) % 10 == 0
-    rows = docs.select(
-        F.col(doc_id).alias("doc_id"),
-        F.coalesce(held_out, F.lit(False)).alias("held_out"),
-        whole_text(text).alias("text"),
-    )
-    markers = find_markers(rows)
-    words = written(count_words(rows, markers), "words")
-    per_word = words.groupBy("word").agg(F.sum("n_train").alias("n_train"))
-    total = per_word.agg(
-        F.coalesce(F.sum("n_train"), F.lit(0)).alias("train"),
-        F.count_if(F.col("n_train") > 0).alias("distinct"),
-    ).first()
-    every = words.agg(F.coalesce(F.sum("n_all"), F.lit(0)).alias("n")).first()["n"]
-    # A word has a row per class, so at most CLASSES rows meet here.
-    scored = score_words(words).select(
-        "class",
-        "word",
-        "n_all",
-        F.sum("n_train").over(Window.partitionBy("word")).alias("n_train"),
-        F.when(F.col("word") == END, F.col("n_train")).alias("class_texts"),
-        "log_chance",
-    )
-    scored = written(scored, "scored-words")
-    often = (F.col("n_all") * F.lit(frequent) >= every) & (F.length("word") <= LONGEST_FREQUENT)
-    often = often | (F.col("word") == F.lit(END))
-    top = scored.where(often).select(
-        "class", "word", "n_train", "log_chance", "class_texts"
-    ).collect()
-    lists = [r["class"] for r in top], [bytes(r["word"]) for r in top]
-    lists += [r["n_train"] for r in top], [r["log_chance"] for r in top]
-    texts = np.zeros(CLASSES)
-    for r in top:
-        texts[r["class"]] += r["class_texts"] or 0
-    used = 1 + len(set(markers.values()))
-    class_cost = np.log10((texts + 0.5) / (texts.sum() + 0.5 * used))
-    floor = float(np.log10(total["train"] + 0.1 * (total["distinct"] + 1)))
-    kind = rows.schema["doc_id"].dataType.simpleString()
-    frequent_words = docs.sparkSession.sparkContext.broadcast(lists)
-    pairs = rows.mapInArrow(
-        _score(frequent_words, floor, markers, class_cost),
-        f"row long, doc_id {kind}, held_out boolean, class long, word binary, n long,"
-        " n_tokens long, n_bytes long, n_known long, base double, score double",
-    )
-    rest = scored.where(~often).select("class", "word", "n_train", "log_chance")
-    n, seen, log = F.col("n"), F.coalesce("n_train", F.lit(0)), F.coalesce("log_chance", F.lit(0.0))
-    joined = pairs.join(rest, ["class", "word"], "left").select(
-        "row",
-        "doc_id",
-        "held_out",
-        "n_tokens",
-        "n_bytes",
-        (F.coalesce("n_known", F.lit(0)) + F.when(seen > 0, n).otherwise(0)).alias("n_known"),
-        (F.coalesce("base", F.lit(0.0)) + n * (F.log10(seen + 0.1) - F.lit(floor))).alias("base"),
-        (F.coalesce("score", F.lit(0.0)) + n * log).alias("score"),
-    )
-    sums = ["n_tokens", "n_bytes", "n_known", "base", "score"]
-    return (
-        joined.groupBy("row")
-        .agg(
-            F.max("doc_id").alias("doc_id"),
-            F.max("held_out").alias("held_out"),
-            *[F.sum(c).alias(c) for c in sums],
-        )
-        .select(
-            "doc_id",
-            "held_out",
-            "n_tokens",
-            "n_known",
-            F.lit(total["train"]).cast("long").alias("train_tokens"),
-            F.col("base").alias("base_score"),
-            "score",
-            (F.col("score") / F.lit(-float(np.log10(2))) / F.col("n_bytes")).alias("bits_per_byte"),
-        )
-    )
+    return grouped.applyInArrow(_solve(crown), "gram long, log_chance double, n_all long")
 
 
 # --- whole texts --------------------------------------------------------------
@@ -668,42 +300,92 @@ def _summed(keys, counts):
     return keys[first], np.add.reduceat(counts, first) if len(first) else counts
 
 
-def _count_windows(batches):
-    """Windows with their counts, added up within a task up to ``HELD`` of them."""
+def _counted(batches):
+    """Words, and windows with their counts, added up within a task up to ``HELD`` of them."""
 
-    def rows(keys, counts):
+    def rows(grams, words, n_train, n_all):
         return pa.RecordBatch.from_pydict(
             {
-                "gram": pa.array(keys >> 1),
-                "n_train": pa.array(counts * (keys & 1)),
-                "n_all": pa.array(counts),
+                "gram": pa.nulls(len(words), pa.int64()) if grams is None else pa.array(grams),
+                "word": pa.nulls(len(grams), pa.binary()) if words is None else words,
+                "n_train": pa.array(n_train),
+                "n_all": pa.array(n_all),
             }
         )
 
+    def windows(keys, counts):
+        return rows(keys >> 1, None, counts * (keys & 1), counts)
+
     held, size = [], 0
     for batch in batches:
         train = ~batch["held_out"].to_numpy(zero_copy_only=False)
         for lo, hi in slices(text_sizes(batch["text"]), STREAM_AT_ONCE):
-            grams, of, _ = text_windows(batch["text"].slice(lo, hi - lo))
-            held.append(np.unique(grams << 1 | train[lo:hi][of], return_counts=True))
+            own = train[lo:hi]
+            grams, of, (words, numbers, counts) = text_windows(batch["text"].slice(lo, hi - lo))
+            n_all = np.bincount(numbers, minlength=len(words))
+            n_train = np.bincount(numbers[np.repeat(own, counts)], minlength=len(words))
+            yield rows(
+                None,
+                pa.array([*words, END], pa.binary()),
+                np.append(n_train, np.count_nonzero(own)),
+                np.append(n_all, hi - lo),
+            )
+            held.append(np.unique(grams << 1 | own[of], return_counts=True))
             size += len(held[-1][0])
             if size > HELD:
                 held = [_summed(*map(np.concatenate, zip(*held, strict=True)))]
                 size = len(held[0][0])
                 if size > HELD // 2:
-                    yield rows(*held[0])
+                    yield windows(*held[0])
                     held, size = [], 0
     if held:
-        yield rows(*_summed(*map(np.concatenate, zip(*held, strict=True))))
+        yield windows(*_summed(*map(np.concatenate, zip(*held, strict=True))))
+
+
+def counted(rows):
+    """``gram`` or ``word`` (bytes), with ``n`` in training texts and ``n_all``.
+
+    ``rows`` have ``held_out`` and ``text``. Tasks hand on sums, so the shuffle comes
+    before any further adding up, which would find little to add in a task.
+    """
+    schema = "gram long, word binary, n_train long, n_all long"
+    parts = rows.select("held_out", "text").mapInArrow(_counted, schema)
+    return (
+        parts.repartition("gram", "word")
+        .groupBy("gram", "word")
+        .agg(F.sum("n_train").alias("n"), F.sum("n_all").alias("n_all"))
+    )
 
 
 def _at_least(counts, most):
-    """The count from which on at most ``most`` rows of a table have it."""
-    table = counts.groupBy("n_all").agg(F.count(F.lit(1)).alias("rows")).toArrow()
-    n, rows = (table[c].to_numpy() for c in ("n_all", "rows"))
-    order = np.argsort(-n)
-    fits = np.cumsum(rows[order]) <= most
-    return int(n[order][fits][-1]) if fits.any() else 1 << 62
+    """The count from which on at most ``most`` rows of a table have it.
+
+    Counts are looked at by their powers of two first, then within the power that
+    decides, by steps that halve it: 64 rows reach the driver each time.
+    """
+    low, high = 0, 63
+    size = counts.groupBy((F.length(F.bin("n_all")) - 1).alias("p")).count()
+    by_power = {r["p"]: r["count"] for r in size.collect()}
+    above = 0
+    for power in range(high, low - 1, -1):
+        if above + by_power.get(power, 0) > most:
+            break
+        above += by_power.get(power, 0)
+    else:
+        return 1
+    start, width = 1 << power, 1 << power
+    while width > 1:
+        step = max(1, width // 64)
+        place = F.floor((F.col("n_all") - F.lit(start)) / step).cast("int")
+        inside = counts.where(F.col("n_all").between(start, start + width - 1))
+        size = inside.groupBy(place.alias("p")).count()
+        by_step = {r["p"]: r["count"] for r in size.collect()}
+        for at in range(width // step - 1, -1, -1):
+            if above + by_step.get(at, 0) > most:
+                break
+            above += by_step.get(at, 0)
+        start, width = start + at * step, step
+    return start + 1
 
 
 def _window_key(gram):
@@ -805,13 +487,18 @@ def _score_texts(often, floor):
 def score_texts(
     docs, doc_id="doc_id", text="text", held_out=None, frequent=FREQUENT, windows_held=WINDOWS_HELD
 ):
-    """:func:`score` with contexts that reach over the borders of words.
-
-    Rows, columns and rules are those of :func:`score`, but a byte's context are the
-    ``DEPTH`` bytes before it in the whole text, whatever words they belong to, and
-    there are no classes. So the order of a text's words counts, and the layout of
-    the files does not. The most common windows, ``windows_held`` at most, are looked
-    up where the text is read, the rest joined.
+    """Per row: ``doc_id``, ``held_out``, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score``,
+    ``score``, ``bits_per_byte``.
+
+    The model learns from the rows that are not held out, by default those whose
+    CRC-32 of the id's text leaves a remainder mod 10. ``base_score`` is that of smoothed
+    word frequencies, ``score`` the base-10 logarithm of the text's chance.
+
+    NULL and empty texts have one token, the end; rows with a NULL id are held out by the
+    empty text's checksum; rows that repeat are scored and counted each; equal texts score
+    alike. A very long text is taken whole. Only ids and texts are read, so other columns
+    may have any name. An empty table gives no row, and without training rows
+    every byte costs eight bits. The layout of the files does not matter.
     """
     if held_out is None:
         name = F.coalesce(F.col(doc_id).cast("string"), F.lit(""))
@@ -821,8 +508,11 @@ def score_texts(
         F.coalesce(held_out, F.lit(False)).alias("held_out"),
         whole_text(text).alias("text"),
     )
-    words = written(count_words(rows, {}).drop("class"), "words")
-    words = words.where("n_all > 0")
+    both = written(counted(rows), "counts")
+    words = both.where("word IS NOT NULL AND n_all > 0").select(
+        "word", F.col("n").alias("n_train"), "n_all"
+    )
+    counts = both.where("word IS NULL").select("gram", "n", "n_all")
     total = words.agg(
         F.coalesce(F.sum("n_train"), F.lit(0)).alias("train"),
         F.count_if(F.col("n_train") > 0).alias("distinct"),
@@ -832,14 +522,8 @@ def score_texts(
     often = (F.col("n_all") * F.lit(frequent) >= total["n"]) & (F.length("word") <= LONGEST_FREQUENT)
     often = often | (F.col("word") == F.lit(END))
     top = words.where(often).select("word", "n_train").toArrow()
-    counts = rows.select("held_out", "text").mapInArrow(
-        _count_windows, "gram long, n_train long, n_all long"
-    )
-    counts = counts.groupBy("gram").agg(F.sum("n_train").alias("n"), F.sum("n_all").alias("n_all"))
-    counts = written(counts, "windows")
     least = _at_least(counts, windows_held)
-    # Counts and chances meet by a join of two tables of windows.
-    chances = written(gram_chances(counts).join(counts, "gram"), "window-chances")
+    chances = written(gram_chances(counts), "window-chances")
     held = chances.where("n_all >= %d" % least).select("gram", "log_chance").toArrow().sort_by("gram")
     known = (
         top["word"].to_pylist(),
