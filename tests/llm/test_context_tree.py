@@ -154,6 +154,29 @@ def test_the_count_that_few_have(spark, most):
     assert least == 1 or sum(c >= least - 1 for c in counts) > most
 
 
+@pytest.mark.parametrize("n", [0, 1, 2, 1000])
+def test_lookup(n):
+    rng = np.random.default_rng(n)
+    keys = np.unique(rng.integers(0, 1 << 56, n))
+    # Many in a row, which hash alike or next to each other, and some that are not there.
+    keys = np.unique(np.concatenate([keys, np.arange(3 * n)]))
+    table = ctw.Lookup(keys)
+    asked = np.concatenate([keys, keys + 1, rng.integers(0, 1 << 56, 50)])
+    place = {int(k): i for i, k in enumerate(keys)}
+    assert table.find(asked).tolist() == [place.get(int(k), -1) for k in asked]
+
+
+def test_windows_are_those_of_the_streams():
+    texts = ["", " \n", "a", "Ab  cD\té", "x" * 5000, "日本 語"]
+    grams, of, _ = ctw.text_windows(pa.array(texts))
+    want = [
+        (int.from_bytes(context + bytes([byte]), "big"), i)
+        for i, t in enumerate(texts)
+        for context, byte in streams(t)
+    ]
+    assert list(zip(grams.tolist(), of.tolist(), strict=True)) == want
+
+
 @pytest.mark.parametrize("x", [0.5, 1, 1.5, 7.5, 100.5, 1e6 + 0.5, 1e12 + 0.5])
 def test_log_gamma(x):
     assert float(ctw.log_gamma(x)) == pytest.approx(math.lgamma(x), rel=1e-12, abs=1e-12)

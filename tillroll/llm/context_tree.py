@@ -28,8 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import functions as F
 
 from tillroll.llm.common import (
-    flat_table,
-    gather,
+    as_bytes,
     numbered_words,
     slices,
     text_sizes,
@@ -275,22 +274,56 @@ def text_windows(texts):
     stream: contexts reach back over the spaces, and at its start over line ends.
     Returns the windows, the text of each, and the words as ``numbered_words``.
     """
-    words, numbers, counts = lowered_words(texts)
-    docs = len(counts)
-    table = flat_table([w + b" " for w in words] + [END, END * DEPTH])
-    ends = np.cumsum(counts)
-    tokens = np.insert(numbers, ends, len(words))
-    tokens = np.insert(tokens, ends - counts + np.arange(docs), len(words) + 1)
-    raw, last = gather(*table, tokens)
-    sizes = np.diff(last[np.cumsum(counts + 2) - 1], prepend=0)
-    grams = np.zeros(max(0, len(raw) - DEPTH), dtype=np.int64)
-    for k in range(DEPTH + 1):
-        grams <<= 8
-        grams |= raw[k : k + len(grams)]
-    # A text's first window stands where its line ends in front are the context.
-    of = np.repeat(np.arange(docs), sizes - DEPTH)
-    at = np.arange(len(of)) + of * DEPTH
-    return grams[at], of, (words, numbers, counts)
+    found = lowered_words(texts)
+    front = END * DEPTH
+    streams = [front + b" ".join([*t.lower().split(), END]) for t in as_bytes(texts)]
+    sizes = np.array([len(x) for x in streams], dtype=np.int64)
+    raw = np.frombuffer(b"\0" + b"".join(streams) + b"\0", np.uint8)
+    # A window and the byte before it, wherever it starts, are eight bytes in order.
+    many = max(0, len(raw) - 2 - DEPTH)
+    eights = np.ndarray((many,), dtype=">i8", buffer=raw, strides=(1,))
+    grams = (eights & ((1 << 8 * (DEPTH + 1)) - 1)).astype(np.int64)
+    # Those that reach over the end of a text are none.
+    of = np.repeat(np.arange(len(sizes)), sizes - DEPTH)
+    return grams[np.arange(len(of)) + of * DEPTH], of, found
+
+
+class Lookup:
+    """The places of whole numbers in an array, by hashing; the numbers are distinct."""
+
+    def __init__(self, keys):
+        self.keys = keys
+        bits = max(4, (2 * len(keys)).bit_length())
+        self.shift, self.mask = np.uint64(64 - bits), (1 << bits) - 1
+        self.slots = np.full(1 << bits, -1, dtype=np.int32)
+        left = np.arange(len(keys), dtype=np.int32)
+        at = self._first(keys)
+        while len(left):
+            free = self.slots[at] < 0
+            self.slots[at[free]] = left[free]
+            # Of those that wanted one slot, one has it.
+            lost = self.slots[at] != left
+            left, at = left[lost], (at[lost] + 1) & self.mask
+
+    def _first(self, keys):
+        spread = keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        return (spread >> self.shift).astype(np.int64)
+
+    def find(self, keys):
+        """The place of each key, or -1."""
+        at = self._first(keys)
+        found = self.slots[at]
+        if not len(self.keys):
+            return found
+        open_ = np.flatnonzero((found >= 0) & (self.keys[found] != keys))
+        at = at[open_]
+        while len(open_):
+            at = (at + 1) & self.mask
+            here = self.slots[at]
+            found[open_] = here
+            more = (here >= 0) & (self.keys[here] != keys[open_])
+            open_, at = open_[more], at[more]
+        return found
 
 
 def _summed(keys, counts):
@@ -345,15 +378,12 @@ def _counted(batches):
 def counted(rows):
     """``gram`` or ``word`` (bytes), with ``n`` in training texts and ``n_all``.
 
-    ``rows`` have ``held_out`` and ``text``. Tasks hand on sums, so the shuffle comes
-    before any further adding up, which would find little to add in a task.
+    ``rows`` have ``held_out`` and ``text``.
     """
     schema = "gram long, word binary, n_train long, n_all long"
     parts = rows.select("held_out", "text").mapInArrow(_counted, schema)
-    return (
-        parts.repartition("gram", "word")
-        .groupBy("gram", "word")
-        .agg(F.sum("n_train").alias("n"), F.sum("n_all").alias("n_all"))
+    return parts.groupBy("gram", "word").agg(
+        F.sum("n_train").alias("n"), F.sum("n_all").alias("n_all")
     )
 
 
@@ -407,7 +437,7 @@ def _score_texts(often, floor):
             held["word"] = {w: i for i, w in enumerate(words)}
             held["known"] = np.append(counts > 0, False).astype(np.float64)
             held["base"] = np.append(np.log10(counts + 0.1) - floor, 0.0)
-            held["grams"], held["logs"] = grams, logs
+            held["grams"], held["logs"] = Lookup(grams), np.append(logs, 0.0)
         return held
 
     def score(batches):
@@ -419,14 +449,11 @@ def _score_texts(often, floor):
                 docs = hi - lo
                 grams, of, (words, numbers, counts) = text_windows(batch["text"].slice(lo, docs))
                 size = np.bincount(of, minlength=docs)
-                # Windows, each distinct one looked up once.
-                own, which = np.unique(grams, return_inverse=True)
-                at = np.minimum(np.searchsorted(grams_known, own), max(0, len(grams_known) - 1))
-                hit = grams_known[at] == own if len(grams_known) else np.zeros(len(own), dtype=bool)
-                value = np.where(hit, logs[at], 0.0) if len(grams_known) else np.zeros(len(own))
-                sums = np.bincount(of, value[which], docs)
-                rest = np.flatnonzero(~hit[which])
-                code, n = np.unique(of[rest] * len(own) + which[rest], return_counts=True)
+                at = grams_known.find(grams)
+                sums = np.bincount(of, logs[at], docs)
+                rest = np.flatnonzero(at < 0)
+                own, which = np.unique(grams[rest], return_inverse=True)
+                code, n = np.unique(of[rest] * len(own) + which, return_counts=True)
                 doc, code = np.divmod(code, max(1, len(own)))
                 far = (own[code] | (0x20 << 56)).astype(">i8").view("S8")
                 # Words; every text has an end.
