@@ -9,14 +9,14 @@ has a context tree of its own: at each depth the Krichevsky-Trofimov estimate of
 counts seen in that context is mixed with what the deeper contexts say, half and half
 before any data; the weights after the training text follow from how well each coded it.
 
-One pass over the texts counts words and windows, a byte with its context; both are added
-up within a task first. Distinct windows grow with the corpus and are spread over the
+One pass over the texts counts words, another windows, a byte with its context; both are
+added up within a task first. Distinct windows grow with the corpus and are spread over the
 cluster throughout. The trees are solved in buckets of windows that share the last
 ``TOP`` bytes of context, since trees meet only above that, and a bucket holds as many
 windows as a task can take: their number follows from the number of windows. What the
 nodes above come to, at most 65,536 contexts of two bytes, is solved on the driver.
 
-A second pass scores the texts. The most common windows and words are looked up where the
+A third pass scores the texts. The most common windows and words are looked up where the
 text is read: words that make up a ``1 / FREQUENT``-th of all tokens or more are at most
 ``FREQUENT``. The rest are joined to the tables of windows and words.
 """
@@ -42,7 +42,8 @@ BUCKET_WINDOWS = 150_000  # about as many windows are solved at once
 END = b"\n"
 FREQUENT = 500_000
 LONGEST_FREQUENT = 64
-STREAM_AT_ONCE = 4 << 20
+STREAM_AT_ONCE = 3 << 20
+WORDS_AT_ONCE = 12 << 20
 HELD = 4_000_000  # windows that a task counts before it hands them on
 WINDOWS_HELD = 3_000_000  # windows looked up where the text is read
 HALF = np.log(0.5)
@@ -272,9 +273,8 @@ def text_windows(texts):
 
     A text's bytes are its words, a space behind each, and a line end, as one
     stream: contexts reach back over the spaces, and at its start over line ends.
-    Returns the windows, the text of each, and the words as ``numbered_words``.
+    Returns the windows and the text of each.
     """
-    found = lowered_words(texts)
     front = END * DEPTH
     streams = [front + b" ".join([*t.lower().split(), END]) for t in as_bytes(texts)]
     sizes = np.array([len(x) for x in streams], dtype=np.int64)
@@ -282,10 +282,13 @@ def text_windows(texts):
     # A window and the byte before it, wherever it starts, are eight bytes in order.
     many = max(0, len(raw) - 2 - DEPTH)
     eights = np.ndarray((many,), dtype=">i8", buffer=raw, strides=(1,))
-    grams = (eights & ((1 << 8 * (DEPTH + 1)) - 1)).astype(np.int64)
+    grams = eights.astype(np.int64)
+    grams &= (1 << 8 * (DEPTH + 1)) - 1
     # Those that reach over the end of a text are none.
     of = np.repeat(np.arange(len(sizes)), sizes - DEPTH)
-    return grams[np.arange(len(of)) + of * DEPTH], of, found
+    at = of * DEPTH
+    at += np.arange(len(of))
+    return grams[at], of
 
 
 class Lookup:
@@ -333,56 +336,59 @@ def _summed(keys, counts):
     return keys[first], np.add.reduceat(counts, first) if len(first) else counts
 
 
-def _counted(batches):
-    """Words, and windows with their counts, added up within a task up to ``HELD`` of them."""
+def _count_words(batches):
+    """The words of each slice of texts, with how often training and all texts have them."""
+    for batch in batches:
+        train = ~batch["held_out"].to_numpy(zero_copy_only=False)
+        for lo, hi in slices(text_sizes(batch["text"]), WORDS_AT_ONCE):
+            own = train[lo:hi]
+            words, numbers, counts = lowered_words(batch["text"].slice(lo, hi - lo))
+            n_all = np.bincount(numbers, minlength=len(words))
+            n_train = np.bincount(numbers[np.repeat(own, counts)], minlength=len(words))
+            yield pa.RecordBatch.from_pydict(
+                {
+                    "word": pa.array([*words, END], pa.binary()),
+                    "n_train": pa.array(np.append(n_train, np.count_nonzero(own))),
+                    "n_all": pa.array(np.append(n_all, hi - lo)),
+                }
+            )
+
+
+def _count_windows(batches):
+    """Windows with their counts, added up within a task up to ``HELD`` of them."""
 
-    def rows(grams, words, n_train, n_all):
+    def rows(keys, counts):
         return pa.RecordBatch.from_pydict(
             {
-                "gram": pa.nulls(len(words), pa.int64()) if grams is None else pa.array(grams),
-                "word": pa.nulls(len(grams), pa.binary()) if words is None else words,
-                "n_train": pa.array(n_train),
-                "n_all": pa.array(n_all),
+                "gram": pa.array(keys >> 1),
+                "n_train": pa.array(counts * (keys & 1)),
+                "n_all": pa.array(counts),
             }
         )
 
-    def windows(keys, counts):
-        return rows(keys >> 1, None, counts * (keys & 1), counts)
-
     held, size = [], 0
     for batch in batches:
         train = ~batch["held_out"].to_numpy(zero_copy_only=False)
         for lo, hi in slices(text_sizes(batch["text"]), STREAM_AT_ONCE):
-            own = train[lo:hi]
-            grams, of, (words, numbers, counts) = text_windows(batch["text"].slice(lo, hi - lo))
-            n_all = np.bincount(numbers, minlength=len(words))
-            n_train = np.bincount(numbers[np.repeat(own, counts)], minlength=len(words))
-            yield rows(
-                None,
-                pa.array([*words, END], pa.binary()),
-                np.append(n_train, np.count_nonzero(own)),
-                np.append(n_all, hi - lo),
-            )
-            held.append(np.unique(grams << 1 | own[of], return_counts=True))
+            grams, of = text_windows(batch["text"].slice(lo, hi - lo))
+            grams <<= 1
+            grams |= train[lo:hi][of]
+            held.append(np.unique(grams, return_counts=True))
             size += len(held[-1][0])
             if size > HELD:
                 held = [_summed(*map(np.concatenate, zip(*held, strict=True)))]
                 size = len(held[0][0])
                 if size > HELD // 2:
-                    yield windows(*held[0])
+                    yield rows(*held[0])
                     held, size = [], 0
     if held:
-        yield windows(*_summed(*map(np.concatenate, zip(*held, strict=True))))
-
+        yield rows(*_summed(*map(np.concatenate, zip(*held, strict=True))))
 
-def counted(rows):
-    """``gram`` or ``word`` (bytes), with ``n`` in training texts and ``n_all``.
 
-    ``rows`` have ``held_out`` and ``text``.
-    """
-    schema = "gram long, word binary, n_train long, n_all long"
-    parts = rows.select("held_out", "text").mapInArrow(_counted, schema)
-    return parts.groupBy("gram", "word").agg(
+def counted(rows, count, key):
+    """``key`` with ``n`` in training texts and ``n_all``; ``rows``: ``held_out``, ``text``."""
+    parts = rows.select("held_out", "text").mapInArrow(count, f"{key}, n_train long, n_all long")
+    return parts.groupBy(key.split()[0]).agg(
         F.sum("n_train").alias("n"), F.sum("n_all").alias("n_all")
     )
 
@@ -447,7 +453,9 @@ def _score_texts(often, floor):
         for batch in batches:
             for lo, hi in slices(text_sizes(batch["text"]), STREAM_AT_ONCE):
                 docs = hi - lo
-                grams, of, (words, numbers, counts) = text_windows(batch["text"].slice(lo, docs))
+                part = batch["text"].slice(lo, docs)
+                words, numbers, counts = lowered_words(part)
+                grams, of = text_windows(part)
                 size = np.bincount(of, minlength=docs)
                 at = grams_known.find(grams)
                 sums = np.bincount(of, logs[at], docs)
@@ -535,11 +543,9 @@ def score_texts(
         F.coalesce(held_out, F.lit(False)).alias("held_out"),
         whole_text(text).alias("text"),
     )
-    both = written(counted(rows), "counts")
-    words = both.where("word IS NOT NULL AND n_all > 0").select(
-        "word", F.col("n").alias("n_train"), "n_all"
-    )
-    counts = both.where("word IS NULL").select("gram", "n", "n_all")
+    words = written(counted(rows, _count_words, "word binary"), "words").where("n_all > 0")
+    words = words.select("word", F.col("n").alias("n_train"), "n_all")
+    counts = written(counted(rows, _count_windows, "gram long"), "windows")
     total = words.agg(
         F.coalesce(F.sum("n_train"), F.lit(0)).alias("train"),
         F.count_if(F.col("n_train") > 0).alias("distinct"),
