@@ -42,9 +42,9 @@ BUCKET_WINDOWS = 150_000  # about as many windows are solved at once
 END = b"\n"
 FREQUENT = 500_000
 LONGEST_FREQUENT = 64
-STREAM_AT_ONCE = 3 << 20
-WORDS_AT_ONCE = 12 << 20
-HELD = 4_000_000  # windows that a task counts before it hands them on
+STREAM_AT_ONCE = 2 << 20
+WORDS_AT_ONCE = 4 << 20
+HELD = 2_500_000  # windows that a task counts before it hands them on
 WINDOWS_HELD = 3_000_000  # windows looked up where the text is read
 HALF = np.log(0.5)
 
