@@ -38,7 +38,7 @@ from tillroll.llm.common import (
 
 DEPTH = 6  # bytes of context
 TOP = 3  # windows in a bucket share whole contexts of so many bytes
-BUCKET_WINDOWS = 150_000  # about as many windows are solved at once
+BUCKET_WINDOWS = 40_000  # about as many windows are solved at once
 END = b"\n"
 FREQUENT = 500_000
 LONGEST_FREQUENT = 64
@@ -443,7 +443,8 @@ def _score_texts(often, floor):
             held["word"] = {w: i for i, w in enumerate(words)}
             held["known"] = np.append(counts > 0, False).astype(np.float64)
             held["base"] = np.append(np.log10(counts + 0.1) - floor, 0.0)
-            held["grams"], held["logs"] = Lookup(grams), np.append(logs, 0.0)
+            # Behind the chances stands 0 for windows that are not there.
+            held["grams"], held["logs"] = Lookup(grams), logs
         return held
 
     def score(batches):
@@ -562,7 +563,7 @@ def score_texts(
         top["word"].to_pylist(),
         top["n_train"].to_numpy().astype(np.float64),
         held["gram"].to_numpy(),
-        held["log_chance"].to_numpy(),
+        np.append(held["log_chance"].to_numpy(), 0.0),
     )
     kind = rows.schema["doc_id"].dataType.simpleString()
     pairs = rows.mapInArrow(
