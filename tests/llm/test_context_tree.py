@@ -223,3 +223,24 @@ def test_white_space_does_not_count(spark):
     texts = ["a  b\nc", "a b c", " a\tb c\n"]
     docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
     assert len({round(r.score, 9) for r in ctw.score_texts(docs).collect()}) == 1
+
+
+@pytest.mark.parametrize("held", [10, 200, 10**6])
+def test_counts_do_not_depend_on_what_a_task_holds(monkeypatch, held):
+    rng = random.Random(7)
+    texts = [" ".join(rng.choices(["ab", "abc", "cb", "é"], k=rng.randint(0, 30))) for _ in range(50)]
+    out = [rng.random() < 0.3 for _ in texts]
+    monkeypatch.setattr(ctw, "HELD", held)
+    monkeypatch.setattr(ctw, "STREAM_AT_ONCE", 100)
+    batch = pa.RecordBatch.from_pydict({"held_out": pa.array(out), "text": pa.array(texts)})
+    got, want = defaultdict(lambda: [0, 0]), defaultdict(lambda: [0, 0])
+    for part in ctw._count_windows([batch, batch]):
+        for row in part.to_pylist():
+            got[row["gram"]][0] += row["n_train"]
+            got[row["gram"]][1] += row["n_all"]
+    for text, h in zip(texts, out, strict=True):
+        for context, byte in streams(text):
+            gram = int.from_bytes(context + bytes([byte]), "big")
+            want[gram][0] += 2 * (not h)
+            want[gram][1] += 2
+    assert got == want

@@ -355,7 +355,8 @@ def _count_words(batches):
 
 
 def _count_windows(batches):
-    """Windows with their counts, added up within a task up to ``HELD`` of them."""
+    """Windows with their counts, added up within a task up to ``HELD`` of them. Counts of
+    one window may come in several rows."""
 
     def rows(keys, counts):
         return pa.RecordBatch.from_pydict(
@@ -379,8 +380,11 @@ def _count_windows(batches):
                 held = [_summed(*map(np.concatenate, zip(*held, strict=True)))]
                 size = len(held[0][0])
                 if size > HELD // 2:
-                    yield rows(*held[0])
-                    held, size = [], 0
+                    # The rare ones go, and the others are met again.
+                    keys, counts = held[0]
+                    rare = counts <= np.quantile(counts, 0.75)
+                    yield rows(keys[rare], counts[rare])
+                    held, size = [(keys[~rare], counts[~rare])], int(np.count_nonzero(~rare))
     if held:
         yield rows(*_summed(*map(np.concatenate, zip(*held, strict=True))))
 
