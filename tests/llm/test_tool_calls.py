@@ -2,10 +2,12 @@ import json
 import random
 import re
 
+import duckdb
 import pytest
 
+from compare import differences
 from tillroll.llm import tool_calls as tools
-from tillroll.llm.queries import op10_tool_calls
+from tillroll.llm.queries import OP10_SQL, op10_tool_calls
 
 SCHEMAS = {
     "find": {
@@ -176,11 +178,60 @@ def test_every_message_has_a_row(spark):
 
 
 def test_the_query_keeps_what_repeats_and_what_has_no_identifier(spark, tmp_path):
-    rows = [(1, 1, "user", "first"), (1, 1, "user", "second"), (1, 4, "tool", "no json")]
+    rows = [
+        (1, 1, "user", "first"),
+        (1, 1, "user", "second"),
+        (1, 4, "tool", "no json"),
+        (1, 0, "system", "be brief"),
+        (None, 3, "user", "nowhere"),
+    ]
     messages = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
     messages.write.parquet(str(tmp_path / "conversations.parquet"))
     found = op10_tool_calls(spark, str(tmp_path)).collect()
-    assert sorted(r.status for r in found) == ["no identifier", "open", "repeated call"]
+    assert sorted(r.status for r in found) == [
+        "message", "no conversation", "no identifier", "open", "repeated call",
+    ]
+
+
+def test_messages_neither_asked_nor_answered_equal_the_sql(spark, tmp_path):
+    rows = [
+        (1, 0, "system", 'be "brief"'),
+        (1, 1, "user", "first"),
+        (1, 2, "assistant", "yes"),
+        (2, 4, "tool", "no json"),
+        (2, 5, None, None),
+        (None, 0, "user", "no conversation"),
+        (3, None, None, "no turn"),
+        (None, None, "assistant", None),
+    ]
+    messages = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    messages.write.parquet(str(tmp_path / "conversations.parquet"))
+    con = duckdb.connect()
+    path = str(tmp_path / "conversations.parquet" / "*.parquet")
+    con.execute(f"CREATE VIEW conversations AS SELECT * FROM '{path}'")
+    assert differences(op10_tool_calls(spark, str(tmp_path)), con, OP10_SQL) is None
+
+
+def test_a_blank_before_the_json_does_not_matter(spark):
+    call = json.dumps({"tool_calls": [{"id": "t1", "name": "any", "arguments": "{}"}]})
+    rows = [
+        (1, 1, "assistant", " \n" + call),
+        (1, 2, "tool", ' {"tool_call_id": "t1", "content": "done"}'),
+    ]
+    messages = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    found = tools.every_message(messages, SCHEMAS).collect()
+    assert [(r.call_id, r.status) for r in found] == [("t1", "answered")]
+
+
+def test_many_copies_long_texts_and_clashing_columns(spark):
+    rows = [(1, 1, "user", "again", "x", 1)] * 500 + [(2, 1, "user", "y" * 300_000, "z", 2)]
+    messages = spark.createDataFrame(
+        rows, "conv_id long, turn long, role string, text string, status string, ROW int"
+    )
+    found = tools.every_message(messages.repartition(4)).collect()
+    assert sum(r.status == "repeated call" for r in found) == 499 and len(found) == 501
+    assert [r.n_calls for r in found if r.status == "open" and r.conv_id == "1"] == [500]
+    assert max(len(r.json) for r in found) > 300_000
 
 
 def test_no_messages_and_no_python(spark):

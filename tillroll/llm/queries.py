@@ -82,9 +82,7 @@ def op9_packing(spark, sf_dir):
 
 def op10_tool_calls(spark, sf_dir):
     found = tool_calls.every_message(_table(spark, sf_dir, "conversations"))
-    # OP10_SQL leaves out other roles and rows without conversation or turn.
-    linked = found.where(~F.col("status").isin("message", "no conversation"))
-    return linked.withColumn("conv_id", F.col("conv_id").cast("long"))
+    return found.withColumn("conv_id", F.col("conv_id").cast("long"))
 
 
 def op11_additive_model(spark, sf_dir):
@@ -121,8 +119,8 @@ QUERIES = {
     "op13_importance": op13_importance,
 }
 
-# Questions without an answer, answers without a question, and chains of questions
-# that are two turns apart.
+# Questions without an answer, answers without a question, chains of questions that are
+# two turns apart, and all that is neither; the table has no tool calls.
 OP10_SQL = """
 WITH m AS (
   SELECT conv_id, turn, role, coalesce(text, '') AS text
@@ -160,6 +158,19 @@ SELECT conv_id, conv_id || ':' || turn, 'unknown call', NULL, NULL, 0, 1, 'resul
        '{"errors":["result: unknown call"],"id":"' || conv_id || ':' || turn || '","result":'
        || CAST(to_json(result) AS VARCHAR) || '}'
 FROM unasked
+UNION ALL
+SELECT conv_id, NULL, status, NULL, NULL, 0, 0, CASE WHEN status = 'message' THEN '' ELSE status END,
+       status = 'message',
+       '{' || CASE WHEN status = 'message' THEN '' ELSE '"errors":["' || status || '"],' END
+       || CASE WHEN role IS NULL THEN '' ELSE '"role":' || CAST(to_json(role) AS VARCHAR) || ',' END
+       || '"text":' || CAST(to_json(coalesce(text, '')) AS VARCHAR)
+       || CASE WHEN turn IS NULL THEN '' ELSE ',"turn":' || turn END || '}'
+FROM (
+  SELECT *, CASE WHEN conv_id IS NULL OR turn IS NULL THEN 'no conversation'
+                 WHEN role = 'tool' THEN 'no identifier' ELSE 'message' END AS status
+  FROM conversations
+  WHERE conv_id IS NULL OR turn IS NULL OR role IS NULL OR role NOT IN ('user', 'assistant')
+)
 """
 
 ORACLE_SQL = {

@@ -48,13 +48,11 @@ def _parsed(messages):
         "role",
         F.coalesce("text", F.lit("")).alias("text"),
     )
-    maybe_json = F.col("text").startswith("{")
+    # What is no JSON, or JSON without these fields, gives NULL.
     return rows.withColumns(
         {
-            "made": F.when(
-                (F.col("role") == "assistant") & maybe_json, F.from_json("text", _CALLS)["tool_calls"]
-            ),
-            "given": F.when((F.col("role") == "tool") & maybe_json, F.from_json("text", _RESULT)),
+            "made": F.when(F.col("role") == "assistant", F.from_json("text", _CALLS)["tool_calls"]),
+            "given": F.when(F.col("role") == "tool", F.from_json("text", _RESULT)),
         }
     )
 
@@ -331,18 +329,19 @@ def format_chats(messages, schemas=None):
 # --- what is not linked -------------------------------------------------------
 
 
-def _repeated(rows, fields):
-    """All rows of an identifier but the one that :func:`link` takes, the least."""
-    rows = rows.groupBy("conv_id", "call_id", *fields).agg(F.count(F.lit(1)).alias("n"))
-    rows = rows.withColumn("own", F.struct(*fields))
-    taken = rows.groupBy("conv_id", "call_id").agg(F.min("own").alias("taken"))
-    more = F.col("n") - F.col("own").eqNullSafe(F.col("taken")).cast("int")
-    # Exact copies are counted, so that one row of them is joined.
-    return (
-        rows.join(taken, ["conv_id", "call_id"])
-        .withColumn("copy", F.explode(F.array_repeat(F.lit(1), more.cast("int"))))
-        .select("conv_id", "call_id", *fields)
-    )
+def _repeated(rows, fields, label):
+    """All rows of an identifier but the one that :func:`link` takes, the least.
+
+    Only rows of identifiers that occur twice or more are looked at. They are written
+    with a number each, so that of exact copies all but one are told from the one taken,
+    and each copy stays a row of its own.
+    """
+    keys = ["conv_id", "call_id"]
+    again = rows.groupBy(keys).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(keys)
+    number = F.monotonically_increasing_id()
+    rows = written(rows.join(again, keys, "left_semi").withColumn("row", number), label)
+    taken = rows.groupBy(keys).agg(F.min(F.struct(*fields, "row"))["row"].alias("row"))
+    return rows.join(taken, [*keys, "row"], "left_anti").select("conv_id", "call_id", *fields)
 
 
 def leftovers(messages):
@@ -378,10 +377,11 @@ def leftovers(messages):
         F.col("m.name").alias("name"),
     )
     calls, results = events(messages)
-    calls = _repeated(calls, ["turn", "name", "arguments", "after"])
+    calls = _repeated(calls, ["turn", "name", "arguments", "after"], "repeated-calls")
     calls = calls.withColumnRenamed("arguments", "text")
     calls = calls.withColumns({"status": F.lit("repeated call"), "role": none})
-    results = _repeated(results, ["turn", "content"]).withColumnRenamed("content", "text")
+    results = _repeated(results, ["turn", "content"], "repeated-results")
+    results = results.withColumnRenamed("content", "text")
     results = results.withColumns(
         {"status": F.lit("repeated result"), "role": none, "after": none, "name": none}
     )
@@ -412,5 +412,9 @@ def leftovers(messages):
 
 
 def every_message(messages, schemas=None):
-    """:func:`format_chats` and :func:`leftovers`: no message is without a row or its text."""
+    """:func:`format_chats` and :func:`leftovers`: no message is without a row or its text.
+
+    Of the messages four columns are read, so others may have any name. Texts may be of
+    any length; a conversation may hold any share of the messages.
+    """
     return format_chats(messages, schemas).unionByName(leftovers(messages))
