@@ -4,6 +4,7 @@ import re
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 from compare import differences
 from tillroll.llm import tool_calls as tools
@@ -240,3 +241,44 @@ def test_no_messages_and_no_python(spark):
     assert found.count() == 0
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+DEEP = {
+    "book": {
+        "type": "object",
+        "properties": {
+            "where": {
+                "type": "object",
+                "properties": {"city": {"type": "string", "pattern": "^[A-Z]"}, "floor": {"type": "integer"}},
+                "required": ["city"],
+            },
+            "days": {"type": "array", "items": {"type": "integer", "minimum": 1, "maximum": 31}},
+        },
+    }
+}
+
+
+@pytest.mark.parametrize(
+    "arguments,errors",
+    [
+        ({"where": {"city": "Rome", "floor": 2}, "days": [1, 31]}, []),
+        ({}, []),
+        ({"days": []}, []),
+        ({"where": {"floor": "two"}}, ["where.city: missing", "where.floor: not integer"]),
+        ({"where": {"city": "rome"}}, ["where.city: not of the pattern"]),
+        ({"where": "Rome"}, ["where: not object"]),
+        ({"days": [1, 40]}, ["days: item not allowed"]),
+        ({"days": [1, "2"]}, ["days: item not allowed"]),
+        ({"days": 3}, ["days: not array"]),
+    ],
+)
+def test_properties_within_properties_and_items(spark, arguments, errors):
+    rows = spark.createDataFrame([("book", json.dumps(arguments))], "name string, arguments string")
+    found = rows.select(tools.argument_errors(rows["name"], rows["arguments"], DEEP).alias("e"))
+    assert sorted(found.first().e) == sorted(errors)
+
+
+@pytest.mark.parametrize("rule", [{"format": "date"}, {"items": {"items": {}}}, {"properties": {"x": {"oneOf": []}}}])
+def test_unknown_keywords_are_an_error(spark, rule):
+    with pytest.raises(ValueError, match="unknown keywords"):
+        tools.argument_errors(F.lit("t"), F.lit("{}"), {"t": {"properties": {"a": rule}}})

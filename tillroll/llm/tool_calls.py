@@ -110,43 +110,92 @@ def _problem(when, text):
     return F.when(when, F.lit(text))
 
 
-def _property_problems(value, name, rule, required):
-    path = f'$["{name}"]'
+RULES = {"type", "minLength", "maxLength", "minimum", "maximum", "enum", "pattern"}
+NESTED = {"properties", "required", "items"}
+
+
+def _check_keywords(place, rule, known):
+    unknown = sorted(set(rule) - known)
+    if unknown:
+        raise ValueError(f"schema of {place}: unknown keywords {', '.join(unknown)}")
+
+
+def _kind_fits(own, rule):
+    if "type" not in rule:
+        return F.lit(True)
+    return F.schema_of_variant(own).rlike(f"^({TYPES[rule['type']]})$")
+
+
+def _checks(own, rule):
+    """(condition that is true for a value out of bounds, what to say)."""
+    text, number = F.try_variant_get(own, "$", "string"), F.try_variant_get(own, "$", "double")
+    checks = {
+        "minLength": (lambda x: F.length(text) < x, "too short"),
+        "maxLength": (lambda x: F.length(text) > x, "too long"),
+        "minimum": (lambda x: number < x, "too small"),
+        "maximum": (lambda x: number > x, "too large"),
+        "enum": (lambda x: ~text.isin(x), "not among the values"),
+        "pattern": (lambda x: ~text.rlike(x), "not of the pattern"),
+    }
+    return [(test(rule[key]), said) for key, (test, said) in checks.items() if key in rule]
+
+
+def _property_problems(value, path, name, rule, required):
+    """What is wrong with one property, those within it, and the items of a list."""
+    _check_keywords(name, rule, RULES | NESTED)
     own = F.try_variant_get(value, path, "variant")
     problems = [_problem(own.isNull(), f"{name}: missing")] if required else []
-    kind = F.schema_of_variant(own)
-    fits = kind.rlike(f"^({TYPES[rule['type']]})$") if "type" in rule else F.lit(True)
+    fits = _kind_fits(own, rule)
     if "type" in rule:
         problems.append(_problem(own.isNotNull() & ~fits, f"{name}: not {rule['type']}"))
-    checks = []
-    if "minLength" in rule or "maxLength" in rule:
-        size = F.length(F.try_variant_get(value, path, "string"))
-        checks += [(size < rule["minLength"], "too short")] if "minLength" in rule else []
-        checks += [(size > rule["maxLength"], "too long")] if "maxLength" in rule else []
-    if "minimum" in rule or "maximum" in rule:
-        number = F.try_variant_get(value, path, "double")
-        checks += [(number < rule["minimum"], "too small")] if "minimum" in rule else []
-        checks += [(number > rule["maximum"], "too large")] if "maximum" in rule else []
-    if "enum" in rule:
-        text = F.try_variant_get(value, path, "string")
-        checks.append((~text.isin(rule["enum"]), "not among the values"))
-    problems += [_problem(own.isNotNull() & fits & bad, f"{name}: {text}") for bad, text in checks]
+    problems += [
+        _problem(own.isNotNull() & fits & bad, f"{name}: {said}") for bad, said in _checks(own, rule)
+    ]
+    if "items" in rule:
+        items = rule["items"]
+        _check_keywords(f"{name}[]", items, RULES)
+
+        def bad_item(item):
+            bad = ~_kind_fits(item, items)
+            for test, _ in _checks(item, items):
+                bad = bad | test
+            return F.coalesce(bad, F.lit(False))
+
+        listed = F.try_variant_get(value, path, "array<variant>")
+        bad = F.coalesce(F.exists(listed, bad_item), F.lit(False))
+        problems.append(_problem(bad, f"{name}: item not allowed"))
+    inner, needed = rule.get("properties", {}), rule.get("required", [])
+    for key in sorted({*inner, *needed}):
+        below = _property_problems(
+            value, f'{path}["{key}"]', f"{name}.{key}", inner.get(key, {}), key in needed
+        )
+        # What is no object, or not there, has been said.
+        whole = F.coalesce(F.schema_of_variant(own).startswith("OBJECT"), F.lit(False))
+        problems += [F.when(whole, problem) for problem in below]
     return problems
 
 
 def argument_errors(name, arguments, schemas):
-    """What is wrong with a call's arguments: an array of texts, empty if nothing is."""
+    """What is wrong with a call's arguments: an array of texts, empty if nothing is.
+
+    A schema has ``properties``, ``required`` and ``additionalProperties``; a property has
+    ``type``, bounds, ``enum`` and ``pattern``, may hold properties itself, and the
+    ``items`` of a list have a type and bounds. Any other keyword is a ValueError.
+    """
     value = F.try_parse_json(arguments)
     is_object = F.coalesce(F.schema_of_variant(value).startswith("OBJECT"), F.lit(False))
     keys = F.map_keys(F.from_json(arguments, "map<string, string>"))
     found = F.array(F.lit("name: unknown tool"))
     for tool, schema in schemas.items():
+        _check_keywords(tool, schema, {"type", "properties", "required", "additionalProperties"})
         rules = schema.get("properties", {})
         needed = schema.get("required", [])
         problems = [
             p
             for key in sorted({*rules, *needed})
-            for p in _property_problems(value, key, rules.get(key, {}), key in needed)
+            for p in _property_problems(
+                value, f'$["{key}"]', key, rules.get(key, {}), key in needed
+            )
         ]
         errors = F.array_compact(F.array(*problems)) if problems else F.array().cast("array<string>")
         if schema.get("additionalProperties") is False:
