@@ -1,3 +1,4 @@
+import math
 import re
 from collections import Counter
 
@@ -84,6 +85,89 @@ def test_trust_is_found_from_agreement():
     assert (verdict == bad).mean() > 0.95
 
 
+def slow_model(votes):
+    """Expectation-maximisation a document at a time; the posterior of each."""
+    rules = len(quality.RULES)
+    share, trust, pseudo = 0.75, 0.8, 5
+    right = {0: {0: trust, 1: 1 - trust, 2: 1 - share}, 1: {0: 1 - trust, 1: trust, 2: share}}
+
+    def odds(p):
+        return math.log(p / (1 - p))
+
+    good = []
+    for own in votes:
+        x = odds(share)
+        for v in own:
+            x += {0: -odds(trust) - odds(share), 1: odds(trust) - odds(share), 2: 0}[v]
+        good.append(1 / (1 + math.exp(-x)))
+    while True:
+        part = (sum(good) + pseudo * share) / (len(votes) + pseudo)
+        rate = {}
+        for r in range(rules):
+            kinds = {own[r] for own in votes} | {2}
+            for c in (0, 1):
+                n = {
+                    v: pseudo * right[c][v] + sum(g if c else 1 - g for g, o in zip(good, votes, strict=True) if o[r] == v)
+                    for v in kinds
+                }
+                rate |= {(c, r, v): n[v] / sum(n.values()) for v in kinds}
+        before = good
+        good = []
+        for own in votes:
+            x = odds(part) + sum(math.log(rate[1, r, v] / rate[0, r, v]) for r, v in enumerate(own))
+            good.append(1 / (1 + math.exp(-x)))
+        if max(abs(a - b) for a, b in zip(good, before, strict=True)) < 1e-3:
+            return good
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_model_against_a_slow_one(seed):
+    rng = np.random.default_rng(seed)
+    votes = []
+    for _ in range(150):
+        hit = rng.random() < 0.1 + 0.2 * seed
+        odd = rng.random(len(quality.RULES))
+        votes.append([0 if x < (0.5 if hit else 0.05) else 1 if r == 2 and not hit else 2 for r, x in enumerate(odd)])
+    patterns, at, counts = np.unique(votes, axis=0, return_inverse=True, return_counts=True)
+    model = quality.LabelModel.fit(patterns, counts)
+    assert np.abs(model.posterior(patterns)[at.ravel()] - slow_model(votes)).max() < 1e-9
+
+
+def test_verdicts_against_a_slow_model(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    texts = {r.doc_id: (r.text or "").encode() for r in docs.select("doc_id", "text").collect()}
+    found = {d: quality.figures(t) for d, t in texts.items()}
+    votes = {d: [quality.votes_of(f) // 3**r % 3 for r in range(len(quality.RULES))] for d, (_, f) in found.items()}
+    good = dict(zip(votes, slow_model(list(votes.values())), strict=True))
+    for r in quality.judge(docs).collect():
+        n, repeated = found[r.doc_id][0][0], found[r.doc_id][0][4]
+        assert r.base_failed == (n < 50 or 100 * repeated > 50 * n)
+        assert r.kept == (not r.base_failed and good[r.doc_id] >= 0.5)
+
+
+@pytest.mark.parametrize("others", [[], [2, 8]])
+@pytest.mark.parametrize("junk", [100, 1000, 5000, 9000])
+def test_junk_that_trips_one_rule_alone(junk, others):
+    """It goes, be it little or most of the corpus, and the rest stays."""
+    fine = [quality.GOOD if r in others else quality.ABSTAIN for r in range(len(quality.RULES))]
+    bad = list(fine)
+    bad[3] = quality.BAD
+    model = quality.LabelModel.fit([fine, bad], [10_000 - junk, junk])
+    kept, gone = model.posterior([fine, bad])
+    assert kept > 0.7 and gone < 0.35
+
+
+def test_an_odd_language_is_not_junk():
+    """A third of the documents get no good vote; a few trip four rules at once."""
+    rules = len(quality.RULES)
+    fine = [quality.GOOD if r in (2, 8) else quality.ABSTAIN for r in range(rules)]
+    odd = [quality.GOOD if r == 8 else quality.ABSTAIN for r in range(rules)]
+    bad = [quality.BAD if r < 4 else quality.ABSTAIN for r in range(rules)]
+    model = quality.LabelModel.fit([fine, odd, bad], [6500, 3300, 200])
+    assert list(model.posterior([fine, odd, bad]) >= 0.5) == [True, True, False]
+    assert abs(model.share - 0.98) < 0.01
+
+
 def test_agrees_with_held_out_labels(spark):
     folder = "/root/testdata/sf0.01"
     docs = spark.read.parquet(f"{folder}/documents.parquet")

@@ -2,11 +2,10 @@
 
 Each rule looks at one figure of a text and votes bad, votes good, or abstains. How
 far a vote can be trusted is not stated but estimated: expectation-maximisation
-over all documents finds, for each rule and vote, how often the documents that
-got it are what it says, given all other votes they got. Rules that agree with
-others gain weight and rules that stand alone lose it, so a single odd figure does
-not reject a text and several together do. A document is kept by its posterior
-probability of being good.
+over all documents finds the share of good documents and how often each rule casts
+each vote on good and on bad ones. Rules that agree with others gain weight and
+rules that stand alone lose it, and abstaining where others vote counts as well. A
+document is kept by its posterior probability of being good.
 
 Documents meet the model as vote patterns. There are at most 3 ** rules of them,
 so what the driver works on is bounded however many documents there are.
@@ -150,61 +149,71 @@ def _chance(odds):
 
 
 class LabelModel:
-    """How far each rule's votes can be trusted."""
+    """How good and bad documents are voted on, and the share of good ones.
+
+    Before any data is seen three documents of four are good (``GOOD_SHARE``), and so
+    is any without a vote; a vote is right eight times in ten (``TRUST``). That counts
+    as ``PSEUDO`` documents for the share, for each kind of vote that occurs, and for
+    abstaining, so it fades as documents come in and speaks where they say nothing:
+    rules that never meet in a document cannot judge each other, and their votes stay
+    at ``TRUST``, whatever share of the documents they hit. Rounds end when no posterior
+    moves by ``SETTLED``: what still drifts then is not decided by the data.
+    """
 
-    ROUNDS = 100
-    # What holds before any data is seen: three documents of four are good, as for
-    # any without a vote, and a vote is right eight times in ten. The latter counts
-    # as this share of the documents with the vote, which anchors it at every size.
-    GOOD_SHARE, TRUST, ANCHOR = 0.75, 0.8, 0.3
+    ROUNDS, SETTLED = 300, 1e-3
+    GOOD_SHARE, TRUST, PSEUDO = 0.75, 0.8, 5.0
 
-    def __init__(self, trust):
-        self.trust = trust
+    def __init__(self, share, rates):
+        """``rates``: per class, rule and vote, how often the rule casts it there."""
+        self.share, self.rates = share, rates
 
     @classmethod
     def fit(cls, patterns, counts):
         """``patterns``: one row of votes per pattern; ``counts``: documents of each."""
         patterns = np.asarray(patterns, dtype=np.int64).reshape(-1, len(RULES))
         counts = np.asarray(counts, dtype=np.float64)
-        model = cls(np.full((len(RULES), 2), cls.TRUST))
-        given = [(patterns == vote).T * counts for vote in (BAD, GOOD)]
+        cast = np.stack([patterns == vote for vote in range(3)], axis=2).astype(float)
+        occurs = np.einsum("p,prv->rv", counts, cast) > 0
+        occurs[:, ABSTAIN] = True
+        # Per class what the pseudo-documents vote.
+        before = np.zeros((2, 3))
+        before[BAD] = cls.TRUST, 1 - cls.TRUST, 1 - cls.GOOD_SHARE
+        before[GOOD] = 1 - cls.TRUST, cls.TRUST, cls.GOOD_SHARE
+        # At first a vote moves the odds from those of any document to its own.
+        common, trust = _logit(cls.GOOD_SHARE), _logit(cls.TRUST)
+        first = np.array([-trust - common, trust - common, 0.0])
+        posterior = _chance(common + first[patterns].sum(axis=1))
         for _ in range(cls.ROUNDS):
-            odds, own = model.odds(patterns)
-            # A vote is judged by what the other rules say, not by itself.
-            others = _chance(odds[:, None] - own).T
-            right = [(given[BAD] * (1 - others)).sum(axis=1), (given[GOOD] * others).sum(axis=1)]
-            trust = np.stack(
-                [
-                    (r + cls.ANCHOR * cls.TRUST * n) / np.maximum((1 + cls.ANCHOR) * n, 1e-9)
-                    for r, n in zip(right, (g.sum(axis=1) for g in given), strict=True)
-                ],
-                axis=1,
-            )
-            trust = np.where(trust > 0, np.clip(trust, 0.01, 0.99), cls.TRUST)
-            settled = np.abs(trust - model.trust).max() < 1e-9
-            model = cls(trust)
-            if settled:
+            good = posterior * counts
+            share = (good.sum() + cls.PSEUDO * cls.GOOD_SHARE) / (counts.sum() + cls.PSEUDO)
+            rates = np.empty((2, len(RULES), 3))
+            for kind, weight in ((BAD, counts - good), (GOOD, good)):
+                votes = np.einsum("p,prv->rv", weight, cast) + cls.PSEUDO * before[kind] * occurs
+                rates[kind] = votes / votes.sum(axis=1, keepdims=True)
+            model = cls(share, np.clip(rates, 1e-9, 1.0))
+            last, posterior = posterior, model.posterior(patterns)
+            if np.abs(posterior - last).max(initial=0.0) < cls.SETTLED:
                 break
         return model
 
-    def weights(self):
-        """Log odds for good: the constant, and one per rule and vote (bad, good, none).
+    @property
+    def trust(self):
+        """How often each rule's votes are right, for (bad, good)."""
+        weighed = self.rates * np.array([1 - self.share, self.share])[:, None, None]
+        among = weighed / weighed.sum(axis=0)
+        return np.stack([among[BAD, :, BAD], among[GOOD, :, GOOD]], axis=1)
 
-        A vote is worth its log odds beyond those that any document has.
-        """
-        common = float(_logit(np.float64(self.GOOD_SHARE)))
-        odds = _logit(self.trust)
-        none = np.zeros(len(RULES))
-        return common, np.stack([-odds[:, BAD] - common, odds[:, GOOD] - common, none], axis=1)
+    def weights(self):
+        """Log odds for good: the constant, and one per rule and vote (bad, good, none)."""
+        return float(_logit(self.share)), np.log(self.rates[GOOD]) - np.log(self.rates[BAD])
 
     def odds(self, patterns):
-        """Log odds of each pattern, and what each rule adds to them."""
+        """Log odds of each pattern for good."""
         constant, weights = self.weights()
-        own = weights[np.arange(len(RULES)), np.asarray(patterns)]
-        return constant + own.sum(axis=1), own
+        return constant + weights[np.arange(len(RULES)), np.asarray(patterns)].sum(axis=1)
 
     def posterior(self, patterns):
-        return _chance(self.odds(patterns)[0])
+        return _chance(self.odds(patterns))
 
     def column(self, votes):
         """The posterior of a column of vote numbers, as an expression."""
@@ -233,7 +242,9 @@ def judge(docs, doc_id="doc_id", text="text"):
     """Per row: ``doc_id``, the counts, ``base_failed``, ``kept``, ``quality`` (the posterior).
 
     NULL texts have no word and fail; NULL ids and repeated rows are judged like
-    any other; equal texts get equal verdicts; an empty table gives no row.
+    any other; equal texts get equal verdicts; an empty table gives no row. Texts of
+    any length are read whole, each in one call. Other columns of ``docs`` are not
+    read, so their names cannot clash.
     """
     rows = written(
         docs.select(
@@ -251,7 +262,11 @@ def judge(docs, doc_id="doc_id", text="text"):
 
 
 def keep_good(docs, text="text"):
-    """``docs`` without the rows that are judged bad, with all its columns."""
+    """``docs`` without the rows that are judged bad, with all its columns.
+
+    Cases as in :func:`judge`; the figures ride along under a name that ``docs`` does
+    not use.
+    """
     name = free_name(docs, "quality_figures")
     rows = written(docs.withColumn(name, _measure(whole_text(text))), "quality")
     model = fit_votes(rows, f"{name}.votes")
