@@ -8,9 +8,11 @@ that close in on the crossing bin; all nodes of a depth are served by one pass,
 what reaches the driver is a few bins per node.
 
 Documents are ordered by the split's dimension, then by a hash of the text, then by
-their place in the table. Copies of a text stand at one point, so a split leaves
-them together, unless they weigh more than ``GROUP_SHARE`` of a shard and stand
-across it: then they are divided by place, which keeps the shards' sizes.
+their place in the table. Copies of a text stand at one point. Where they stand
+across a split, they go whole to the side that they fit better, if that changes the
+shards below by ``GROUP_TOLERANCE`` of their size or less; only copies that fit on
+neither side are divided, by place. High splits have many shards below and can take
+large groups whole.
 """
 
 import math
@@ -26,7 +28,7 @@ SHARDS = 40
 OVERHEAD = 16  # bytes that a document takes besides its text
 BINS = 512
 TOLERANCE = 0.001  # of a shard's bytes: how far off a split may be
-GROUP_SHARE = 0.02
+GROUP_TOLERANCE = 0.02  # of a shard's bytes, for each shard on the lesser side of a split
 SLOTS_AT_ONCE = 20_000  # rows that are numbered together
 
 
@@ -79,7 +81,7 @@ class Search:
             under, over = self.goal - total, total + size - self.goal
             alone = low == high
             last = alone and self.step == 2
-            allowed = group if alone and self.step == 1 else near
+            allowed = group * (self.shards // 2) if alone and self.step == 1 else near
             if min(abs(under), abs(over)) <= allowed or last:
                 if abs(under) <= abs(over):
                     self.set_bound_below(low)
@@ -191,7 +193,7 @@ def grow(rows, shards, dims):
                 goal = float(own["size"]) * (n - n // 2) / n
                 searches.append(Search(node, n, dim, goal, own[f"low{dim}"], own[f"high{dim}"]))
         shard = total / shards
-        _find_splits(rows, searches, TOLERANCE * shard, GROUP_SHARE * shard)
+        _find_splits(rows, searches, TOLERANCE * shard, GROUP_TOLERANCE * shard)
         if searches:
             rows = _go_down(rows, searches)
         below = {}
@@ -237,7 +239,10 @@ def shard(docs, doc_id="doc_id", text="text", shards=SHARDS, dimensions=None):
     :func:`text_dimensions`. A NULL in a dimension counts as 0, a NULL text takes the
     overhead alone, NULL ids and repeated rows are documents like any other. A
     document above a shard's size makes its shard that much larger; with fewer
-    documents than shards some shards stay empty; an empty table gives no row.
+    documents than shards some shards stay empty; an empty table gives no row. Of a
+    very long text only its length, checksum and hash travel. Other columns of
+    ``docs`` are not read, so their names cannot clash. Ties are told apart by the
+    text's hash and then by place.
     """
     column = whole_text(text)
     dims = dimensions or text_dimensions(column)
