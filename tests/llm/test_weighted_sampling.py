@@ -1,10 +1,12 @@
 import hashlib
+import math
 import random
 import re
 from collections import Counter
 
 import numpy as np
 import pytest
+import xxhash
 
 from tillroll.llm import weighted_sampling as cws
 
@@ -24,6 +26,33 @@ def edited(text, following):
     return text[: len(text) - cut] + following[:cut]
 
 
+def chained(value, size, seed):
+    return xxhash.xxh64(value.to_bytes(size, "little"), seed=seed).intdigest()
+
+
+def slow_print(text):
+    """The sampled word and level of each sample, a word at a time."""
+    found = []
+    for number in range(cws.SAMPLES):
+        best = None
+        for word, weight in weights(text).items():
+            h = xxhash.xxh64(word.encode(), seed=42).intdigest()
+            first = chained(number, 4, chained(h, 8, 42))
+            second = chained(number, 4, chained(first, 8, 42))
+
+            def unit(bits, width):
+                return ((bits & ((1 << width) - 1)) + 0.5) / (1 << width)
+
+            r, c = (-math.log(unit(x >> 38, 26) * unit(x >> 12, 26)) for x in (first, second))
+            b = unit(first << 12 | second & 4095, 24)
+            t = math.floor(math.log(weight) / r + b)
+            value = math.log(c) - r * (t - b + 1)
+            if best is None or value < best[0]:
+                best = (value, word, t)
+        found.append(best and best[1:])
+    return found
+
+
 def corpus(n):
     rng = random.Random(6)
     rows = [(None, "No id, é日本"), (None, "a second one"), (3, None), (4, ""), (5, " \n\t "), (6, "one")]
@@ -68,6 +97,11 @@ def test_report_over_a_table(spark):
         errors.append(r.near_edited - jaccard(text, edited(text, following[r.doc_id])))
         errors.append(r.near_next - jaccard(text, following[r.doc_id]))
     assert abs(np.mean(errors)) < 0.02 and np.std(errors) < 0.1
+    for r in [r for r in got if r.doc_id in prints][:100]:
+        text = text_of[r.doc_id]
+        own = slow_print(text)
+        for near, other in ((r.near_edited, edited(text, following[r.doc_id])), (r.near_next, following[r.doc_id])):
+            assert near == np.mean([a == b for a, b in zip(own, slow_print(other), strict=True)])
 
 
 def test_likeness_is_generalised_jaccard_similarity(spark):
@@ -89,6 +123,14 @@ def test_likeness_is_generalised_jaccard_similarity(spark):
         assert abs(same - jaccard(a, b)) < 0.08
 
 
+def test_a_very_long_text(spark):
+    long = "some words of a long text " * 100_000
+    docs = spark.createDataFrame([(1, long), (2, long), (3, "x")], "doc_id long, text string")
+    got = {r.doc_id: r for r in cws.edit_report(docs).collect()}
+    assert got[1].near_next == 1.0 and got[1].fingerprint == got[2].fingerprint
+    assert got[1].n_chars == len(long) and got[3].near_next == 0.0
+
+
 @pytest.mark.parametrize("n", [0, 1])
 def test_hardly_any_documents(spark, n):
     docs = spark.createDataFrame([(5, "abcd efgh")] * n, "doc_id long, text string")

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from tillroll.llm.common import SPACE_CLASS, whole_text, written
 
-SAMPLES = 32
+SAMPLES = 32  # the standard error of a likeness is 0.088 at most
 TOGETHER = 4  # samples worked out in one row: keeps generated code small
 HEX = 8  # digits per sample
 # What stands for a NULL id, which comes before all others.
@@ -188,7 +188,9 @@ def fingerprints(docs, doc_id="doc_id", text="text", samples=SAMPLES):
 
     Equal texts have equal fingerprints; texts without a word have all zeros (NULL
     texts are among them). NULL ids and repeated rows keep a row each; an empty
-    table gives none.
+    table gives none. Ids must be whole numbers (or spell them). Very long texts become
+    rows of words and need no more memory than their own text. Other columns of ``docs``
+    are not read, so their names cannot clash.
     """
     rows = _keyed(docs, doc_id, text).repartition(_partitions(docs.sparkSession), "key")
     rows = rows.withColumn("copy", _copy()).withColumn("one", F.lit(1))
@@ -215,6 +217,7 @@ def edit_report(docs, doc_id="doc_id", text="text", samples=SAMPLES):
 
     NULL texts are empty; NULL ids come first. Rows that share an id all have the
     same next document: the least text of the next id. An empty table gives no row.
+    Ids, long texts and clashing names: as in :func:`fingerprints`.
     """
     spark = docs.sparkSession
     rows = _keyed(docs, doc_id, text)
