@@ -111,6 +111,20 @@ def test_hot_buckets_are_split_without_losing_links(spark, chunk):
     assert got == want
 
 
+def test_tasks_follow_the_members_of_cells(spark):
+    rng = random.Random(7)
+    frame = spark.createDataFrame([(rng.getrandbits(24),) for _ in range(300)], "fp long").distinct()
+    distinct = frame.count()
+    usual = simhash.print_links(frame, distinct, chunk=20)
+    spread = simhash.print_links(frame, distinct, chunk=20, at_once=100)
+    # Each fingerprint is in a cell of every table at least, and in more of hot buckets.
+    masks = len(simhash.block_masks(4, simhash.kept_blocks(distinct, 4)))
+    assert usual.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert spread.rdd.getNumPartitions() > distinct * masks / 100
+    found = [simhash.component_roots(links).collect() for links in (usual, spread)]
+    assert sorted(found[0]) == sorted(found[1]) and found[0]
+
+
 @pytest.mark.parametrize("distinct", [0, 1, 1000, 10**6, 10**9, 10**12])
 def test_blocks_hold_every_pair_within_the_radius(distinct):
     masks = simhash.block_masks(4, simhash.kept_blocks(distinct, 4))

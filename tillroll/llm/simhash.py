@@ -16,6 +16,7 @@ and buckets at once: each plane's differences go into carry-save counters, and
 words whose lanes all exceed the radius are left out of the remaining planes.
 """
 
+import math
 from itertools import combinations
 
 import numpy as np
@@ -33,6 +34,8 @@ RADIUS = 4
 # Fingerprints of one bucket that one task compares with each other. A larger
 # bucket is cut into chunks, and each pair of chunks is a cell of its own.
 CHUNK = 4096
+# Members of cells that one task holds and compares, about 250 bytes each.
+ROWS_AT_ONCE = 500_000
 HASHES_AT_ONCE = 1 << 16
 
 
@@ -203,7 +206,7 @@ def linked(prints, buckets, radius=RADIUS):
 
 def _compare(radius):
     def compare(batches):
-        """Links within the buckets of one partition; its size is bounded by the shuffle's."""
+        """Links within the buckets of one partition, about ``ROWS_AT_ONCE`` members."""
         batches = [b for b in batches if b.num_rows]
         if not batches:
             return
@@ -222,13 +225,14 @@ def _compare(radius):
     return compare
 
 
-def print_links(prints, distinct, radius=RADIUS, chunk=CHUNK):
+def print_links(prints, distinct, radius=RADIUS, chunk=CHUNK, at_once=ROWS_AT_ONCE):
     """Links ``a``, ``b`` that connect what lies within the radius.
 
     ``prints`` has one row per distinct fingerprint in ``fp``. Buckets above
     ``chunk`` members are split: member x belongs to chunk hash(x), and each pair
     of chunks is compared in a cell of its own, so no link is lost and no task
-    gets a whole hot bucket.
+    gets a whole hot bucket. The number of tasks follows the members of all cells,
+    about ``at_once`` to a task.
     """
     masks = block_masks(radius, kept_blocks(distinct, radius))
     tables = F.array(
@@ -241,10 +245,14 @@ def print_links(prints, distinct, radius=RADIUS, chunk=CHUNK):
     sizes = keyed.groupBy("t", "key").agg(F.count(F.lit(1)).alias("n"))
     # A bucket above the chunk size uses up that many of its table's members, so
     # there are at most len(masks) * distinct / chunk of them.
-    large = sizes.where(F.col("n") > chunk).select(
-        "t", "key", F.ceil(F.col("n") / chunk).cast("int").alias("chunks")
+    chunks = F.ceil(F.col("n") / chunk).cast("int")
+    large = written(
+        sizes.where(F.col("n") > chunk).select("t", "key", "n", chunks.alias("chunks")), "hot-buckets"
     )
-    joined = keyed.join(large, ["t", "key"], "left").select(
+    # Every member is in one cell of each table, and in as many as it has chunks if hot.
+    more = large.agg(F.sum(F.col("n") * (F.col("chunks") - 1))).first()[0] or 0
+    members = distinct * len(masks) + more
+    joined = keyed.join(large.drop("n"), ["t", "key"], "left").select(
         "t",
         "key",
         "fp",
@@ -260,8 +268,8 @@ def print_links(prints, distinct, radius=RADIUS, chunk=CHUNK):
     ).select(
         "t", "key", "fp", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")
     )
-    spark = prints.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    usual = int(prints.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = max(usual, math.ceil(members / at_once))
     return cells.repartition(parts, "t", "key", "i", "j").mapInArrow(
         _compare(radius), "a long, b long"
     )
