@@ -4,8 +4,8 @@ The tree starts with all documents and the number of shards. A node that stands
 several shards is split along its widest dimension, at the weighted quantile that
 gives each side the bytes of its shards (the median, for an even number), until
 every node is one shard. Quantiles are found over the whole table by histograms
-that close in on the crossing bin; all nodes of a depth are served by one pass, and
-what reaches the driver is a few bins per node.
+that close in on the crossing bin; all nodes of a depth are served by one pass, each depth
+is written, and what reaches the driver is a few bins per node.
 
 Documents are ordered by the split's dimension, then by a hash of the text, then by
 their place in the table. Copies of a text stand at one point. Where they stand
@@ -195,7 +195,8 @@ def grow(rows, shards, dims):
         shard = total / shards
         _find_splits(rows, searches, TOLERANCE * shard, GROUP_TOLERANCE * shard)
         if searches:
-            rows = _go_down(rows, searches)
+            # Written, so that the passes of the next depth do not go down all depths again.
+            rows = written(_go_down(rows, searches), "kd-depth")
         below = {}
         for node, n in counts.items():
             if n > 1:
