@@ -61,7 +61,8 @@ def pack(docs, doc_id="doc_id", text="text", length=LENGTH, with_ids=False, **to
     the first pass is written. NULL texts are empty, a document of one end id;
     NULL ids are kept; repeated rows are packed as often as they stand; an empty
     table gives no piece. Very long documents are cut into as many pieces as
-    they need. Sequences are padded by whoever reads them (:func:`sequences`).
+    they need. Other columns of ``docs`` are not read, so their names cannot clash.
+    Sequences are padded by whoever reads them (:func:`sequences`).
     """
     coded = encoded(docs, doc_id, text, **tokenizer)
     totals = coded.groupBy("part").agg(F.sum("n_tokens").alias("n"))

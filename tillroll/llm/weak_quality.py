@@ -264,8 +264,9 @@ def judge(docs, doc_id="doc_id", text="text"):
 def keep_good(docs, text="text"):
     """``docs`` without the rows that are judged bad, with all its columns.
 
-    Cases as in :func:`judge`; the figures ride along under a name that ``docs`` does
-    not use.
+    NULL and empty texts have no word and go; NULL ids and repeated rows stay or go by
+    their text; an empty table stays empty; texts of any length are read whole. The
+    figures ride along under a name that ``docs`` does not use, so none can clash.
     """
     name = free_name(docs, "quality_figures")
     rows = written(docs.withColumn(name, _measure(whole_text(text))), "quality")
