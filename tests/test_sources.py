@@ -1,5 +1,6 @@
 import pytest
 
+from tillroll.operators import keys
 from tillroll.operators.rules import check_rows
 from tillroll.plans.loading import stage
 from tillroll.schema import SOURCE_COLUMNS
@@ -209,3 +210,53 @@ def test_saved_holidays_come_back(spark, holidays, tmp_path):
     calendars.save_holidays(holidays, str(tmp_path / "saved"))
     back = calendars.read_holidays(spark, str(tmp_path / "saved"))
     assert {r.date for r in back.collect()} == {"2022-04-23", "2022-05-01"}
+
+
+def test_staged_rows_are_written_as_they_come(spark, feed, tmp_path, monkeypatch):
+    """No sort before the split; each file keeps the reading order."""
+    rows = feed(*[{"invoice_no": f"I{i}", "age": "x" if i % 3 == 0 else "30"} for i in range(60)])
+    frame, setting = type(rows), "spark.sql.maxConcurrentOutputFileWriters"
+    before, at_write = spark.conf.get(setting), []
+    writer = type(rows.write)
+    parquet = writer.parquet
+
+    def sorts(*_, **__):
+        raise AssertionError("staging sorts its rows")
+
+    def write(self, path, *rest, **named):
+        at_write.append(int(spark.conf.get(setting)))
+        return parquet(self, path, *rest, **named)
+
+    monkeypatch.setattr(frame, "sortWithinPartitions", sorts)
+    monkeypatch.setattr(writer, "parquet", write)
+    staged = stage(rows, str(tmp_path / "staged"))
+    assert at_write == [2] and spark.conf.get(setting) == before
+    numbered = staged.numbered(5).orderBy("sale_id").collect()
+    kept = [f"I{i}" for i in range(60) if i % 3]
+    assert [(r.sale_id, r.invoice_no) for r in numbered] == list(zip(range(6, 46), kept))
+    assert staged.rejected.count() == 20
+
+
+def test_headers_and_wrong_files_never_shuffle_the_rows(spark, csv_file, tmp_path, monkeypatch):
+    """One short row per file is broadcast, whatever size the tables are taken for, and rows
+    without the wrong files are sorted in ranges of bounded size."""
+    monkeypatch.setattr(keys, "ROWS_SORTED", 7)
+    for name in "abcd":
+        lines = [{"invoice_no": f"I{ord(name)}{i:02d}"} for i in range(20)]
+        csv_file(f"in/{name}.csv", *lines, header=["a"] * 10 if name == "b" else SOURCE_COLUMNS)
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        staged = stage(read_lines(spark.read, str(tmp_path / "in")), str(tmp_path / "one"))
+        read = [r.invoice_no for r in staged.numbered(0).orderBy("sale_id").collect()]
+        for rows in (staged.checked, staged.rejected):
+            plan = rows._jdf.queryExecution().executedPlan().toString()
+            assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
+        good = staged.without(staged.wrong_files(), str(tmp_path / "two"))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    files = list((tmp_path / "two").glob("rejected=false/*.parquet"))
+    assert len(files) > 4
+    numbered = good.numbered(0).orderBy("sale_id").collect()
+    assert [r.sale_id for r in numbered] == list(range(1, 61))
+    assert [r.invoice_no for r in numbered] == [n for n in read if not n.startswith("I98")]
