@@ -1,5 +1,7 @@
 import pytest
+from pyspark.sql import functions as F
 
+from tillroll import registry
 from tillroll.operators import keys
 from tillroll.operators.rules import check_rows
 from tillroll.plans.loading import stage
@@ -260,3 +262,24 @@ def test_headers_and_wrong_files_never_shuffle_the_rows(spark, csv_file, tmp_pat
     numbered = good.numbered(0).orderBy("sale_id").collect()
     assert [r.sale_id for r in numbered] == list(range(1, 61))
     assert [r.invoice_no for r in numbered] == [n for n in read if not n.startswith("I98")]
+
+
+def test_head_sample_files_hold_what_a_task_sorts(spark, tmp_path, monkeypatch):
+    """The number of files in order follows the rows."""
+    monkeypatch.setattr(keys, "ROWS_SORTED", 50)
+    number = F.col("id")
+    tables = {
+        "lineitem": (400, {"l_orderkey": number, "l_partkey": number % 5, "l_suppkey": number % 3,
+                           "l_linenumber": F.lit(1), "l_quantity": F.lit(2.0)}),
+        "orders": (400, {"o_orderkey": number, "o_custkey": number % 9,
+                         "o_orderdate": F.lit("1996-03-04").cast("timestamp")}),
+        "part": (5, {"p_partkey": number, "p_retailprice": F.lit(9.5)}),
+    }
+    for table, (rows, columns) in tables.items():
+        named = [column.alias(name) for name, column in columns.items()]
+        spark.range(rows).select(named).write.parquet(str(tmp_path / f"{table}.parquet"))
+    root = str(tmp_path)
+    sample = registry.QUERIES["head_sample"](spark, root)
+    assert sample.count() == 100
+    folder = registry._shared["in-order", spark.sparkContext.applicationId, root]
+    assert file_listing(spark, f"{folder}/*.csv").count() == 8
