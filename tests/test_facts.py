@@ -8,6 +8,7 @@ from tillroll.operators.rules import check_rows, clean_columns
 from tillroll.operators.sampling import random_rows
 from tillroll.plans import facts, quality
 from tillroll.plans.loading import load, stage
+from tillroll.plans.warehouse import CELLS, SHOPPERS
 
 SALES = (
     "invoice_no string, date_key int, store_key int, product_key int, payment_key int, "
@@ -147,3 +148,15 @@ def test_checks_read_each_table_once(warehouse, feed, holidays, check):
     relations = [line for line in plan.split("\n") if "Relation [" in line]
     assert len(relations) <= 7
     assert sum("sale_id" in line for line in relations) == 1
+
+
+def test_shoppers_are_counted_before_a_shuffle(warehouse, feed, holidays, tmp_path):
+    """A load's shoppers are distinct already; only their counts travel."""
+    rows = feed({}, {"customer_id": "C71"}, {"customer_id": "C71", "price": "3"})
+    load(warehouse, stage(rows, str(tmp_path / "staged")), holidays, "a")
+    shoppers = warehouse.partitions(SHOPPERS)
+    built = facts.summary_of(warehouse.partitions(CELLS), shoppers, warehouse.tables())
+    assert [r.unique_customers for r in built.collect()] == [2]
+    plan = built._jdf.queryExecution().executedPlan().toString()
+    keys = re.findall(r"hashpartitioning\(([^)]*customer_key[^)]*)\)", plan)
+    assert keys == []
