@@ -1,10 +1,13 @@
 """What the operators of this subpackage share: written stages, names, batches."""
 
+import ctypes
 import os
+import sys
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import functions as F
 
 from tillroll.session import fresh_folder
@@ -13,6 +16,8 @@ from tillroll.session import fresh_folder
 # bytes.split() parts by, so that is the word splitter of every operator here.
 SPACE_CLASS = r"[\x20\x09-\x0D]"
 WORD_CLASS = r"[^\x20\x09-\x0D]+"
+_trim = getattr(ctypes.CDLL(None), "malloc_trim", None) if sys.platform == "linux" else None
+_kept = {}
 
 
 def importable(spark):
@@ -39,6 +44,37 @@ def written(rows, label):
     return rows.sparkSession.read.schema(rows.schema).parquet(folder)
 
 
+def _stage():
+    task = TaskContext.get()
+    return task and task.stageId()
+
+
+def kept(name, make):
+    """What ``make`` gives, made once per worker and stage.
+
+    A worker serves the tasks of many stages, so what one stage keeps goes when
+    the next one calls ``give_back``.
+    """
+    key = _stage(), name
+    if key not in _kept:
+        _kept[key] = make()
+    return _kept[key]
+
+
+def give_back():
+    """Hand the system the memory that this worker has freed.
+
+    Arrow's pool and malloc hold on to it otherwise, so a worker stays as large as the
+    largest batch of any stage made it.
+    """
+    stage = _stage()
+    for key in [k for k in _kept if k[0] != stage]:
+        del _kept[key]
+    pa.default_memory_pool().release_unused()
+    if _trim:
+        _trim(0)
+
+
 def free_name(rows, base):
     """A column name that the rows do not use yet (Spark ignores case)."""
     taken = {name.lower() for name in rows.columns}

@@ -15,6 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from tillroll.llm.common import give_back
 from tillroll.llm.word_ids import ID_TYPE, encoded
 
 LENGTH = 4096
@@ -23,6 +24,7 @@ LENGTH = 4096
 def _cut(length, with_ids):
     def cut(batches):
         for batch in batches:
+            give_back()
             names = ["start", "length", "ids_crc32", "sequence_id", "offset"]
             out = {name: [] for name in names}
             rows, ids = [], []

@@ -34,6 +34,7 @@ from tillroll.llm.common import (
     Memo,
     as_bytes,
     free_name,
+    give_back,
     numbered_words,
     slices,
     text_sizes,
@@ -509,6 +510,7 @@ def spans_column(text, field):
     scanners = []
 
     def scan(texts: pa.Array) -> pa.Array:
+        give_back()
         if not scanners:
             scanners.append(Scanner(field))
         found = []
@@ -573,6 +575,7 @@ def redact(docs, text="text", field=None, length=None):
 
     def clean(texts: pa.Array) -> pa.Array:
         """The new text where spans were found, else NULL."""
+        give_back()
         if not scanners:
             scanners.append(Scanner(field))
         out = []

@@ -24,7 +24,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import as_bytes, free_name, whole_text, written
+from tillroll.llm.common import as_bytes, free_name, give_back, whole_text, written
 from tillroll.llm.components import component_roots
 
 BITS = 64
@@ -69,6 +69,7 @@ def fingerprint_column(text, shingle=SHINGLE):
 
     @F.arrow_udf("long")
     def simhash(texts: pa.Array) -> pa.Array:
+        give_back()
         prints = [fingerprint(x, shingle) for x in as_bytes(texts)]
         return pa.array(np.array(prints, dtype=np.uint64).view(np.int64))
 
@@ -210,6 +211,7 @@ def _compare(radius):
         batches = [b for b in batches if b.num_rows]
         if not batches:
             return
+        give_back()
         table = pa.Table.from_batches(batches)
         prints = table["fp"].to_numpy()
         keys = np.stack([table[c].to_numpy() for c in ("t", "key", "i", "j")], axis=1)

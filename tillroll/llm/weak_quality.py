@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from tillroll.llm.common import as_bytes, free_name, whole_text, written
+from tillroll.llm.common import as_bytes, free_name, give_back, whole_text, written
 
 MIN_WORDS = 50
 SYMBOLS = b"#*$%&|<>"
@@ -126,6 +126,7 @@ def votes_of(found):
 
 
 def _measure_batch(texts: pa.Array) -> pa.Array:
+    give_back()
     rows = []
     for text in as_bytes(texts):
         counts, found = figures(text)

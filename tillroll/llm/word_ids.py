@@ -24,7 +24,9 @@ from tillroll.llm.common import (
     Memo,
     flat_table,
     gather,
+    give_back,
     id_and_text,
+    kept,
     numbered_words,
     slices,
     text_sizes,
@@ -35,7 +37,7 @@ TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 END_ID = 2
 ID_TYPE = "<u2"
 WORDS_AT_ONCE = 1 << 20
-TEXT_AT_ONCE = 16 << 20
+TEXT_AT_ONCE = 8 << 20
 # ASCII letters, and Latin-1 letters that are lower case already. None of them
 # composes with another, so lowering the ASCII ones first changes nothing.
 LETTERS_AND_MARK = re.compile(rb"((?:[A-Za-z]|\xc3[\xa0-\xb6\xb8-\xbf])+)([.,])?")
@@ -51,11 +53,8 @@ def byte_characters():
     return {b: b for b in plain} | {b: 256 + i for i, b in enumerate(rest)}
 
 
-_encoders = {}
-
-
 class ChunkEncoder:
-    """Encodes texts by one tokenizer file; one per worker."""
+    """Encodes texts by one tokenizer file; one per worker and stage."""
 
     def __init__(self, path):
         # Spark runs a task per core; threads of the library would compete with them.
@@ -106,35 +105,39 @@ class ChunkEncoder:
 
 
 def encoder(path):
-    if path not in _encoders:
-        _encoders[path] = ChunkEncoder(path)
-    return _encoders[path]
+    return kept(("encoder", path), lambda: ChunkEncoder(path))
 
 
 def _encode(path, end_id):
     end = np.array([end_id], ID_TYPE).tobytes()
 
+    def coded(own, rows, part, before):
+        """The rows of some texts, and the ids up to the last of them."""
+        ids, counts = own.encode(rows["text"])
+        raw, cuts = ids.tobytes(), (2 * np.cumsum(counts)).tolist()
+        coded = [raw[a:b] + end for a, b in zip([0, *cuts], cuts, strict=False)]
+        counts += 1
+        ends = before + np.cumsum(counts)
+        arrays = [
+            rows["doc_id"],
+            pa.array(np.full(len(counts), part, dtype=np.int64)),
+            pa.array(ends - counts),
+            pa.array(counts),
+            pa.array(coded, pa.binary()),
+        ]
+        names = ["doc_id", "part", "part_start", "n_tokens", "ids"]
+        return pa.RecordBatch.from_arrays(arrays, names=names), before + int(counts.sum())
+
     def encode(batches):
         part, before = TaskContext.get().partitionId(), 0
+        give_back()
         own = encoder(path)
         for batch in batches:
             for lo, hi in slices(text_sizes(batch["text"]), TEXT_AT_ONCE):
-                ids, counts = own.encode(batch["text"].slice(lo, hi - lo))
-                raw, cuts = ids.tobytes(), (2 * np.cumsum(counts)).tolist()
-                coded = [raw[a:b] + end for a, b in zip([0, *cuts], cuts, strict=False)]
-                counts += 1
-                starts = before + np.cumsum(counts) - counts
-                before += int(counts.sum())
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch["doc_id"].slice(lo, hi - lo),
-                        pa.array(np.full(hi - lo, part, dtype=np.int64)),
-                        pa.array(starts),
-                        pa.array(counts),
-                        pa.array(coded, pa.binary()),
-                    ],
-                    names=["doc_id", "part", "part_start", "n_tokens", "ids"],
-                )
+                rows, before = coded(own, batch.slice(lo, hi - lo), part, before)
+                yield rows
+                del rows
+                give_back()
 
     return encode
 
