@@ -244,3 +244,23 @@ def test_counts_do_not_depend_on_what_a_task_holds(monkeypatch, held):
             want[gram][0] += 2 * (not h)
             want[gram][1] += 2
     assert got == want
+
+
+def test_counts_of_windows_come_in_small_batches(monkeypatch):
+    monkeypatch.setattr(ctw, "ROWS_AT_ONCE", 7)
+    monkeypatch.setattr(ctw, "HELD", 40)
+    monkeypatch.setattr(ctw, "STREAM_AT_ONCE", 100)
+    texts = [" ".join(f"w{i * j % 37}" for j in range(60)) for i in range(5)]
+    batch = pa.RecordBatch.from_pydict({"held_out": [False, True, False, True, False], "text": texts})
+    parts = list(ctw._count_windows([batch, batch]))
+    assert max(p.num_rows for p in parts) == 7
+    got = {}
+    for row in (r for p in parts for r in p.to_pylist()):
+        n, n_all = got.get(row["gram"], (0, 0))
+        got[row["gram"]] = n + row["n_train"], n_all + row["n_all"]
+    grams, of = ctw.text_windows(batch["text"])
+    want = {}
+    for gram, doc in zip(grams.tolist(), of.tolist(), strict=True):
+        n, n_all = want.get(gram, (0, 0))
+        want[gram] = n + 2 * (doc % 2 == 0), n_all + 2
+    assert got == want

@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from tillroll.llm import common, simhash, weak_quality
+from tillroll.llm import common, context_tree, simhash, weak_quality
 
 
 def held_mb():
@@ -51,11 +51,13 @@ def test_kept_values_are_those_of_one_stage(monkeypatch):
 
 def test_operators_let_go_of_what_another_stage_kept(monkeypatch):
     texts = pa.array(["some text", "other text"])
-
+    batch = pa.RecordBatch.from_pydict({"held_out": [False, True], "text": texts})
     cells = {c: pa.array([0, 0], pa.int64()) for c in ("t", "key", "i", "j", "fp")}
     runs = [
         lambda: weak_quality._measure_batch(texts),
         lambda: list(simhash._compare(4)([pa.RecordBatch.from_pydict(cells)])),
+        lambda: list(context_tree._count_words([batch])),
+        lambda: list(context_tree._count_windows([batch])),
     ]
     monkeypatch.setattr(common, "_kept", {})
     for run in runs:

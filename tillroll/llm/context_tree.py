@@ -21,6 +21,8 @@ text is read: words that make up a ``1 / FREQUENT``-th of all tokens or more are
 ``FREQUENT``. The rest are joined to the tables of windows and words.
 """
 
+import uuid
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -29,6 +31,8 @@ from pyspark.sql import functions as F
 
 from tillroll.llm.common import (
     as_bytes,
+    give_back,
+    kept,
     numbered_words,
     slices,
     text_sizes,
@@ -45,6 +49,7 @@ LONGEST_FREQUENT = 64
 STREAM_AT_ONCE = 2 << 20
 WORDS_AT_ONCE = 4 << 20
 HELD = 2_500_000  # windows that a task counts before it hands them on
+ROWS_AT_ONCE = 1 << 17  # counts of windows in a batch
 WINDOWS_HELD = 3_000_000  # windows looked up where the text is read
 HALF = np.log(0.5)
 
@@ -339,54 +344,79 @@ def _summed(keys, counts):
 def _count_words(batches):
     """The words of each slice of texts, with how often training and all texts have them."""
     for batch in batches:
+        give_back()
         train = ~batch["held_out"].to_numpy(zero_copy_only=False)
         for lo, hi in slices(text_sizes(batch["text"]), WORDS_AT_ONCE):
-            own = train[lo:hi]
-            words, numbers, counts = lowered_words(batch["text"].slice(lo, hi - lo))
-            n_all = np.bincount(numbers, minlength=len(words))
-            n_train = np.bincount(numbers[np.repeat(own, counts)], minlength=len(words))
-            yield pa.RecordBatch.from_pydict(
-                {
-                    "word": pa.array([*words, END], pa.binary()),
-                    "n_train": pa.array(np.append(n_train, np.count_nonzero(own))),
-                    "n_all": pa.array(np.append(n_all, hi - lo)),
-                }
-            )
+            yield _word_counts(batch["text"].slice(lo, hi - lo), train[lo:hi])
+
+
+def _word_counts(texts, train):
+    words, numbers, counts = lowered_words(texts)
+    n_all = np.bincount(numbers, minlength=len(words))
+    n_train = np.bincount(numbers[np.repeat(train, counts)], minlength=len(words))
+    return pa.RecordBatch.from_pydict(
+        {
+            "word": pa.array([*words, END], pa.binary()),
+            "n_train": pa.array(np.append(n_train, np.count_nonzero(train))),
+            "n_all": pa.array(np.append(n_all, len(train))),
+        }
+    )
 
 
 def _count_windows(batches):
     """Windows with their counts, added up within a task up to ``HELD`` of them. Counts of
     one window may come in several rows."""
-
-    def rows(keys, counts):
-        return pa.RecordBatch.from_pydict(
-            {
-                "gram": pa.array(keys >> 1),
-                "n_train": pa.array(counts * (keys & 1)),
-                "n_all": pa.array(counts),
-            }
-        )
-
     held, size = [], 0
     for batch in batches:
+        give_back()
         train = ~batch["held_out"].to_numpy(zero_copy_only=False)
         for lo, hi in slices(text_sizes(batch["text"]), STREAM_AT_ONCE):
-            grams, of = text_windows(batch["text"].slice(lo, hi - lo))
-            grams <<= 1
-            grams |= train[lo:hi][of]
-            held.append(np.unique(grams, return_counts=True))
+            held.append(_slice_counts(batch["text"].slice(lo, hi - lo), train[lo:hi]))
             size += len(held[-1][0])
             if size > HELD:
-                held = [_summed(*map(np.concatenate, zip(*held, strict=True)))]
+                _add_up(held)
                 size = len(held[0][0])
                 if size > HELD // 2:
                     # The rare ones go, and the others are met again.
-                    keys, counts = held[0]
-                    rare = counts <= np.quantile(counts, 0.75)
-                    yield rows(keys[rare], counts[rare])
-                    held, size = [(keys[~rare], counts[~rare])], int(np.count_nonzero(~rare))
+                    rare, more = _by_count(*held.pop())
+                    held, size = [more], len(more[0])
+                    yield from _count_rows(*rare)
+                    del rare, more
+                give_back()
     if held:
-        yield rows(*_summed(*map(np.concatenate, zip(*held, strict=True))))
+        _add_up(held)
+        yield from _count_rows(*held.pop())
+
+
+def _slice_counts(texts, train):
+    """Sorted windows, twice each and one more for training texts, with their counts."""
+    keys, of = text_windows(texts)
+    keys <<= 1
+    keys |= train[of]
+    del of
+    return np.unique(keys, return_counts=True)
+
+
+def _add_up(held):
+    """Make one run of all runs of ``held``, which are let go on the way."""
+    keys, counts = map(np.concatenate, zip(*held, strict=True))
+    held.clear()
+    held.append(_summed(keys, counts))
+
+
+def _by_count(keys, counts):
+    """The three quarters that are met least, and the others."""
+    rare = counts <= np.quantile(counts, 0.75)
+    return (keys[rare], counts[rare]), (keys[~rare], counts[~rare])
+
+
+def _count_rows(keys, counts):
+    """In batches that are small for the JVM as well, which holds each one whole."""
+    for at in range(0, len(keys), ROWS_AT_ONCE):
+        some, n = keys[at : at + ROWS_AT_ONCE], counts[at : at + ROWS_AT_ONCE]
+        yield pa.RecordBatch.from_pydict(
+            {"gram": pa.array(some >> 1), "n_train": pa.array(n * (some & 1)), "n_all": pa.array(n)}
+        )
 
 
 def counted(rows, count, key):
@@ -437,93 +467,102 @@ STREAM = "row long, doc_id {}, held_out boolean, key binary, n long, n_tokens lo
 STREAM += " n_known long, base double, score double"
 
 
+def _known(often, floor):
+    """The tables of frequent words and windows, for lookups."""
+    words, counts, grams, logs = often
+    return {
+        "word": {w: i for i, w in enumerate(words)},
+        "known": np.append(counts > 0, False).astype(np.float64),
+        "base": np.append(np.log10(counts + 0.1) - floor, 0.0),
+        # Behind the chances stands 0 for windows that are not there.
+        "grams": Lookup(grams),
+        "logs": logs,
+    }
+
+
 def _score_texts(often, floor):
     """Sums over frequent words and windows, and one row per other one of each document."""
-    held = {}
-
-    def lookup():
-        if not held:
-            words, counts, grams, logs = often.value
-            held["word"] = {w: i for i, w in enumerate(words)}
-            held["known"] = np.append(counts > 0, False).astype(np.float64)
-            held["base"] = np.append(np.log10(counts + 0.1) - floor, 0.0)
-            # Behind the chances stands 0 for windows that are not there.
-            held["grams"], held["logs"] = Lookup(grams), logs
-        return held
+    name = uuid.uuid4().hex
 
     def score(batches):
-        table = lookup()
-        grams_known, logs = table["grams"], table["logs"]
+        give_back()
+        table = kept(name, lambda: _known(often.value, floor))
         row = TaskContext.get().partitionId() << 40
         for batch in batches:
             for lo, hi in slices(text_sizes(batch["text"]), STREAM_AT_ONCE):
-                docs = hi - lo
-                part = batch["text"].slice(lo, docs)
-                words, numbers, counts = lowered_words(part)
-                grams, of = text_windows(part)
-                size = np.bincount(of, minlength=docs)
-                at = grams_known.find(grams)
-                sums = np.bincount(of, logs[at], docs)
-                rest = np.flatnonzero(at < 0)
-                own, which = np.unique(grams[rest], return_inverse=True)
-                code, n = np.unique(of[rest] * len(own) + which, return_counts=True)
-                doc, code = np.divmod(code, max(1, len(own)))
-                far = (own[code] | (0x20 << 56)).astype(">i8").view("S8")
-                # Words; every text has an end.
-                get = table["word"].get
-                known = np.array([get(w, -1) for w in words], dtype=np.int64)[numbers]
-                of_word = np.repeat(np.arange(docs), counts)
-                end = get(END)
-                n_known = np.bincount(of_word, table["known"][known], docs) + table["known"][end]
-                base = np.bincount(of_word, table["base"][known], docs) + table["base"][end]
-                rest = np.flatnonzero(known < 0)
-                width = max(1, len(words))
-                pairs, n_words = np.unique(of_word[rest] * width + numbers[rest], return_counts=True)
-                doc_words, code = np.divmod(pairs, width)
-                # One row per document has its own sums and a key that nothing has.
-                names = [b" " * 9 + b"%d" % (row + i) for i in range(docs)]
-                names += [words[c] for c in code]
-                keys = pa.concat_arrays(
-                    [
-                        pa.array(names, pa.binary()),
-                        pa.Array.from_buffers(
-                            pa.binary(),
-                            len(far),
-                            [
-                                None,
-                                pa.py_buffer(np.arange(0, 8 * len(far) + 1, 8, dtype=np.int32)),
-                                pa.py_buffer(far.tobytes()),
-                            ],
-                        ),
-                    ]
-                )
-                more = len(keys) - docs
-                place = np.concatenate([np.arange(docs), doc_words, doc])
-                times = np.concatenate([np.zeros(docs, dtype=np.int64), n_words, n])
-
-                def first(values, more=more):
-                    return pa.concat_arrays([values, pa.nulls(more, values.type)])
-
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(row + place),
-                        first(batch["doc_id"].slice(lo, docs)),
-                        first(batch["held_out"].slice(lo, docs)),
-                        keys,
-                        pa.array(times),
-                        first(pa.array(counts + 1)),
-                        first(pa.array(size)),
-                        first(pa.array(n_known.astype(np.int64))),
-                        first(pa.array(base)),
-                        first(pa.array(sums)),
-                    ],
-                    names=[c.split()[0] for c in STREAM.split(", ")],
-                )
-                row += docs
+                yield _slice_scores(batch.slice(lo, hi - lo), row, table)
+                row += hi - lo
+            give_back()
 
     return score
 
 
+def _slice_scores(rows, row, table):
+    """Of consecutive rows, the first of which has the number ``row``."""
+    grams_known, logs = table["grams"], table["logs"]
+    docs, part = rows.num_rows, rows["text"]
+    words, numbers, counts = lowered_words(part)
+    grams, of = text_windows(part)
+    size = np.bincount(of, minlength=docs)
+    at = grams_known.find(grams)
+    sums = np.bincount(of, logs[at], docs)
+    rest = np.flatnonzero(at < 0)
+    own, which = np.unique(grams[rest], return_inverse=True)
+    code, n = np.unique(of[rest] * len(own) + which, return_counts=True)
+    doc, code = np.divmod(code, max(1, len(own)))
+    far = (own[code] | (0x20 << 56)).astype(">i8").view("S8")
+    # Words; every text has an end.
+    get = table["word"].get
+    known = np.array([get(w, -1) for w in words], dtype=np.int64)[numbers]
+    of_word = np.repeat(np.arange(docs), counts)
+    end = get(END)
+    n_known = np.bincount(of_word, table["known"][known], docs) + table["known"][end]
+    base = np.bincount(of_word, table["base"][known], docs) + table["base"][end]
+    rest = np.flatnonzero(known < 0)
+    width = max(1, len(words))
+    pairs, n_words = np.unique(of_word[rest] * width + numbers[rest], return_counts=True)
+    doc_words, code = np.divmod(pairs, width)
+    # One row per document has its own sums and a key that nothing has.
+    names = [b" " * 9 + b"%d" % (row + i) for i in range(docs)]
+    names += [words[c] for c in code]
+    keys = pa.concat_arrays(
+        [
+            pa.array(names, pa.binary()),
+            pa.Array.from_buffers(
+                pa.binary(),
+                len(far),
+                [
+                    None,
+                    pa.py_buffer(np.arange(0, 8 * len(far) + 1, 8, dtype=np.int32)),
+                    pa.py_buffer(far.tobytes()),
+                ],
+            ),
+        ]
+    )
+    more = len(keys) - docs
+    place = np.concatenate([np.arange(docs), doc_words, doc])
+    times = np.concatenate([np.zeros(docs, dtype=np.int64), n_words, n])
+
+    def first(values):
+        return pa.concat_arrays([values, pa.nulls(more, values.type)])
+
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array(row + place),
+            first(rows["doc_id"]),
+            first(rows["held_out"]),
+            keys,
+            pa.array(times),
+            first(pa.array(counts + 1)),
+            first(pa.array(size)),
+            first(pa.array(n_known.astype(np.int64))),
+            first(pa.array(base)),
+            first(pa.array(sums)),
+        ],
+        names=[c.split()[0] for c in STREAM.split(", ")],
+    )
+
+
 def score_texts(
     docs, doc_id="doc_id", text="text", held_out=None, frequent=FREQUENT, windows_held=WINDOWS_HELD
 ):
