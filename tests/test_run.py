@@ -115,6 +115,34 @@ def test_a_bad_file_is_set_aside_alone(spark, warehouse, csv_file, holidays, tmp
     assert [r.path[-7:] for r in wrong.collect()] == ["bad.csv"]
 
 
+def test_a_bad_file_does_not_move_the_other_rows(
+    spark, warehouse, csv_file, json_file, holidays, tmp_path, monkeypatch
+):
+    """The rows are staged once; beside them only the bad file's name is written."""
+    for folder in ("in", "in2"):
+        csv_file(f"{folder}/a.csv", ROWS[0], ROWS[2])
+        csv_file(f"{folder}/bad.csv", ROWS[3], header=["a"] * 10)
+    writer = type(spark.range(1).write)
+    parquet, written = writer.parquet, []
+
+    def write(self, path, *rest, **named):
+        parquet(self, path, *rest, **named)
+        label = path.rsplit("/", 1)[1].rsplit("-", 1)[0]
+        if label in ("staged", "left-out"):
+            written.append((label, spark.read.parquet(path).count()))
+
+    monkeypatch.setattr(writer, "parquet", write)
+    ingest_new_files(warehouse, str(tmp_path / "in"), holidays, str(tmp_path / "c"))
+    # Five lines with the headers.
+    assert written == [("staged", 5), ("left-out", 1)]
+    assert warehouse.read("fact_sales").count() == 2
+    written.clear()
+    calendar, root = json_file("h.json", []), str(tmp_path / "w")
+    summary = run(spark, str(tmp_path / "in2" / "*.csv"), calendar, root)
+    assert summary["status"] == "success" and summary["counts"]["fact_sales"] == 2
+    assert written == [("staged", 5), ("left-out", 1)]
+
+
 def test_command_line(spark, csv_file, json_file, tmp_path, capsys):
     root = str(tmp_path / "w")
     assert main(["tables", "check", "--warehouse", root]) == 1

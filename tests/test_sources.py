@@ -264,6 +264,47 @@ def test_headers_and_wrong_files_never_shuffle_the_rows(spark, csv_file, tmp_pat
     assert [r.invoice_no for r in numbered] == [n for n in read if not n.startswith("I98")]
 
 
+@pytest.mark.parametrize("tasks", [1, 2, 50])
+def test_files_left_out_of_any_place_leave_dense_numbers(spark, csv_file, tmp_path, tasks):
+    """Wrong files whose rows stand before, between and behind the others, in tasks that
+    took several blocks of several files: as if the rest had been written anew."""
+    for name in "abcde":
+        lines = [
+            {"invoice_no": f"I{ord(name)}{i:02d}", "age": "x" if i % 7 == 0 else "30"}
+            for i in range(20 + ord(name) % 4)
+        ]
+        csv_file(f"in/{name}.csv", *lines, header=["a"] * 10 if name in "ac" else SOURCE_COLUMNS)
+    settings = {
+        "spark.sql.files.maxPartitionBytes": "600",
+        "spark.sql.files.openCostInBytes": "0",
+        "spark.sql.files.maxPartitionNum": str(tasks),
+    }
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        staged = stage(read_lines(spark.read, str(tmp_path / "in")), str(tmp_path / "one"))
+    finally:
+        for name in settings:
+            spark.conf.unset(name)
+    out = staged.leaving_out(staged.wrong_files(), str(tmp_path / "two"))
+    anew = staged.without(staged.wrong_files(), str(tmp_path / "three"))
+    assert not list((tmp_path / "two").glob("rejected=*"))
+    found, expected = (
+        sorted((r.sale_id, r.invoice_no) for r in s.numbered(5).collect()) for s in (out, anew)
+    )
+    assert found == expected and [n for n, _ in found] == list(range(6, 6 + len(found)))
+    assert {int(name[1:]) // 100 for _, name in found} == {98, 100, 101}
+    assert out.report() == anew.report()
+    for part in ("rejected", "checked", "valid"):
+        rows = [sorted(map(str, getattr(s, part).collect())) for s in (out, anew)]
+        assert rows[0] == rows[1] and rows[0]
+    assert sorted(out.files().collect()) == sorted(anew.files().collect())
+    # What is left out stays out when more files are.
+    assert out.wrong_files().isEmpty()
+    less = out.leaving_out(out.files().where("path LIKE '%d.csv'"), str(tmp_path / "four"))
+    assert {int(r.invoice_no[1:]) // 100 for r in less.numbered(0).collect()} == {98, 101}
+
+
 def test_head_sample_files_hold_what_a_task_sorts(spark, tmp_path, monkeypatch):
     """The number of files in order follows the rows."""
     monkeypatch.setattr(keys, "ROWS_SORTED", 50)
