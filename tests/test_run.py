@@ -1,3 +1,6 @@
+import time
+from pathlib import Path
+
 from tillroll.__main__ import main
 from tillroll.plans.run import run
 from tillroll.plans.warehouse import Warehouse
@@ -143,6 +146,29 @@ def test_a_bad_file_does_not_move_the_other_rows(
     assert written == [("staged", 5), ("left-out", 1)]
 
 
+def test_a_stream_leaves_no_shuffle_files(spark, warehouse, csv_file, holidays, tmp_path):
+    """What its jobs shuffled goes with them, not when the driver collects its garbage."""
+    folders = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()
+    folders = [Path(str(folder)) for folder in folders]
+
+    def kept():
+        return {file.name for folder in folders for file in folder.rglob("shuffle_*.data")}
+
+    csv_file("in/a.csv", *ROWS)
+    csv_file("in/bad.csv", {}, header=["a", "b"])
+    setting = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, files = spark.conf.get(setting, "false"), kept()
+    ingest_new_files(warehouse, str(tmp_path / "in"), holidays, str(tmp_path / "c"))
+    assert spark.conf.get(setting, "false") == before
+    # Executors are told to delete them, and do so a moment later.
+    for _ in range(50):
+        if kept() <= files:
+            break
+        time.sleep(0.1)
+    assert kept() <= files
+    assert warehouse.read("fact_sales").count() == 3
+
+
 def test_command_line(spark, csv_file, json_file, tmp_path, capsys):
     root = str(tmp_path / "w")
     assert main(["tables", "check", "--warehouse", root]) == 1
